@@ -104,9 +104,13 @@ def _label_of(codes: Column, code: Column) -> Column:
     return F.try_element_at(hits, F.lit(-1))["label"]
 
 
-def flatten_cube(responses: DataFrame, period_code: str = "th") -> DataFrame:
+def flatten_cube(
+    responses: DataFrame, period_code: str = "th", keep: tuple[str, ...] = ()
+) -> DataFrame:
     """Cells of a coded cube: ``kode_provinsi, nama_provinsi, tahun, turvar, nilai``.
 
+    ``keep`` names columns of the response to carry along.
+
     The composite key is region(4) variable(3) measure(3) period(3) sub-period(1). Short keys,
     measures and regions outside the response's own dictionaries, and the national total
     are left out.
@@ -127,9 +131,12 @@ def flatten_cube(responses: DataFrame, period_code: str = "th") -> DataFrame:
         c["measure"].alias("measure"),
         c["value"].alias("value"),
     ))
-    rows = responses.select(year_of_code(F.col(period_code)).alias("tahun"), F.explode(named).alias("c"))
+    rows = responses.select(
+        *keep, year_of_code(F.col(period_code)).alias("tahun"), F.explode(named).alias("c")
+    )
     regional = (F.col("c.label") != "") & (F.upper("c.label") != NATIONAL_LABEL)
     return rows.filter(regional).select(
+        *keep,
         F.col("c.region").alias("kode_provinsi"),
         conform_title(F.col("c.label")).alias("nama_provinsi"),
         "tahun",
@@ -147,23 +154,26 @@ def _figure(raw: Column) -> Column:
     )
 
 
-def flatten_table_service(responses: DataFrame, period: str = "tahun") -> DataFrame:
+def flatten_table_service(
+    responses: DataFrame, period: str = "tahun", keep: tuple[str, ...] = ()
+) -> DataFrame:
     """Population rows: ``kode_provinsi, nama_provinsi, tahun, jumlah_penduduk``.
 
     The payload is the second element of ``data``. The measure is the first column whose name
     contains the population phrase. Region codes become two digits and ``00``.
     """
     payload = responses.select(
-        F.col(period).cast("bigint").alias("tahun"), F.try_element_at("data", F.lit(2)).alias("p")
+        *keep, F.col(period).cast("bigint").alias("tahun"), F.try_element_at("data", F.lit(2)).alias("p")
     )
     hits = F.filter(
         F.map_entries("p.kolom"),
         lambda e: F.contains(F.lower(e["value"]["nama_variabel"]), F.lit(POPULATION_PHRASE)),
     )
     measure = F.try_element_at(hits, F.lit(1))["key"]
-    rows = payload.select("tahun", measure.alias("measure"), F.explode("p.data").alias("r"))
+    rows = payload.select(*keep, "tahun", measure.alias("measure"), F.explode("p.data").alias("r"))
     raw = F.try_element_at("r.variables", F.col("measure"))["value_raw"]
     figures = rows.select(
+        *keep,
         "tahun",
         F.col("r.kode_wilayah").alias("code"),
         F.concat(F.substring("r.kode_wilayah", 1, 2), F.lit("00")).alias("kode_provinsi"),
@@ -176,6 +186,7 @@ def flatten_table_service(responses: DataFrame, period: str = "tahun") -> DataFr
         (F.col("code") != "") & (F.col("label") != "") & F.col("thousands").isNotNull()
         & ~zero_number & (F.col("kode_provinsi") != "0000") & (F.upper("label") != NATIONAL_LABEL)
     ).select(
+        *keep,
         "kode_provinsi",
         conform_title(F.col("label")).alias("nama_provinsi"),
         "tahun",
