@@ -147,7 +147,7 @@ def locale_numbers_lenient(spark, sf_dir):
         .when((status == "F") & (priority == "5"), F.lit("1d"))
         .otherwise(F.concat(F.lit(" "), _grouped_text(F.col("o_totalprice")), F.lit("\t")))
     )
-    return table(spark, sf_dir, "orders").select("o_orderkey", N.published_to_double(text).alias("figure"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", N.grouped_to_double(text).alias("figure"))
 
 
 LOCALE_LENIENT = """

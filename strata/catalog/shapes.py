@@ -14,8 +14,9 @@ from strata.operators.reshape import append_batches, pivot_mean
 from strata.plans.entities import entity_rows
 from strata.sources.responses import (
     BINDINGS_SCHEMA, CUBE_MEASURES, CUBE_SCHEMA, TABLE_SERVICE_SCHEMA, flatten_bindings, flatten_cube,
-    flatten_table_service,
+    flatten_table_service, read_responses,
 )
+from strata.workspace import scratch_path
 
 
 def _value(column):
@@ -52,8 +53,8 @@ SELECT c_custkey, wikidata_qid, c_name AS province_name_id, en AS province_name_
 UNION ALL SELECT c_custkey, wikidata_qid, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM b"""
 
 
-def _cube_cells(spark, sf_dir):
-    """One response per order: two good cells and one of every kind that is left out."""
+def _cube_texts(spark, sf_dir):
+    """One cube per order: two good cells and one of every kind that is left out."""
     region = F.concat(F.substring("o_orderpriority", 1, 1), F.lit("100"))
     th = (F.year("o_orderdate") - 1900).cast("string")
 
@@ -73,14 +74,13 @@ def _cube_cells(spark, sf_dir):
         F.array(code(F.lit("530"), F.lit("a")), code(F.lit("531"), F.lit("b"))).alias("turvar"),
         cells.alias("datacontent"),
     ))
-    responses = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", th.alias("th"), text.alias("text"))
-    parsed = responses.withColumn("r", F.from_json("text", CUBE_SCHEMA)).select("o_orderkey", "o_custkey", "th", "r.*")
-    return flatten_cube(parsed, keep=("o_orderkey", "o_custkey"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", th.alias("th"), text.alias("text"))
 
 
 def explode_cube(spark, sf_dir):
     """Cells of one coded cube per order."""
-    return _cube_cells(spark, sf_dir).drop("o_custkey")
+    parsed = _cube_texts(spark, sf_dir).withColumn("r", F.from_json("text", CUBE_SCHEMA))
+    return flatten_cube(parsed.select("o_orderkey", "th", "r.*"), keep=("o_orderkey",))
 
 
 _TITLE = """array_to_string(list_transform(regexp_extract_all(o_orderpriority, '([A-Za-z]+|[^A-Za-z]+)'),
@@ -93,8 +93,11 @@ FROM orders CROSS JOIN (VALUES ('530'), ('531')) m(turvar)"""
 
 
 def cube_wide(spark, sf_dir):
-    """The cells of all orders as one row per region and year, mean per measure."""
-    cells = _cube_cells(spark, sf_dir).withColumn("nilai", F.col("nilai").cast("decimal(18,4)"))
+    """Cubes landed in one folder per period, read back, one row per region and year."""
+    root = scratch_path(spark, "responses")
+    _cube_texts(spark, sf_dir).select("th", "text").write.partitionBy("th").text(root)
+    cells = flatten_cube(read_responses(spark, root, CUBE_SCHEMA, one_per_file=False))
+    cells = cells.withColumn("nilai", F.col("nilai").cast("decimal(18,4)"))
     index = ["kode_provinsi", "nama_provinsi", "tahun"]
     wide = pivot_mean(cells, index, "turvar", "nilai", CUBE_MEASURES)
     return wide.select(*index, *[F.round(c, 2).cast("double").alias(c) for c in CUBE_MEASURES.values()])
@@ -108,47 +111,30 @@ FROM orders GROUP BY ALL"""
 
 
 def table_service(spark, sf_dir):
-    """One table-service payload per order: text figures, a number, and rows that are left out."""
-    def row(code, label, raw):
-        return F.struct(
-            F.lit(code).alias("kode_wilayah"), label.alias("label"),
-            F.create_map(F.lit("v9"), F.struct(F.lit("7").alias("value_raw")), F.lit("v1"), F.struct(raw.alias("value_raw"))).alias("variables"),
-        )
-    name = F.col("o_orderpriority")
-    grouped = F.translate(F.format_number("o_totalprice", 2), ",.", ".,")
-    columns = F.create_map(
-        F.lit("v0"), F.struct(F.lit("Luas Wilayah").alias("nama_variabel")),
-        F.lit("v1"), F.struct(F.lit("Jumlah Penduduk (Ribu)").alias("nama_variabel")),
-        F.lit("v9"), F.struct(F.lit("jumlah penduduk lain").alias("nama_variabel")),
+    """One table-service payload per order: figures as text and as number, and rows left out."""
+    label = F.concat(F.lit('","label":"'), F.col("o_orderpriority"))
+    grouped = F.concat(F.lit('"'), F.translate(F.format_number("o_totalprice", 2), ",.", ".,"), F.lit('"'))
+
+    def row(code, raw, label=label):
+        middle = F.lit('","variables":{"v9":{"value_raw":"7"},"v1":{"value_raw":')
+        return F.concat(F.lit('{"kode_wilayah":"' + code), label, middle, raw, F.lit("}}}"))
+
+    rows = [
+        row("1100000", grouped), row("0000000", grouped), row("3200000", F.lit('"-"')),
+        row("3300000", F.lit('""')), row("3300000", F.lit("null")), row("3300000", F.lit("0")), row("", grouped),
+        row("3100000", grouped, F.lit('","label":"Indonesia')),
+        row("3400000", grouped, F.lit('","label":" D.I. YOGYAKARTA ')),
+        row("3500000", F.col("o_totalprice").cast("decimal(18,2)").cast("string")),
+    ]
+    head = (
+        '{"data":[{"page":1},{"kolom":{"v0":{"nama_variabel":"Luas Wilayah"},'
+        '"v1":{"nama_variabel":"Jumlah Penduduk (Ribu)"},"v9":{"nama_variabel":"jumlah penduduk lain"}},"data":['
     )
-    rows = F.array(
-        row("1100000", name, grouped), row("0000000", name, grouped), row("3100000", F.lit("Indonesia"), grouped),
-        row("3200000", name, F.lit("-")), row("3300000", name, F.lit("")), row("", name, grouped),
-        row("3400000", F.lit("D.I. YOGYAKARTA"), F.concat(F.lit(" "), grouped)),
+    text = F.concat(F.lit(head), F.concat_ws(",", *rows), F.lit("]}]}"))
+    parsed = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.year("o_orderdate").alias("tahun"), F.from_json(text, TABLE_SERVICE_SCHEMA).alias("r")
     )
-    text_payload = F.to_json(F.struct(F.array(
-        F.struct(F.lit(None).cast(columns_type()).alias("kolom"), F.lit(None).cast(rows_type()).alias("data")),
-        F.struct(columns.alias("kolom"), rows.alias("data")),
-    ).alias("data")))
-    number_rows = F.array(row("3500000", name, F.col("o_totalprice")))
-    number_payload = F.to_json(F.struct(F.array(
-        F.struct(F.lit(None).cast(columns_type()).alias("kolom"), F.lit(None).cast(rows_type("double")).alias("data")),
-        F.struct(columns.alias("kolom"), number_rows.alias("data")),
-    ).alias("data")))
-    orders = table(spark, sf_dir, "orders").withColumn("tahun", F.year("o_orderdate"))
-    texts = append_batches(*[
-        orders.select("o_orderkey", "tahun", payload.alias("text")) for payload in (text_payload, number_payload)
-    ])
-    parsed = texts.withColumn("r", F.from_json("text", TABLE_SERVICE_SCHEMA)).select("o_orderkey", "tahun", "r.*")
-    return flatten_table_service(parsed, keep=("o_orderkey",))
-
-
-def columns_type():
-    return "map<string, struct<nama_variabel:string>>"
-
-
-def rows_type(raw="string"):
-    return f"array<struct<kode_wilayah:string, label:string, variables:map<string, struct<value_raw:{raw}>>>>"
+    return flatten_table_service(parsed.select("o_orderkey", "tahun", "r.*"), keep=("o_orderkey",))
 
 
 TABLE_SERVICE = f"""

@@ -130,9 +130,8 @@ def gold_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             materialize(population(spark, sf_dir), "population"),
             ALIASES,
         )
-        _GOLD[key] = {
-            name: df if name == "dim_indicator" else materialize(df, name) for name, df in gold.items()
-        }
+        stored = ("dim_province", "dim_year", "fact_economics")
+        _GOLD[key] = {**gold, **{name: materialize(gold[name], name) for name in stored}}
     return _GOLD[key]
 
 

@@ -1,8 +1,8 @@
 """Column functions. All are built-in Spark expressions; none needs Python on an executor."""
 
 from strata.functions.numbers import (
-    density, grouped_to_double, growth_pct, nan_to_null, per_capita, published_to_double,
-    scale_to_long, to_double, to_long, ungroup,
+    density, grouped_to_double, growth_pct, nan_to_null, per_capita, scale_to_long, to_double, to_long,
+    ungroup, whole,
 )
 from strata.functions.periods import decade, file_tag, is_census_year, run_clock, year_of_code
 from strata.functions.text import (
@@ -12,6 +12,6 @@ from strata.functions.text import (
 __all__ = [
     "clean_text", "conform_exact", "conform_title", "decade", "density", "file_tag",
     "grouped_to_double", "growth_pct", "is_census_year", "match_key", "nan_to_null",
-    "null_tokens", "per_capita", "published_to_double", "run_clock", "scale_to_long", "strip",
-    "text_after", "title_case", "to_double", "to_long", "ungroup", "year_of_code",
+    "null_tokens", "per_capita", "run_clock", "scale_to_long", "strip", "text_after", "title_case",
+    "to_double", "to_long", "ungroup", "whole", "year_of_code",
 ]

@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from strata.functions.text import null_tokens, strip
-
-# Stripped cells that mean "no figure" in published tables.
-NO_FIGURE_TOKENS = ("", "-", "–", "...", "NA")
+# A decimal number or an infinity, with white space around it. Matching first keeps out what the JVM
+# parser would also take: type suffixes (``1d``), hexadecimal, and not-a-number, which means missing.
+_SPACE = r"[\s\x1c-\x1f\x85\p{Z}]*"
+_NUMBER = (
+    rf"^{_SPACE}([+-]?(?:[0-9]+\.?[0-9]*(?:[eE][+-]?[0-9]+)?|\.[0-9]+(?:[eE][+-]?[0-9]+)?|(?i:inf|infinity))){_SPACE}$"
+)
+_WHOLE = rf"^{_SPACE}([+-]?[0-9]+)(?:\.0*)?{_SPACE}$"
 
 
 def nan_to_null(number: Column) -> Column:
@@ -17,19 +20,18 @@ def nan_to_null(number: Column) -> Column:
 
 
 def to_double(text: Column) -> Column:
-    """Text to double, null where it is no decimal number.
+    """Text to double, null where it is no number."""
+    return F.regexp_extract(text, _NUMBER, 1).try_cast("double")
 
-    The JVM parser also takes type suffixes (``1d``) and hexadecimal, which are no numbers here.
-    """
-    text = strip(text)
-    return nan_to_null(F.when(~text.rlike(r"[0-9.][dDfF]$|[xX]"), text.try_cast("double")))
+
+def whole(number: Column) -> Column:
+    """Double to bigint, null where a fraction would be lost."""
+    return F.when(number == F.floor(number), number.try_cast("bigint"))
 
 
 def to_long(text: Column) -> Column:
-    """Text to bigint by way of double, so ``12.0`` is 12; null where a fraction would be lost."""
-    whole = text.try_cast("bigint")
-    number = to_double(text)
-    return F.coalesce(whole, F.when(number == F.floor(number), number.try_cast("bigint")))
+    """Text to bigint, null where it is no number or a fraction would be lost; ``12.0`` is 12."""
+    return F.coalesce(F.regexp_extract(text, _WHOLE, 1).try_cast("bigint"), whole(to_double(text)))
 
 
 def ungroup(text: Column) -> Column:
@@ -38,13 +40,11 @@ def ungroup(text: Column) -> Column:
 
 
 def grouped_to_double(text: Column) -> Column:
-    """A number printed with thousands points and a decimal comma; null where it is none."""
-    return to_double(ungroup(text))
+    """A number printed with thousands points and a decimal comma; null where it is none.
 
-
-def published_to_double(text: Column) -> Column:
-    """As :func:`grouped_to_double`, with the words and dashes that mean "no figure" as null."""
-    return grouped_to_double(null_tokens(strip(text), NO_FIGURE_TOKENS))
+    The marks for "no figure" (nothing, ``-``, ``–``, ``...``, ``NA``) are no numbers either.
+    """
+    return to_double(ungroup(text))
 
 
 def scale_to_long(number: Column, factor: int) -> Column:

@@ -8,13 +8,12 @@ from collections.abc import Mapping
 from datetime import datetime
 from typing import Any
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.periods import run_clock
 from strata.operators.clean import AUDIT_COLUMNS
-from strata.sources.objects import missing_path, write_text
+from strata.sources.objects import exists, write_text
 
 log = logging.getLogger(__name__)
 
@@ -58,9 +57,6 @@ def save_manifest(spark: SparkSession, path: str, metadata: Mapping[str, Any]) -
 def read_manifests(spark: SparkSession, path: str, extra: str = "") -> DataFrame:
     """One manifest, or all manifests of a folder as a table; ``extra`` names more fields."""
     schema = f"{MANIFEST_SCHEMA}, {extra}" if extra else MANIFEST_SCHEMA
-    try:
-        return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
-    except AnalysisException as error:
-        if missing_path(error):
-            raise FileNotFoundError(path) from error
-        raise
+    if not exists(spark, path):
+        raise FileNotFoundError(path)
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)

@@ -13,13 +13,12 @@ import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.periods import run_clock
 from strata.lake.digest import digest_aggregates, schema_map, seal, table_digest
-from strata.sources.objects import ObjectExists, inventory, missing_path, write_text
+from strata.sources.objects import ObjectExists, exists, inventory, write_text
 
 # The fields of a log entry.
 LOG_SCHEMA = (
@@ -41,13 +40,10 @@ class Version:
 
 def current_version(spark: SparkSession, table: str) -> int:
     """Highest committed version, -1 for a table without a log; other file names are ignored."""
-    try:
-        files = inventory(spark, f"{table}/log")
-    except AnalysisException as error:
-        if missing_path(error):
-            return -1
-        raise
+    if not exists(spark, f"{table}/log"):
+        return -1
     number = F.regexp_extract("path", r"/([0-9]+)\.json$", 1).try_cast("bigint")
+    files = inventory(spark, f"{table}/log")
     return files.agg(F.coalesce(F.max(number), F.lit(-1))).first()[0]
 
 

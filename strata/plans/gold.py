@@ -17,7 +17,6 @@ from strata.operators.joins import (
 )
 from strata.operators.keys import dense_key
 from strata.operators.reshape import distinct_values
-from strata.workspace import materialize
 
 # Entity attributes kept in Gold.
 ENTITY_COLUMNS = (
@@ -96,13 +95,13 @@ def build_gold(entities: DataFrame, gdp: DataFrame, population: DataFrame,
     """The four Gold tables, and the names that did not resolve under ``unmatched``."""
     dim_province = build_dim_province(entities)
     dim_year = build_dim_year(gdp, population)
-    merged = materialize(merge_statistics(gdp, population), "merged")
+    names = distinct_values("province_name", gdp, population)
     return {
         "dim_province": dim_province,
         "dim_year": dim_year,
         "dim_indicator": build_dim_indicator(entities.sparkSession),
-        "fact_economics": build_fact(merged, dim_province, dim_year, aliases),
-        "unmatched": unmatched(merged, name_lookup(dim_province, aliases), "province_name"),
+        "fact_economics": build_fact(merge_statistics(gdp, population), dim_province, dim_year, aliases),
+        "unmatched": unmatched(names, name_lookup(dim_province, aliases), "province_name"),
     }
 
 

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.numbers import to_double, to_long
+from strata.functions.numbers import to_double, to_long, whole
 from strata.functions.text import clean_text, conform_exact
 from strata.operators.clean import (
     clean_strings, convert_existing, drop_audit, keep_first, locale_numbers, rejected,
@@ -27,11 +27,6 @@ POPULATION_COLUMNS = {
 }
 
 
-def _whole(number: Column) -> Column:
-    """Double to bigint, null where a fraction would be lost."""
-    return F.when(number == F.floor(number), number.try_cast("bigint"))
-
-
 def clean_entities(landed: DataFrame) -> DataFrame:
     """Entities by id. Of several rows of one id the first in source order stays.
 
@@ -68,7 +63,7 @@ def clean_gdp(landed: DataFrame, fmt: str = "auto") -> DataFrame:
 def clean_population(landed: DataFrame, fmt: str = "auto") -> DataFrame:
     """Head count per region and year; a fractional head count becomes null."""
     df = _statistics(landed, ["jumlah_penduduk"], fmt)
-    df = convert_existing(df, {"jumlah_penduduk": _whole})
+    df = convert_existing(df, {"jumlah_penduduk": whole})
     return df.withColumnsRenamed(POPULATION_COLUMNS)
 
 
@@ -77,4 +72,4 @@ def rejected_population(landed: DataFrame, fmt: str = "auto") -> DataFrame:
     cells = clean_strings(landed.select("jumlah_penduduk"), clean_text)
     cells = cells.withColumn("before", F.col("jumlah_penduduk"))
     cells = locale_numbers(cells, ["jumlah_penduduk"], fmt)
-    return cells.agg(rejected(F.col("before"), _whole(F.col("jumlah_penduduk"))).alias("rejected"))
+    return cells.agg(rejected(F.col("before"), whole(F.col("jumlah_penduduk"))).alias("rejected"))

@@ -15,6 +15,7 @@ COMMON_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 # For a large cluster: many small shuffle partitions that AQE merges up to the advisory size,

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.text import SCAN_NULL_TOKENS, null_tokens
-from strata.sources.objects import missing_path
+from strata.sources.objects import exists
 
 # Quotes are doubled inside quoted cells, and blanks at the ends of a cell are data.
 _CSV = {
@@ -61,12 +60,7 @@ def read_with_fallback(spark: SparkSession, primary: str, alternate: str, column
 
     The choice is made when the plan is built. Both must hold exactly ``columns``.
     """
-    try:
-        found = read_csv(spark, primary)
-    except AnalysisException as error:
-        if not missing_path(error):
-            raise
-        found = read_csv(spark, alternate)
+    found = read_csv(spark, primary if exists(spark, primary) else alternate)
     if found.columns != list(columns):
         raise ValueError(f"expected columns {list(columns)}, found {found.columns}")
     return found

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,11 +22,6 @@ def inventory(spark: SparkSession, path: str) -> DataFrame:
     ).orderBy("path")
 
 
-def missing_path(error: AnalysisException) -> bool:
-    """Whether a read failed because nothing is there; any other failure is a real error."""
-    return error.getCondition() == "PATH_NOT_FOUND"
-
-
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` is there. Only absence gives False; other errors propagate."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -43,12 +37,9 @@ def size(spark: SparkSession, path: str) -> DataFrame:
 
 def read_text(spark: SparkSession, path: str) -> str | None:
     """The content of one small text object, or None where it does not exist."""
-    try:
-        return spark.read.text(path, wholetext=True).first()["value"]
-    except AnalysisException as error:
-        if missing_path(error):
-            return None
-        raise
+    if not exists(spark, path):
+        return None
+    return spark.read.text(path, wholetext=True).first()["value"]
 
 
 def write_text(spark: SparkSession, path: str, text: str, exclusive: bool = False) -> None:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.numbers import published_to_double, scale_to_long
+from strata.functions.numbers import grouped_to_double, scale_to_long
 from strata.functions.periods import year_of_code
 from strata.functions.text import conform_title
 
@@ -75,13 +75,15 @@ POPULATION_PHRASE = "jumlah penduduk"
 POPULATION_UNIT = 1000
 
 
-def read_responses(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
-    """All responses below ``root``, one row per file.
+def read_responses(
+    spark: SparkSession, root: str, schema: T.StructType, one_per_file: bool = True
+) -> DataFrame:
+    """All responses below ``root``, one row each: one per file, or one per line.
 
-    Per-period folders (``th=119/``, ``tahun=2019/``) come back as a column, and a filter
+    A file per response is one task each; lines let Spark split large files. Per-period folders (``th=119/``, ``tahun=2019/``) come back as a column, and a filter
     on that column prunes folders.
     """
-    return spark.read.schema(schema).option("multiLine", True).option("basePath", root).json(root)
+    return spark.read.schema(schema).option("multiLine", one_per_file).option("basePath", root).json(root)
 
 
 def missing_periods(df: DataFrame, period: str, expected: list[int]) -> DataFrame:
@@ -146,12 +148,10 @@ def flatten_cube(
 
 
 def _figure(raw: Column) -> Column:
-    """A JSON number as it is; a JSON text by the locale rules."""
-    as_text = F.try_variant_get(raw, "$", "string")
-    is_text = F.schema_of_variant(raw) == "STRING"
-    return F.when(is_text, published_to_double(as_text)).otherwise(
-        F.try_variant_get(raw, "$", "double")
-    )
+    """A JSON number as it is, though zero means no figure; a JSON text by the locale rules."""
+    number = F.nullif(F.try_variant_get(raw, "$", "double"), F.lit(0.0))
+    text = grouped_to_double(F.try_variant_get(raw, "$", "string"))
+    return F.when(F.schema_of_variant(raw) == "STRING", text).otherwise(number)
 
 
 def flatten_table_service(
@@ -162,33 +162,33 @@ def flatten_table_service(
     The payload is the second element of ``data``. The measure is the first column whose name
     contains the population phrase. Region codes become two digits and ``00``.
     """
+    second = F.try_element_at("data", F.lit(2))
     payload = responses.select(
-        *keep, F.col(period).cast("bigint").alias("tahun"), F.try_element_at("data", F.lit(2)).alias("p")
+        *keep, F.col(period).cast("bigint").alias("tahun"),
+        second["kolom"].alias("kolom"), second["data"].alias("rows"),
     )
     hits = F.filter(
-        F.map_entries("p.kolom"),
+        F.map_entries("kolom"),
         lambda e: F.contains(F.lower(e["value"]["nama_variabel"]), F.lit(POPULATION_PHRASE)),
     )
-    measure = F.try_element_at(hits, F.lit(1))["key"]
-    rows = payload.select(*keep, "tahun", measure.alias("measure"), F.explode("p.data").alias("r"))
-    raw = F.try_element_at("r.variables", F.col("measure"))["value_raw"]
-    figures = rows.select(
-        *keep,
-        "tahun",
-        F.col("r.kode_wilayah").alias("code"),
-        F.concat(F.substring("r.kode_wilayah", 1, 2), F.lit("00")).alias("kode_provinsi"),
-        F.col("r.label").alias("label"),
-        _figure(raw).alias("thousands"),
-        (F.schema_of_variant(raw) != "STRING").alias("is_number"),
-    )
-    zero_number = F.coalesce(F.col("is_number"), F.lit(False)) & (F.col("thousands") == 0)
-    return figures.filter(
-        (F.col("code") != "") & (F.col("label") != "") & F.col("thousands").isNotNull()
-        & ~zero_number & (F.col("kode_provinsi") != "0000") & (F.upper("label") != NATIONAL_LABEL)
+    # One row for the first hit, none without a hit. Rows are reduced to the few fields that
+    # count before they are exploded, so the payload is not copied onto each of them.
+    picked = payload.select(*keep, "tahun", "rows", F.explode(F.slice(hits, 1, 1)).alias("measure"))
+    cells = F.transform("rows", lambda r: F.struct(
+        r["kode_wilayah"].alias("code"), r["label"].alias("label"),
+        F.try_element_at(r["variables"], F.col("measure.key"))["value_raw"].alias("raw"),
+    ))
+    parsed = F.transform(cells, lambda c: F.struct(
+        c["code"].alias("code"), c["label"].alias("label"), _figure(c["raw"]).alias("thousands"),
+    ))
+    rows = picked.select(*keep, "tahun", F.explode(parsed).alias("r"))
+    return rows.filter(
+        (F.col("r.code") != "") & (F.col("r.label") != "") & F.col("r.thousands").isNotNull()
+        & (F.substring("r.code", 1, 2) != "00") & (F.upper("r.label") != NATIONAL_LABEL)
     ).select(
         *keep,
-        "kode_provinsi",
-        conform_title(F.col("label")).alias("nama_provinsi"),
+        F.concat(F.substring("r.code", 1, 2), F.lit("00")).alias("kode_provinsi"),
+        conform_title(F.col("r.label")).alias("nama_provinsi"),
         "tahun",
-        scale_to_long(F.col("thousands"), POPULATION_UNIT).alias("jumlah_penduduk"),
+        scale_to_long(F.col("r.thousands"), POPULATION_UNIT).alias("jumlah_penduduk"),
     )
