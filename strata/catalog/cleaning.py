@@ -17,6 +17,7 @@ from strata.operators import joins as J
 from strata.operators.keys import dense_key
 from strata.operators.reshape import append_batches, distinct_values, pivot_mean
 from strata.plans.silver import clean_entities, clean_gdp, clean_population, rejected_population
+from strata.sources.files import literal_table
 
 
 # ---- text -----------------------------------------------------------------------------------
@@ -223,14 +224,14 @@ SELECT o_orderkey, CAST(year(o_orderdate) // 10 * 10 AS VARCHAR) || 's' AS decad
 # ---- lookups --------------------------------------------------------------------------------
 
 def _codes(spark, *rows):
-    return spark.createDataFrame(list(rows), "event_type string, label string")
+    return literal_table(spark, rows, "event_type string, label string")
 
 
 def label_lookup(spark, sf_dir):
     """Code to label; events with an unknown code are dropped."""
     codes = _codes(spark, ("click", "Clicked"), ("view", "Viewed"), ("purchase", "Bought"))
     events = table(spark, sf_dir, "events").select("event_id", "event_type")
-    return J.label_lookup(events, F.broadcast(codes), "event_type")
+    return J.label_lookup(events, codes, "event_type")
 
 
 LABEL_LOOKUP = """
@@ -242,7 +243,7 @@ def semi_lookup(spark, sf_dir):
     """Events whose code is listed; a code listed twice does not repeat them."""
     codes = _codes(spark, ("click", "Clicked"), ("click", "Clicked again"), ("error", "Failed"))
     events = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
-    return J.member_rows(events, F.broadcast(codes), "event_type")
+    return J.member_rows(events, codes, "event_type")
 
 
 SEMI_LOOKUP = "SELECT event_id, event_type, value FROM events WHERE event_type IN ('click', 'error')"

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.sources.files import literal_table
 from strata.sources.objects import exists, inventory
 
 LAYERS = ("bronze", "silver", "gold")
@@ -19,7 +20,7 @@ def footprint(spark: SparkSession, datasets: Mapping[str, Mapping[str, str | Non
     ``datasets`` maps a name to its path per layer. A layer without a path, or whose path does not
     exist, has null bytes; the ratio is then null.
     """
-    names = spark.createDataFrame([(name,) for name in datasets], "dataset string")
+    names = literal_table(spark, [(name,) for name in datasets], "dataset string")
     parts = [
         inventory(spark, path).select(F.lit(name).alias("dataset"), F.lit(layer).alias("layer"), "length")
         for name, layers in datasets.items()

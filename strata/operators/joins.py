@@ -1,7 +1,7 @@
 """Lookups, alias matching and the null-safe outer merge.
 
-No side is broadcast by hint unless it is a literal or one row. For the others Spark compares
-its size with ``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles.
+No side is broadcast by hint. Spark compares the size of each with
+``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.text import match_key
+from strata.sources.files import literal_table
 
 # Match names under which an entity may also be listed, best first.
 NAME_ALIASES = {
@@ -47,7 +48,7 @@ def alias_rows(df: DataFrame, aliases: dict[str, list[str]]) -> DataFrame:
         for name, candidates in aliases.items()
         for rank, candidate in enumerate([name, *candidates])
     ]
-    return df.sparkSession.createDataFrame(rows, "name_key string, rank int, candidate string")
+    return literal_table(df.sparkSession, rows, "name_key string, rank int, candidate string")
 
 
 def alias_lookup(
@@ -63,7 +64,7 @@ def alias_lookup(
         dim.select(F.col(n).alias("candidate"), F.col(key)) for n in names
     ]).filter(F.col("candidate").isNotNull())
     own = listed.select(F.col("candidate").alias("name_key"), F.lit(0).alias("rank"), key)
-    through = listed.join(F.broadcast(alias_rows(dim, aliases)), "candidate").select(
+    through = listed.join(alias_rows(dim, aliases), "candidate").select(
         "name_key", "rank", key
     )
     best = own.unionByName(through).groupBy("name_key").agg(F.min(F.struct("rank", key)).alias("best"))

@@ -17,6 +17,7 @@ from strata.operators.joins import (
 )
 from strata.operators.keys import dense_key
 from strata.operators.reshape import distinct_values
+from strata.sources.files import literal_table
 
 # Entity attributes kept in Gold.
 ENTITY_COLUMNS = (
@@ -66,7 +67,7 @@ def build_dim_year(*statistics: DataFrame) -> DataFrame:
 
 def build_dim_indicator(spark: SparkSession) -> DataFrame:
     """The literal indicator table."""
-    return spark.createDataFrame(list(INDICATORS), INDICATOR_SCHEMA)
+    return literal_table(spark, INDICATORS, INDICATOR_SCHEMA)
 
 
 def merge_statistics(gdp: DataFrame, population: DataFrame) -> DataFrame:

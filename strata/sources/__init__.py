@@ -1,7 +1,7 @@
 """Scans, sinks, small objects and nested responses."""
 
 from strata.sources.files import (
-    count_in_place, read_csv, read_parquet, read_with_fallback, text_schema, write_csv, write_parquet,
+    count_in_place, literal_table, read_csv, read_parquet, read_with_fallback, text_schema, write_csv, write_parquet,
 )
 from strata.sources.objects import ObjectExists, exists, inventory, read_text, size, write_text
 from strata.sources.responses import (
@@ -11,7 +11,7 @@ from strata.sources.responses import (
 
 __all__ = [
     "BINDINGS_SCHEMA", "CUBE_SCHEMA", "ObjectExists", "TABLE_SERVICE_SCHEMA", "count_in_place",
-    "exists", "flatten_bindings", "flatten_cube", "flatten_table_service", "inventory",
+    "exists", "flatten_bindings", "flatten_cube", "flatten_table_service", "inventory", "literal_table",
     "missing_periods", "read_csv", "read_parquet", "read_responses", "read_text",
     "read_with_fallback", "size", "text_schema", "write_csv", "write_parquet", "write_text",
 ]

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from strata.functions.text import SCAN_NULL_TOKENS, null_tokens
 from strata.sources.objects import exists
@@ -20,6 +22,14 @@ _CSV = {
 }
 
 
+def literal_table(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType | str) -> DataFrame:
+    """A small table given in the code. It is a local relation, so the optimizer knows its size."""
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    columns = zip(*rows) if rows else [()] * len(schema)
+    arrays = [pa.array(list(c), to_arrow_type(f.dataType)) for c, f in zip(columns, schema)]
+    return spark.createDataFrame(pa.table(arrays, names=schema.names), schema)
+
+
 def text_schema(columns: Sequence[str]) -> T.StructType:
     """A schema in which every column is a string."""
     return T.StructType([T.StructField(name, T.StringType()) for name in columns])

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from strata.functions.numbers import grouped_to_double, scale_to_long
 from strata.functions.periods import year_of_code
 from strata.functions.text import conform_title
+from strata.sources.files import literal_table
 
 _VALUE = T.StructType([T.StructField("value", T.StringType())])
 
@@ -88,7 +89,7 @@ def read_responses(
 
 def missing_periods(df: DataFrame, period: str, expected: list[int]) -> DataFrame:
     """Expected periods for which no row arrived; check before replacing a full batch."""
-    wanted = df.sparkSession.createDataFrame([(p,) for p in expected], f"{period} long")
+    wanted = literal_table(df.sparkSession, [(p,) for p in expected], f"{period} bigint")
     return wanted.join(df.select(F.col(period).cast("long").alias(period)), period, "left_anti")
 
 
