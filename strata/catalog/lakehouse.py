@@ -100,9 +100,9 @@ WITH rows AS (
   SELECT md5('{"o_orderkey":' || o_orderkey || ',"o_custkey":' || o_custkey || ',"o_totalprice":' || CAST(o_totalprice AS DECIMAL(18,2))
     || ',"o_orderdate":"' || strftime(o_orderdate, '%Y-%m-%d') || '","o_orderpriority":"' || o_orderpriority || '"}') AS h FROM orders),
 sums AS (
-  SELECT count(*) AS records, sum(CAST('0x' || h[1:15] AS BIGINT)) AS high, sum(CAST('0x' || h[16:30] AS BIGINT)) AS low FROM rows)
+  SELECT count(*) AS records, sum(CAST('0x' || h[1:15] AS BIGINT)) AS total FROM rows)
 SELECT records, md5('o_orderkey:bigint,o_custkey:bigint,o_totalprice:decimal(18,2),o_orderdate:string,o_orderpriority:string|'
-  || records || '|' || high || '|' || low) AS digest FROM sums"""
+  || records || '|' || total) AS digest FROM sums"""
 
 
 def row_digests(spark, sf_dir):

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from strata.functions.text import captured
+
 # A decimal number or an infinity, with white space around it. Matching first keeps out what the JVM
 # parser would also take: type suffixes (``1d``), hexadecimal, and not-a-number, which means missing.
 _SPACE = r"[\s\x1c-\x1f\x85\p{Z}]*"
@@ -21,7 +23,7 @@ def nan_to_null(number: Column) -> Column:
 
 def to_double(text: Column) -> Column:
     """Text to double, null where it is no number."""
-    return F.regexp_extract(text, _NUMBER, 1).try_cast("double")
+    return captured(text, _NUMBER).try_cast("double")
 
 
 def whole(number: Column) -> Column:
@@ -31,7 +33,7 @@ def whole(number: Column) -> Column:
 
 def to_long(text: Column) -> Column:
     """Text to bigint, null where it is no number or a fraction would be lost; ``12.0`` is 12."""
-    return F.coalesce(F.regexp_extract(text, _WHOLE, 1).try_cast("bigint"), whole(to_double(text)))
+    return F.coalesce(captured(text, _WHOLE).try_cast("bigint"), whole(to_double(text)))
 
 
 def ungroup(text: Column) -> Column:

@@ -94,6 +94,15 @@ def match_key(name: Column) -> Column:
     return F.lower(strip(name))
 
 
+def captured(text: Column, regex: str, group: int = 1) -> Column:
+    """The first match's group, null where nothing matches.
+
+    A plain ``regexp_extract`` gives an empty text then, and casting that costs an exception per
+    row inside the cast.
+    """
+    return F.get(F.regexp_extract_all(text, F.lit(regex), F.lit(group)), F.lit(0))
+
+
 def text_after(text: Column, prefix: str) -> Column:
     """The part after the first ``prefix``, or the empty string where it does not occur."""
     at = F.locate(prefix, text)

@@ -1,8 +1,8 @@
 """A table digest that does not depend on row order or partitioning.
 
-Each row is rendered as JSON (a null field is absent, an empty one is ``""``) and hashed;
-the two halves of the hash are summed. A sum counts duplicates, which an exclusive-or
-would cancel. Sums and the row count reduce inside each task, so a hot value costs nothing.
+Each row is rendered as JSON (a null field is absent, an empty one is ``""``) and hashed; the first
+60 bits of the hashes are summed. A sum counts duplicates, which an exclusive-or would
+cancel. The sum and the row count reduce inside each task, so a hot value costs nothing.
 """
 
 from __future__ import annotations
@@ -12,7 +12,11 @@ import hashlib
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_HEX_DIGITS = 15  # 60 bits, so that the number fits a bigint
+_HEX_DIGITS = 15
+# The 60 bits are summed in four pieces of 15 bits. A piece stays within a bigint for 2^48 rows, and
+# bigint sums are several times faster than a decimal sum of the whole.
+_PIECE_BITS = 15
+_PIECES = [f"piece_{i}" for i in range(4)]
 
 
 def row_md5(df: DataFrame) -> Column:
@@ -20,18 +24,13 @@ def row_md5(df: DataFrame) -> Column:
     return F.md5(F.to_json(F.struct(*[F.col(c) for c in df.columns])))
 
 
-def _part(digest: Column, start: int) -> Column:
-    number = F.conv(F.substring(digest, start, _HEX_DIGITS), 16, 10)
-    return number.cast("decimal(28,0)")
-
-
 def digest_aggregates(df: DataFrame) -> list[Column]:
     """The aggregates behind a digest; also usable as observed metrics of a write."""
-    md5 = row_md5(df)
-    return [
-        F.count(F.lit(1)).alias("records"),
-        F.coalesce(F.sum(_part(md5, 1)), F.lit(0).cast("decimal(38,0)")).alias("sum_high"),
-        F.coalesce(F.sum(_part(md5, 1 + _HEX_DIGITS)), F.lit(0).cast("decimal(38,0)")).alias("sum_low"),
+    number = F.conv(F.substring(row_md5(df), 1, _HEX_DIGITS), 16, 10).cast("bigint")
+    mask = F.lit((1 << _PIECE_BITS) - 1)
+    return [F.count(F.lit(1)).alias("records")] + [
+        F.coalesce(F.sum(F.shiftright(number, i * _PIECE_BITS).bitwiseAND(mask)), F.lit(0)).alias(piece)
+        for i, piece in enumerate(_PIECES)
     ]
 
 
@@ -48,11 +47,16 @@ def schema_text(df: DataFrame) -> str:
 def table_digest(df: DataFrame) -> DataFrame:
     """One row ``records, digest``."""
     sums = df.agg(*digest_aggregates(df))
-    sealed = F.md5(F.concat_ws("|", F.lit(schema_text(df)), "records", "sum_high", "sum_low"))
+    whole = sum(
+        (F.col(piece).cast("decimal(38,0)") * F.lit(1 << i * _PIECE_BITS) for i, piece in enumerate(_PIECES)),
+        start=F.lit(0),
+    ).cast("decimal(38,0)")
+    sealed = F.md5(F.concat_ws("|", F.lit(schema_text(df)), "records", whole.cast("string")))
     return sums.select("records", sealed.alias("digest"))
 
 
 def seal(df: DataFrame, metrics: dict) -> str:
     """The digest from observed aggregates; equals that of :func:`table_digest`."""
-    parts = [schema_text(df), *(str(metrics[k]) for k in ("records", "sum_high", "sum_low"))]
-    return hashlib.md5("|".join(parts).encode("utf-8")).hexdigest()
+    whole = sum(metrics[piece] << i * _PIECE_BITS for i, piece in enumerate(_PIECES))
+    text = f"{schema_text(df)}|{metrics['records']}|{whole}"
+    return hashlib.md5(text.encode("utf-8")).hexdigest()

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.functions.text import captured
 from strata.operators.clean import latest_with_ties
 
 _POINT = r"^\s*[Pp][Oo][Ii][Nn][Tt]\s*\(\s*(\S+)\s+([^\s)]+)\s*\)\s*$"
@@ -44,12 +45,12 @@ def optional(
 
 def point_longitude(point: Column) -> Column:
     """First ordinate of ``Point(lon lat)``; null where the text is no point."""
-    return F.regexp_extract(point, _POINT, 1).try_cast("double")
+    return captured(point, _POINT, 1).try_cast("double")
 
 
 def point_latitude(point: Column) -> Column:
     """Second ordinate of ``Point(lon lat)``; null where the text is no point."""
-    return F.regexp_extract(point, _POINT, 2).try_cast("double")
+    return captured(point, _POINT, 2).try_cast("double")
 
 
 def latest_statement(
