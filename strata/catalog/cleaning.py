@@ -34,7 +34,7 @@ def clean_tokens(spark, sf_dir):
         .when(F.col("c_nationkey") == 5, F.lit("null"))
         .otherwise(padded)
     )
-    return C.clean_strings(df.select("c_custkey", cell.alias("segment")), X.clean_text)
+    return C.clean_strings(df.select("c_custkey", cell.alias("segment")))
 
 
 CLEAN_TOKENS = """

@@ -6,10 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The characters a text strip removes (all Unicode white space).
-WHITESPACE = (
-    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0 "
-    "           "
-    "    　"
+ASCII_WHITESPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f "
+WHITESPACE = ASCII_WHITESPACE + (
+    "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 
 # Cells a CSV scan turns into null, compared before any stripping.
@@ -46,8 +46,12 @@ LANDING_NAMES = {
 
 
 def strip(text: Column) -> Column:
-    """Remove white space of every kind from both ends (plain ``trim`` removes blanks only)."""
-    return F.trim(text, F.lit(WHITESPACE))
+    """Remove white space of every kind from both ends (plain ``trim`` removes blanks only).
+
+    Text of one byte per character, the usual case, is searched for the short list only.
+    """
+    plain = F.octet_length(text) == F.length(text)
+    return F.when(plain, F.trim(text, F.lit(ASCII_WHITESPACE))).otherwise(F.trim(text, F.lit(WHITESPACE)))
 
 
 def null_tokens(text: Column, tokens: tuple[str, ...]) -> Column:
@@ -55,9 +59,14 @@ def null_tokens(text: Column, tokens: tuple[str, ...]) -> Column:
     return F.when(~text.isin(*tokens), text)
 
 
+def null_placeholders(text: Column) -> Column:
+    """Null the placeholder words in stripped text."""
+    return null_tokens(text, CLEAN_NULL_TOKENS)
+
+
 def clean_text(text: Column) -> Column:
     """Strip, then null the placeholder words."""
-    return null_tokens(strip(text), CLEAN_NULL_TOKENS)
+    return null_placeholders(strip(text))
 
 
 def _lookup(key: Column, names: dict[str, str]) -> Column:

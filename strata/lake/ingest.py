@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.periods import run_clock
 from strata.lake.audit import read_manifests, run_metadata, save_manifest, with_audit
-from strata.lake.digest import digest_aggregates, seal, table_digest
+from strata.lake.digest import table_digest
 from strata.sources.files import read_csv, write_csv, write_parquet
 from strata.sources.objects import read_text, write_text
 
@@ -69,8 +69,10 @@ def ingest_if_changed(
     """Land ``df`` below ``root`` unless its digest equals that of the last load.
 
     ``source`` gives source_name, source_url, api_version and operator_id. The digest is
-    taken before audit columns are added. It is taken again inside the write, and that one is
-    stored, so it always describes the rows that were written.
+    taken before audit columns are added, in a pass of its own: an unchanged source is read and
+    nothing is written. Should the source change between that pass and the write, the stored digest
+    is the older one and the next run loads again. ``df`` is read twice; store an expensive one
+    first.
     """
     if on_empty not in ("raise", "skip"):
         raise ValueError(f"unknown empty-batch policy {on_empty!r}")
@@ -85,20 +87,20 @@ def ingest_if_changed(
         return LoadResult(UNCHANGED, before["records"], before["digest"])
 
     batch = clock.strftime("%Y%m%d_%H%M%S_%f")
-    seen = Observation(f"load-{batch}")
-    observed = df.observe(seen, *digest_aggregates(df))
+    written = Observation(f"load-{batch}")
+    observed = df.observe(written, F.count(F.lit(1)).alias("records"))
     audit = run_metadata(**source, record_count=before["records"], data_format=fmt, clock=clock)
     write = {"csv": write_csv, "parquet": write_parquet}[fmt]
     write(with_audit(observed, audit), batch_path(root, batch))
-    digest = seal(df, seen.get)
 
+    records = written.get["records"]
     manifest = run_metadata(
-        **source, record_count=seen.get["records"], data_format=fmt, clock=clock,
-        extra={**(extra or {}), "batch": batch, "digest": digest},
+        **source, record_count=records, data_format=fmt, clock=clock,
+        extra={**(extra or {}), "batch": batch, "digest": before["digest"]},
     )
     save_manifest(spark, f"{_manifest_dir(root)}/manifest_{batch}.json", manifest)
-    write_text(spark, _checksum_path(root), digest)
-    return LoadResult(LOADED, seen.get["records"], digest, batch)
+    write_text(spark, _checksum_path(root), before["digest"])
+    return LoadResult(LOADED, records, before["digest"], batch)
 
 
 def load_history(spark: SparkSession, root: str) -> DataFrame:

@@ -10,17 +10,26 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from strata.functions.numbers import grouped_to_double, to_double
+from strata.functions.text import null_placeholders, strip
 
 # The audit columns that landing appends.
 AUDIT_COLUMNS = ("ingestion_timestamp", "source_name", "operator_id")
 
 
-def clean_strings(df: DataFrame, clean: Callable[[Column], Column]) -> DataFrame:
-    """Apply ``clean`` to every string column in one projection."""
-    return df.select([
-        clean(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name)
-        for f in df.schema
-    ])
+def clean_strings(
+    df: DataFrame, steps: Sequence[Callable[[Column], Column]] = (strip, null_placeholders)
+) -> DataFrame:
+    """Apply ``steps`` to every string column.
+
+    Each step is a projection of its own, so that a step which looks at its input twice does not
+    repeat the steps before.
+    """
+    for step in steps:
+        df = df.select([
+            step(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name)
+            for f in df.schema
+        ])
+    return df
 
 
 def drop_audit(df: DataFrame) -> DataFrame:

@@ -1,17 +1,24 @@
-"""The whole flow: landed batches to versioned Silver to Gold on disk."""
+"""The whole flow: landed responses to Bronze batches to versioned Silver to Gold on disk."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.lake.ingest import read_latest
+from strata.lake.ingest import LoadResult, ingest_if_changed, read_latest
 from strata.lake.versions import read_version, write_version
 from strata.operators.joins import NAME_ALIASES
+from strata.operators.reshape import pivot_mean
 from strata.plans.gold import build_gold
 from strata.plans.silver import clean_entities, clean_gdp, clean_population
-from strata.sources.files import write_parquet
+from strata.sources.files import read_csv, write_parquet
+from strata.sources.objects import exists
+from strata.sources.responses import (
+    BINDING_COLUMNS, BINDINGS_SCHEMA, CUBE_MEASURES, CUBE_SCHEMA, TABLE_SERVICE_SCHEMA,
+    flatten_bindings, flatten_cube, flatten_table_service, missing_periods, read_responses,
+)
+from strata.workspace import materialize
 
 # The datasets and their folders in each layer.
 BRONZE = {
@@ -20,9 +27,69 @@ BRONZE = {
     "bps_populasi": "bronze/bps/populasi",
 }
 CLEANERS = {"wikidata_provinces": clean_entities, "bps_pdrb": clean_gdp, "bps_populasi": clean_population}
+SOURCES = {
+    "wikidata_provinces": {
+        "source_name": "WikiData", "source_url": "https://query.wikidata.org/sparql", "api_version": "sparql_v1",
+    },
+    "bps_pdrb": {"source_name": "BPS_PDRB_API", "source_url": "webapi.bps.go.id", "api_version": "v1"},
+    "bps_populasi": {"source_name": "BPS_SIMDASI_API", "source_url": "webapi.bps.go.id", "api_version": "v1"},
+}
+OPERATOR = "pipeline_auto"
+YEARS = (2019, 2020, 2021, 2022, 2023)
 GOLD_TABLES = ("dim_province", "dim_year", "dim_indicator", "fact_economics")
 
 
+class MissingPeriods(ValueError):
+    """Some expected years brought no rows; landing the rest would replace a full batch."""
+
+
+def entity_batch(spark: SparkSession, responses: str, fallback: str | None = None) -> DataFrame:
+    """Entity rows of the landed graph results, or of a CSV where there are none."""
+    if fallback is not None and not exists(spark, responses):
+        return read_csv(spark, fallback, list(BINDING_COLUMNS.values()))
+    return flatten_bindings(read_responses(spark, responses, BINDINGS_SCHEMA))
+
+
+def gdp_batch(spark: SparkSession, responses: str) -> DataFrame:
+    """Regional GDP of the landed cubes, one row per region and year."""
+    cells = flatten_cube(read_responses(spark, responses, CUBE_SCHEMA))
+    return pivot_mean(cells, ["kode_provinsi", "nama_provinsi", "tahun"], "turvar", "nilai", CUBE_MEASURES)
+
+
+def population_batch(spark: SparkSession, responses: str) -> DataFrame:
+    """Regional population of the landed table-service payloads."""
+    return flatten_table_service(read_responses(spark, responses, TABLE_SERVICE_SCHEMA))
+
+
+def land(
+    spark: SparkSession, raw: str, root: str, years: Sequence[int] = YEARS, fallback: str | None = None,
+) -> dict[str, LoadResult]:
+    """Bring the responses below ``raw`` into Bronze, each dataset only if it changed.
+
+    ``raw`` holds ``wikidata_provinces/``, ``bps_pdrb/th=119/`` and ``bps_populasi/tahun=2019/``.
+    No entities is an error, an empty statistic is skipped, and a statistic that lacks one of
+    ``years`` is refused.
+    """
+    batches = {
+        "wikidata_provinces": entity_batch(spark, f"{raw}/wikidata_provinces", fallback),
+        "bps_pdrb": gdp_batch(spark, f"{raw}/bps_pdrb"),
+        "bps_populasi": population_batch(spark, f"{raw}/bps_populasi"),
+    }
+    results = {}
+    for name, batch in batches.items():
+        rows = materialize(batch, name)  # parsed once, read to compare and to write
+        statistic = "tahun" in rows.columns
+        if statistic and not rows.isEmpty():
+            missing = [r[0] for r in missing_periods(rows, "tahun", list(years)).collect()]
+            if missing:
+                raise MissingPeriods(f"{name} lacks {sorted(missing)}")
+        results[name] = ingest_if_changed(
+            rows, f"{root}/{BRONZE[name]}", {**SOURCES[name], "operator_id": OPERATOR},
+            on_empty="skip" if statistic else "raise",
+        )
+    return results
+
+
 def refresh_silver(spark: SparkSession, root: str) -> None:
     """Clean the newest batch of each dataset into the next version of its Silver table."""
     for name, clean in CLEANERS.items():

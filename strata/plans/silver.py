@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.numbers import to_double, to_long, whole
-from strata.functions.text import clean_text, conform_exact
+from strata.functions.text import conform_exact
 from strata.operators.clean import (
     clean_strings, convert_existing, drop_audit, keep_first, locale_numbers, rejected,
 )
@@ -33,7 +33,7 @@ def clean_entities(landed: DataFrame) -> DataFrame:
     The source sorts by iso code with missing codes first; the other columns break ties, so
     the choice does not depend on how the rows are distributed.
     """
-    df = clean_strings(drop_audit(landed), clean_text)
+    df = clean_strings(drop_audit(landed))
     df = convert_existing(df, {
         "population": to_long, "area_km2": to_double, "latitude": to_double, "longitude": to_double,
     })
@@ -48,7 +48,7 @@ def clean_entities(landed: DataFrame) -> DataFrame:
 def _statistics(landed: DataFrame, figures: list[str], fmt: str) -> DataFrame:
     df = drop_audit(landed)
     # The format rule looks at the cells as scanned; null words count as missing.
-    df = locale_numbers(clean_strings(df, clean_text), figures, fmt)
+    df = locale_numbers(clean_strings(df), figures, fmt)
     df = convert_existing(df, {"nama_provinsi": conform_exact})
     df = df.withColumns({c: to_long(F.col(c)) for c in ("kode_provinsi", "tahun")})
     return df.drop("satuan")
@@ -69,7 +69,7 @@ def clean_population(landed: DataFrame, fmt: str = "auto") -> DataFrame:
 
 def rejected_population(landed: DataFrame, fmt: str = "auto") -> DataFrame:
     """One row ``rejected``: landed head counts that Silver turns into null."""
-    cells = clean_strings(landed.select("jumlah_penduduk"), clean_text)
+    cells = clean_strings(landed.select("jumlah_penduduk"))
     cells = cells.withColumn("before", F.col("jumlah_penduduk"))
     cells = locale_numbers(cells, ["jumlah_penduduk"], fmt)
     return cells.agg(rejected(F.col("before"), whole(F.col("jumlah_penduduk"))).alias("rejected"))

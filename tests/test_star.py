@@ -1,5 +1,7 @@
 """Silver and Gold builders and the analytic queries on a small lake of real-looking names."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -150,6 +152,61 @@ def test_facts_do_not_depend_on_row_order(spark, lake):
     }
 
 
+def cube(code, cells, labels):
+    return {
+        "vervar": [{"val": int(v), "label": label} for v, label in labels.items()],
+        "turvar": [{"val": 530, "label": "a"}, {"val": 531, "label": "b"}],
+        "datacontent": {f"{region}286{measure}{code}0": value for (region, measure), value in cells.items()},
+    }
+
+
+def people(rows):
+    return {"data": [{"page": 1}, {
+        "kolom": {"p": {"nama_variabel": "Jumlah Penduduk"}},
+        "data": [{"kode_wilayah": code, "label": label, "variables": {"p": {"value_raw": raw}}} for code, label, raw in rows],
+    }]}
+
+
+def test_from_raw_responses_to_a_query(spark, tmp_path):
+    raw, root = tmp_path / "raw", str(tmp_path / "lake")
+
+    def put(path, payload):
+        (raw / path).parent.mkdir(parents=True, exist_ok=True)
+        (raw / path).write_text(json.dumps(payload))
+
+    put("wikidata_provinces/r.json", {"results": {"bindings": [
+        {"qid": {"value": "Q1"}, "nameID": {"value": "Jakarta"}, "isoCode": {"value": "ID-JK"}, "area": {"value": "661.5"}},
+        {"qid": {"value": "Q2"}, "nameID": {"value": "Aceh"}, "isoCode": {"value": "ID-AC"}},
+    ]}})
+    labels = {"3100": "DKI JAKARTA", "1100": "ACEH", "9999": "INDONESIA"}
+    put("bps_pdrb/th=119/r.json", cube(119, {("3100", "530"): 2800.5, ("3100", "531"): 1800, ("9999", "530"): 9}, labels))
+    put("bps_pdrb/th=120/r.json", cube(120, {("3100", "530"): 2700, ("1100", "530"): 170}, labels))
+    put("bps_populasi/tahun=2019/r.json", people([("3100000", "DKI JAKARTA", "10.500,5"), ("0000000", "INDONESIA", "1")]))
+    with pytest.raises(M.MissingPeriods):
+        M.land(spark, str(raw), root, years=[2019, 2020])
+    put("bps_populasi/tahun=2020/r.json", people([("3100000", "DKI JAKARTA", "10.562"), ("1100000", "ACEH", "-")]))
+
+    loads = M.land(spark, str(raw), root, years=[2019, 2020])
+    assert {n: r.records for n, r in loads.items()} == {"wikidata_provinces": 2, "bps_pdrb": 3, "bps_populasi": 2}
+    again = M.land(spark, str(raw), root, years=[2019, 2020])
+    assert {r.status for r in again.values()} == {ingest.UNCHANGED}
+
+    M.refresh_silver(spark, root)
+    assert M.refresh_gold(spark, root).count() == 0
+    gold = M.read_gold(spark, root)
+    top = A.top_per_capita(gold)
+    assert table(top, "province_name", "gdp_current_price", "population", "gdp_per_capita_juta") == [
+        ("Jakarta", 2700.0, 10562000, 0.26),
+    ]
+    assert gold["fact_economics"].count() == 3
+
+
+def test_entities_fall_back_to_a_csv(spark, tmp_path):
+    (tmp_path / "f.csv").write_text(",".join(M.BINDING_COLUMNS.values()) + "\nQ9,Bali,Bali,ID-BA,,,NA,,,,\n")
+    rows = M.entity_batch(spark, str(tmp_path / "absent"), str(tmp_path / "f.csv")).collect()
+    assert [(r.wikidata_qid, r.iso_code, r.area_km2) for r in rows] == [("Q9", "ID-BA", None)]
+
+
 def test_every_refresh_is_a_new_silver_version(spark, lake):
     root, _, _ = lake
     before = current_version(spark, f"{root}/silver/bps_pdrb")
