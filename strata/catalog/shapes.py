@@ -16,7 +16,7 @@ from strata.sources.responses import (
     BINDINGS_SCHEMA, CUBE_MEASURES, CUBE_SCHEMA, TABLE_SERVICE_SCHEMA, flatten_bindings, flatten_cube,
     flatten_table_service, read_responses,
 )
-from strata.workspace import scratch_path
+from strata.workspace import scratch_path, spread
 
 
 def _value(column):
@@ -74,7 +74,8 @@ def _cube_texts(spark, sf_dir):
         F.array(code(F.lit("530"), F.lit("a")), code(F.lit("531"), F.lit("b"))).alias("turvar"),
         cells.alias("datacontent"),
     ))
-    return table(spark, sf_dir, "orders").select("o_orderkey", th.alias("th"), text.alias("text"))
+    orders = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderdate", "o_totalprice"))
+    return orders.select("o_orderkey", th.alias("th"), text.alias("text"))
 
 
 def explode_cube(spark, sf_dir):
@@ -131,7 +132,8 @@ def table_service(spark, sf_dir):
         '"v1":{"nama_variabel":"Jumlah Penduduk (Ribu)"},"v9":{"nama_variabel":"jumlah penduduk lain"}},"data":['
     )
     text = F.concat(F.lit(head), F.concat_ws(",", *rows), F.lit("]}]}"))
-    parsed = table(spark, sf_dir, "orders").select(
+    orders = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderdate", "o_totalprice"))
+    parsed = orders.select(
         "o_orderkey", F.year("o_orderdate").alias("tahun"), F.from_json(text, TABLE_SERVICE_SCHEMA).alias("r")
     )
     return flatten_table_service(parsed.select("o_orderkey", "tahun", "r.*"), keep=("o_orderkey",))

@@ -95,7 +95,8 @@ def outer_merge(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataF
 
     Made of an inner join and two anti joins against distinct keys. A single full outer join
     cannot split a hot key on either side; here the inner join can split both sides, and the
-    distinct keys shrink before they are shuffled.
+    distinct keys shrink before they are shuffled. Each side is read up to three times: store one
+    that is expensive to compute.
     """
     l, r = left.alias("l"), right.alias("r")
     left_keys, right_keys = left.select(*keys).distinct(), right.select(*keys).distinct()

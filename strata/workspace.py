@@ -33,6 +33,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/strata/{label}-{uuid.uuid4().hex}"
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Rows of a file scan over all cores, for work that costs far more than moving the rows.
+
+    Only where the files have fewer splits than there are cores; a large scan stays as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the scratch folder and return the stored table."""
     spark = df.sparkSession
