@@ -12,6 +12,7 @@ from strata.catalog.star import table
 from strata.operators.graph import latest_statement
 from strata.operators.reshape import append_batches, pivot_mean
 from strata.plans.entities import entity_rows
+from strata.sources.files import read_parquet, write_parquet
 from strata.sources.responses import (
     BINDINGS_SCHEMA, CUBE_MEASURES, CUBE_SCHEMA, TABLE_SERVICE_SCHEMA, flatten_bindings, flatten_cube,
     flatten_table_service, read_responses,
@@ -152,7 +153,10 @@ ROOT = "http://data.example/entity/ROOT"
 
 
 def triples(spark, sf_dir):
-    """Customers as member entities, nations as capitals, orders as population statements."""
+    """Customers as member entities, nations as capitals, orders as population statements.
+
+    Stored by predicate, as a triples table should be: each pattern then reads its own folder.
+    """
     customer, nation, orders = (table(spark, sf_dir, n) for n in ("customer", "nation", "orders"))
     subject = F.concat(F.lit(PREFIX + "C"), F.col("c_custkey").cast("string"))
     place = F.concat(F.lit(PREFIX + "N"), F.col("n_nationkey").cast("string"))
@@ -165,7 +169,8 @@ def triples(spark, sf_dir):
     segment = F.col("c_mktsegment")
     point = F.concat(F.lit("Point("), F.col("c_nationkey").cast("string"), F.lit(".5 -"), F.col("c_nationkey").cast("string"), F.lit(".25)"))
     dated = orders.filter(F.col("o_orderstatus") != "P")
-    return append_batches(
+    path = scratch_path(spark, "triples")
+    write_parquet(append_batches(
         rows(customer, F.lit(ROOT), "wdt:P150", subject),
         rows(customer, subject, "rdfs:label", F.col("c_name"), "id"),
         rows(customer.filter(segment != "MACHINERY"), subject, "rdfs:label", F.upper("c_name"), "en"),
@@ -182,7 +187,8 @@ def triples(spark, sf_dir):
         rows(orders, owner, "p:P1082", node),
         rows(orders, node, "ps:P1082", F.col("o_totalprice")),
         rows(dated, node, "pq:P585", F.col("o_orderdate").cast("date")),
-    )
+    ), path, ["p"])
+    return read_parquet(spark, path)
 
 
 def graph_wide_row(spark, sf_dir):

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.text import captured
 from strata.operators.clean import latest_with_ties
+from strata.workspace import materialize
 
 _POINT = r"^\s*[Pp][Oo][Ii][Nn][Tt]\s*\(\s*(\S+)\s+([^\s)]+)\s*\)\s*$"
 
@@ -31,16 +32,40 @@ def members(triples: DataFrame, subject: str, predicate: str) -> DataFrame:
     return rows.select(F.col("o").alias("s"))
 
 
-def optional(
-    rows: DataFrame, triples: DataFrame, predicate: str, out: str, lang: str | None = None, on: str = "s"
+def complete(subjects: DataFrame, values: DataFrame) -> DataFrame:
+    """``values`` of the given subjects, and a row of nulls for each subject without any.
+
+    Semi and anti join against reduced sides: a subject with very many values is split.
+    """
+    found = values.join(subjects, "s", "left_semi")
+    bare = subjects.join(values.select("s").distinct(), "s", "left_anti")
+    return found.unionByName(bare, allowMissingColumns=True)
+
+
+def optionals(
+    subjects: DataFrame, triples: DataFrame, wanted: dict[str, tuple[str, str | None]]
 ) -> DataFrame:
-    """Optional pattern: rows without a value keep null, several values give several rows.
+    """Optional patterns of distinct ``subjects``: ``wanted`` maps a column to (predicate, language).
 
-    The language is filtered before the join, so a subject labelled in other languages only
-    still keeps its row.
+    A subject without a value keeps null, several values give several rows. The language is part of
+    the pattern, so a subject labelled in other languages only still keeps its row. One aggregate
+    tells which subjects lack which value. They get a row of null among the values, and every join
+    is an inner one, which the skew join can split on both sides; a left join could not split
+    a subject with very many values.
     """
-    values = pattern(triples, predicate, out, lang).withColumnRenamed("s", "_subject")
-    return rows.join(values, F.col(on) == F.col("_subject"), "left").drop("_subject")
+    predicates = sorted({predicate for predicate, _ in wanted.values()})
+    marks = triples.filter(F.col("p").isin(*predicates)).groupBy("s").agg(*[
+        F.bool_or((F.col("p") == predicate) & (F.lit(True) if lang is None else F.col("lang").eqNullSafe(lang)))
+        .alias(f"_has_{out}")
+        for out, (predicate, lang) in wanted.items()
+    ])
+    marked = materialize(subjects.join(marks, "s", "left").na.fill(False), "marked")
+    rows = marked.select("s")
+    for out, (predicate, lang) in wanted.items():
+        bare = marked.filter(~F.col(f"_has_{out}")).select("s")
+        values = pattern(triples, predicate, out, lang).unionByName(bare, allowMissingColumns=True)
+        rows = rows.join(values, "s")
+    return rows
 
 
 def point_longitude(point: Column) -> Column:

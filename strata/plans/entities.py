@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from strata.functions.text import text_after
 from strata.operators.graph import (
-    best_label, latest_statement, members, optional, point_latitude, point_longitude,
+    best_label, complete, latest_statement, members, optionals, point_latitude, point_longitude,
 )
+from strata.workspace import materialize
 
 # Predicates of the pattern and the order of label languages.
 MEMBER = "wdt:P150"
@@ -28,20 +29,18 @@ def entity_rows(triples: DataFrame, root: str, entity_prefix: str) -> DataFrame:
     """Members of ``root`` with labels, iso code, area, capital, coordinates, inception and the
     latest population; sorted by iso code, missing codes first.
 
-    Every optional part joins on the subject, so the rows are hashed by subject once.
+    A property with several values gives several rows. All parts join on the subject.
     """
-    rows = members(triples, root, MEMBER)
-    rows = optional(rows, triples, LABEL, "province_name_id", lang="id")
-    rows = optional(rows, triples, LABEL, "province_name_en", lang="en")
-    rows = optional(rows, triples, ISO_CODE, "iso_code")
-    rows = optional(rows, triples, AREA, "area_km2")
-    rows = optional(rows, triples, CAPITAL, "capital")
-    rows = optional(rows, triples, COORDINATES, "coords")
-    rows = optional(rows, triples, INCEPTION, "inception_date")
+    subjects = materialize(members(triples, root, MEMBER).distinct(), "members")
+    rows = optionals(subjects, triples, {
+        "province_name_id": (LABEL, "id"), "province_name_en": (LABEL, "en"), "iso_code": (ISO_CODE, None),
+        "area_km2": (AREA, None), "capital": (CAPITAL, None), "coords": (COORDINATES, None),
+        "inception_date": (INCEPTION, None),
+    })
     latest = latest_statement(
         triples, POPULATION_STATEMENT, POPULATION_VALUE, POINT_IN_TIME, "population", "population_date"
     )
-    rows = rows.join(latest, "s", "left")
+    rows = rows.join(complete(subjects, latest), "s")
     rows = best_label(
         rows, triples, "capital", "capital_city", text_after(F.col("capital"), entity_prefix), LABEL, LANGUAGES
     )

@@ -81,8 +81,8 @@ def read_responses(
 ) -> DataFrame:
     """All responses below ``root``, one row each: one per file, or one per line.
 
-    A file per response is one task each; lines let Spark split large files. Per-period folders (``th=119/``, ``tahun=2019/``) come back as a column, and a filter
-    on that column prunes folders.
+    A file per response is one task each; lines let Spark split large files. Per-period folders
+    (``th=119/``, ``tahun=2019/``) come back as a column, and a filter on it prunes folders.
     """
     return spark.read.schema(schema).option("multiLine", one_per_file).option("basePath", root).json(root)
 

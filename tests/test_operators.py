@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from strata.operators import clean as C
 from strata.operators import joins as J
-from strata.operators.graph import best_label, latest_statement, optional, point_latitude, point_longitude
+from strata.operators.graph import best_label, complete, latest_statement, optionals, point_latitude, point_longitude
 from strata.operators.keys import dense_key
 from strata.operators.reshape import distinct_values, pivot_mean
 
@@ -163,11 +163,14 @@ def test_graph_patterns(spark):
     latest = latest_statement(triples, "stmt", "val", "at", "pop", "at")
     assert rows_of(latest) == [("e1", "11", "2021"), ("e1", "12", "2021")]
     entities = spark.createDataFrame([("e1",), ("e2",), ("e3",)], "s string")
-    rows = optional(entities, triples, "capital", "capital")
+    rows = optionals(entities, triples, {"capital": ("capital", None)})
     named = best_label(rows, triples, "capital", "name", F.col("capital"), "label", ["id", "en"])
     assert rows_of(named) == [("e1", "c1", "Satu"), ("e2", "c2", "Two"), ("e2", "c3", "c3"), ("e3", None, None)]
-    labels = optional(spark.createDataFrame([("c1",), ("c2",), ("c3",)], "s string"), triples, "label", "id_label", lang="id")
-    assert rows_of(labels) == [("c1", "Satu"), ("c2", None), ("c3", None)]
+    places = spark.createDataFrame([("c1",), ("c2",), ("c3",)], "s string")
+    labels = optionals(places, triples, {"id_label": ("label", "id"), "any": ("label", None)})
+    assert rows_of(labels) == [("c1", "Satu", "One"), ("c1", "Satu", "Satu"), ("c2", None, "Two"), ("c3", None, "Drei")]
+    assert rows_of(complete(places, latest)) == [("c1", None, None), ("c2", None, None), ("c3", None, None)]
+    assert rows_of(complete(entities, latest))[2:] == [("e2", None, None), ("e3", None, None)]
 
 
 def test_points(spark):
