@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, functions as F
 
 BLOCK_BYTES = 4 << 20
 
@@ -74,6 +74,50 @@ def lists(values: np.ndarray, lengths: np.ndarray, kind: pa.DataType) -> pa.Arra
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, type=kind))
 
 
-def only(df: DataFrame, *columns: Column) -> DataFrame:
-    """Just these columns, so extra columns and their names never matter."""
-    return df.select(*columns)
+class Powers:
+    """Polynomial hashes modulo 2^64 of byte ranges, all ranges of a block at once."""
+
+    BASE = 0x9E3779B97F4A7C15
+
+    def __init__(self):
+        self.up = self.down = np.ones(1, np.uint64)
+        mixed = np.random.default_rng(5).integers(1, 1 << 63, 256, dtype=np.uint64)
+        self.values = mixed * np.uint64(2) + np.uint64(1)
+
+    def _grow(self, size: int) -> None:
+        if len(self.up) <= size:
+            for name, base in (("up", self.BASE), ("down", pow(self.BASE, -1, 1 << 64))):
+                steps = np.full(2 * size + 1, np.uint64(base & (1 << 64) - 1), np.uint64)
+                steps[0] = 1
+                setattr(self, name, np.cumprod(steps, dtype=np.uint64))
+
+    def hashes(self, flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """A hash of each range; ranges of equal bytes have equal hashes."""
+        self._grow(len(flat))
+        sums = np.zeros(len(flat) + 1, np.uint64)
+        np.cumsum(self.values[flat] * self.up[: len(flat)], out=sums[1:])
+        ranges = (sums[starts + lengths] - sums[starts]) * self.down[starts]
+        ranges ^= ranges >> np.uint64(29)
+        return (ranges + lengths.astype(np.uint64)) * np.uint64(0xBF58476D1CE4E5B9)
+
+
+# The white space that separates words, and lower case for A to Z only.
+WHITE = np.zeros(256, bool)
+WHITE[[32, 9, 10, 11, 12, 13]] = True
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+
+
+def words(flat: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first byte of each word, its length, its row): runs of bytes that are not white space."""
+    if not len(flat):
+        return (np.zeros(0, np.int64),) * 3
+    solid = ~WHITE[flat]
+    border = np.zeros(len(flat) + 1, bool)
+    border[at] = True
+    starts = solid.copy()
+    starts[1:] &= ~solid[:-1] | border[1:-1]
+    ends = solid
+    ends[:-1] &= ~solid[1:] | border[1:-1]
+    starts, ends = np.flatnonzero(starts), np.flatnonzero(ends) + 1
+    return starts, ends - starts, np.searchsorted(at, starts, side="right") - 1

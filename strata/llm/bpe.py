@@ -23,9 +23,9 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from strata.llm.blocks import flat_bytes, lists, slices, spans, utf8
+from strata.llm.blocks import Powers, flat_bytes, lists, slices, spans, table_path, utf8
 
 # Before merging, text is split into words as by the pattern
 # 's|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+
@@ -378,33 +378,6 @@ class Encoder:
         return ids[spans(starts, counts)], np.diff(rows)
 
 
-class Powers:
-    """Polynomial hashes modulo 2^64 of byte ranges, all ranges of a block at once."""
-
-    BASE = 0x9E3779B97F4A7C15
-
-    def __init__(self):
-        self.up = self.down = np.ones(1, np.uint64)
-        mixed = np.random.default_rng(5).integers(1, 1 << 63, 256, dtype=np.uint64)
-        self.values = mixed * np.uint64(2) + np.uint64(1)
-
-    def _grow(self, size: int) -> None:
-        if len(self.up) <= size:
-            for name, base in (("up", self.BASE), ("down", pow(self.BASE, -1, 1 << 64))):
-                steps = np.full(2 * size + 1, np.uint64(base & (1 << 64) - 1), np.uint64)
-                steps[0] = 1
-                setattr(self, name, np.cumprod(steps, dtype=np.uint64))
-
-    def hashes(self, flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        """A hash of each range; ranges of equal bytes have equal hashes."""
-        self._grow(len(flat))
-        sums = np.zeros(len(flat) + 1, np.uint64)
-        np.cumsum(self.values[flat] * self.up[: len(flat)], out=sums[1:])
-        ranges = (sums[starts + lengths] - sums[starts]) * self.down[starts]
-        ranges ^= ranges >> np.uint64(29)
-        return (ranges + lengths.astype(np.uint64)) * np.uint64(0xBF58476D1CE4E5B9)
-
-
 def _char_kinds() -> np.ndarray:
     """Letter, number, white space or other, for every code point."""
     import regex
@@ -444,7 +417,7 @@ def encode(df: DataFrame, vocabulary_path: str, text: str = "text", keep: tuple[
             columns = [batch.column(name) for name in keep]
             yield pa.RecordBatch.from_arrays([*columns, lists(ids, counts, pa.int32())], [*keep, "ids"])
 
-    return source.mapInArrow(run, kept.add("ids", "array<int>"))
+    return source.mapInArrow(run, kept.add("ids", T.ArrayType(T.IntegerType())))
 
 
 def decode(df: DataFrame, vocabulary_path: str, ids: str = "ids", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -495,8 +468,6 @@ def op5_bpe(spark, sf_dir: str) -> DataFrame:
     """Encode and decode every whole text of ``documents``."""
     import public_tokenizers
 
-    from strata.llm.blocks import table_path
-
     documents = spark.read.parquet(table_path(sf_dir, "documents"))
     return round_trip(documents, public_tokenizers.path("byte_bpe_50k.json"))
 

@@ -1,5 +1,7 @@
 """Registered queries of this package, each with its SQL where SQL can say it."""
 
-from strata.llm import bpe
+from strata.llm import bpe, language
+from strata.llm.shipping import shipped
 
-QUERIES = {**bpe.QUERIES}
+MODULES = (bpe, language)
+QUERIES = {name: (shipped(build), sql) for module in MODULES for name, (build, sql) in module.QUERIES.items()}
