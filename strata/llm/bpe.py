@@ -14,6 +14,7 @@ table. Other columns of the input are neither needed nor returned.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import json
 import re
@@ -420,48 +421,69 @@ def encode(df: DataFrame, vocabulary_path: str, text: str = "text", keep: tuple[
     return source.mapInArrow(run, kept.add("ids", T.ArrayType(T.IntegerType())))
 
 
+class Pieces:
+    """The bytes that each id stands for, laid end to end, so that many ids are joined at once."""
+
+    def __init__(self, pieces: list[bytes]):
+        self.lengths = np.array([len(p) for p in pieces], np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.flat = np.frombuffer(b"".join(pieces), np.uint8)
+
+    def join(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
+        """The joined pieces of each run of ids."""
+        body = self.flat[spans(self.starts[ids], self.lengths[ids])].tobytes()
+        ends = np.concatenate([[0], np.cumsum(self.lengths[ids])])
+        rows = ends[np.concatenate([[0], np.cumsum(counts)])].tolist()
+        return [body[a:b] for a, b in zip(rows[:-1], rows[1:])]
+
+
 def decode(df: DataFrame, vocabulary_path: str, ids: str = "ids", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns ``keep`` and ``text``, decoded from the ids; bytes that are no UTF-8 become U+FFFD.
 
     Null ids give an empty text.
     """
-    words = read_vocabulary(vocabulary_path).words
-    shared = df.sparkSession.sparkContext.broadcast(words)
+    shared = df.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary_path).words)
     kept = df.select(*keep).schema
     source = df.select(*keep, F.coalesce(F.col(ids), F.array().cast("array<int>")).alias("__ids"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = shared.value
-        lengths = np.array([len(w) for w in words], np.int64)
-        starts = np.cumsum(lengths) - lengths
-        flat = np.frombuffer(b"".join(words), np.uint8)
+        pieces = Pieces(shared.value)
         for batch in batches:
             for row in range(0, batch.num_rows, 512):
                 part = batch.slice(row, 512)
-                column = part.column("__ids")
+                column = part["__ids"]
                 values = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-                counts = np.diff(np.asarray(column.offsets)).astype(np.int64)
-                body = flat[spans(starts[values], lengths[values])].tobytes()
-                ends = np.concatenate([[0], np.cumsum(lengths[values])])
-                rows = ends[np.concatenate([[0], np.cumsum(counts)])]
-                texts = [body[a:b].decode("utf-8", "replace") for a, b in zip(rows[:-1], rows[1:])]
-                columns = [part.column(name) for name in keep]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], [*keep, "text"])
+                texts = pieces.join(values, np.diff(np.asarray(column.offsets)))
+                texts = pa.array([t.decode("utf-8", "replace") for t in texts], pa.string())
+                yield pa.RecordBatch.from_arrays([*(part[name] for name in keep), texts], [*keep, "text"])
 
     return source.mapInArrow(run, kept.add("text", "string"))
 
 
 def round_trip(df: DataFrame, vocabulary_path: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep``, the number of ids, and SHA-256 of the ids (decimal, joined by commas) and of the decoded text."""
-    encoded = encode(df, vocabulary_path, text, keep).select(
-        *keep,
-        "ids",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-    )
-    known = (*keep, "n_tokens", "ids_sha256")
-    decoded = decode(encoded, vocabulary_path, "ids", known)
-    return decoded.select(*known, F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+    """``keep``, the number of ids, and SHA-256 of the ids (decimal, joined by commas) and of the decoded text.
+
+    Encodes and decodes in one pass, so the ids need not leave the worker.
+    """
+    shared = df.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary_path))
+    source = df.select(*keep, utf8(text).alias("__text"))
+    schema = df.select(*keep).schema.add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = _encoder(shared)
+        words = Pieces(shared.value.words)
+        decimals = Pieces([b"%d," % i for i in range(encoder.size)])
+        for batch in slices(batches, "__text"):
+            ids, counts = encoder.encode(*flat_bytes(batch["__text"]))
+            listed = [hashlib.sha256(t[:-1]).hexdigest() for t in decimals.join(ids, counts)]
+            decoded = [t.decode("utf-8", "replace").encode() for t in words.join(ids, counts)]
+            decoded = [hashlib.sha256(t).hexdigest() for t in decoded]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch[name] for name in keep), pa.array(counts), pa.array(listed), pa.array(decoded)],
+                [f.name for f in schema],
+            )
+
+    return source.mapInArrow(run, schema)
 
 
 def op5_bpe(spark, sf_dir: str) -> DataFrame:
