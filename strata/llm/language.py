@@ -1,7 +1,7 @@
 """Language identification by compression.
 
-Each language has a raw-content dictionary of sample text. A text is compressed once with every
-dictionary, in blocks short enough that the dictionary and not the text itself decides, and the
+Each language has a raw-content dictionary of sample text. A text (its words in lower case, without
+ASCII punctuation and digits) is compressed once with every dictionary, in blocks short enough that the dictionary and not the text itself decides, and the
 language with the smallest total wins. ``rejected`` marks texts without letters and those where
 the second best language comes too close.
 
@@ -11,11 +11,12 @@ and the dictionaries stay ``PIECES * PIECE_BYTES`` characters a language at any
 
 Defined results: null text, empty text and text without a letter are ``und`` with score 0 and are
 rejected; with no learned language every text is; a null id counts as the empty string in hashes;
-equal sizes go to the language first in order; each input row gives one output row, repeated or not.
+equal sizes go to the language with more learned rows; each input row gives one output row, repeated or not.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,13 +26,21 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from strata.llm.blocks import slices, table_path, utf8
 
-PIECES = 64
-PIECE_BYTES = 2048
-BLOCK = 4096
-LEVEL = 3
+PIECES = 128
+PIECE_BYTES = 1024
+BLOCK = 2048
+LEVEL = 5
 MIN_MARGIN = 0.002  # of the best size; below it the text is rejected
 
 
+NOT_LETTERS = bytes(32 if i < 128 and not chr(i).isalpha() else i for i in range(256))
+
+
+def plain(text: str) -> bytes:
+    """Lower-case words with one blank between them, without the punctuation and digits of ASCII."""
+    return b" ".join(text.lower().encode().translate(NOT_LETTERS).split())
+
+
 def crc_class(id_column: str, classes: int) -> Column:
     """crc32 of the id as text, modulo ``classes``; a null id counts as the empty string."""
     return F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit("")).cast("binary")) % classes
@@ -41,7 +50,7 @@ def learn_dictionaries(
     df: DataFrame, lang: str = "lang", text: str = "text", doc_id: str = "doc_id",
     pieces: int = PIECES, piece_bytes: int = PIECE_BYTES,
 ) -> dict[str, bytes]:
-    """Sample text of every language in the labelled rows, in order of language.
+    """Sample text of every language in the labelled rows, the most frequent language first.
 
     The aggregate keeps one piece per language and hash class from the start, so nothing larger
     than the sample is shuffled or reaches the driver.
@@ -53,13 +62,15 @@ def learn_dictionaries(
             F.col(lang).alias("lang"), F.pmod(chance, F.lit(pieces)).alias("class"),
             F.struct(chance.alias("chance"), F.substring(text, 1, piece_bytes).alias("piece")).alias("row"),
         )
-        .groupBy("lang", "class").agg(F.min("row").alias("row"))
-        .select("lang", "class", "row.piece")
+        .groupBy("lang", "class").agg(F.min("row").alias("row"), F.count("*").alias("n"))
+        .select("lang", "class", "row.piece", "n")
     )
     found: dict[str, list[bytes]] = {}
+    rows: Counter[str] = Counter()
     for row in sorted(sample.collect()):
-        found.setdefault(row["lang"], []).append(row["piece"].encode())
-    return {language: b"\n".join(found[language]) for language in sorted(found)}
+        found.setdefault(row["lang"], []).append(plain(row["piece"]))
+        rows[row["lang"]] += row["n"]
+    return {language: b"\n".join(found[language]) for language in sorted(found, key=lambda x: (-rows[x], x))}
 
 
 def identify(
@@ -86,8 +97,9 @@ def identify(
                 level=LEVEL, dict_data=raw, write_content_size=False, write_checksum=False, write_dict_id=False,
             ))
 
-        def result(body: bytes, letters: bool):
-            if not letters or not compressors:
+        def result(text: bytes, letters: bool):
+            body = plain(text.decode("utf-8", "replace"))
+            if not body or not letters or not compressors:
                 return "und", 0.0, 0.0, True
             view = memoryview(body)
             blocks = [view[i : i + BLOCK] for i in range(0, len(body), BLOCK)]
