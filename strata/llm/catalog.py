@@ -1,7 +1,7 @@
 """Registered queries of this package, each with its SQL where SQL can say it."""
 
-from strata.llm import bpe, chunks, decontaminate, language, near_duplicates
+from strata.llm import bpe, chunks, decontaminate, language, mixing, near_duplicates, nearest, suffixes
 from strata.llm.shipping import shipped
 
-MODULES = (chunks, bpe, near_duplicates, decontaminate, language)
+MODULES = (chunks, mixing, bpe, near_duplicates, nearest, decontaminate, suffixes, language)
 QUERIES = {name: (shipped(build), sql) for module in MODULES for name, (build, sql) in module.QUERIES.items()}
