@@ -7,13 +7,12 @@
    (``AGREE`` is five standard deviations below the mean), so they share one of the
    ``COORDINATES - AGREE + 1`` pairs that come first in order of rarity: only this prefix is posted.
    Pairs that nobody else has come first of all, so a text with enough of them is skipped.
-3. In each posting list one member per hash class is the centre, and all are compared with it:
-   collisions of the signatures first, the full sets for those that pass. A large group of copies
-   thus needs comparisons in proportion to its members, and is one component afterwards.
-4. Lists that still hold several components are joined exactly. They form clusters (components of
-   the posting graph), cut into chunks of bounded size; each pair of chunks is one group of work
-   that finds, by an inverted index over shingles, links between members of different components.
-   Only a forest of the links leaves a group.
+3. In each posting list one member is the centre, and all are compared with it: collisions of the
+   signatures first, the full sets for those that pass. A large group of copies thus needs
+   comparisons in proportion to its members, most of which have one name afterwards, the centre's.
+4. Lists that still hold several names are joined exactly: lists with the same smallest member are
+   one group, cut into chunks of bounded size; each pair of chunks finds, by an inverted index over
+   shingles, links between members of different names. Only a forest of the links leaves a group.
 
 Documents are linked when ``100 * intersection >= PERCENT * union`` on the full sets.
 
@@ -43,7 +42,6 @@ PERCENT = 75
 COORDINATES = 64
 AGREE = 31
 PREFIX = COORDINATES - AGREE + 1
-CENTRES = 3
 CHUNK_SHINGLES = 1 << 20
 
 _RANDOM = np.random.default_rng(6)
@@ -206,25 +204,29 @@ def link_members(group: pd.DataFrame, percent: int) -> pd.DataFrame:
     return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
 
-def _link_rest(posted: DataFrame, sets: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """Links between components that still meet in a posting list."""
-    named = posted.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "key", "rep", F.coalesce("component", "rep").alias("component"))
+def _link_rest(posted: DataFrame, sets: DataFrame, stars: DataFrame, percent: int) -> DataFrame:
+    """Links between members of a posting list that the stars did not put together already.
+
+    ``stars`` give each member the smallest centre it is linked with, and that centre its own: those
+    with the same name are linked. Lists with one name are done. The others go by their smallest
+    member, so lists of the same group of copies are one group of work.
+    """
+    near = stars.groupBy(F.col("b").alias("rep")).agg(F.min("a").alias("centre"))
+    near = near.withColumn("centre", F.least("centre", "rep"))
+    above = near.select(F.col("rep").alias("centre"), F.col("centre").alias("over"))
+    names = materialize(near.join(above, "centre", "left").select("rep", F.coalesce("over", "centre").alias("component")), "names")
+    named = posted.join(names, "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("component"))
     mixed = named.groupBy("key").agg(F.min("rep").alias("head"), F.min("component").alias("x"), F.max("component").alias("y"))
-    mixed = mixed.where("x <> y")
-    rest = materialize(named.join(mixed.select("key", "head"), "key").select("head", "rep", "component").distinct(), "mixed")
-    cluster = components(rest.select("head", "rep"))
-    members = materialize(
-        rest.select("rep", "component").distinct().join(cluster.select(F.col("node").alias("rep"), F.col("component").alias("cluster")), "rep")
-        .join(sets.select("rep", "shingles"), "rep"), "clusters")
-    chunks = members.groupBy("cluster").agg(F.ceil(F.sum(F.length("shingles") / 8) / CHUNK_SHINGLES).cast("int").alias("chunks"))
+    rest = materialize(named.join(mixed.where("x <> y").select("key", "head"), "key").select("head", "rep", "component").distinct(), "mixed")
+    members = materialize(rest.join(sets.select("rep", "shingles"), "rep"), "members")
+    chunks = members.groupBy("head").agg(F.ceil(F.sum(F.length("shingles") / 8) / CHUNK_SHINGLES).cast("int").alias("chunks"))
     dealt = (
-        members.join(chunks, "cluster")
+        members.join(chunks, "head")
         .withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-        .select("cluster", F.least("chunk", "other").alias("x"), F.greatest("chunk", "other").alias("y"), "rep", "component", "shingles")
+        .select("head", F.least("chunk", "other").alias("x"), F.greatest("chunk", "other").alias("y"), "rep", "component", "shingles")
     )
-    return dealt.groupBy("cluster", "x", "y").applyInPandas(lambda g: link_members(g, percent), "a long, b long")
+    return dealt.groupBy("head", "x", "y").applyInPandas(lambda g: link_members(g, percent), "a long, b long")
 
 
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -237,17 +239,19 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", p
     posted = materialize(postings(classes), "postings")
     wanted = posted.select("rep").distinct().join(classes, "rep")
     sets = materialize(_sets(df, doc_id, text, wanted), "sets")
-    by_class = F.pmod(F.xxhash64("key"), F.lit(CENTRES))
-    centre = posted.groupBy("key").agg(F.min_by("rep", F.xxhash64("rep", by_class)).alias("centre"), F.count("*").alias("n")).where("n > 1")
+    centre = posted.groupBy("key").agg(F.min_by("rep", F.xxhash64("rep")).alias("centre"), F.count("*").alias("n")).where("n > 1")
     pairs = posted.join(centre, "key").where("rep <> centre").select("centre", "rep").distinct()
     stars = materialize(_verify_stars(pairs, sets, percent), "links")
-    rest = materialize(_link_rest(posted, sets, components(stars), percent), "links")
-    # documents of one class, and one id with several texts, are linked through the class
-    same = named.join(classes.select("digest", "rep"), "digest").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    found = components(stars.unionByName(rest).unionByName(same.where("a <> b")))
+    rest = _link_rest(posted, sets, stars, percent)
+    # an id with several texts links its classes
+    several = named.groupBy("doc_id").agg(F.min("digest").alias("x"), F.max("digest").alias("y")).where("x <> y").select("doc_id")
+    several = named.join(several, "doc_id").join(classes.select("digest", "rep"), "digest").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    found = components(stars.unionByName(rest).unionByName(several)).withColumnRenamed("node", "rep")
+    # an id that is in several classes is a node itself; any other document has its class's component
+    own = classes.select("digest", "rep").join(found, "rep", "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
     return (
-        sketches.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-        .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+        sketches.join(own, "digest", "left")
+        .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )
 
