@@ -1,7 +1,7 @@
 """Language-model scores by logistic mixing of hashed-context bit predictors.
 
-A text is a sequence of bytes and one end; a Huffman code learned from the training bytes turns it
-into binary decisions, about four a byte. Each of several contexts (the last bytes, the word so
+A text is a sequence of bytes and one end; Huffman codes learned from the training bytes, one for
+each byte before, turn it into binary decisions, about three a byte. Each of several contexts (the last bytes, the word so
 far) has a hashed table that predicts a decision from the counts of the training texts. A mixer
 adds the predictions' log odds with weights; the weight set is chosen by which long contexts were
 seen, and the weights are refined by the error after every ``STEP`` decisions, from a fixed start
@@ -34,100 +34,114 @@ from strata.llm.blocks import LOWER, WHITE, Powers, flat_bytes, slices, spans, t
 from strata.workspace import materialize
 
 END = 256
-PAD = 257
+PAD = 257  # before the first byte
+SYMBOLS = 258
 BEFORE = 6  # bytes that the longest context looks back
-ORDERS = (2, 3, 6)
-TABLE_BITS = (20, 21, 22, 22)  # of each order, then of the word so far
+ORDERS = (3, 5)
+TABLE_BITS = (21, 22, 22)  # of each order, then of the word so far
 SEGMENT = 1 << 16
-STEP = 32
-STRETCH = 1 << 14
-LANES = 256
-RATE = 0.004
+STEP = 64
+STRETCH = 1 << 13
+LANES = 512
+RATE = 0.01
+FIRST = 0.3  # what both outcomes count before any is seen
 SCALE = 16.0  # table cells are log odds times this, in one byte
-# start weights by (word so far seen, longest order seen), for orders 2, 3, 6 and the word
-START = np.array([[0.3, 0.7, 0.0, 0.0], [0.1, 0.3, 0.6, 0.0], [0.1, 0.3, 0.0, 0.7], [0.0, 0.2, 0.4, 0.6]], np.float32)
+# start weights by (word so far seen, longest order seen), for the orders and the word
+START = np.array([[1.0, 0.0, 0.0], [0.4, 0.6, 0.0], [0.4, 0.0, 0.6], [0.2, 0.3, 0.6]], np.float32)
 TOKEN_SLICE = 8 << 20
+COUNT_BYTES = 4 << 20  # texts counted at a time
 
 _RANDOM = np.random.default_rng(2)
 ORDER_FACTORS = _RANDOM.integers(1, 1 << 62, BEFORE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-NODE_OFFSETS = _RANDOM.integers(0, 1 << 40, 512).astype(np.int64)
+NODE_OFFSETS = _RANDOM.integers(0, 1 << 40, SYMBOLS * SYMBOLS).astype(np.int64)
 
 
 class Code(NamedTuple):
-    """A binary code of the symbols 0 to END: tree nodes and bits of each, one after the other."""
+    """Binary codes of the symbols 0 to END, one for each symbol before: steps of each, one after the other."""
 
-    begin: np.ndarray
+    begin: np.ndarray  # by symbol before and symbol
     length: np.ndarray
-    node: np.ndarray
+    offset: np.ndarray  # of the tree node in the tables
     bit: np.ndarray
 
 
-def huffman(counts: list[int]) -> Code:
-    """The Huffman code for these symbol counts; every symbol counts once more, so each has a code."""
-    heap: list[tuple] = [(c + 1, i, i) for i, c in enumerate(counts)]
+def huffman(counts: list[int]) -> list[list[tuple[int, int]]]:
+    """(tree node, bit) of each step to each symbol; every symbol counts once more, so each has a code."""
+    heap: list[tuple] = [(c + 1, i) for i, c in enumerate(counts)]
     heapq.heapify(heap)
-    inner: dict[int, tuple[int, int]] = {}
+    inner: list[tuple[int, int]] = []
+    size = len(counts)
     while len(heap) > 1:
-        (a, _, x), (b, _, y) = heapq.heappop(heap), heapq.heappop(heap)
-        name = len(counts) + len(inner)
-        inner[name] = (x, y)
-        heapq.heappush(heap, (a + b, name, name))
-    paths: dict[int, list[tuple[int, int]]] = {heap[0][2]: []}
-    for name in sorted(inner, reverse=True):
-        for bit, child in enumerate(inner[name]):
-            paths[child] = [*paths[name], (name - len(counts), bit)]
-    length = np.array([len(paths[i]) for i in range(len(counts))], np.int64)
-    steps = np.array([s for i in range(len(counts)) for s in paths[i]], np.int64)
-    return Code(np.cumsum(length) - length, length, steps[:, 0], steps[:, 1])
+        (a, x), (b, y) = heapq.heappop(heap), heapq.heappop(heap)
+        heapq.heappush(heap, (a + b, size + len(inner)))
+        inner.append((x, y))
+    paths: list[list[tuple[int, int]]] = [[] for _ in range(size + len(inner))]
+    for node in range(len(inner) - 1, -1, -1):
+        for bit, child in enumerate(inner[node]):
+            paths[child] = [*paths[size + node], (node, bit)]
+    return paths[:size]
+
+
+def build_code(pairs: np.ndarray) -> Code:
+    """The codes for counts of (symbol before, symbol)."""
+    length = np.zeros((SYMBOLS, SYMBOLS), np.int64)
+    nodes, bits = [], []
+    for before in range(SYMBOLS):
+        for symbol, path in enumerate(huffman(pairs[before, : END + 1].tolist())):
+            length[before, symbol] = len(path)
+            nodes += [before * SYMBOLS + n for n, _ in path]
+            bits += [b for _, b in path]
+    flat = length.ravel()
+    return Code(np.cumsum(flat) - flat, flat, NODE_OFFSETS[nodes], np.array(bits, np.int64))
+
+
+def _symbols(flat: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(symbols of the texts, each with padding before it and its end behind it; places to predict)."""
+    rows, size = len(at) - 1, np.diff(at)
+    first = at[:-1] + np.arange(rows) * (BEFORE + 1) + BEFORE
+    symbols = np.full(len(flat) + rows * (BEFORE + 1), PAD, np.int64)
+    body = np.ones(len(symbols), bool)
+    for i in range(1, BEFORE + 1):
+        body[first - i] = False
+    body[first + size] = False
+    symbols[body] = flat
+    symbols[first + size] = END
+    return symbols, np.flatnonzero(symbols != PAD)
 
 
 class Decisions(NamedTuple):
     """The binary decisions of some texts."""
 
-    cells: list[np.ndarray]  # table cell of every decision, by context
+    contexts: list[np.ndarray]  # hash of every symbol's context, by table
+    owner: np.ndarray  # symbol that a decision belongs to
+    offset: np.ndarray  # what its tree node adds to the hash
     bits: np.ndarray
     counts: np.ndarray  # decisions of each text
 
 
 def decisions(flat: np.ndarray, at: np.ndarray, code: Code, powers: Powers) -> Decisions:
-    """All decisions of the texts, with their cells in the table of each context."""
-    rows = len(at) - 1
-    # every text with padding before it and its end behind it
-    first = at[:-1] + np.arange(rows) * (BEFORE + 1) + BEFORE
-    symbols = np.full(len(flat) + rows * (BEFORE + 1), PAD, np.int64)
-    size = np.diff(at)
-    body = np.ones(len(symbols), bool)
-    for i in range(1, BEFORE + 1):
-        body[first - i] = False
-    body[first + size] = False
-    symbols[body] = flat
-    symbols[first + size] = END
-    place = np.flatnonzero(symbols != PAD)
+    """All decisions of the texts, with the hash of each context."""
+    symbols, place = _symbols(flat, at)
     mixed = symbols.astype(np.uint64) + np.uint64(1)
     contexts, rolled = [], np.zeros(len(place), np.uint64)
-    for back in range(1, BEFORE + 1):
+    for back in range(1, max(ORDERS) + 1):
         rolled = rolled + mixed[place - back] * ORDER_FACTORS[back - 1]
         if back in ORDERS:
             contexts.append(rolled)
     # the word so far: from behind the last white space, in lower case
     folded = np.where(symbols < 256, LOWER[np.minimum(symbols, 255)], 32).astype(np.uint8)
-    white = WHITE[folded] | (symbols >= 256)
-    behind = np.maximum.accumulate(np.where(white, np.arange(len(symbols)), 0))
+    behind = np.maximum.accumulate(np.where(WHITE[folded], np.arange(len(symbols)), 0))
     begin = behind[place - 1] + 1
     contexts.append(powers.hashes(folded, begin, place - begin))
-    symbol = symbols[place]
-    length = code.length[symbol]
-    total = int(length.sum())
+    contexts = [((c ^ (c >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(24)).astype(np.int64) for c in contexts]
+    pair = symbols[place - 1] * SYMBOLS + symbols[place]
+    length = code.length[pair]
     ends = np.cumsum(length)
-    step = np.arange(total) + np.repeat(code.begin[symbol] - (ends - length), length)
-    node = NODE_OFFSETS[code.node[step]]
-    cells = []
-    for context, bits in zip(contexts, TABLE_BITS):
-        context = (context ^ (context >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(24)
-        cells.append((np.repeat(context.astype(np.int64), length) + node) & ((1 << bits) - 1))
-    last = np.cumsum(size + 1)
-    counts = np.diff(np.concatenate([[0], ends[last - 1]])) if rows else np.zeros(0, np.int64)
-    return Decisions(cells, code.bit[step], counts)
+    owner = np.repeat(np.arange(len(place)), length)
+    step = np.arange(len(owner)) + (code.begin[pair] - (ends - length))[owner]
+    last = np.cumsum(np.diff(at) + 1)
+    counts = np.diff(np.concatenate([[0], ends[last - 1]])) if len(last) else np.zeros(0, np.int64)
+    return Decisions(contexts, owner, code.offset[step], code.bit[step], counts)
 
 
 class Model(NamedTuple):
@@ -187,22 +201,28 @@ def fit(training: DataFrame) -> Model:
     """Learn code and tables from all rows of ``training``, whose one column ``body`` holds bytes."""
 
     def histogram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(END + 1, np.int64)
+        total = np.zeros(SYMBOLS * SYMBOLS, np.int64)
         for batch in slices(batches, "body"):
-            total[:256] += np.bincount(flat_bytes(batch["body"])[0], minlength=256)
-            total[END] += batch.num_rows
-        yield pa.RecordBatch.from_arrays([pa.array(range(END + 1), pa.int32()), pa.array(total)], ["symbol", "n"])
-
-    counted = training.mapInArrow(histogram, "symbol int, n long").groupBy("symbol").agg(F.sum("n").alias("n"))
-    code = huffman([n for _, n in sorted(map(tuple, counted.collect()))] or [0] * (END + 1))
+            symbols, place = _symbols(*flat_bytes(batch["body"]))
+            total += np.bincount(symbols[place - 1] * SYMBOLS + symbols[place], minlength=len(total))
+        seen = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(total[seen])], ["pair", "n"])
+
+    # at most one row for each pair of symbols
+    counted = training.mapInArrow(histogram, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect()
+    pairs = np.zeros(SYMBOLS * SYMBOLS, np.int64)
+    pairs[[r["pair"] for r in counted]] = [r["n"] for r in counted]
+    code = build_code(pairs.reshape(SYMBOLS, SYMBOLS))
+    shared = training.sparkSession.sparkContext.broadcast(code)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = Powers()
-        counts = [np.zeros(2 << bits, np.int32) for bits in TABLE_BITS]
-        for batch in slices(batches, "body"):
+        powers, code = Powers(), shared.value
+        counts = [np.zeros(2 << bits, np.int64) for bits in TABLE_BITS]
+        for batch in slices(batches, "body", COUNT_BYTES):
             found = decisions(*flat_bytes(batch["body"]), code, powers)
-            for table, cells in zip(counts, found.cells):
-                np.add.at(table, 2 * cells + found.bits, 1)
+            low = 2 * found.offset + found.bits
+            for table, context in zip(counts, found.contexts):
+                table += np.bincount(((2 * context)[found.owner] + low) & (len(table) - 1), minlength=len(table))
         part = TaskContext.get().partitionId()
         for segment in _segments(counts):
             yield _segment_batch([(segment[0], part, *segment[1:])])
@@ -216,7 +236,7 @@ def fit(training: DataFrame) -> Model:
             for small, places, large in zip(*(batch[c].to_pylist() for c in ("small", "places", "large"))):
                 total = np.frombuffer(small, np.uint8).astype(np.float64)
                 total[np.frombuffer(places, np.uint32)] = np.frombuffer(large, np.int64)
-                ratio = np.log((total[1::2] + 0.4) / (total[0::2] + 0.4)) * SCALE
+                ratio = np.log((total[1::2] + FIRST) / (total[0::2] + FIRST)) * SCALE
                 out.append(np.clip(np.rint(ratio), -127, 127).astype(np.int8).tobytes())
             yield pa.RecordBatch.from_arrays([batch["segment"], pa.array(out, pa.binary())], ["segment", "odds"])
 
@@ -231,12 +251,8 @@ def fit(training: DataFrame) -> Model:
 
 def mix(found: Decisions, tables: list[np.ndarray]) -> np.ndarray:
     """The natural log probability of each text."""
-    inputs = np.empty((len(found.bits), len(tables)), np.float32)
-    for i, (table, cells) in enumerate(zip(tables, found.cells)):
-        inputs[:, i] = table[cells]
-    gates = (inputs[:, 2] != 0) + 2 * (inputs[:, 3] != 0)
-    inputs *= np.float32(1 / SCALE)
-    signs = (2 * found.bits - 1).astype(np.float32)
+    cells = [table[(context[found.owner] + found.offset) & (len(table) - 1)] for table, context in zip(tables, found.contexts)]
+    gates = ((cells[-2] != 0) + 2 * (cells[-1] != 0)).astype(np.int32)
     # every text in stretches, the longest first, so that lanes of a group end together
     pieces = -(-found.counts // STRETCH)
     owner = np.repeat(np.arange(len(found.counts)), pieces)
@@ -245,29 +261,40 @@ def mix(found: Decisions, tables: list[np.ndarray]) -> np.ndarray:
     length = np.minimum(found.counts[owner] - part * STRETCH, STRETCH)
     order = np.argsort(-length, kind="stable")
     result = np.zeros(len(found.counts))
+    sets = len(START)
     for at in range(0, len(order), LANES):
         lanes = order[at : at + LANES]
-        weights = np.repeat(START[None], len(lanes), axis=0)
-        total = np.zeros(len(lanes))
-        every = np.arange(len(lanes))[:, None]
-        for t in range(0, int(length[lanes[0]]), STEP):
-            left = length[lanes] - t
-            live = int((left > 0).sum())
-            place = begin[lanes[:live], None] + t + np.arange(STEP)
-            valid = np.arange(STEP) < left[:live, None]
-            place[~valid] = 0
-            x, gate, sign = inputs[place], gates[place], signs[place]
-            score = np.einsum("lsk,lsk->ls", x, weights[every[:live], gate]) * sign
-            np.clip(score, -12, 12, out=score)
-            miss = np.exp(-score)
-            total[:live] -= (np.log1p(miss) * valid).sum(axis=1, dtype=np.float64)
-            push = (miss / (1 + miss) * sign * valid * np.float32(RATE * SCALE)).astype(np.float32)
-            chosen = (gate[..., None] == np.arange(4)) * push[..., None]
-            weights[:live] += np.matmul(chosen.transpose(0, 2, 1), x)
-        np.add.at(result, owner[lanes], total)
+        left = length[lanes]
+        steps = np.arange(-(-int(left[0]) // STEP) * STEP)
+        valid = steps < left[:, None]
+        place = np.where(valid, begin[lanes, None] + steps, 0)
+        inputs = [c[place] * np.float32(1 / SCALE) for c in cells]
+        sign = np.where(valid, SIGNS[found.bits[place]], np.float32(0))
+        which = gates[place] + np.arange(len(lanes), dtype=np.int32)[:, None] * sets
+        weights = [np.tile(START[:, k], len(lanes)) for k in range(len(cells))]
+        chance = np.ones_like(sign)
+        ends = -(-left // STEP)
+        for t in range(0, len(steps), STEP):
+            live = int(np.searchsorted(-ends, -(t // STEP), side="left"))
+            now = (slice(live), slice(t, t + STEP))
+            own, mark = which[now], sign[now]
+            score = inputs[0][now] * weights[0][own]
+            for x, w in zip(inputs[1:], weights[1:]):
+                score += x[now] * w[own]
+            miss = np.exp(np.clip(score, -12, 12, out=score) * -mark)
+            hit = 1 / (1 + miss)
+            chance[now] = hit
+            push = (miss * hit * mark * np.float32(RATE)).ravel()
+            own = own.ravel()
+            for x, w in zip(inputs, weights):
+                w[: live * sets] += np.bincount(own, push * x[now].ravel(), live * sets).astype(np.float32)
+        result += np.bincount(owner[lanes], (np.log(chance) * (sign != 0)).sum(axis=1, dtype=np.float64), len(result))
     return result
 
 
+SIGNS = np.array([-1, 1], np.float32)
+
+
 def score_texts(df: DataFrame, model: Model, keep: tuple[str, ...]) -> DataFrame:
     """``keep``, ``score`` (log10 probability) and ``bits_per_byte`` of every ``body``."""
     shared = df.sparkSession.sparkContext.broadcast(model)
