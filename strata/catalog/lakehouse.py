@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from strata.catalog.star import ALIASES, STAR, entities, gdp, population, table
 from strata.lake import audit, digest, ingest, versions
 from strata.lake.footprint import footprint as layer_footprint
+from strata.operators.clean import drop_audit
 from strata.operators.reshape import append_batches
 from strata.plans import medallion
 from strata.sources import files, objects
@@ -27,36 +28,43 @@ def _orders(spark, sf_dir):
     )
 
 
+def _broken(text):
+    """Text with every kind of line break, quotes, commas and backslashes in it."""
+    return F.concat(text, F.lit('"\n'), text, F.lit('\r\n,"'), text, F.lit("\r\\n\\"))
+
+
+_BROKEN = """%s || '"' || chr(10) || %s || chr(13) || chr(10) || ',"' || %s || chr(13) || '\\n\\'"""
+
+
 def csv_roundtrip(spark, sf_dir):
     """Text with quotes, commas and padding, through CSV files and back."""
     path = scratch_path(spark, "csv")
-    name = F.concat(F.lit(' "'), F.col("p_name"), F.lit('", '), F.col("p_brand"))
+    name = F.concat(F.lit(' "'), F.col("p_name"), F.lit('",\n\\n'), F.col("p_brand"))
     size = F.when(F.col("p_size") != 7, F.col("p_size").cast("string")).otherwise(F.lit("n/a"))
     rows = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("id"), name.alias("name"), size.alias("size"))
     files.write_csv(rows, path)
-    return files.read_csv(spark, path, rows.columns)
+    return files.read_csv(spark, path, rows.columns, escaped=True)
 
 
 CSV_ROUNDTRIP = """
-SELECT CAST(p_partkey AS VARCHAR) AS id, ' "' || p_name || '", ' || p_brand AS name,
+SELECT CAST(p_partkey AS VARCHAR) AS id, ' "' || p_name || '",' || chr(10) || '\\n' || p_brand AS name,
   CASE WHEN p_size <> 7 THEN CAST(p_size AS VARCHAR) END AS size FROM part"""
 
 
 def parquet_roundtrip(spark, sf_dir):
-    """Order lines through partitioned Parquet and back, one partition read."""
+    """Order lines through partitioned Parquet and back."""
     path = scratch_path(spark, "parquet")
     rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_returnflag")
     files.write_parquet(rows.repartition("l_returnflag", F.col("l_partkey") % 16), path, ["l_returnflag"])
-    back = files.read_parquet(spark, path).filter(F.col("l_returnflag") == "R")
-    return back.select("l_orderkey", "l_partkey", "l_quantity", F.col("l_returnflag").cast("string"))
+    return files.read_parquet(spark, path).select("l_orderkey", "l_partkey", "l_quantity", F.col("l_returnflag").cast("string"))
 
 
-PARQUET_ROUNDTRIP = "SELECT l_orderkey, l_partkey, l_quantity, l_returnflag FROM lineitem WHERE l_returnflag = 'R'"
+PARQUET_ROUNDTRIP = "SELECT l_orderkey, l_partkey, l_quantity, l_returnflag FROM lineitem"
 
 
 def format_counts(spark, sf_dir):
-    """Row counts straight from files in two formats, and how many files were written."""
-    orders = _orders(spark, sf_dir)
+    """Row counts straight from files in two formats; the text has line breaks and quotes."""
+    orders = _orders(spark, sf_dir).withColumn("o_orderpriority", _broken(F.col("o_orderpriority")))
     csv, parquet = scratch_path(spark, "counts-csv"), scratch_path(spark, "counts-parquet")
     files.write_csv(orders, csv)
     files.write_parquet(orders, parquet)
@@ -71,23 +79,81 @@ SELECT count(*) AS records, 'csv' AS format FROM orders UNION ALL SELECT count(*
 
 
 def fallback_read(spark, sf_dir):
-    """A missing primary source, replaced by the alternate one."""
-    path = scratch_path(spark, "alternate")
+    """A primary source that is absent, and one without rows, each replaced by the alternate one."""
+    path, hollow = scratch_path(spark, "alternate"), scratch_path(spark, "hollow")
     orders = _orders(spark, sf_dir)
     files.write_csv(orders, path)
-    return files.read_with_fallback(spark, scratch_path(spark, "absent"), path, orders.columns)
+    files.write_csv(orders.limit(0), hollow)
+    return append_batches(*[
+        files.read_with_fallback(spark, primary, path, orders.columns).withColumn("primary", F.lit(name))
+        for name, primary in (("absent", scratch_path(spark, "absent")), ("hollow", hollow))])
 
 
-FALLBACK_READ = """
+ORDERS_AS_TEXT = """
 SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
   CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS o_totalprice, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate,
   o_orderpriority FROM orders"""
+FALLBACK_READ = f"SELECT *, 'absent' AS \"primary\" FROM ({ORDERS_AS_TEXT}) UNION ALL SELECT *, 'hollow' FROM ({ORDERS_AS_TEXT})"
+
+
+TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
+    "pages", "benchmark", "labels", "conversations",
+)
 
 
 def file_inventory(spark, sf_dir):
-    """Table files by name with their size; the directory is the input."""
-    listed = objects.inventory(spark, sf_dir)
-    return listed.select(F.element_at(F.split("path", "/"), -1).alias("file"), "length")
+    """Table files by name: whether each is listed, whether it has bytes, and the rows counted in it."""
+    listed = objects.inventory(spark, sf_dir).select(
+        F.regexp_extract("path", "([^/]+)[.]parquet(?:/[^/]+)?$", 1).alias("table_name"), "length")
+    sizes = listed.groupBy("table_name").agg((F.sum("length") > 0).alias("has_bytes"))
+    counts = append_batches(*[
+        files.count_in_place(spark, f"{sf_dir}/{name}.parquet", "parquet").withColumn("table_name", F.lit(name)) for name in TABLES])
+    joined = counts.join(sizes, "table_name", "left")
+    return joined.select("table_name", F.col("has_bytes").isNotNull().alias("listed"), "has_bytes", "records")
+
+
+FILE_INVENTORY = " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, true AS listed, true AS has_bytes, count(*) AS records FROM {name}" for name in TABLES)
+
+
+def landed_text(spark, sf_dir):
+    """Customer names with line breaks, landed as Parquet and as CSV and read back; the manifests' counts beside them."""
+    names = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("id"), _broken(F.col("c_name")).alias("name"))
+    landed = []
+    for fmt in ("parquet", "csv"):
+        root = scratch_path(spark, "text")
+        found = ingest.ingest_if_changed(names, root, SOURCE, fmt=fmt, clock=_clock(1))
+        rows = drop_audit(ingest.read_latest(spark, root))
+        landed.append(rows.select("id", "name", F.lit(fmt).alias("format"), F.lit(found.records).cast("bigint").alias("records")))
+    return append_batches(*landed)
+
+
+LANDED_TEXT = f"""
+SELECT CAST(c_custkey AS VARCHAR) AS id, {_BROKEN.replace('%s', 'c_name')} AS name, format, (SELECT count(*) FROM customer) AS records
+FROM customer CROSS JOIN (VALUES ('parquet'), ('csv')) f(format)"""
+
+
+def empty_load(spark, sf_dir):
+    """What an empty batch does under each policy, beside a batch of the same table with rows."""
+    orders = _orders(spark, sf_dir)
+    empty = orders.filter(F.col("o_orderkey") < 0)
+    root = scratch_path(spark, "empty")
+    found = [("full", ingest.ingest_if_changed(orders, root, SOURCE, clock=_clock(1)))]
+    found.append(("skip", ingest.ingest_if_changed(empty, root, SOURCE, on_empty="skip", clock=_clock(2))))
+    rows = [(policy, load.status, load.records) for policy, load in found]
+    try:
+        ingest.ingest_if_changed(empty, root, SOURCE, on_empty="raise", clock=_clock(3))
+    except ingest.EmptyBatch:
+        rows.append(("raise", "refused", 0))
+    kept = ingest.read_latest(spark, root).agg(F.count("*").alias("kept"))
+    return files.literal_table(spark, rows, "policy string, status string, records bigint").crossJoin(F.broadcast(kept))
+
+
+EMPTY_LOAD = """
+SELECT policy, status, CASE policy WHEN 'full' THEN n ELSE 0 END AS records, n AS kept
+FROM (VALUES ('full', 'loaded'), ('skip', 'empty'), ('raise', 'refused')) v(policy, status) CROSS JOIN (SELECT count(*) AS n FROM orders)"""
 
 
 def table_digest(spark, sf_dir):
@@ -141,9 +207,9 @@ def _loads(spark, sf_dir):
     orders = _orders(spark, sf_dir)
     early = orders.filter(F.col("o_orderdate") < "1999-01-01")
     results = [
-        ingest.ingest_if_changed(early, root, SOURCE, clock=_clock(1)),
-        ingest.ingest_if_changed(early.orderBy("o_custkey"), root, SOURCE, clock=_clock(2)),
-        ingest.ingest_if_changed(orders, root, SOURCE, clock=_clock(3)),
+        ingest.ingest_if_changed(early, root, SOURCE, fmt="csv", clock=_clock(1)),
+        ingest.ingest_if_changed(early.orderBy("o_custkey"), root, SOURCE, fmt="csv", clock=_clock(2)),
+        ingest.ingest_if_changed(orders, root, SOURCE, fmt="csv", clock=_clock(3)),
     ]
     return root, results
 
@@ -167,7 +233,7 @@ def latest_landed(spark, sf_dir):
     return ingest.read_latest(spark, root)
 
 
-LATEST_LANDED = FALLBACK_READ.replace(
+LATEST_LANDED = ORDERS_AS_TEXT.replace(
     "o_orderpriority FROM",
     "o_orderpriority, '2024-01-01T03:00:00+00:00' AS ingestion_timestamp, 'orders' AS source_name, 'tester' AS operator_id FROM",
 )
@@ -238,15 +304,24 @@ SELECT * FROM (VALUES ('o_custkey', 'bigint', 'string', 'changed'), ('o_orderdat
 
 
 def footprint(spark, sf_dir):
-    """Bytes of the orders as CSV and as Parquet, and a dataset that has one layer only."""
+    """The orders as CSV and as Parquet, which layers have bytes and whether they shrink, and a dataset with one layer."""
     orders = _orders(spark, sf_dir)
     csv, parquet = scratch_path(spark, "fp-csv"), scratch_path(spark, "fp-parquet")
     files.write_csv(orders, csv)
     files.write_parquet(orders, parquet)
-    return layer_footprint(spark, {
+    sizes = layer_footprint(spark, {
         "orders": {"bronze": csv, "silver": parquet, "gold": None},
         "part": {"bronze": scratch_path(spark, "absent"), "silver": f"{sf_dir}/part.parquet", "gold": None},
     })
+    return sizes.select(
+        "dataset", *[F.col(f"{layer}_bytes").isNotNull().alias(f"has_{layer}") for layer in ("bronze", "silver", "gold")],
+        (F.col("bronze_bytes") > F.col("silver_bytes")).alias("shrinks"), F.col("compression_ratio").isNotNull().alias("has_ratio"),
+        F.when(F.col("dataset") == "orders", F.lit(files.read_csv(spark, csv).count())).alias("records"))
+
+
+FOOTPRINT = """
+SELECT 'orders' AS dataset, true AS has_bronze, true AS has_silver, false AS has_gold, true AS shrinks, true AS has_ratio, count(*) AS records FROM orders
+UNION ALL SELECT 'part', false, true, false, NULL, false, NULL"""
 
 
 def medallion_flow(spark, sf_dir):
@@ -282,7 +357,9 @@ QUERIES = {
     "parquet_roundtrip": (parquet_roundtrip, PARQUET_ROUNDTRIP),
     "format_counts": (format_counts, FORMAT_COUNTS),
     "fallback_read": (fallback_read, FALLBACK_READ),
-    "file_inventory": (file_inventory, None),
+    "file_inventory": (file_inventory, FILE_INVENTORY),
+    "landed_text": (landed_text, LANDED_TEXT),
+    "empty_load": (empty_load, EMPTY_LOAD),
     "table_digest": (table_digest, TABLE_DIGEST),
     "row_digests": (row_digests, ROW_DIGESTS),
     "json_records": (json_records, JSON_RECORDS),
@@ -292,6 +369,6 @@ QUERIES = {
     "version_history": (version_history, VERSION_HISTORY),
     "as_of_read": (as_of_read, AS_OF_READ),
     "schema_changes": (schema_changes, SCHEMA_CHANGES),
-    "footprint": (footprint, None),
+    "footprint": (footprint, FOOTPRINT),
     "medallion_flow": (medallion_flow, MEDALLION_FLOW),
 }

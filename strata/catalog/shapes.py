@@ -15,9 +15,14 @@ from strata.plans.entities import entity_rows
 from strata.sources.files import read_parquet, write_parquet
 from strata.sources.responses import (
     BINDINGS_SCHEMA, CUBE_MEASURES, CUBE_SCHEMA, TABLE_SERVICE_SCHEMA, flatten_bindings, flatten_cube,
-    flatten_table_service, read_responses,
+    flatten_table_service, parse_texts, read_responses, rejected_responses,
 )
-from strata.workspace import scratch_path, spread
+from strata.workspace import scratch_path
+
+
+# Writing and parsing a response per row costs far more than moving the row: the narrow input is
+# dealt out to this many tasks, a parameter to raise with the table.
+PARSERS = 64
 
 
 def _value(column):
@@ -75,7 +80,7 @@ def _cube_texts(spark, sf_dir):
         F.array(code(F.lit("530"), F.lit("a")), code(F.lit("531"), F.lit("b"))).alias("turvar"),
         cells.alias("datacontent"),
     ))
-    orders = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderdate", "o_totalprice"))
+    orders = table(spark, sf_dir, "orders").repartition(PARSERS)
     return orders.select("o_orderkey", th.alias("th"), text.alias("text"))
 
 
@@ -133,7 +138,7 @@ def table_service(spark, sf_dir):
         '"v1":{"nama_variabel":"Jumlah Penduduk (Ribu)"},"v9":{"nama_variabel":"jumlah penduduk lain"}},"data":['
     )
     text = F.concat(F.lit(head), F.concat_ws(",", *rows), F.lit("]}]}"))
-    orders = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderdate", "o_totalprice"))
+    orders = table(spark, sf_dir, "orders").repartition(PARSERS)
     parsed = orders.select(
         "o_orderkey", F.year("o_orderdate").alias("tahun"), F.from_json(text, TABLE_SERVICE_SCHEMA).alias("r")
     )
@@ -146,6 +151,42 @@ SELECT o_orderkey, kode AS kode_provinsi, CASE kode WHEN '3400' THEN 'DI Yogyaka
 FROM orders CROSS JOIN (VALUES ('1100'), ('3400'), ('3500')) k(kode)"""
 
 
+DAMAGED_EVERY = 7
+
+
+def _damaged_texts(spark, sf_dir):
+    """The cubes as texts, of which every seventh is cut off in the middle."""
+    cut = F.expr("left(text, length(text) div 2)")
+    texts = _cube_texts(spark, sf_dir)
+    return texts.withColumn("text", F.when(F.col("o_orderkey") % DAMAGED_EVERY == 0, cut).otherwise(F.col("text")))
+
+
+def rejected(spark, sf_dir):
+    """Landed responses that cannot be read, counted by their period, beside those that can."""
+    root = scratch_path(spark, "damaged")
+    _damaged_texts(spark, sf_dir).select("th", "text").write.partitionBy("th").text(root)
+    bad = rejected_responses(spark, root, CUBE_SCHEMA, one_per_file=False)
+    bad = bad.select(F.regexp_extract("file", "/th=([0-9]+)/", 1).cast("bigint").alias("th"), F.lit(1).alias("bad"))
+    good = read_responses(spark, root, CUBE_SCHEMA, one_per_file=False, mode="DROPMALFORMED")
+    good = good.filter(F.col("datacontent").isNotNull()).select(F.col("th").cast("bigint").alias("th"), F.lit(0).alias("bad"))
+    return append_batches(bad, good).groupBy("th").agg(
+        F.count_if(F.col("bad") == 1).alias("rejected"), F.count_if(F.col("bad") == 0).alias("parsed"))
+
+
+REJECTED = f"""
+SELECT CAST(year(o_orderdate) - 1900 AS BIGINT) AS th, count(*) FILTER (o_orderkey % {DAMAGED_EVERY} = 0) AS rejected,
+  count(*) FILTER (o_orderkey % {DAMAGED_EVERY} <> 0) AS parsed FROM orders GROUP BY 1"""
+
+
+def quarantine(spark, sf_dir):
+    """Orders whose response cannot be read, as rows with the length of the damaged text."""
+    _, bad = parse_texts(_damaged_texts(spark, sf_dir), CUBE_SCHEMA)
+    return bad.select("o_orderkey", (F.length("text") > 0).alias("has_text"))
+
+
+QUARANTINE = f"SELECT o_orderkey, true AS has_text FROM orders WHERE o_orderkey % {DAMAGED_EVERY} = 0"
+
+
 # ---- graph ----------------------------------------------------------------------------------
 
 PREFIX = "http://data.example/entity/"
@@ -228,6 +269,8 @@ QUERIES = {
     "explode_cube": (explode_cube, EXPLODE_CUBE),
     "cube_wide": (cube_wide, CUBE_WIDE),
     "flatten_table_service": (table_service, TABLE_SERVICE),
+    "rejected_responses": (rejected, REJECTED),
+    "quarantine": (quarantine, QUARANTINE),
     "graph_wide_row": (graph_wide_row, GRAPH_WIDE_ROW),
     "graph_latest_statement": (graph_latest_statement, GRAPH_LATEST),
 }

@@ -117,7 +117,7 @@ _GOLD: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
 
 def gold_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The Gold tables over ``sf_dir``, built and stored once per application.
+    """The Gold tables over ``sf_dir``, built once per application; their keyed rows are stored.
 
     The statistics are reduced to (name, year) and stored first: orders and line items are
     scanned once however many Gold tables derive from them.
@@ -130,8 +130,7 @@ def gold_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             materialize(population(spark, sf_dir), "population"),
             ALIASES,
         )
-        stored = ("dim_province", "dim_year", "fact_economics")
-        _GOLD[key] = {**gold, **{name: materialize(gold[name], name) for name in stored}}
+        _GOLD[key] = gold
     return _GOLD[key]
 
 
@@ -225,6 +224,21 @@ def _selective(gold):
     return A.selective_star(gold, ("NATION_0", "NATION_5"), 2000)
 
 
+def _by_sql(gold):
+    """The national trend as SQL text over the registered tables."""
+    A.register_gold({name: gold[name] for name in ("dim_year", "fact_economics")})
+    return gold["dim_year"].sparkSession.sql("""
+        SELECT year, sum(population) AS total_national_population, count(DISTINCT province_id) AS province_count,
+          round(avg(gdp_per_capita), 2) AS avg_gdp_per_capita,
+          round(CAST(sum(CAST(gdp_current_price AS DECIMAL(28,6))) AS DOUBLE), 2) AS total_national_gdp
+        FROM fact_economics JOIN dim_year USING (year_id) WHERE population > 0 GROUP BY year ORDER BY year""")
+
+
+_TREND = f"""SELECT year, CAST(sum(population) AS BIGINT) AS total_national_population,
+count(DISTINCT province_id) AS province_count, {_round('avg(gdp_per_capita)')} AS avg_gdp_per_capita,
+{_round('CAST(sum(CAST(gdp_current_price AS DECIMAL(28,6))) AS DOUBLE)')} AS total_national_gdp
+FROM fact_economics f JOIN dim_year dy ON f.year_id = dy.year_id WHERE population > 0 GROUP BY year"""
+
 QUERIES = {
     "dim_entity": (_on_gold(lambda g: g["dim_province"]), STAR + "SELECT * FROM dim_province"),
     "dim_year": (_on_gold(lambda g: g["dim_year"]), STAR + "SELECT * FROM dim_year"),
@@ -264,13 +278,8 @@ WHERE {_LATEST} AND gdp_per_capita IS NOT NULL ORDER BY gdp_per_capita DESC, pro
   WHERE province_name IN ('NATION_0', 'NATION_1', 'NATION_2', 'NATION_3', 'NATION_5', 'NATION_10'))
 SELECT *, {_round('(gdp_current_price - prev_year_gdp) / NULLIF(prev_year_gdp, 0) * 100')} AS growth_rate_pct FROM prior""",
     ),
-    "national_trend": (
-        _on_gold(A.national_trend),
-        STAR + f"""SELECT year, CAST(sum(population) AS BIGINT) AS total_national_population,
-count(DISTINCT province_id) AS province_count, {_round('avg(gdp_per_capita)')} AS avg_gdp_per_capita,
-{_round('CAST(sum(CAST(gdp_current_price AS DECIMAL(28,6))) AS DOUBLE)')} AS total_national_gdp
-FROM fact_economics f JOIN dim_year dy ON f.year_id = dy.year_id WHERE population > 0 GROUP BY year""",
-    ),
+    "national_trend": (_on_gold(A.national_trend), STAR + _TREND),
+    "sql_views": (_on_gold(_by_sql), STAR + _TREND),
     "above_below_average": (
         _on_gold(A.above_below_average),
         STAR + f""", latest AS (

@@ -5,15 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from strata.functions.text import captured
+from strata.functions.text import strip
 
-# A decimal number or an infinity, with white space around it. Matching first keeps out what the JVM
-# parser would also take: type suffixes (``1d``), hexadecimal, and not-a-number, which means missing.
-_SPACE = r"[\s\x1c-\x1f\x85\p{Z}]*"
-_NUMBER = (
-    rf"^{_SPACE}([+-]?(?:[0-9]+\.?[0-9]*(?:[eE][+-]?[0-9]+)?|\.[0-9]+(?:[eE][+-]?[0-9]+)?|(?i:inf|infinity))){_SPACE}$"
-)
-_WHOLE = rf"^{_SPACE}([+-]?[0-9]+)(?:\.0*)?{_SPACE}$"
+# A decimal number or an infinity. Matching first keeps out what the JVM parser would also take:
+# type suffixes (``1d``), hexadecimal, and not-a-number, which means missing.
+_NUMBER = r"\A[+-]?(?:[0-9]+\.?[0-9]*(?:[eE][+-]?[0-9]+)?|\.[0-9]+(?:[eE][+-]?[0-9]+)?|(?i:inf|infinity))\z"
+_WHOLE = r"\A[+-]?[0-9]+(?:\.0*)?\z"
 
 
 def nan_to_null(number: Column) -> Column:
@@ -22,8 +19,9 @@ def nan_to_null(number: Column) -> Column:
 
 
 def to_double(text: Column) -> Column:
-    """Text to double, null where it is no number."""
-    return captured(text, _NUMBER).try_cast("double")
+    """Text to double, null where it is no number; white space around it does not count."""
+    bare = strip(text)
+    return F.when(bare.rlike(_NUMBER), bare.try_cast("double"))
 
 
 def whole(number: Column) -> Column:
@@ -33,7 +31,9 @@ def whole(number: Column) -> Column:
 
 def to_long(text: Column) -> Column:
     """Text to bigint, null where it is no number or a fraction would be lost; ``12.0`` is 12."""
-    return F.coalesce(captured(text, _WHOLE).try_cast("bigint"), whole(to_double(text)))
+    bare = strip(text)
+    digits = F.when(bare.rlike(_WHOLE), F.substring_index(bare, ".", 1).try_cast("bigint"))
+    return F.coalesce(digits, whole(to_double(text)))
 
 
 def ungroup(text: Column) -> Column:

@@ -23,22 +23,17 @@ MANIFEST_SCHEMA = (
     "operator_id string, record_count bigint, data_format string"
 )
 
+MANIFEST_FIELDS = tuple(field.split()[0] for field in MANIFEST_SCHEMA.split(", "))
+
 
 def run_metadata(
     source_name: str, source_url: str, api_version: str, operator_id: str, record_count: int,
     data_format: str, extra: Mapping[str, Any] | None = None, clock: datetime | None = None,
 ) -> dict[str, Any]:
     """The fields of one run; ``extra`` adds fields and may replace the standard ones."""
-    return {
-        "ingestion_timestamp": (clock or run_clock()).isoformat(),
-        "source_name": source_name,
-        "source_url": source_url,
-        "api_version": api_version,
-        "operator_id": operator_id,
-        "record_count": record_count,
-        "data_format": data_format,
-        **(extra or {}),
-    }
+    moment = (clock or run_clock()).isoformat()
+    values = (moment, source_name, source_url, api_version, operator_id, record_count, data_format)
+    return {**dict(zip(MANIFEST_FIELDS, values)), **(extra or {})}
 
 
 def with_audit(df: DataFrame, metadata: Mapping[str, Any]) -> DataFrame:

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from datetime import datetime
 from typing import Any
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.periods import run_clock
@@ -63,16 +63,18 @@ def has_changed(spark: SparkSession, root: str, digest: str) -> bool:
 
 
 def ingest_if_changed(
-    df: DataFrame, root: str, source: Mapping[str, str], fmt: str = "csv", on_empty: str = "raise",
+    df: DataFrame, root: str, source: Mapping[str, str], fmt: str = "parquet", on_empty: str = "raise",
     clock: datetime | None = None, extra: Mapping[str, Any] | None = None,
 ) -> LoadResult:
     """Land ``df`` below ``root`` unless its digest equals that of the last load.
 
-    ``source`` gives source_name, source_url, api_version and operator_id. The digest is
-    taken before audit columns are added, in a pass of its own: an unchanged source is read and
-    nothing is written. Should the source change between that pass and the write, the stored digest
-    is the older one and the next run loads again. ``df`` is read twice; store an expensive one
-    first.
+    ``source`` gives source_name, source_url, api_version and operator_id. Parquet keeps types and
+    any text; CSV keeps text with line breaks, but cells that are null words read as null.
+
+    The digest is taken before audit columns are added, in a pass of its own: an unchanged source
+    is read and nothing is written. Should the source change between that pass and the write, the
+    stored digest is the older one and the next run loads again. The manifest's count is that
+    of the stored files. ``df`` is read twice; store an expensive one first.
     """
     if on_empty not in ("raise", "skip"):
         raise ValueError(f"unknown empty-batch policy {on_empty!r}")
@@ -87,13 +89,11 @@ def ingest_if_changed(
         return LoadResult(UNCHANGED, before["records"], before["digest"])
 
     batch = clock.strftime("%Y%m%d_%H%M%S_%f")
-    written = Observation(f"load-{batch}")
-    observed = df.observe(written, F.count(F.lit(1)).alias("records"))
     audit = run_metadata(**source, record_count=before["records"], data_format=fmt, clock=clock)
     write = {"csv": write_csv, "parquet": write_parquet}[fmt]
-    write(with_audit(observed, audit), batch_path(root, batch))
+    write(with_audit(df, audit), batch_path(root, batch))
 
-    records = written.get["records"]
+    records = _read_batch(spark, root, batch, fmt).count()
     manifest = run_metadata(
         **source, record_count=records, data_format=fmt, clock=clock,
         extra={**(extra or {}), "batch": batch, "digest": before["digest"]},
@@ -121,6 +121,10 @@ def read_latest(spark: SparkSession, root: str) -> DataFrame:
     batch = latest_batch(spark, root)
     if batch is None:
         raise FileNotFoundError(root)
-    path = batch_path(root, batch)
     fmt = load_history(spark, root).filter(F.col("batch") == batch).first()["data_format"]
-    return spark.read.parquet(path) if fmt == "parquet" else read_csv(spark, path)
+    return _read_batch(spark, root, batch, fmt)
+
+
+def _read_batch(spark: SparkSession, root: str, batch: str, fmt: str) -> DataFrame:
+    path = batch_path(root, batch)
+    return spark.read.parquet(path) if fmt == "parquet" else read_csv(spark, path, escaped=True)

@@ -1,9 +1,10 @@
 """Versioned tables: immutable snapshots and a log that commits them.
 
 A write puts its files into a folder of its own and then creates the log entry
-``log/00000007.json`` exclusively. The entry is the commit: a folder without one is never
-read. Of two writers one gets the number and the other takes the next; neither can overwrite
-the other's files. Old versions stay readable, so no copy is made before a write.
+``log/00000007.json``, whole and without replacing any. The entry is the commit: a folder without
+one is never read, nor is an entry that does not parse. Of two writers one gets the number and
+the other takes the next; neither can overwrite the other's files. Old versions stay readable, so no
+copy is made before a write. A commit over several tables names one version of each.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.periods import run_clock
 from strata.lake.digest import digest_aggregates, schema_map, seal, table_digest
-from strata.sources.objects import ObjectExists, exists, inventory, write_text
+from strata.sources.objects import ObjectExists, every_object, exists, write_text
 
 # The fields of a log entry.
 LOG_SCHEMA = (
@@ -39,12 +40,30 @@ class Version:
 
 
 def current_version(spark: SparkSession, table: str) -> int:
-    """Highest committed version, -1 for a table without a log; other file names are ignored."""
+    """Highest version with a whole log entry, -1 for a table without any."""
     if not exists(spark, f"{table}/log"):
         return -1
+    return history(spark, table).agg(F.coalesce(F.max("version"), F.lit(-1))).first()[0]
+
+
+def next_version(spark: SparkSession, log: str) -> int:
+    """The number after the highest that any file of a log folder has, whole or not."""
+    if not exists(spark, log):
+        return 0
     number = F.regexp_extract("path", r"/([0-9]+)\.json$", 1).try_cast("bigint")
-    files = inventory(spark, f"{table}/log")
-    return files.agg(F.coalesce(F.max(number), F.lit(-1))).first()[0]
+    return every_object(spark, log).agg(F.coalesce(F.max(number), F.lit(-1))).first()[0] + 1
+
+
+def _commit(spark: SparkSession, folder: str, entry: Mapping[str, object]) -> int:
+    """Store an entry under the first free number; gives the number."""
+    version = next_version(spark, folder)
+    while True:
+        text = json.dumps({"version": version, **entry}, ensure_ascii=False)
+        try:
+            write_text(spark, f"{folder}/{version:08d}.json", text, exclusive=True)
+            return version
+        except ObjectExists:
+            version += 1
 
 
 def write_version(
@@ -66,14 +85,8 @@ def write_version(
         "schema": schema_map(df),
         "checksum": checksum,
     }
-    version = current_version(spark, table) + 1
-    while True:
-        text = json.dumps({"version": version, **entry}, ensure_ascii=False)
-        try:
-            write_text(spark, f"{table}/log/{version:08d}.json", text, exclusive=True)
-            return Version(version, f"{table}/{folder}", records, checksum)
-        except ObjectExists:
-            version += 1
+    version = _commit(spark, f"{table}/log", entry)
+    return Version(version, f"{table}/{folder}", records, checksum)
 
 
 def _checked(df: DataFrame, metrics: dict, stored: DataFrame) -> tuple[int, str]:
@@ -92,7 +105,8 @@ def _checked(df: DataFrame, metrics: dict, stored: DataFrame) -> tuple[int, str]
 def history(spark: SparkSession, table: str) -> DataFrame:
     """The log as a table in version order; entries that do not parse are skipped."""
     entries = spark.read.schema(LOG_SCHEMA).option("mode", "DROPMALFORMED").json(f"{table}/log")
-    return entries.filter(F.col("version").isNotNull()).orderBy("version")
+    whole = F.col("version").isNotNull() & F.col("added_files").isNotNull()
+    return entries.filter(whole).orderBy("version")
 
 
 def read_version(spark: SparkSession, table: str, version: int | None = None) -> DataFrame:
@@ -106,6 +120,24 @@ def read_version(spark: SparkSession, table: str, version: int | None = None) ->
     return spark.read.parquet(*[f"{table}/{folder}" for folder in entry["added_files"]])
 
 
+def _commits(spark: SparkSession, root: str) -> DataFrame:
+    reader = spark.read.schema("version bigint, tables map<string,bigint>").option("mode", "DROPMALFORMED")
+    return reader.json(f"{root}/commits").filter(F.col("version").isNotNull() & F.col("tables").isNotNull())
+
+
+def commit_tables(spark: SparkSession, root: str, tables: Mapping[str, int]) -> int:
+    """Make the named versions of the tables below ``root`` one state; gives the state's number."""
+    return _commit(spark, f"{root}/commits", {"tables": dict(tables)})
+
+
+def read_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The tables below ``root`` as the newest commit names them."""
+    newest = _commits(spark, root).orderBy(F.desc("version")).first() if exists(spark, f"{root}/commits") else None
+    if newest is None:
+        raise LookupError(f"{root} has no commit")
+    return {name: read_version(spark, f"{root}/{name}", version) for name, version in newest["tables"].items()}
+
+
 def schema_changes(spark: SparkSession, table: str, old: int, new: int) -> DataFrame:
     """Columns of two versions side by side: ``column, old_type, new_type, change``."""
     log = history(spark, table)

@@ -48,13 +48,16 @@ def optionals(
     """Optional patterns of distinct ``subjects``: ``wanted`` maps a column to (predicate, language).
 
     A subject without a value keeps null, several values give several rows. The language is part of
-    the pattern, so a subject labelled in other languages only still keeps its row. One aggregate
-    tells which subjects lack which value. They get a row of null among the values, and every join
-    is an inner one, which the skew join can split on both sides; a left join could not split
-    a subject with very many values.
+    the pattern, so a subject labelled in other languages only still keeps its row. The wanted
+    triples of the subjects are stored first. One aggregate over them tells which subjects lack
+    which value. They get a row of null among the values, and every join is an inner one, which
+    the skew join can split on both sides; a left join could not split a subject with very many
+    values. For a chain of joins the split needs ``spark.sql.adaptive.forceOptimizeSkewedJoin``.
     """
     predicates = sorted({predicate for predicate, _ in wanted.values()})
-    marks = triples.filter(F.col("p").isin(*predicates)).groupBy("s").agg(*[
+    named = triples.filter(F.col("p").isin(*predicates)).join(subjects.select("s"), "s", "left_semi")
+    triples = materialize(named.select("s", "p", "o", "lang").sortWithinPartitions("p"), "wanted")
+    marks = triples.groupBy("s").agg(*[
         F.bool_or((F.col("p") == predicate) & (F.lit(True) if lang is None else F.col("lang").eqNullSafe(lang)))
         .alias(f"_has_{out}")
         for out, (predicate, lang) in wanted.items()
@@ -79,17 +82,21 @@ def point_latitude(point: Column) -> Column:
 
 
 def latest_statement(
-    triples: DataFrame, statement: str, value: str, moment: str, out: str, out_moment: str
+    triples: DataFrame, statement: str, value: str, moment: str, out: str, out_moment: str,
+    subjects: DataFrame | None = None,
 ) -> DataFrame:
     """Values of each subject's latest dated statement: ``s, <out>, <out_moment>``.
 
     Ties are kept. "Latest" is judged over all dated statements: where the latest one carries
-    no value, the subject has no row.
+    no value, the subject has no row. ``subjects`` limits the statements to theirs. The dated
+    statements are stored, as they are read twice.
     """
     nodes = pattern(triples, statement, "_node")
+    if subjects is not None:
+        nodes = nodes.join(subjects.select("s"), "s", "left_semi")
     moments = pattern(triples, moment, out_moment).withColumnRenamed("s", "_node")
     values = pattern(triples, value, out).withColumnRenamed("s", "_node")
-    latest = latest_with_ties(nodes.join(moments, "_node"), "s", out_moment)
+    latest = latest_with_ties(materialize(nodes.join(moments, "_node"), "dated"), "s", out_moment)
     return latest.join(values, "_node").select("s", out, out_moment)
 
 

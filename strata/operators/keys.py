@@ -10,33 +10,25 @@ from pyspark.sql.window import Window
 
 from strata.workspace import materialize
 
-# A table up to this many rows is numbered by one sorted task; its size is counted first.
-SMALL_TABLE_ROWS = 100_000
-
 # monotonically_increasing_id keeps the position within the partition in its low 33 bits.
 _POSITION_BITS = 33
 
 
-def dense_key(df: DataFrame, name: str, order_by: Sequence[str], small: int = SMALL_TABLE_ROWS) -> DataFrame:
+def dense_key(df: DataFrame, name: str, order_by: Sequence[str], stored: bool = False) -> DataFrame:
     """Prepend ``name`` = 1..n in the order of ``order_by``, nulls last.
 
-    The input is stored first, so its plan runs once and its size is known from file footers.
-    A small table is numbered by a plain window. A larger one is range-partitioned on the full
-    order, stored with each row's place in its partition, and shifted by the running count of
-    the partitions before. Rows that tie in the order are placed by file position: equal copies,
-    however many, spread over partitions, and a repeated task places its rows the same way.
+    The input is stored first, unless ``stored`` says that it is a plain scan of files that stay.
+    It is range-partitioned on the full order, stored with each row's place in its partition, and
+    shifted, when read, by the running count of the partitions before. Rows that tie in the order
+    are placed by file position: equal copies, however many, spread over partitions, and a
+    repeated task places its rows the same way.
     """
-    stored = materialize(df, f"{name}-input")
-    order = [F.col(c).asc_nulls_last() for c in order_by]
     columns = df.columns
-    if stored.count() <= small:
-        numbered = stored.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
-        return numbered.select(name, *columns)
-
-    located = stored.select(
+    source = df if stored else materialize(df, f"{name}-input")
+    located = source.select(
         "*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row")
     )
-    order += [F.col("_file"), F.col("_row")]
+    order = [*[F.col(c).asc_nulls_last() for c in order_by], F.col("_file"), F.col("_row")]
     placed = located.repartitionByRange(*order).sortWithinPartitions(*order).select(
         *columns, F.monotonically_increasing_id().alias("_slot")
     )

@@ -48,11 +48,13 @@ ISLAND_BANDS = (
     Band("Bali & Nusa Tenggara", ("Bali", "Nusa Tenggara Barat", "Nusa Tenggara Timur")),
     Band("Maluku", ("Maluku", "Maluku Utara")),
 )
+# The remaining labels of the reports, and the names of one island.
 OTHER_BAND = "Lainnya"
 JAVA_PROVINCES = (
     "Jakarta", "DKI Jakarta", "Jawa Barat", "Jawa Tengah", "Jawa Timur", "Banten", "Yogyakarta",
     "DI Yogyakarta",
 )
+# Labels of the two sides of the average.
 ABOVE, BELOW = "Di Atas Rata-rata", "Di Bawah Rata-rata"
 
 # Sums of published figures are taken in decimal, so they do not depend on the order of rows.

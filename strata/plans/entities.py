@@ -38,16 +38,19 @@ def entity_rows(triples: DataFrame, root: str, entity_prefix: str) -> DataFrame:
         "inception_date": (INCEPTION, None),
     })
     latest = latest_statement(
-        triples, POPULATION_STATEMENT, POPULATION_VALUE, POINT_IN_TIME, "population", "population_date"
+        triples, POPULATION_STATEMENT, POPULATION_VALUE, POINT_IN_TIME, "population", "population_date", subjects
     )
     rows = rows.join(complete(subjects, latest), "s")
     rows = best_label(
         rows, triples, "capital", "capital_city", text_after(F.col("capital"), entity_prefix), LABEL, LANGUAGES
     )
-    return rows.select(
+    wide = rows.select(
         F.col("s").alias("province"),
         text_after(F.col("s"), entity_prefix).alias("wikidata_qid"),
         "province_name_id", "province_name_en", "iso_code", "population", "population_date", "area_km2",
         "capital_city", point_latitude(F.col("coords")).alias("latitude"),
         point_longitude(F.col("coords")).alias("longitude"), "inception_date",
-    ).orderBy(F.asc_nulls_first("iso_code"))
+    )
+    # every column breaks ties, so that rows without a code spread over the tasks of the sort
+    ties = [F.asc_nulls_first(c) for c in wide.columns if c != "iso_code"]
+    return wide.orderBy(F.asc_nulls_first("iso_code"), *ties)

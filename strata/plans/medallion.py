@@ -5,20 +5,21 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.lake.ingest import LoadResult, ingest_if_changed, read_latest
-from strata.lake.versions import read_version, write_version
+from strata.lake.versions import commit_tables, read_tables, read_version, write_version
 from strata.operators.joins import NAME_ALIASES
 from strata.operators.reshape import pivot_mean
 from strata.plans.gold import build_gold
 from strata.plans.silver import clean_entities, clean_gdp, clean_population
-from strata.sources.files import read_csv, write_parquet
+from strata.sources.files import first_usable, read_csv
 from strata.sources.objects import exists
 from strata.sources.responses import (
     BINDING_COLUMNS, BINDINGS_SCHEMA, CUBE_MEASURES, CUBE_SCHEMA, TABLE_SERVICE_SCHEMA,
     flatten_bindings, flatten_cube, flatten_table_service, missing_periods, read_responses,
 )
-from strata.workspace import materialize
+from strata.workspace import clear_scratch, materialize
 
 # The datasets and their folders in each layer.
 BRONZE = {
@@ -37,44 +38,67 @@ SOURCES = {
 OPERATOR = "pipeline_auto"
 YEARS = (2019, 2020, 2021, 2022, 2023)
 GOLD_TABLES = ("dim_province", "dim_year", "dim_indicator", "fact_economics")
+UNMATCHED = "unmatched"
 
 
 class MissingPeriods(ValueError):
     """Some expected years brought no rows; landing the rest would replace a full batch."""
 
 
-def entity_batch(spark: SparkSession, responses: str, fallback: str | None = None) -> DataFrame:
-    """Entity rows of the landed graph results, or of a CSV where there are none."""
-    if fallback is not None and not exists(spark, responses):
-        return read_csv(spark, fallback, list(BINDING_COLUMNS.values()))
-    return flatten_bindings(read_responses(spark, responses, BINDINGS_SCHEMA))
+def entity_batch(
+    spark: SparkSession, responses: str, fallback: str | None = None, one_per_file: bool = True,
+) -> DataFrame:
+    """Entity rows of the landed graph results, stored.
 
+    With a ``fallback`` those of that CSV, where the results are absent, unreadable or without rows.
+    """
+    def primary() -> DataFrame | None:
+        if fallback is not None and not exists(spark, responses):
+            return None
+        found = flatten_bindings(read_responses(spark, responses, BINDINGS_SCHEMA, one_per_file))
+        return materialize(found, "entities")
+
+    if fallback is None:
+        return primary()
+    found = first_usable(primary)
+    return found if found is not None else read_csv(spark, fallback, list(BINDING_COLUMNS.values()))
+
+
+def gdp_cells(spark: SparkSession, responses: str, one_per_file: bool = True) -> DataFrame:
+    """Cells of the landed cubes."""
+    return flatten_cube(read_responses(spark, responses, CUBE_SCHEMA, one_per_file))
 
-def gdp_batch(spark: SparkSession, responses: str) -> DataFrame:
-    """Regional GDP of the landed cubes, one row per region and year."""
-    cells = flatten_cube(read_responses(spark, responses, CUBE_SCHEMA))
+
+def gdp_batch(cells: DataFrame) -> DataFrame:
+    """Regional GDP of cube cells, one row per region and year; other measures are left out."""
     return pivot_mean(cells, ["kode_provinsi", "nama_provinsi", "tahun"], "turvar", "nilai", CUBE_MEASURES)
 
 
-def population_batch(spark: SparkSession, responses: str) -> DataFrame:
+def population_batch(spark: SparkSession, responses: str, one_per_file: bool = True) -> DataFrame:
     """Regional population of the landed table-service payloads."""
-    return flatten_table_service(read_responses(spark, responses, TABLE_SERVICE_SCHEMA))
+    return flatten_table_service(read_responses(spark, responses, TABLE_SERVICE_SCHEMA, one_per_file))
 
 
 def land(
     spark: SparkSession, raw: str, root: str, years: Sequence[int] = YEARS, fallback: str | None = None,
+    one_per_file: bool = True,
 ) -> dict[str, LoadResult]:
     """Bring the responses below ``raw`` into Bronze, each dataset only if it changed.
 
-    ``raw`` holds ``wikidata_provinces/``, ``bps_pdrb/th=119/`` and ``bps_populasi/tahun=2019/``.
-    No entities is an error, an empty statistic is skipped, and a statistic that lacks one of
-    ``years`` is refused.
+    ``raw`` holds ``wikidata_provinces/``, ``bps_pdrb/th=119/`` and ``bps_populasi/tahun=2019/``,
+    with one response per file, or else one per line, which Spark can split. No entities is an
+    error, an empty statistic is skipped, and a statistic that lacks one of ``years`` is refused.
+    So is any dataset with a response that cannot be read, but for entities with a ``fallback``;
+    ``rejected_responses`` shows it. The manifest of the GDP counts the cells of other measures.
     """
+    cells = materialize(gdp_cells(spark, f"{raw}/bps_pdrb", one_per_file), "cells")
+    others = cells.filter(~F.col("turvar").isin(*CUBE_MEASURES)).count()
     batches = {
-        "wikidata_provinces": entity_batch(spark, f"{raw}/wikidata_provinces", fallback),
-        "bps_pdrb": gdp_batch(spark, f"{raw}/bps_pdrb"),
-        "bps_populasi": population_batch(spark, f"{raw}/bps_populasi"),
+        "wikidata_provinces": entity_batch(spark, f"{raw}/wikidata_provinces", fallback, one_per_file),
+        "bps_pdrb": gdp_batch(cells),
+        "bps_populasi": population_batch(spark, f"{raw}/bps_populasi", one_per_file),
     }
+    extras = {"bps_pdrb": {"cells_of_other_measures": others}}
     results = {}
     for name, batch in batches.items():
         rows = materialize(batch, name)  # parsed once, read to compare and to write
@@ -85,7 +109,7 @@ def land(
                 raise MissingPeriods(f"{name} lacks {sorted(missing)}")
         results[name] = ingest_if_changed(
             rows, f"{root}/{BRONZE[name]}", {**SOURCES[name], "operator_id": OPERATOR},
-            on_empty="skip" if statistic else "raise",
+            on_empty="skip" if statistic else "raise", extra=extras.get(name),
         )
     return results
 
@@ -97,14 +121,32 @@ def refresh_silver(spark: SparkSession, root: str) -> None:
 
 
 def refresh_gold(spark: SparkSession, root: str, aliases: Mapping[str, list[str]] = NAME_ALIASES) -> DataFrame:
-    """Rebuild Gold from the newest Silver versions; returns the names that did not resolve."""
+    """Rebuild Gold from the newest Silver versions; returns the names that did not resolve.
+
+    Each table gets a new version; one commit then makes them the state that readers see.
+    """
     silver = [read_version(spark, f"{root}/silver/{name}") for name in CLEANERS]
     gold = build_gold(*silver, dict(aliases))
-    for name in GOLD_TABLES:
-        write_parquet(gold[name], f"{root}/gold/{name}")
-    return gold["unmatched"]
+    written = {
+        name: write_version(gold[name], f"{root}/gold/{name}").version for name in (*GOLD_TABLES, UNMATCHED)
+    }
+    commit_tables(spark, f"{root}/gold", written)
+    return read_tables(spark, f"{root}/gold")[UNMATCHED]
 
 
 def read_gold(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """The stored Gold tables."""
-    return {name: spark.read.parquet(f"{root}/gold/{name}") for name in GOLD_TABLES}
+    """The Gold tables of the newest commit."""
+    stored = read_tables(spark, f"{root}/gold")
+    return {name: stored[name] for name in GOLD_TABLES}
+
+
+def run_flow(
+    spark: SparkSession, raw: str, root: str, years: Sequence[int] = YEARS, fallback: str | None = None,
+    one_per_file: bool = True, aliases: Mapping[str, list[str]] = NAME_ALIASES,
+) -> dict[str, LoadResult]:
+    """Landing, Silver and Gold, and then the removal of what the application stored on the way."""
+    results = land(spark, raw, root, years, fallback, one_per_file)
+    refresh_silver(spark, root)
+    refresh_gold(spark, root, aliases)
+    clear_scratch(spark)
+    return results

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import logging
+from collections.abc import Callable, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -13,6 +16,8 @@ from pyspark.sql.pandas.types import to_arrow_type
 from strata.functions.text import SCAN_NULL_TOKENS, null_tokens
 from strata.sources.objects import exists
 
+log = logging.getLogger(__name__)
+
 # Quotes are doubled inside quoted cells, and blanks at the ends of a cell are data.
 _CSV = {
     "header": True,
@@ -30,29 +35,52 @@ def literal_table(spark: SparkSession, rows: Sequence[tuple], schema: T.StructTy
     return spark.createDataFrame(pa.table(arrays, names=schema.names), schema)
 
 
+# How line breaks are kept in files whose lines are split between tasks. A backslash is escaped
+# too, and no escape begins within another, so each is undone by a plain replacement.
+_BREAKS = (("\\", "\\s"), ("\n", "\\n"), ("\r", "\\r"))
+
+
+def escape_breaks(text: Column) -> Column:
+    """Text on one line: breaks and backslashes as a backslash and a letter."""
+    for plain, escaped in _BREAKS:
+        text = F.replace(text, F.lit(plain), F.lit(escaped))
+    return text
+
+
+def unescape_breaks(text: Column) -> Column:
+    """What ``escape_breaks`` was given."""
+    for plain, escaped in reversed(_BREAKS):
+        text = F.replace(text, F.lit(escaped), F.lit(plain))
+    return text
+
+
 def text_schema(columns: Sequence[str]) -> T.StructType:
     """A schema in which every column is a string."""
     return T.StructType([T.StructField(name, T.StringType()) for name in columns])
 
 
 def read_csv(
-    spark: SparkSession, path: str, columns: Sequence[str] | None = None, multiline: bool = False
+    spark: SparkSession, path: str, columns: Sequence[str] | None = None, multiline: bool = False,
+    escaped: bool = False,
 ) -> DataFrame:
     """CSV with a header, every cell a string, placeholder cells null.
 
-    Types are set later by explicit casts, so the file is scanned once. Cells holding line
-    breaks need ``multiline``, which makes each file one task; leave it off for large files.
+    Types are set later by explicit casts, so the file is scanned once. ``escaped`` undoes what
+    ``write_csv`` does to line breaks. Foreign files with line breaks in cells need
+    ``multiline``, which makes each file one task; leave it off for large files.
     """
     reader = spark.read.options(**_CSV, multiLine=multiline)
     if columns is not None:
         reader = reader.schema(text_schema(columns))
     raw = reader.csv(path)
-    return raw.select([null_tokens(F.col(c), SCAN_NULL_TOKENS).alias(c) for c in raw.columns])
+    cells = {c: null_tokens(F.col(c), SCAN_NULL_TOKENS) for c in raw.columns}
+    return raw.select([(unescape_breaks(cell) if escaped else cell).alias(c) for c, cell in cells.items()])
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Overwrite ``path`` with CSV files that carry a header."""
-    df.write.mode("overwrite").options(**_CSV).csv(path)
+    """Overwrite ``path`` with CSV files that carry a header; line breaks in text are escaped."""
+    texts = {f.name: escape_breaks(F.col(f.name)) for f in df.schema if isinstance(f.dataType, T.StringType)}
+    df.withColumns(texts).write.mode("overwrite").options(**_CSV).csv(path)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -66,22 +94,33 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 
 
 def read_with_fallback(spark: SparkSession, primary: str, alternate: str, columns: Sequence[str]) -> DataFrame:
-    """Read ``primary``, or ``alternate`` where the primary does not exist.
+    """Read ``primary``, or ``alternate`` where the primary is absent, unreadable or without rows.
 
     The choice is made when the plan is built. Both must hold exactly ``columns``.
     """
-    found = read_csv(spark, primary if exists(spark, primary) else alternate)
+    found = first_usable(lambda: read_csv(spark, primary) if exists(spark, primary) else None)
+    if found is None:
+        found = read_csv(spark, alternate)
     if found.columns != list(columns):
         raise ValueError(f"expected columns {list(columns)}, found {found.columns}")
     return found
 
 
+def first_usable(read: Callable[[], DataFrame | None]) -> DataFrame | None:
+    """What ``read`` gives, or None where it gives nothing, fails in Spark or has no rows."""
+    try:
+        found = read()
+        if found is not None and not found.isEmpty():
+            return found
+    except (PySparkException, Py4JJavaError) as error:
+        log.warning("source left out: %s", str(error).splitlines()[0])
+    return None
+
+
 def count_in_place(spark: SparkSession, path: str, fmt: str) -> DataFrame:
     """``count(*)`` straight over a file path, without registering a table."""
     if fmt == "parquet":
         return spark.sql("SELECT count(*) AS records FROM parquet.`" + path + "`")
     if fmt == "csv":
-        return spark.read.options(**_CSV, inferSchema=True).csv(path).agg(
-            F.count(F.lit(1)).alias("records")
-        )
+        return spark.read.options(**_CSV).csv(path).agg(F.count(F.lit(1)).alias("records"))
     raise ValueError(f"unknown format {fmt!r}")

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.numbers import grouped_to_double, scale_to_long
+from strata.functions.numbers import grouped_to_double, nan_to_null, scale_to_long
 from strata.functions.periods import year_of_code
 from strata.functions.text import conform_title
 from strata.sources.files import literal_table
@@ -41,6 +41,8 @@ BINDINGS_SCHEMA = T.StructType([
     ])),
 ])
 
+_DAMAGED = "_damaged"
+
 _CODES = T.ArrayType(T.StructType([
     T.StructField("val", T.StringType()), T.StructField("label", T.StringType()),
 ]))
@@ -77,14 +79,38 @@ POPULATION_UNIT = 1000
 
 
 def read_responses(
-    spark: SparkSession, root: str, schema: T.StructType, one_per_file: bool = True
+    spark: SparkSession, root: str, schema: T.StructType, one_per_file: bool = True, mode: str = "FAILFAST"
 ) -> DataFrame:
     """All responses below ``root``, one row each: one per file, or one per line.
 
     A file per response is one task each; lines let Spark split large files. Per-period folders
     (``th=119/``, ``tahun=2019/``) come back as a column, and a filter on it prunes folders.
+    A response that cannot be read fails the job; ``mode="DROPMALFORMED"`` leaves it out, and
+    ``rejected_responses`` says which those are.
     """
-    return spark.read.schema(schema).option("multiLine", one_per_file).option("basePath", root).json(root)
+    reader = spark.read.schema(schema).options(multiLine=one_per_file, basePath=root, mode=mode)
+    return reader.json(root)
+
+
+def parse_texts(texts: DataFrame, schema: T.StructType, text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(rows whose ``text`` is a response, with its fields; rows whose text cannot be read)."""
+    wanted = T.StructType([*schema.fields, T.StructField(_DAMAGED, T.StringType())])
+    options = {"columnNameOfCorruptRecord": _DAMAGED}
+    parsed = texts.withColumn("_response", F.from_json(text, wanted, options))
+    damaged = F.col("_response").isNull() | F.col(f"_response.{_DAMAGED}").isNotNull()
+    fields = [F.col(f"_response.{f.name}") for f in schema.fields]
+    good = parsed.filter(~damaged).select(*[c for c in texts.columns if c != text], *fields)
+    return good, parsed.filter(damaged).select(*texts.columns)
+
+
+def rejected_responses(
+    spark: SparkSession, root: str, schema: T.StructType, one_per_file: bool = True
+) -> DataFrame:
+    """``file`` and ``text`` of the responses below ``root`` that cannot be read as ``schema``."""
+    texts = spark.read.text(root, wholetext=one_per_file).select(
+        F.col("_metadata.file_path").alias("file"), F.col("value").alias("text")
+    )
+    return parse_texts(texts.filter(F.trim("text") != ""), schema)[1]
 
 
 def missing_periods(df: DataFrame, period: str, expected: list[int]) -> DataFrame:
@@ -132,7 +158,7 @@ def flatten_cube(
         c["region"].alias("region"),
         _label_of(F.col("vervar"), c["region"]).alias("label"),
         c["measure"].alias("measure"),
-        c["value"].alias("value"),
+        nan_to_null(c["value"]).alias("value"),
     ))
     rows = responses.select(
         *keep, year_of_code(F.col(period_code)).alias("tahun"), F.explode(named).alias("c")

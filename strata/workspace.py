@@ -28,18 +28,23 @@ def scratch_root(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+def application_scratch(spark: SparkSession) -> str:
+    """The folder below the scratch folder that only this application writes to."""
+    return f"{scratch_root(spark)}/strata/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path nobody else writes to."""
-    return f"{scratch_root(spark)}/strata/{label}-{uuid.uuid4().hex}"
+    return f"{application_scratch(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Rows of a file scan over all cores, for work that costs far more than moving the rows.
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete everything this application stored below the scratch folder.
 
-    Only where the files have fewer splits than there are cores; a large scan stays as it is.
+    For the end of a job: frames that read stored steps cannot be read any more.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    folder = spark._jvm.org.apache.hadoop.fs.Path(application_scratch(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -44,6 +44,14 @@ def oracle_rows(con, sql):
     return _sorted_rows([d[0] for d in result.description], result.fetchall())
 
 
+def in_order(columns, rows, by):
+    """Whether the rows come in the order of ``by``: pairs of a column and whether it descends."""
+    for column, descending in reversed(by):
+        at = columns.index(column)
+        rows = sorted(rows, key=lambda r: (r[at] is None, r[at] if r[at] is not None else 0), reverse=descending)
+    return rows
+
+
 def assert_same(df, con, sql):
     columns, rows = spark_rows(df)
     expected_columns, expected = oracle_rows(con, sql)

@@ -47,7 +47,7 @@ def test_second_load_is_a_no_op(spark, tmp_path):
     assert first.digest == again.digest == sealed(frame(spark, rows))[1]
     assert ingest.stored_digest(spark, root) == changed.digest
     history = ingest.load_history(spark, root).orderBy("batch").collect()
-    assert [(r.record_count, r.data_format) for r in history] == [(2, "csv"), (3, "parquet")]
+    assert [(r.record_count, r.data_format) for r in history] == [(2, "parquet"), (3, "parquet")]
     latest = ingest.read_latest(spark, root)
     assert latest.count() == 3 and set(audit.AUDIT_COLUMNS) <= set(latest.columns)
 
@@ -55,7 +55,7 @@ def test_second_load_is_a_no_op(spark, tmp_path):
 def test_a_batch_without_manifest_is_not_seen(spark, tmp_path):
     root = str(tmp_path / "d")
     ingest.ingest_if_changed(frame(spark, [(1, "a")]), root, SOURCE, clock=clock(1))
-    files.write_csv(frame(spark, [(9, "half")]), ingest.batch_path(root, "20991231_000000_000000"))
+    files.write_parquet(frame(spark, [(9, "half")]), ingest.batch_path(root, "20991231_000000_000000"))
     assert [r.name for r in ingest.read_latest(spark, root).collect()] == ["a"]
 
 
@@ -109,7 +109,7 @@ def test_versions(spark, tmp_path):
 def test_a_second_writer_takes_the_next_version(spark, tmp_path, monkeypatch):
     table = str(tmp_path / "t")
     versions.write_version(frame(spark, [(1, "a")]), table)
-    monkeypatch.setattr(versions, "current_version", lambda *_: -1)  # both saw an empty log
+    monkeypatch.setattr(versions, "next_version", lambda *_: 0)  # both saw an empty log
     late = versions.write_version(frame(spark, [(2, "b")]), table)
     assert late.version == 1
     assert versions.read_version(spark, table, 0).first().name == "a"
@@ -121,6 +121,8 @@ def test_bad_log_entries_are_skipped(spark, tmp_path):
     versions.write_version(frame(spark, [(1, "a")]), table)
     objects.write_text(spark, f"{table}/log/00000005.json", '{"version": 5, "timest')
     assert [r.version for r in versions.history(spark, table).collect()] == [0]
+    assert versions.current_version(spark, table) == 0
+    assert versions.read_version(spark, table).first().name == "a"
     assert versions.write_version(frame(spark, [(1, "b")]), table).version == 6
 
 
@@ -137,6 +139,53 @@ def test_csv_roundtrip_keeps_text(spark, tmp_path):
     assert back == {("a,b", ' "q" '), (None, None), ("é", "x\ty")}
 
 
+BROKEN = [
+    (1, "two\nlines"), (2, "a\r\nb"), (3, 'q"uo,te"\r'), (4, "\\n is no break, \\ nor \\\\s"), (5, " pad "), (6, None), (7, "\n"),
+]
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_landing_keeps_line_breaks(spark, tmp_path, fmt):
+    rows = spark.createDataFrame([(str(k), name) for k, name in BROKEN], "k string, name string")
+    before = sealed(rows)
+    root = str(tmp_path / fmt)
+    assert ingest.ingest_if_changed(rows, root, SOURCE, fmt=fmt, clock=clock(1)).records == len(BROKEN)
+    back = ingest.read_latest(spark, root).drop(*audit.AUDIT_COLUMNS)
+    assert sealed(back) == before
+    assert files.count_in_place(spark, ingest.batch_path(root, ingest.latest_batch(spark, root)), fmt).first()[0] == len(BROKEN)
+
+
+def test_fallback_where_the_primary_is_hollow(spark, tmp_path):
+    files.write_csv(frame(spark, [(1, "a")]), str(tmp_path / "alt"))
+    files.write_csv(frame(spark, []), str(tmp_path / "hollow"))
+    read = files.read_with_fallback(spark, str(tmp_path / "hollow"), str(tmp_path / "alt"), ["k", "name"])
+    assert [tuple(r) for r in read.collect()] == [("1", "a")]
+
+
+def test_inventory_and_what_it_leaves_out(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("x")
+    (tmp_path / "empty.txt").write_text("")
+    (tmp_path / "_m.txt").write_text("yy")
+    names = [r.path.rsplit("/", 1)[1] for r in objects.inventory(spark, str(tmp_path)).collect()]
+    assert names == ["a.txt"]
+    every = objects.every_object(spark, str(tmp_path)).collect()
+    assert [(r.path.rsplit("/", 1)[1], r.length) for r in every] == [("_m.txt", 2), ("a.txt", 1), ("empty.txt", 0)]
+    assert every[0].modification_time is not None
+
+
+def test_a_commit_names_one_version_of_each_table(spark, tmp_path):
+    root = str(tmp_path)
+    with pytest.raises(LookupError):
+        versions.read_tables(spark, root)
+    a = versions.write_version(frame(spark, [(1, "a")]), f"{root}/x").version
+    assert versions.commit_tables(spark, root, {"x": a}) == 0
+    versions.write_version(frame(spark, [(2, "b")]), f"{root}/x")  # not committed with the others
+    objects.write_text(spark, f"{root}/commits/00000001.json", '{"version": 1, "tab')
+    assert versions.read_tables(spark, root)["x"].first().name == "a"
+    assert versions.commit_tables(spark, root, {"x": 1}) == 2
+    assert versions.read_tables(spark, root)["x"].first().name == "b"
+
+
 def test_fallback_checks_columns(spark, tmp_path):
     files.write_csv(frame(spark, [(1, "a")]), str(tmp_path / "alt"))
     read = files.read_with_fallback(spark, str(tmp_path / "no"), str(tmp_path / "alt"), ["k", "name"])

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from oracle import DATA
-from strata.catalog import star
+from strata.catalog import QUERIES, star
 from strata.operators import clean as C
 from strata.operators import joins as J
+from strata.operators.graph import optionals
 from strata.plans import analytics as A
 
 SF = f"{DATA}/sf0.001"
@@ -21,7 +22,7 @@ def plan(df):
     )
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_and_no_row_products(spark, name):
     text = plan(entry.queries()[name](spark, SF))
     assert not re.search(r"Python|CartesianProduct|InPandas|InArrow|ExistingRDD", text)
@@ -71,6 +72,30 @@ def test_lag_is_computed_once(spark):
     assert len(re.findall(r"lag\(gdp_current_price", text)) == 1
 
 
+def test_a_hot_subject_is_split_in_every_join_of_a_chain(spark):
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.files.maxPartitionBytes": "64k",
+    }
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        cold = spark.range(2000).select(F.concat(F.lit("s"), "id").alias("s"))
+        hot = spark.range(0, 40000, 1, 8).select(
+            F.lit("s1").alias("s"), F.lit("p1").alias("p"), F.sha2(F.col("id").cast("string"), 256).alias("o"), F.lit(None).cast("string").alias("lang"))
+        rest = [cold.select("s", F.lit(p).alias("p"), F.concat(F.lit(p), "s").alias("o"), F.lit(None).cast("string").alias("lang")) for p in ("p2", "p3")]
+        triples = hot.unionByName(rest[0]).unionByName(rest[1])
+        found = optionals(cold, triples, {"a": ("p1", None), "b": ("p2", None), "c": ("p3", None)})
+        assert len(found.collect()) == 40000 + 1999
+        final = found._jdf.queryExecution().executedPlan().toString()
+        assert final.split("Initial Plan")[0].count("skew=true") >= 3
+    finally:
+        for key in conf:
+            spark.conf.unset(key)
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
 def test_large_sides_are_not_broadcast_by_hint(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:

@@ -3,6 +3,8 @@
 import json
 
 import pytest
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from strata.lake import ingest
@@ -10,6 +12,9 @@ from strata.lake.versions import current_version
 from strata.plans import analytics as A
 from strata.plans import gold as G
 from strata.plans import medallion as M
+from strata.sources import objects
+from strata.sources import responses as R
+from strata.workspace import application_scratch
 from strata.plans.silver import clean_entities, clean_gdp, clean_population, rejected_population
 
 SOURCE = {"source_name": "s", "source_url": "u", "api_version": "v1", "operator_id": "o"}
@@ -207,6 +212,42 @@ def test_entities_fall_back_to_a_csv(spark, tmp_path):
     assert [(r.wikidata_qid, r.iso_code, r.area_km2) for r in rows] == [("Q9", "ID-BA", None)]
 
 
+@pytest.mark.parametrize("content", ['{"results": {"bindings": []}}', '{"results": {"bind'])
+def test_entities_fall_back_where_the_results_are_empty_or_damaged(spark, tmp_path, content):
+    (tmp_path / "raw").mkdir()
+    (tmp_path / "raw" / "r.json").write_text(content)
+    (tmp_path / "f.csv").write_text(",".join(M.BINDING_COLUMNS.values()) + "\nQ9,Bali,Bali,ID-BA,,,NA,,,,\n")
+    rows = M.entity_batch(spark, str(tmp_path / "raw"), str(tmp_path / "f.csv")).collect()
+    assert [r.wikidata_qid for r in rows] == ["Q9"]
+
+
+def test_the_flow_over_lines_refuses_damaged_responses_and_cleans_up(spark, tmp_path):
+    raw, root = tmp_path / "raw", str(tmp_path / "lake")
+    labels = {"3100": "DKI JAKARTA"}
+    files = {
+        "wikidata_provinces/r.json": [{"results": {"bindings": [
+            {"qid": {"value": "Q1"}, "nameID": {"value": "Jakarta"}, "isoCode": {"value": "ID-JK"}}]}}],
+        "bps_pdrb/th=119/r.json": [cube(119, {("3100", m): v}, labels) for m, v in (("530", 2.5), ("531", 1.5), ("999", 9.0))],
+        "bps_populasi/tahun=2019/r.json": [people([("3100000", "DKI JAKARTA", "10,5")])],
+    }
+    for path, payloads in files.items():
+        (raw / path).parent.mkdir(parents=True)
+        (raw / path).write_text("".join(json.dumps(p) + "\n" for p in payloads))
+    cubes = raw / "bps_pdrb/th=119/r.json"
+    good = cubes.read_text()
+    cubes.write_text(good + good[:40] + "\n")
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        M.land(spark, str(raw), root, years=[2019], one_per_file=False)
+    bad = R.rejected_responses(spark, str(raw / "bps_pdrb"), R.CUBE_SCHEMA, one_per_file=False).collect()
+    assert [r.text for r in bad] == [good[:40]]
+    cubes.write_text(good)
+    loads = M.run_flow(spark, str(raw), root, years=[2019], one_per_file=False)
+    assert {r.records for r in loads.values()} == {1}
+    facts = M.read_gold(spark, root)["fact_economics"].collect()
+    assert [(r.gdp_current_price, r.gdp_constant_price, r.population) for r in facts] == [(2.5, 1.5, 10500)]
+    assert not objects.exists(spark, application_scratch(spark))
+
+
 def test_every_refresh_is_a_new_silver_version(spark, lake):
     root, _, _ = lake
     before = current_version(spark, f"{root}/silver/bps_pdrb")
