@@ -17,7 +17,8 @@ def crc(i):
     return zlib.crc32(("" if i is None else str(i)).encode()) % 5 == 1
 
 
-HELD = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 1
+def held():
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 1
 
 
 def check_base(rows, documents):
@@ -34,18 +35,18 @@ def check_base(rows, documents):
 
 def test_scores_of_documents(spark):
     documents = spark.read.parquet(table_path(DOCS, "documents"))
-    rows = mixing.score_documents(documents, HELD).collect()
+    rows = mixing.score_documents(documents, held()).collect()
     check_base(rows, [tuple(r) for r in documents.select("doc_id", "text").collect()])
     assert all(r["score"] < 0 for r in rows)
     assert sum(r["score"] for r in rows) > sum(r["base_score"] for r in rows)
 
 
 def test_scores_of_odd_rows(odd, odd_rows, none):
-    rows = mixing.score_documents(odd, HELD).collect()
+    rows = mixing.score_documents(odd, held()).collect()
     check_base(rows, [(i, t) for i, t, _ in odd_rows])
     again = {(r["doc_id"], r["score"]) for r in rows if r["doc_id"] == 9}
     assert len(again) == 1
-    assert mixing.score_documents(none, HELD).collect() == []
+    assert mixing.score_documents(none, held()).collect() == []
 
 
 def test_scores_without_training(odd, odd_rows):
