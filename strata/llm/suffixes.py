@@ -14,10 +14,11 @@ One array of a whole corpus has no place in a cluster, so the text is cut where
    What is left, once per distinct stretch, are stretches with an anchor in common but other bytes
    around it.
 3. Window hashes, grouped before they are shuffled, tell which of those may share a window and
-   with which stretch: at most two stand for all that share it, so a hot passage gives each of its
-   stretches one or two partners and not all.
-4. A partner and up to ``MEMBERS`` of its stretches make one text. Its suffix array puts equal
-   windows next to each other, where their bytes are compared.
+   with which stretch: the smallest stands for all that share it, so a hot passage gives each of
+   its stretches one partner and not all. Hashes of what ``CELL`` neighbouring windows have in
+   common tell before which windows are worth hashing.
+4. A partner and up to ``MEMBERS`` of its stretches, as far as they may share anything, make one
+   text. Its suffix array puts equal windows next to each other, where their bytes are compared.
 
 Defined results: null text counts as empty and removes nothing; texts shorter than ``LENGTH`` bytes
 remove nothing; repeated rows count as separate texts, so each makes the other's windows repeated;
@@ -28,6 +29,7 @@ table gives an empty table. Other columns of the input are neither needed nor re
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +42,7 @@ from strata.workspace import materialize
 LENGTH = 200
 ANCHOR = 64
 MEMBERS = 128
+CELL = 8  # windows that are first compared by what they all hold
 
 
 def suffix_array(text) -> list[int]:
@@ -58,38 +61,56 @@ def suffix_array(text) -> list[int]:
     end = n - 1
     while end > 0:
         start = group[array[end]]
-        counts: dict[int, int] = {}
-        for s in sorted(array[start : end + 1]) if start < end else (array[end],):
+        if start == end:
+            p = array[end] - 1
+            while p >= 0 and group[p] >= start:
+                p = before[p]
+            before[array[end]] = p
+            end = start - 1
+            if p >= 0:  # a group of one moves one suffix
+                g = group[p]
+                size[g] = left = size[g] - 1
+                last = g + left
+                other, at = array[last], place[p]
+                array[at], place[other] = other, at
+                array[last], place[p] = p, last
+                group[p], size[last] = last, 1
+            continue
+        ahead = []
+        for s in sorted(array[start : end + 1]):
             p = s - 1
             while p >= 0 and group[p] >= start:
                 p = before[p]
             before[s] = p
             if p >= 0:
-                counts[p] = counts.get(p, 0) + 1
-        if len(counts) == 1:
-            batches = [list(counts)]
-        else:
+                ahead.append(p)
+        end = start - 1
+        if len(ahead) < 2 or len(set(ahead)) == len(ahead):
+            batches = (ahead,)
+        else:  # more members ahead of a smaller suffix: higher in its old group
             by_count: dict[int, list[int]] = {}
-            for p, count in counts.items():
+            for p, count in Counter(ahead).items():
                 by_count.setdefault(count, []).append(p)
             batches = [by_count[c] for c in sorted(by_count, reverse=True)]
-        for batch in batches:  # more members ahead of a smaller suffix: higher in its old group
-            old = [group[p] for p in batch]
-            for p, g in zip(batch, old):
-                size[g] -= 1
-                last = g + size[g]
+        for batch in batches:
+            heads = {}
+            for p in batch:
+                g = group[p]
+                size[g] = left = size[g] - 1
+                heads[g] = last = g + left
                 other, at = array[last], place[p]
                 array[at], place[other] = other, at
                 array[last], place[p] = p, last
-            moved: dict[int, int] = {}
-            for p, g in zip(batch, old):
-                moved[g] = moved.get(g, 0) + 1
-            heads = {g: g + size[g] for g in moved}
-            for p, g in zip(batch, old):
-                group[p] = heads[g]
-            for g, count in moved.items():
-                size[heads[g]] = count
-        end = start - 1
+            for p in batch:
+                group[p] = heads[group[p]]
+            if len(heads) == len(batch):
+                for head in heads.values():
+                    size[head] = 1
+            else:
+                for p in batch:
+                    size[group[p]] = 0
+                for p in batch:
+                    size[group[p]] += 1
     out, head = [n - 1] * n, list(range(n))
     for i in range(n):
         s = out[i]
@@ -164,7 +185,7 @@ def _keyed(df: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def stretches(source: DataFrame) -> DataFrame:
-    """``start``, number of ``windows``, ``anchor`` and ``stretch`` (digests) in every text."""
+    """``start``, number of ``windows``, place of the anchor (``lead``), ``anchor`` and ``stretch`` (digests) in every text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
@@ -177,15 +198,15 @@ def stretches(source: DataFrame) -> DataFrame:
             whole = (whole ^ (key * np.uint64(0x9E3779B97F4A7C15))) + (place - first).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
             yield pa.RecordBatch.from_arrays(
                 [*(batch[c].take(pa.array(row)) for c in ROW), pa.array((first - at[row]).astype(np.int32)),
-                 pa.array(count.astype(np.int16)), pa.array(key.view(np.int64)), pa.array(whole.view(np.int64))],
-                [*ROW, "start", "windows", "anchor", "stretch"])
+                 pa.array(count.astype(np.int16)), pa.array((place - first).astype(np.int16)), pa.array(key.view(np.int64)), pa.array(whole.view(np.int64))],
+                [*ROW, "start", "windows", "lead", "anchor", "stretch"])
 
-    return source.mapInArrow(run, "doc_id long, row_digest long, start int, windows short, anchor long, stretch long")
+    return source.mapInArrow(run, "doc_id long, row_digest long, start int, windows short, lead short, anchor long, stretch long")
 
 
 def _texts_of(wanted: DataFrame, source: DataFrame) -> DataFrame:
-    """``stretch`` and its ``bytes``, read from the row that stands for it."""
-    asked = wanted.groupBy(*ROW).agg(F.collect_list(F.struct("start", "windows", "stretch")).alias("asked"))
+    """``stretch``, its ``lead`` and its ``bytes``, read from the row that stands for it."""
+    asked = wanted.groupBy(*ROW).agg(F.collect_list(F.struct("start", "windows", "lead", "stretch")).alias("asked"))
     asked = asked.select(F.col("doc_id").alias("id"), F.col("row_digest").alias("digest"), "asked")
     rows = source.join(asked, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("row_digest") == F.col("digest")))
 
@@ -196,71 +217,109 @@ def _texts_of(wanted: DataFrame, source: DataFrame) -> DataFrame:
                 starts = asked.field("start").to_numpy()
                 ends = starts + asked.field("windows").to_numpy() + (LENGTH - 1)
                 found = [body[int(a) : int(b)].to_pybytes() for a, b in zip(starts, ends)]
-                yield pa.RecordBatch.from_arrays([asked.field("stretch"), pa.array(found, pa.binary())], ["stretch", "bytes"])
+                yield pa.RecordBatch.from_arrays([asked.field("stretch"), asked.field("lead"), pa.array(found, pa.binary())], ["stretch", "lead", "bytes"])
 
-    flat = rows.select("body", "asked").mapInArrow(run, "stretch long, bytes binary")
-    return flat.groupBy("stretch").agg(F.min("bytes").alias("bytes"))
+    flat = rows.select("body", "asked").mapInArrow(run, "stretch long, lead short, bytes binary")
+    return flat.groupBy("stretch", "lead").agg(F.min("bytes").alias("bytes"))
 
 
-def _partners(texts: DataFrame) -> DataFrame:
-    """``stretch`` and ``partner``: pairs that may share a window, by window hashes."""
+def _strings(texts: DataFrame, length: int, step: int, mask: str | None = None) -> DataFrame:
+    """``stretch``, ``cell``, ``at`` and ``string``: hashes of substrings of the texts.
+
+    Windows are known by how far they begin before the anchor, and ``step`` neighbours make a cell.
+    With ``step`` above 1 there is one string per cell, the ``length`` bytes that all its windows
+    hold; else one per window, of the cells that ``mask`` names.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
         for batch in slices(batches, "bytes"):
             flat, at = flat_bytes(batch["bytes"])
-            counts = np.maximum(np.diff(at) - LENGTH + 1, 0)
-            place = spans(at[:-1], counts)
-            found = powers.hashes(flat, place, np.full(len(place), LENGTH))
-            owner = np.repeat(batch["stretch"].to_numpy(zero_copy_only=False), counts)
-            yield pa.RecordBatch.from_arrays([pa.array(owner), pa.array(found.view(np.int64))], ["stretch", "window"])
+            windows = np.maximum(np.diff(at) - LENGTH + 1, 0)
+            lead = batch["lead"].to_numpy(zero_copy_only=False).astype(np.int64)
+            owner = np.repeat(np.arange(len(windows)), windows)
+            place = spans(np.zeros(len(windows), np.int64), windows)
+            cell = (lead[owner] - place) // CELL
+            if mask is None:
+                new = np.append(True, (np.diff(cell) != 0) | (np.diff(owner) != 0))[: len(cell)]
+                owner, cell = owner[new], cell[new]
+                place = lead[owner] - cell * CELL
+            else:
+                wanted = batch[mask].to_numpy(zero_copy_only=False)
+                keep = (wanted[owner] >> cell) & 1 == 1
+                owner, cell, place = owner[keep], cell[keep], place[keep]
+            found = powers.hashes(flat, at[owner] + place, np.full(len(place), length))
+            found = found ^ (cell.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+            yield pa.RecordBatch.from_arrays(
+                [batch["stretch"].take(pa.array(owner)), pa.array(cell.astype(np.int8)), pa.array(place.astype(np.int16)),
+                 pa.array(found.view(np.int64))], ["stretch", "cell", "at", "string"])
+
+    return texts.mapInArrow(run, "stretch long, cell byte, at short, string long")
+
 
-    windows = texts.mapInArrow(run, "stretch long, window long")
-    ends = windows.groupBy("window").agg(F.min("stretch").alias("p"), F.max("stretch").alias("q")).where("p <> q")
-    partner = F.when(F.col("stretch") == F.col("p"), F.col("q")).otherwise(F.col("p"))
-    return windows.join(ends, "window").select("stretch", partner.alias("partner")).distinct()
+def _partners(texts: DataFrame) -> DataFrame:
+    """``stretch``, ``partner`` and the windows ``first`` to ``last`` of the stretch that they may share.
+
+    The partner is the smallest stretch with a window, also of itself. What all windows of a cell
+    hold is compared first, so windows are hashed only where it recurs.
+    """
+    def shared(strings: DataFrame) -> DataFrame:
+        ends = strings.groupBy("string").agg(F.min("stretch").alias("partner"), F.max("stretch").alias("most"))
+        return strings.join(ends.where("partner <> most").select("string", "partner"), "string")
+
+    cells = shared(_strings(texts, LENGTH - CELL + 1, CELL).drop("at"))
+    cells = cells.groupBy("stretch").agg(F.bit_or(F.expr("shiftleft(1L, cell)")).alias("cells"))
+    some = materialize(texts.join(cells, "stretch"), "recurring")
+    return shared(_strings(some, LENGTH, 1, "cells").drop("cell")).groupBy("stretch", "partner").agg(
+        F.min("at").cast("int").alias("first"), F.max("at").cast("int").alias("last"))
 
 
 def _shared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """``stretch`` and the windows ``first`` to ``last`` of it that also start elsewhere."""
-    heads = pairs.groupBy("partner").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("parts"))
-    dealt = pairs.join(heads, "partner").select("partner", F.pmod(F.xxhash64("stretch"), F.col("parts")).cast("int").alias("part"), "stretch")
-    members = dealt.join(texts, "stretch").select("partner", "part", F.lit(1).alias("kind"), "stretch", "bytes")
-    heads = heads.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).join(
-        texts.withColumnRenamed("stretch", "partner"), "partner")
-    heads = heads.select("partner", "part", F.lit(0).alias("kind"), F.col("partner").alias("stretch"), "bytes")
-    rows = members.unionByName(heads).repartition("partner", "part").sortWithinPartitions("partner", "part", "kind", "stretch")
-
-    def solve(names: list[int], texts: list[np.ndarray]) -> Iterator[tuple[int, int, int]]:
-        for name, hit in list(zip(names, repeated_windows(texts)))[1:]:
-            edge = np.diff(np.concatenate([[0], hit.astype(np.int8), [0]]))
-            for a, b in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)):
-                yield name, int(a), int(b) - 1
+    """``stretch`` and the windows ``first`` to ``last`` of it that also start elsewhere.
+
+    ``pairs`` hold each partner once as its own. Only the bytes that a pair may share are read.
+    """
+    members, heads = pairs.where("stretch <> partner"), pairs.where("stretch = partner")
+    parts = members.groupBy("partner").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("parts"))
+    part = F.pmod(F.xxhash64("stretch"), F.col("parts")).cast("int")
+    dealt = members.join(parts, "partner").select("partner", part.alias("part"), F.lit(1).alias("kind"), "stretch", "first", "last")
+    heads = heads.join(parts, "partner").select(
+        "partner", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("kind"), "stretch", "first", "last")
+    cut = F.substring("bytes", F.col("first") + 1, F.col("last") - F.col("first") + LENGTH)
+    rows = dealt.unionByName(heads).join(texts, "stretch").select("partner", "part", "kind", "stretch", "first", cut.alias("bytes"))
+    rows = rows.repartition("partner", "part").sortWithinPartitions("partner", "part", "kind", "stretch")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names: list[int] = []
+        names: list[tuple[int, int]] = []
         texts: list[np.ndarray] = []
+        found: list[tuple[int, int, int]] = []
+
+        def solve() -> None:
+            for (name, first), hit in zip(names, repeated_windows(texts)):
+                edge = np.flatnonzero(np.diff(hit, prepend=False, append=False)).tolist()
+                found.extend((name, first + a, first + b - 1) for a, b in zip(edge[::2], edge[1::2]))
 
-        def emit(found) -> pa.RecordBatch:
-            found = list(found)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([f[i] for f in found], t) for i, t in enumerate((pa.int64(), pa.int32(), pa.int32()))],
-                ["stretch", "first", "last"])
+        def emit() -> pa.RecordBatch:
+            columns = [pa.array([f[i] for f in found], t) for i, t in enumerate((pa.int64(), pa.int32(), pa.int32()))]
+            found.clear()
+            return pa.RecordBatch.from_arrays(columns, ["stretch", "first", "last"])
 
         for batch in batches:
-            for kind, name, body in zip(batch["kind"].to_pylist(), batch["stretch"].to_pylist(), batch["bytes"]):
+            for kind, name, first, body in zip(*(batch[c].to_pylist() for c in ("kind", "stretch", "first")), batch["bytes"]):
                 # a head starts a new text; so does too large a share of one, which keeps its head
                 if kind == 0:
                     if len(texts) > 1:
-                        yield emit(solve(names, texts))
-                    names, texts = [], []
+                        solve()
+                    names[:], texts[:] = [], []
                 elif len(texts) > 2 * MEMBERS:
-                    yield emit(solve(names, texts))
-                    names, texts = names[:1], texts[:1]
-                names.append(name)
+                    solve()
+                    names[:], texts[:] = names[:1], texts[:1]
+                names.append((name, first))
                 texts.append(np.frombuffer(body.as_buffer(), np.uint8).copy())
+            yield emit()
         if len(texts) > 1:
-            yield emit(solve(names, texts))
+            solve()
+        yield emit()
 
     return rows.mapInArrow(run, "stretch long, first int, last int")
 
@@ -270,14 +329,19 @@ def repeated_bytes(df: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     source = _keyed(df, doc_id, text)
     every = materialize(stretches(source), "stretches")
     keys = every.groupBy("anchor").agg(F.min("stretch").alias("x"), F.max("stretch").alias("y"), F.count("*").alias("n"))
-    some = every.join(keys.where("n > 1"), "anchor").select(*ROW, "start", "windows", "stretch", (F.col("x") != F.col("y")).alias("mixed"))
+    some = every.join(keys.where("n > 1"), "anchor").select(*ROW, "start", "windows", "lead", "stretch", (F.col("x") != F.col("y")).alias("mixed"))
     some = materialize(some, "candidates")
     kinds = materialize(
-        some.groupBy("stretch").agg(F.count("*").alias("n"), F.max("mixed").alias("mixed"), F.min(F.struct(*ROW, "start", "windows")).alias("r"))
+        some.groupBy("stretch").agg(F.count("*").alias("n"), F.max("mixed").alias("mixed"), F.min(F.struct(*ROW, "start", "windows", "lead")).alias("r"))
         .select("stretch", "n", "mixed", "r.*"), "kinds")
     texts = materialize(_texts_of(kinds.where("mixed"), source), "texts")
-    pairs = _partners(texts).join(kinds.where("mixed AND n = 1").select("stretch"), "stretch", "left_semi")
-    shared = _shared(materialize(pairs, "pairs"), texts)
+    # two stretches that occur several times each repeat wholly, whatever they share
+    once = kinds.where("mixed AND n = 1").select(F.col("stretch").alias("alone"))
+    pairs = materialize(_partners(texts), "pairs")
+    alone = pairs.join(once, F.col("stretch") == F.col("alone"), "left_semi")
+    served = pairs.join(once, F.col("stretch") == F.col("alone"), "left_anti").join(once, F.col("partner") == F.col("alone"), "left_semi")
+    own = pairs.where("stretch = partner").join(once, F.col("stretch") == F.col("alone"), "left_anti")
+    shared = _shared(materialize(alone.unionByName(served).unionByName(own), "wanted"), texts)
     whole = kinds.where("n > 1").select("stretch", F.lit(0).alias("first"), (F.col("windows") - 1).cast("int").alias("last"))
     ranges = materialize(shared.unionByName(whole), "ranges")
     pieces = some.join(ranges, "stretch").select(
