@@ -49,7 +49,8 @@ SCALE = 16.0  # table cells are log odds times this, in one byte
 # start weights by (word so far seen, longest order seen), for the orders and the word
 START = np.array([[1.0, 0.0, 0.0], [0.4, 0.6, 0.0], [0.4, 0.0, 0.6], [0.2, 0.3, 0.6]], np.float32)
 TOKEN_SLICE = 8 << 20
-COUNT_BYTES = 4 << 20  # texts counted at a time
+COUNT_BYTES = SCORE_BYTES = 1 << 19  # texts counted and scored at a time
+COUNT_MOST = 1 << 31  # decisions that a task counts before it sends what it has
 
 _RANDOM = np.random.default_rng(2)
 ORDER_FACTORS = _RANDOM.integers(1, 1 << 62, BEFORE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -113,21 +114,29 @@ class Decisions(NamedTuple):
     """The binary decisions of some texts."""
 
     contexts: list[np.ndarray]  # hash of every symbol's context, by table
-    owner: np.ndarray  # symbol that a decision belongs to
-    offset: np.ndarray  # what its tree node adds to the hash
+    lengths: np.ndarray  # decisions of every symbol
+    offset: np.ndarray  # what the tree node of a decision adds to the hash
     bits: np.ndarray
     counts: np.ndarray  # decisions of each text
 
+    def places(self, table: int, size: int) -> np.ndarray:
+        """The place of every decision in a table of so many cells, a power of two."""
+        found = np.repeat(self.contexts[table], self.lengths)
+        found += self.offset
+        found &= size - 1
+        return found
+
 
 def decisions(flat: np.ndarray, at: np.ndarray, code: Code, powers: Powers) -> Decisions:
     """All decisions of the texts, with the hash of each context."""
     symbols, place = _symbols(flat, at)
-    mixed = symbols.astype(np.uint64) + np.uint64(1)
-    contexts, rolled = [], np.zeros(len(place), np.uint64)
+    mixed = symbols.astype(np.uint64)
+    mixed += np.uint64(1)
+    contexts, rolled = [], np.zeros(len(mixed), np.uint64)
     for back in range(1, max(ORDERS) + 1):
-        rolled = rolled + mixed[place - back] * ORDER_FACTORS[back - 1]
+        rolled[back:] += mixed[:-back] * ORDER_FACTORS[back - 1]
         if back in ORDERS:
-            contexts.append(rolled)
+            contexts.append(rolled[place])
     # the word so far: from behind the last white space, in lower case
     folded = np.where(symbols < 256, LOWER[np.minimum(symbols, 255)], 32).astype(np.uint8)
     behind = np.maximum.accumulate(np.where(WHITE[folded], np.arange(len(symbols)), 0))
@@ -135,13 +144,13 @@ def decisions(flat: np.ndarray, at: np.ndarray, code: Code, powers: Powers) -> D
     contexts.append(powers.hashes(folded, begin, place - begin))
     contexts = [((c ^ (c >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(24)).astype(np.int64) for c in contexts]
     pair = symbols[place - 1] * SYMBOLS + symbols[place]
-    length = code.length[pair]
-    ends = np.cumsum(length)
-    owner = np.repeat(np.arange(len(place)), length)
-    step = np.arange(len(owner)) + (code.begin[pair] - (ends - length))[owner]
+    lengths = code.length[pair]
+    ends = np.cumsum(lengths)
+    step = np.repeat(code.begin[pair] - (ends - lengths), lengths)
+    step += np.arange(len(step))
     last = np.cumsum(np.diff(at) + 1)
     counts = np.diff(np.concatenate([[0], ends[last - 1]])) if len(last) else np.zeros(0, np.int64)
-    return Decisions(contexts, owner, code.offset[step], code.bit[step], counts)
+    return Decisions(contexts, lengths, code.offset.take(step), code.bit.take(step), counts)
 
 
 class Model(NamedTuple):
@@ -216,16 +225,21 @@ def fit(training: DataFrame) -> Model:
     shared = training.sparkSession.sparkContext.broadcast(code)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers, code = Powers(), shared.value
-        counts = [np.zeros(2 << bits, np.int64) for bits in TABLE_BITS]
+        powers, code, part = Powers(), shared.value, TaskContext.get().partitionId()
+        counts = [np.zeros(2 << bits, np.uint32) for bits in TABLE_BITS]
+        made = 0
         for batch in slices(batches, "body", COUNT_BYTES):
             found = decisions(*flat_bytes(batch["body"]), code, powers)
-            low = 2 * found.offset + found.bits
-            for table, context in zip(counts, found.contexts):
-                table += np.bincount(((2 * context)[found.owner] + low) & (len(table) - 1), minlength=len(table))
-        part = TaskContext.get().partitionId()
-        for segment in _segments(counts):
-            yield _segment_batch([(segment[0], part, *segment[1:])])
+            if made + len(found.bits) > COUNT_MOST:
+                yield from (_segment_batch([(segment[0], part, *segment[1:])]) for segment in _segments(counts))
+                counts, made = [np.zeros_like(table) for table in counts], 0
+            made += len(found.bits)
+            for i, table in enumerate(counts):
+                place = found.places(i, len(table) // 2)
+                place *= 2
+                place += found.bits
+                np.add.at(table, place, np.uint32(1))
+        yield from (_segment_batch([(segment[0], part, *segment[1:])]) for segment in _segments(counts))
 
     partial = training.mapInArrow(count, SEGMENT_SCHEMA)
     summed = _sum_segments(_sum_segments(partial, F.floor(F.col("salt") / 64)), F.lit(0).cast("long"))
@@ -251,8 +265,9 @@ def fit(training: DataFrame) -> Model:
 
 def mix(found: Decisions, tables: list[np.ndarray]) -> np.ndarray:
     """The natural log probability of each text."""
-    cells = [table[(context[found.owner] + found.offset) & (len(table) - 1)] for table, context in zip(tables, found.contexts)]
-    gates = ((cells[-2] != 0) + 2 * (cells[-1] != 0)).astype(np.int32)
+    cells = [table.take(found.places(i, len(table))) for i, table in enumerate(tables)]
+    gates = (cells[-2] != 0).view(np.int8) + 2 * (cells[-1] != 0).view(np.int8)
+    signs = (2 * found.bits - 1).astype(np.int8)
     # every text in stretches, the longest first, so that lanes of a group end together
     pieces = -(-found.counts // STRETCH)
     owner = np.repeat(np.arange(len(found.counts)), pieces)
@@ -261,40 +276,41 @@ def mix(found: Decisions, tables: list[np.ndarray]) -> np.ndarray:
     length = np.minimum(found.counts[owner] - part * STRETCH, STRETCH)
     order = np.argsort(-length, kind="stable")
     result = np.zeros(len(found.counts))
-    sets = len(START)
+    sets, column = len(START), np.arange(STEP)
     for at in range(0, len(order), LANES):
         lanes = order[at : at + LANES]
-        left = length[lanes]
-        steps = np.arange(-(-int(left[0]) // STEP) * STEP)
-        valid = steps < left[:, None]
-        place = np.where(valid, begin[lanes, None] + steps, 0)
-        inputs = [c[place] * np.float32(1 / SCALE) for c in cells]
-        sign = np.where(valid, SIGNS[found.bits[place]], np.float32(0))
-        which = gates[place] + np.arange(len(lanes), dtype=np.int32)[:, None] * sets
-        weights = [np.tile(START[:, k], len(lanes)) for k in range(len(cells))]
-        chance = np.ones_like(sign)
-        ends = -(-left // STEP)
-        for t in range(0, len(steps), STEP):
-            live = int(np.searchsorted(-ends, -(t // STEP), side="left"))
-            now = (slice(live), slice(t, t + STEP))
-            own, mark = which[now], sign[now]
-            score = inputs[0][now] * weights[0][own]
+        left, first, base = length[lanes], begin[lanes, None], np.arange(len(lanes))[:, None] * sets
+        # cells are log odds times SCALE, so weights are divided by it, and their changes twice
+        weights = [np.tile(START[:, k] / np.float32(SCALE), len(lanes)) for k in range(len(cells))]
+        sums, ends = np.zeros(len(lanes)), -(-left // STEP)
+        for t in range(int(ends[0])):
+            live = int(np.searchsorted(-ends, -t, side="left"))
+            place = first[:live] + (t * STEP + column)
+            over = None
+            if left[live - 1] < (t + 1) * STEP:  # decisions behind the end of a stretch count nothing
+                over = t * STEP + column >= left[:live, None]
+                np.minimum(place, len(signs) - 1, out=place)
+            own = gates.take(place) + base[:live]
+            mark = signs.take(place).astype(np.float32)
+            inputs = [c.take(place).astype(np.float32) for c in cells]
+            score = inputs[0] * weights[0].take(own)
             for x, w in zip(inputs[1:], weights[1:]):
-                score += x[now] * w[own]
+                score += x * w.take(own)
             miss = np.exp(np.clip(score, -12, 12, out=score) * -mark)
             hit = 1 / (1 + miss)
-            chance[now] = hit
-            push = (miss * hit * mark * np.float32(RATE)).ravel()
+            chance = np.log(hit)
+            push = miss * hit * mark * np.float32(RATE / SCALE**2)
+            if over is not None:
+                chance[over] = push[over] = 0
+            sums[:live] += chance.sum(axis=1, dtype=np.float64)
             own = own.ravel()
             for x, w in zip(inputs, weights):
-                w[: live * sets] += np.bincount(own, push * x[now].ravel(), live * sets).astype(np.float32)
-        result += np.bincount(owner[lanes], (np.log(chance) * (sign != 0)).sum(axis=1, dtype=np.float64), len(result))
+                x *= push
+                w[: live * sets] += np.bincount(own, x.ravel(), live * sets).astype(np.float32)
+        result += np.bincount(owner[lanes], sums, len(result))
     return result
 
 
-SIGNS = np.array([-1, 1], np.float32)
-
-
 def score_texts(df: DataFrame, model: Model, keep: tuple[str, ...]) -> DataFrame:
     """``keep``, ``score`` (log10 probability) and ``bits_per_byte`` of every ``body``."""
     shared = df.sparkSession.sparkContext.broadcast(model)
@@ -302,7 +318,7 @@ def score_texts(df: DataFrame, model: Model, keep: tuple[str, ...]) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, powers = shared.value, Powers()
-        for batch in slices(batches, "body"):
+        for batch in slices(batches, "body", SCORE_BYTES):
             flat, at = flat_bytes(batch["body"])
             score = mix(decisions(flat, at, model.code, powers), model.tables)
             density = -score / np.log(2) / np.maximum(np.diff(at), 1)
