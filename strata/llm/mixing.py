@@ -49,7 +49,9 @@ SCALE = 16.0  # table cells are log odds times this, in one byte
 # start weights by (word so far seen, longest order seen), for the orders and the word
 START = np.array([[1.0, 0.0, 0.0], [0.4, 0.6, 0.0], [0.4, 0.0, 0.6], [0.2, 0.3, 0.6]], np.float32)
 TOKEN_SLICE = 8 << 20
-COUNT_BYTES = SCORE_BYTES = 1 << 19  # texts counted and scored at a time
+# texts counted and scored at a time: what they need should stay in a cache
+COUNT_BYTES = 1 << 17
+SCORE_BYTES = 1 << 18
 COUNT_MOST = 1 << 31  # decisions that a task counts before it sends what it has
 
 _RANDOM = np.random.default_rng(2)
