@@ -22,6 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from strata.llm.blocks import flat_bytes, lists, slices, table_path, utf8
+from strata.llm.shipping import release
 from strata.workspace import materialize
 
 CUT_BITS = 5  # a border every 32 bytes on average, besides the least length
@@ -100,11 +101,12 @@ def chunks(df: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 def repeated_spans(df: DataFrame, doc_id: str = "doc_id", text: str = "text", min_run: int = MIN_RUN) -> DataFrame:
     """``doc_id``, ``row_digest``, ``starts``, ``ends`` (bytes) and ``n_repeated`` chunks of rows with removals."""
-    every = materialize(chunks(df, doc_id, text).distinct(), "chunks")
+    every = materialize(chunks(df, doc_id, text), "chunks")
     place = F.struct("doc_id", "row_digest", "start")
     first = every.groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
     later = every.join(first, "digest").where(place != F.col("first"))
-    rows = later.groupBy("doc_id", "row_digest").agg(F.sort_array(F.collect_list(F.struct("start", "length"))).alias("hits"))
+    # equal rows of one id have each chunk several times, at one and the same place
+    rows = later.groupBy("doc_id", "row_digest").agg(F.sort_array(F.collect_set(F.struct("start", "length"))).alias("hits"))
     flat = rows.select("doc_id", "row_digest", F.col("hits.start").alias("starts"), F.col("hits.length").alias("lengths"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,7 +128,9 @@ def repeated_spans(df: DataFrame, doc_id: str = "doc_id", text: str = "text", mi
                  pa.array(hits, pa.int32())], ["doc_id", "row_digest", "starts", "ends", "n_repeated"])
             yield found.filter(pa.array(sizes > 0))
 
-    return flat.mapInArrow(run, "doc_id long, row_digest long, starts array<int>, ends array<int>, n_repeated int")
+    found = materialize(flat.mapInArrow(run, "doc_id long, row_digest long, starts array<int>, ends array<int>, n_repeated int"), "spans")
+    release(df.sparkSession)
+    return found
 
 
 def deduplicate(df: DataFrame, doc_id: str = "doc_id", text: str = "text", min_run: int = MIN_RUN) -> DataFrame:
