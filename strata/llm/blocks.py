@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, functions as F
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 
 
 def utf8(column: str | Column) -> Column:

@@ -37,7 +37,9 @@ OTHER, LETTER, NUMBER, SPACE = range(4)
 
 NEVER = np.int64(1) << 40
 SHORT_WORD = 256
-CACHED_WORDS = 300_000
+CACHED_WORDS = 200_000
+ENCODED_BYTES = 1 << 19
+MERGED_CELLS = 1 << 17  # words times letters that are merged at once
 
 
 class Vocabulary(NamedTuple):
@@ -93,7 +95,7 @@ def read_vocabulary(path: str) -> Vocabulary:
 
 
 class Encoder:
-    """A vocabulary with its trie, and the words seen so far. Lives in one worker."""
+    """A vocabulary with its trie, and the words seen so far. Lives in one task, so that idle workers hold none."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
@@ -276,8 +278,8 @@ class Encoder:
         least = 0
         for most in (6, 8, 12, 16, 24, 40, 64):
             words = np.flatnonzero(failing & (lengths > least) & (lengths <= most))
-            for part in range(0, len(words), 1 << 15):
-                some = words[part : part + (1 << 15)]
+            for part in range(0, len(words), MERGED_CELLS // most):
+                some = words[part : part + MERGED_CELLS // most]
                 put(some, *self.merge_all(flat, begins[some], lengths[some]))
             least = most
         for word in np.flatnonzero(failing & (lengths > least)):
@@ -383,7 +385,9 @@ def _char_kinds() -> np.ndarray:
     """Letter, number, white space or other, for every code point."""
     import regex
 
-    every = "".join(map(chr, [*range(0xD800), *[0] * 0x800, *range(0xE000, 0x110000)]))
+    points = np.arange(0x110000, dtype="<u4")
+    points[0xD800:0xE000] = 0
+    every = points.tobytes().decode("utf-32-le")
     kinds = np.full(0x110000, OTHER, np.uint8)
     for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\s+")):
         for match in regex.finditer(pattern, every):
@@ -391,17 +395,6 @@ def _char_kinds() -> np.ndarray:
     return kinds
 
 
-_ENCODERS: dict[int, Encoder] = {}
-
-
-def _encoder(shared) -> Encoder:
-    """The worker's encoder for a broadcast vocabulary."""
-    if id(shared) not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[id(shared)] = Encoder(shared.value)
-    return _ENCODERS[id(shared)]
-
-
 def encode(df: DataFrame, vocabulary_path: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns ``keep`` and ``ids``, the encoding of the whole text. One row per input row.
 
@@ -412,8 +405,8 @@ def encode(df: DataFrame, vocabulary_path: str, text: str = "text", keep: tuple[
     kept = df.select(*keep).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(shared)
-        for batch in slices(batches, "__text"):
+        encoder = Encoder(shared.value)
+        for batch in slices(batches, "__text", ENCODED_BYTES):
             ids, counts = encoder.encode(*flat_bytes(batch.column("__text")))
             columns = [batch.column(name) for name in keep]
             yield pa.RecordBatch.from_arrays([*columns, lists(ids, counts, pa.int32())], [*keep, "ids"])
@@ -470,10 +463,10 @@ def round_trip(df: DataFrame, vocabulary_path: str, text: str = "text", keep: tu
     schema = df.select(*keep).schema.add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(shared)
+        encoder = Encoder(shared.value)
         words = Pieces(shared.value.words)
         decimals = Pieces([b"%d," % i for i in range(encoder.size)])
-        for batch in slices(batches, "__text"):
+        for batch in slices(batches, "__text", ENCODED_BYTES):
             ids, counts = encoder.encode(*flat_bytes(batch["__text"]))
             listed = [hashlib.sha256(t[:-1]).hexdigest() for t in decimals.join(ids, counts)]
             decoded = [t.decode("utf-8", "replace").encode() for t in words.join(ids, counts)]

@@ -129,12 +129,11 @@ class Matcher:
         self.width = lexicon.table.shape[1]
         self.column = np.full(0x110000, self.width - 1, np.int32)
         self.column[lexicon.letters] = np.arange(self.width - 1)
-        points = np.arange(0x110000)
-        self.solid = np.zeros(0x110000, bool)
-        every = "".join(map(chr, points[:0xD800])) + "".join(map(chr, points[0xE000:]))
-        self.solid[np.concatenate([points[:0xD800], points[0xE000:]])] = [c.isalnum() for c in every]
-        self.white = np.zeros(0x110000, bool)
-        self.white[np.concatenate([points[:0xD800], points[0xE000:]])] = [c.isspace() for c in every]
+        points = np.arange(0x110000, dtype="<u4")
+        points[0xD800:0xE000] = 0  # no characters
+        every = points.tobytes().decode("utf-32-le")
+        self.solid = np.fromiter((c.isalnum() for c in every), bool, len(every))
+        self.white = np.fromiter((c.isspace() for c in every), bool, len(every))
 
     def matches(self, texts: list[str]) -> tuple[np.ndarray, ...]:
         """(text, kind, quoted) of each match, and the number of words of each text."""
