@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from strata.llm import bpe, chunks, decontaminate, language, near_duplicates
 from strata.llm.blocks import table_path
-from strata.llm.shipping import ship
+from strata.llm.shipping import shipped
 from strata.workspace import materialize
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -51,11 +51,11 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
-    ("language_id", identify_language),
-    ("near_duplicates", drop_near_duplicates),
-    ("substring_dedup", remove_repeats),
-    ("decontaminate", drop_leaks),
-    ("bpe", tokenize),
+    ("language_id", shipped(identify_language)),
+    ("near_duplicates", shipped(drop_near_duplicates)),
+    ("substring_dedup", shipped(remove_repeats)),
+    ("decontaminate", shipped(drop_leaks)),
+    ("bpe", shipped(tokenize)),
 ]
 
 ORACLE_SQL = None
@@ -63,7 +63,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the whole of ``documents``."""
-    ship(spark)
     docs = spark.read.parquet(table_path(sf_dir, "documents"))
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), name)
