@@ -104,6 +104,8 @@ def repeated_spans(df: DataFrame, doc_id: str = "doc_id", text: str = "text", mi
     every = materialize(chunks(df, doc_id, text), "chunks")
     place = F.struct("doc_id", "row_digest", "start")
     first = every.groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
+    first = materialize(first, "first")  # its shuffle is over before the next begins
+    release(df.sparkSession)
     later = every.join(first, "digest").where(place != F.col("first"))
     # equal rows of one id have each chunk several times, at one and the same place
     rows = later.groupBy("doc_id", "row_digest").agg(F.sort_array(F.collect_set(F.struct("start", "length"))).alias("hits"))
