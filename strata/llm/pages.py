@@ -4,16 +4,22 @@ A page is a stream of tags and texts. Its form is that stream with every tandem
 a repeated group, until none is left. The forms of a host are aligned one after the other, in order:
 what only one of two has becomes optional, a part that one has once and the other repeated becomes
 repeated, and differing texts are slots. The result, the host's wrapper, is a regular expression
-without unions. Each text slot of it is known by the elements around it; over all pages of the host
-it is counted how long its texts are, how much of them are links and whether they ever differ.
+without unions. Every page's form is then matched with its host's wrapper, so that each text lies in
+a slot: the item of the wrapper that holds it, and the items that opened the elements around it. In
+a slot the first and the last text of a page are told from those between.
 
-The article is what lies in the slots below an article or main element, or, in wrappers without
-one, in the slots of the element that holds most text that differs and is not links. Slots below
+Over all pages of the host it is counted for each slot how long its texts are, how much of them are
+links and whether they ever differ. A text is no part of an article where its slot is mostly links, where
+it is the one text that the slot has on at least ``VARIETY`` pages that are not near copies, or in an
+article inside another (the markup's element for comments).
+
+The article is the rest of what lies below an article or main element, or an element whose class, id or role
+names one, or else below the element that holds most text of the host. Slots below
 navigation, headers, footers, asides, forms and the like, by element or by class, id or role,
-are left out. Pages are then read by their host's slots.
+are left out. Comments and related texts that are neither links nor named in one of these ways stay.
 
-Every page adds to the wrapper. Tasks align what they read before hosts are shuffled, so a hot
-host sends one wrapper from each task.
+Each page is parsed once. A wrapper is aligned from the distinct forms of a host, dealt by their hash, so
+that a hot host has many groups and the result does not depend on the partitioning.
 
 Defined results: null or empty html gives an empty text; a null url or one without a host
 belongs to the host ''; unclosed and unknown tags are read as they come; each input row gives one
@@ -22,14 +28,17 @@ output row, repeated or not; an empty table gives an empty table. Other columns
 
 from __future__ import annotations
 
+import functools
 import html as html_entities
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, LongType, StringType
 
 from strata.llm.blocks import slices, table_path
 from strata.workspace import materialize
@@ -52,6 +61,9 @@ HINTS = re.compile(
     r"teaser\w*|toolbar|topbar|widget\w*|alert\w*|complementary|contentinfo|navigation)(?:$|[^a-z])")
 ARTICLE_HINTS = re.compile(r"(?:^|[^a-z])(?:article|articlebody|main|content|entry|post|story|maincontent)(?:$|[^a-z])")
 LONGEST_REPEAT = 24
+VARIETY = 3  # pages that a text must be on, with at least twice as many texts in all as a page has, to be part of the template
+LONGEST_TEXTS = 8  # of a page, that its content is known by
+SALTS = 64  # groups in which the forms of a host are aligned first
 
 
 def elements(page: str) -> Iterator[tuple[str, str, str]]:
@@ -74,11 +86,11 @@ def elements(page: str) -> Iterator[tuple[str, str, str]]:
         yield "text", page[at:], ""
 
 
-def read_page(page: str) -> tuple[list[str], list[tuple[str, str, int]]]:
-    """(form as a token stream, blocks): a block is (slot, text, characters of it in links)."""
-    path: list[tuple[str, str]] = []
+def read_page(page: str) -> tuple[list[str], list[tuple[list[tuple[str, int]], str, int]]]:
+    """(token stream, blocks): a block is (elements around it with their places in the stream, text, characters of it in links)."""
+    path: list[tuple[str, str, int]] = []
     stream: list[str] = []
-    blocks: list[tuple[str, str, int]] = []
+    blocks: list[tuple[list[tuple[str, int]], str, int]] = []
     pieces: list[str] = []
     linked, links = 0, 0
 
@@ -86,8 +98,8 @@ def read_page(page: str) -> tuple[list[str], list[tuple[str, str, int]]]:
         nonlocal linked
         text = " ".join(html_entities.unescape("".join(pieces)).split())
         if text:
-            slot = "/".join(name + ("." + "-".join(hint.split()) if hint else "") for name, hint in path if name not in INLINE)
-            blocks.append((slot, text, min(linked, len(text))))
+            around = [(_plain(name + ("." + "-".join(hint.split()) if hint else "")), at) for name, hint, at in path if name not in INLINE]
+            blocks.append(([*around, ("#", len(stream))], text, min(linked, len(text))))
             stream.append("#")
         pieces.clear()
         linked = 0
@@ -114,15 +126,15 @@ def read_page(page: str) -> tuple[list[str], list[tuple[str, str, int]]]:
                         break
             elif name in CONTAINERS and path and path[-1][0] == "p":
                 path.pop()
-            path.append((name, hint))
-            stream.append("<" + name + ("." + "-".join(hint.split()) if hint else ""))
+            path.append((name, hint, len(stream)))
+            stream.append("<" + _plain(name + ("." + "-".join(hint.split()) if hint else "")))
         else:
-            open_names = [n for n, _ in path]
+            open_names = [n for n, _, _ in path]
             if name in open_names:
                 flush()
                 at = len(open_names) - 1 - open_names[::-1].index(name)
                 del path[at:]
-                stream.append("/" + name)
+                stream.append("/" + _plain(name))
     flush()
     return stream, blocks
 
@@ -132,12 +144,19 @@ Form = tuple  # of items: (text, optional, repeated) where text is a token or a
 
 def fold(stream: list[str]) -> Form:
     """The stream with tandem repeats folded into repeated groups, shortest first."""
+    return fold_sizes(stream)[0]
+
+
+def fold_sizes(stream: list[str]) -> tuple[Form, list[int]]:
+    """The folded stream, and how many tokens of the stream each of its items covers."""
     items: list[tuple] = [(t, False, False) for t in stream]
+    sizes = [1] * len(items)
     changed = True
     while changed:
         changed = False
         for width in range(1, min(LONGEST_REPEAT, len(items) // 2) + 1):
             out: list[tuple] = []
+            covered: list[int] = []
             i = 0
             while i < len(items):
                 unit = items[i : i + width]
@@ -146,12 +165,14 @@ def fold(stream: list[str]) -> Form:
                     j += width
                 if j > i + width:
                     out.append((unit[0][0] if width == 1 else tuple(unit), False, True))
+                    covered.append(sum(sizes[i:j]))
                     i, changed = j, True
                 else:
                     out.append(items[i])
+                    covered.append(sizes[i])
                     i += 1
-            items = out
-    return tuple(items)
+            items, sizes = out, covered
+    return tuple(items), sizes
 
 
 def align(a: Form, b: Form) -> Form:
@@ -209,114 +230,255 @@ def read_form(text: str) -> Form:
     return tuple(stack[0])
 
 
+def match(form: Form, wrapper: Form) -> list[int]:
+    """The item of the wrapper that each item of the form is matched with, in order; -1 for none.
+
+    As many items as can be are matched, then as few of the wrapper's required items as can be are passed over.
+    """
+    own, names = [_unit(x) for x in form], [_unit(x) for x in wrapper]
+    n, m = len(own), len(names)
+    passed = [0 if x[1] else 1 for x in wrapper]
+    more = 1 + m  # what an unmatched item costs, above all required items together
+    cost = [[0] * (m + 1) for _ in range(n + 1)]
+    for j in range(m - 1, -1, -1):
+        cost[n][j] = cost[n][j + 1] + passed[j]
+    for i in range(n - 1, -1, -1):
+        row, below, name = cost[i], cost[i + 1], own[i]
+        row[m] = below[m] + more
+        for j in range(m - 1, -1, -1):
+            least = row[j + 1] + passed[j]
+            if below[j] + more < least:
+                least = below[j] + more
+            if name == names[j]:
+                # several neighbours of one name are one repeated item
+                k = below[j + 1] if not wrapper[j][2] else min(below[j + 1], below[j] - passed[j])
+                least = min(least, k)
+            row[j] = least
+    found, i, j = [], 0, 0
+    while i < n:
+        if j < m and own[i] == names[j] and wrapper[j][2] and cost[i][j] == cost[i + 1][j] - passed[j]:
+            found.append(j)
+            i += 1
+        elif j < m and own[i] == names[j] and cost[i][j] == cost[i + 1][j + 1]:
+            found.append(j)
+            i, j = i + 1, j + 1
+        elif j < m and cost[i][j] == cost[i][j + 1] + passed[j]:
+            j += 1
+        else:
+            found.append(-1)
+            i += 1
+    return found
+
+
 def host(url: str) -> Column:
     """The host of an address, '' where there is none."""
     return F.lower(F.coalesce(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^[A-Za-z][\w+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
-def infer_wrappers(df: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """``host``, ``wrapper`` and ``slots`` (slot, pages, chars, link_chars, constant) of every host."""
-    source = df.select(host(url).alias("host"), F.coalesce(F.col(html), F.lit("")).alias("html"))
+def _plain(token: str) -> str:
+    """The token without the characters that forms and slots are written with."""
+    return re.sub(r"[\s()?+*/@^$]", "_", token)
+
+
+def parse(df: DataFrame, url: str, html: str, keep: tuple[str, ...]) -> DataFrame:
+    """``keep``, ``__own`` (the host), ``__form`` and the texts of every page: ``__slots`` with the items of its form, ``__texts``, ``__links``."""
+    source = df.select(*keep, host(url).alias("__own"), F.coalesce(F.col(html), F.lit("")).alias("__html"))
+    kinds = {"__form": pa.string(), "__slots": pa.list_(pa.string()), "__texts": pa.list_(pa.string()), "__links": pa.list_(pa.int64())}
+    schema = source.drop("__html").schema.add("__form", "string")
+    for column, kind in (("__slots", StringType()), ("__texts", StringType()), ("__links", LongType())):
+        schema = schema.add(column, ArrayType(kind))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "__html"):
+            rows = []
+            for page in batch["__html"].to_pylist():
+                stream, blocks = read_page(page)
+                form, sizes = fold_sizes(stream)
+                item = [i for i, size in enumerate(sizes) for _ in range(size)]
+                slots = ["/".join(f"{name}@{item[at]}" for name, at in around) for around, _, _ in blocks]
+                rows.append((write_form(form), slots, [b[1] for b in blocks], [b[2] for b in blocks]))
+            made = [pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds.values())]
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in (*keep, "__own")), *made], [*keep, "__own", *kinds])
+
+    return materialize(source.mapInArrow(run, schema), "pages")
+
+
+def _align_all(parsed: DataFrame) -> DataFrame:
+    """``host`` and ``wrapper`` of every host: its distinct forms aligned in order, in ``SALTS`` groups first."""
+
+    def combine(group: pd.DataFrame) -> pd.DataFrame:
+        forms = sorted(set(group["wrapper"]))
+        whole = read_form(forms[0])
+        for form in forms[1:]:
+            whole = align(whole, read_form(form))
+        return pd.DataFrame({"host": [group["host"].iloc[0]], "wrapper": [write_form(whole)]})
+
+    forms = parsed.select(F.col("__own").alias("host"), F.col("__form").alias("wrapper")).distinct()
+    some = forms.groupBy("host", F.pmod(F.xxhash64("wrapper"), F.lit(SALTS)).alias("salt")).applyInPandas(
+        lambda group: combine(group), "host string, wrapper string")
+    return some.groupBy("host").applyInPandas(combine, "host string, wrapper string")
+
+
+class Matcher:
+    """Puts the texts of pages into the slots of their host's wrapper."""
+
+    def __init__(self):
+        self.wrappers: dict[str, Form] = {}
+        self.matches: dict[tuple[str, str], list[int]] = {}
+
+    def slots(self, name: str, wrapper: str, form: str, slots: list[str]) -> list[str]:
+        """The slot of each text, marked ``^`` or ``$`` for the first and the last of a page in it."""
+        if (name, form) not in self.matches:
+            if len(self.matches) > 10_000:
+                self.matches.clear()
+                self.wrappers.clear()
+            if name not in self.wrappers:
+                self.wrappers[name] = read_form(wrapper)
+            self.matches[name, form] = match(read_form(form), self.wrappers[name])
+        items = self.matches[name, form]
+        found = []
+        for slot in slots:
+            parts = [part.rpartition("@") for part in slot.split("/")]
+            found.append("/".join(f"{label}@{items[int(i)]}" for label, _, i in parts))
+        last = {slot: i for i, slot in enumerate(found)}
+        seen: set[str] = set()
+        marked = []
+        for i, slot in enumerate(found):
+            marked.append(slot + ("" if slot in seen else "^") + ("$" if slot in seen and last[slot] == i else ""))
+            seen.add(slot)
+        return marked
+
+
+def _digest(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text.encode()) >> 1
+
+
+def _count_slots(matched: DataFrame) -> DataFrame:
+    """``host``, ``slot``, ``pages``, ``chars``, ``link_chars``, ``digest`` and ``constant`` of every slot that is not below boilerplate."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wrappers: dict[str, Form] = {}
-        slots: dict[tuple[str, str], list] = {}
+        matcher, slots = Matcher(), {}
 
         def emit() -> pa.RecordBatch:
-            rows = [(h, write_form(w), None, 0, 0, 0, 0, 0) for h, w in sorted(wrappers.items())]
-            rows += [(h, None, s, *v) for (h, s), v in sorted(slots.items())]
-            kinds = (pa.string(), pa.string(), pa.string(), *[pa.int64()] * 5)
-            names = ["host", "wrapper", "slot", "pages", "chars", "link_chars", "low", "high"]
-            wrappers.clear()
+            rows = [(h, s, *v[:6], sorted(v[6])) for (h, s), v in sorted(slots.items())]
+            kinds = (pa.string(), pa.string(), *[pa.int64()] * 6, pa.list_(pa.int64()))
+            names = ["host", "slot", "pages", "chars", "link_chars", "low", "high", "most", "mains"]
             slots.clear()
             return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names)
 
-        for batch in slices(batches, "html"):
-            for name, page in zip(batch["host"].to_pylist(), batch["html"].to_pylist()):
-                stream, blocks = read_page(page)
-                form = fold(_plain(stream))
-                wrappers[name] = align(wrappers[name], form) if name in wrappers else form
-                for slot, text, links in blocks:
-                    digest = xxhash.xxh3_64_intdigest(text.encode()) >> 1
-                    seen = slots.setdefault((name, slot), [0, 0, 0, digest, digest])
+        for batch in batches:
+            for name, wrapper, form, places, texts, links in zip(*(batch[c].to_pylist() for c in ("__own", "wrapper", "__form", "__slots", "__texts", "__links"))):
+                main = {_digest(t) for t in sorted(texts, key=len, reverse=True)[:LONGEST_TEXTS]}
+                for slot, text, linked in zip(matcher.slots(name, wrapper, form, places), texts, links):
+                    if _below_boilerplate(slot):
+                        continue
+                    digest = _digest(text)
+                    seen = slots.setdefault((name, slot), [0, 0, 0, digest, digest, 0, set()])
                     seen[0] += 1
                     seen[1] += len(text)
-                    seen[2] += links
+                    seen[2] += linked
                     seen[3], seen[4] = min(seen[3], digest), max(seen[4], digest)
-            if len(slots) > 50_000:
+                    seen[5] = max(seen[5], len(main))
+                    if len(seen[6]) < 3 * LONGEST_TEXTS:
+                        seen[6] |= main
+            if len(slots) > 20_000:
                 yield emit()
         yield emit()
 
-    found = materialize(source.mapInArrow(
-        scan, "host string, wrapper string, slot string, pages long, chars long, link_chars long, low long, high long"), "wrappers")
+    found = matched.select("__own", "wrapper", "__form", "__slots", "__texts", "__links").mapInArrow(
+        scan, "host string, slot string, pages long, chars long, link_chars long, low long, high long, most long, mains array<long>")
+    contents = F.size(F.array_distinct(F.flatten(F.collect_list("mains"))))
+    return found.groupBy("host", "slot").agg(
+        F.sum("pages").alias("pages"), F.sum("chars").alias("chars"), F.sum("link_chars").alias("link_chars"), F.min("low").alias("digest"),
+        ((F.min("low") == F.max("high")) & (F.sum("pages") >= VARIETY) & (contents >= 2 * F.max("most"))).alias("constant"))
+
+
+def _matched(parsed: DataFrame) -> DataFrame:
+    """The parsed pages, each with its host's wrapper."""
+    wrappers = materialize(_align_all(parsed), "wrappers")
+    return parsed.join(wrappers, F.col("__own") == F.col("host"), "left").drop("host")
 
-    def combine(group: pd.DataFrame) -> pd.DataFrame:
-        forms = sorted(set(group["wrapper"]))
-        whole = read_form(forms[0])
-        for form in forms[1:]:
-            whole = align(whole, read_form(form))
-        return pd.DataFrame({"host": [group["host"].iloc[0]], "wrapper": [write_form(whole)]})
 
-    wrappers = found.where("wrapper IS NOT NULL").select("host", "wrapper").distinct().groupBy("host").applyInPandas(combine, "host string, wrapper string")
-    slots = found.where("slot IS NOT NULL").groupBy("host", "slot").agg(
-        F.sum("pages").alias("pages"), F.sum("chars").alias("chars"), F.sum("link_chars").alias("link_chars"),
-        ((F.min("low") == F.max("high")) & (F.sum("pages") > 2)).alias("constant"))
-    slots = slots.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("slot", "pages", "chars", "link_chars", "constant"))).alias("slots"))
-    return wrappers.join(slots, "host", "left")
+def infer_wrappers(df: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+    """``host``, ``wrapper`` and ``slots`` (slot, pages, chars, link_chars, constant) of every host."""
+    matched = _matched(parse(df, url, html, ()))
+    slots = _count_slots(matched).groupBy("host").agg(
+        F.sort_array(F.collect_list(F.struct("slot", "pages", "chars", "link_chars", "constant"))).alias("slots"))
+    return matched.select(F.col("__own").alias("host"), "wrapper").distinct().join(slots, "host", "left")
 
 
-def _plain(stream: list[str]) -> list[str]:
-    """Tokens without the characters that forms are written with."""
-    return [re.sub(r"[\s()?+*]", "_", t) for t in stream]
+def _labels(slot: str) -> list[tuple[str, str]]:
+    """(element, hints) around a slot."""
+    return [part.rpartition("@")[0].partition(".")[::2] for part in slot.split("/")[:-1]]
 
 
+@functools.lru_cache(100_000)
 def _below_boilerplate(slot: str) -> bool:
     inside = False
-    for part in slot.split("/"):
-        name, _, hint = part.partition(".")
+    for name, hint in _labels(slot):
         if name in BOILERPLATE or HINTS.search(hint) or (name == "header" and not inside):
             return True
         inside = inside or name in ("article", "main")
     return False
 
 
-def article_slots(slots: list[tuple[str, int, int, int, bool]]) -> list[str]:
-    """The slots of a host that hold its articles."""
-    clean = [s for s in slots if not _below_boilerplate(s[0])]
-    named = [s for s in clean if any(p.partition(".")[0] in ("article", "main") for p in s[0].split("/"))]
-    if not named:
-        named = [s for s in clean if any(ARTICLE_HINTS.search(p.partition(".")[2]) for p in s[0].split("/"))]
-    if named:
-        return [s[0] for s in named]
-    volume: dict[str, int] = {}
-    free = [s for s in clean if not s[4] and 2 * s[3] <= s[2]]
-    for slot, _, chars, links, _ in free:
-        above = slot.rpartition("/")[0]
-        volume[above] = volume.get(above, 0) + chars - links
-    best = max(sorted(volume), key=lambda a: volume[a], default=None)
-    return [s[0] for s in free if best is not None and (s[0] + "/").startswith(best + "/" if best else "")]
+class Evidence(NamedTuple):
+    """What a host's slots tell of its pages."""
+
+    links: set[str]  # slots that are mostly links
+    constant: set[tuple[str, str]]  # (slot, digest of the text) of the template
+    containers: list[str]  # elements, those with most text first
+
+
+def read_evidence(dropped: list[str] | None, containers: list[str] | None) -> Evidence:
+    pairs = [d.split("\t") for d in dropped or []]
+    return Evidence({s for s, d in pairs if not d}, {(s.rstrip("^$"), d) for s, d in pairs if d}, containers or [])
+
+
+def article(blocks: list[tuple[str, str, int]], evidence: Evidence) -> list[str]:
+    """The texts of a page's article; a block is (slot, text, characters of it in links)."""
+    clean = [b for b in blocks if not _below_boilerplate(b[0])]
+    free = [
+        b for b in clean
+        if b[0] not in evidence.links and sum(name == "article" for name, _ in _labels(b[0])) < 2
+        and (b[0].rstrip("^$"), str(_digest(b[1]))) not in evidence.constant]
+    for some in (free, clean):  # a page of nothing else is its own article
+        named = [b for b in some if any(name in ("article", "main") for name, _ in _labels(b[0]))]
+        named = named or [b for b in some if any(ARTICLE_HINTS.search(hint) for _, hint in _labels(b[0]))]
+        if named:
+            return [b[1] for b in named]
+    for best in evidence.containers:
+        below = [b[1] for b in free if not best or b[0].startswith(best + "/")]
+        if below:
+            return below
+    return []
 
 
 def extract(df: DataFrame, url: str = "url", html: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
     """``keep`` and ``text``, the article of every page: its blocks in order, one to a line."""
-    wrappers = infer_wrappers(df, url, html).select("host", F.col("slots").alias("__slots"))
-    chosen = F.transform("__slots", lambda s: F.concat_ws("\t", s["slot"], s["pages"].cast("string"), s["chars"].cast("string"), s["link_chars"].cast("string"), s["constant"].cast("string")))
-    wrappers = materialize(wrappers.select("host", chosen.alias("__slots")), "slots").withColumnRenamed("host", "__host")
-    source = df.select(*keep, host(url).alias("__own"), F.coalesce(F.col(html), F.lit("")).alias("__html"))
-    rows = source.join(wrappers, F.col("__own") == F.col("__host"), "left").select(*keep, "__own", "__html", "__slots")
+    matched = _matched(parse(df, url, html, keep))
+    slots = materialize(_count_slots(matched), "slots")
+    links = 2 * F.col("link_chars") > F.col("chars")
+    dropped = slots.where(links | F.col("constant")).groupBy("host").agg(
+        F.sort_array(F.collect_list(F.concat("slot", F.lit("\t"), F.when(links, "").otherwise(F.col("digest").cast("string"))))).alias("__dropped"))
+    above = F.array_join(F.slice(F.split("slot", "/"), 1, F.greatest(F.size(F.split("slot", "/")) - 2, F.lit(0))), "/")
+    volume = slots.where(~links & ~F.col("constant")).groupBy("host", above.alias("above")).agg(F.sum(F.col("chars") - F.col("link_chars")).alias("n"))
+    ranked = volume.groupBy("host").agg(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("n"), "above")))["above"].alias("__containers"))
+    evidence = materialize(dropped.join(ranked, "host", "full"), "evidence").withColumnRenamed("host", "__host")
+    rows = matched.join(evidence, F.col("__own") == F.col("__host"), "left").drop("__host")
     schema = df.select(*keep).schema.add("text", "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, set[str]] = {}
-        for batch in slices(batches, "__html"):
+        matcher, known = Matcher(), {}
+        for batch in batches:
             texts = []
-            for name, page, slots in zip(batch["__own"].to_pylist(), batch["__html"].to_pylist(), batch["__slots"]):
+            for name, wrapper, form, places, found, links, dropped, containers in zip(
+                    *(batch[c].to_pylist() for c in ("__own", "wrapper", "__form", "__slots", "__texts", "__links")), batch["__dropped"], batch["__containers"]):
                 if name not in known:
                     if len(known) > 10_000:
                         known.clear()
-                    split = [s.rsplit("\t", 4) for s in slots.as_py() or []]
-                    known[name] = set(article_slots([(s, int(p), int(c), int(n), k == "true") for s, p, c, n, k in split]))
-                texts.append("\n".join(text for slot, text, _ in read_page(page)[1] if slot in known[name]))
+                    known[name] = read_evidence(dropped.as_py(), containers.as_py())
+                texts.append("\n".join(article(list(zip(matcher.slots(name, wrapper, form, places), found, links)), known[name])))
             yield pa.RecordBatch.from_arrays([*(batch[c] for c in keep), pa.array(texts, pa.string())], [*keep, "text"])
 
     return rows.mapInArrow(run, schema)

@@ -222,6 +222,24 @@ def test_forms_are_read_back():
     assert pages.read_form(pages.write_form(form)) == form
 
 
+def test_template_texts_inside_articles(spark):
+    make = lambda n: (
+        f"<article><h1>Title {n}</h1><div>All rights kept here</div><p>Body {n} of words</p><p>More {n} of words</p><div>Own {n} end</div>"
+        f"<ul><li><a href=1>Read {n}</a></li><li><a href=2>See {n}</a></li></ul><article><p>Reply {n}</p></article><p>Sent from this site</p></article>")
+    rows = [(n, f"http://t.example/{n}", make(n)) for n in range(6)] + [(9, "http://u.example/", "<article><p>Same</p></article>")] * 5
+    found = {r["page_id"]: r["text"] for r in pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    assert found == {n: f"Title {n}\nBody {n} of words\nMore {n} of words\nOwn {n} end" for n in range(6)} | {9: "Same"}
+
+
+def test_pages_match_their_wrapper():
+    forms = [pages.fold(x.split()) for x in ("<a # /a <a # /a <b # /b", "<c <a # /a <b # /b <b # /b", "<b # /b")]
+    wrapper = forms[0]
+    for form in forms[1:]:
+        wrapper = pages.align(wrapper, form)
+    for form in forms:
+        assert [pages._unit(wrapper[j]) for j in pages.match(form, wrapper)] == [pages._unit(i) for i in form]
+
+
 def test_odd_pages(spark):
     rows = [(1, "http://a.org/1", None), (2, None, "<p>text"), (3, "nonsense", ""), (4, "http://a.org/2", "<article><p>open <b>text<br><p>next &am</article>"),
             (4, "http://a.org/2", "<article><p>open <b>text<br><p>next &am</article>"), (None, "", "plain"), (6, "http://a.org/3", "<!-- cut"), (7, "http://b.org/", "<article>" + "<p>long</p>" * 20000)]
