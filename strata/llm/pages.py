@@ -13,8 +13,9 @@ links and whether they ever differ. A text is no part of an article where its sl
 it is the one text that the slot has on at least ``VARIETY`` pages that are not near copies, or in an
 article inside another (the markup's element for comments).
 
-The article is the rest of what lies below an article or main element, or an element whose class, id or role
-names one, or else below the element that holds most text of the host. Slots below
+The article is the rest of what lies below an article or main element, or else, where they hold a good part of
+the page, below elements whose class, id or role names one, or else below the element with most text of the host
+that holds a good part of the page, or else below the page's own largest. Every page is decided on its own. Slots below
 navigation, headers, footers, asides, forms and the like, by element or by class, id or role,
 are left out. Comments and related texts that are neither links nor named in one of these ways stay.
 
@@ -66,6 +67,13 @@ LONGEST_TEXTS = 8  # of a page, that its content is known by
 SALTS = 64  # groups in which the forms of a host are aligned first
 
 
+def _hint(attribute: str, value: str) -> str:
+    """What the pages of a template share of an attribute: no digits, and of an id only words that tell its kind."""
+    if attribute == "id":
+        value = " ".join(re.sub(r"^[^a-z]|[^a-z]$", "", m.group()) for kind in (HINTS, ARTICLE_HINTS) for m in kind.finditer(value))
+    return re.sub(r"\d+", "-", value)
+
+
 def elements(page: str) -> Iterator[tuple[str, str, str]]:
     """('open', name, hints), ('close', name, '') and ('text', text, '') in order; scripts and comments are left out."""
     at = 0
@@ -79,7 +87,7 @@ def elements(page: str) -> Iterator[tuple[str, str, str]]:
                 yield "close", name, ""
             else:
                 found = ATTRIBUTE.findall(match.group(4) or "")
-                yield "open", name, " ".join(" ".join(f[1:]).strip() for f in found).lower()
+                yield "open", name, " ".join(filter(None, (_hint(f[0].lower(), " ".join(f[1:]).strip().lower()) for f in found)))
         elif match.group(1):
             continue
     if at < len(page):
@@ -444,14 +452,24 @@ def article(blocks: list[tuple[str, str, int]], evidence: Evidence) -> list[str]
         and (b[0].rstrip("^$"), str(_digest(b[1]))) not in evidence.constant]
     for some in (free, clean):  # a page of nothing else is its own article
         named = [b for b in some if any(name in ("article", "main") for name, _ in _labels(b[0]))]
-        named = named or [b for b in some if any(ARTICLE_HINTS.search(hint) for _, hint in _labels(b[0]))]
         if named:
             return [b[1] for b in named]
-    for best in evidence.containers:
-        below = [b[1] for b in free if not best or b[0].startswith(best + "/")]
-        if below:
-            return below
-    return []
+    some = free or clean
+    volume: dict[str, int] = {}
+    for slot, text, linked in some:
+        above = "/".join(slot.split("/")[:-2])
+        volume[above] = volume.get(above, 0) + len(text) - linked
+    largest = max(volume.values(), default=0)
+    if not largest:  # nothing but links
+        return []
+    hinted = [b for b in some if any(ARTICLE_HINTS.search(hint) for _, hint in _labels(b[0]))]
+    if 2 * sum(len(text) - linked for _, text, linked in hinted) >= largest:
+        return [b[1] for b in hinted]
+    # the host's largest element that holds a good part of this page, or else this page's own largest
+    best = next((c for c in evidence.containers if 2 * volume.get(c, 0) >= largest), None)
+    if best is None:
+        best = max(sorted(volume), key=lambda c: volume[c])
+    return [b[1] for b in some if not best or b[0].startswith(best + "/")]
 
 
 def extract(df: DataFrame, url: str = "url", html: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:

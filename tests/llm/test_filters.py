@@ -231,6 +231,15 @@ def test_template_texts_inside_articles(spark):
     assert found == {n: f"Title {n}\nBody {n} of words\nMore {n} of words\nOwn {n} end" for n in range(6)} | {9: "Same"}
 
 
+def test_each_page_is_decided_on_its_own(spark):
+    make = lambda n, box, box2: f"<nav><a href=1>Home</a></nav><{box}><p>Body {n} of some words</p><p>More {n}</p></{box2}><div class='entry-meta'>By {n}</div>"
+    boxes = [("article", "article"), *[(f"div id='node-{n}'", "div") for n in range(1, 5)], ("section id=my-own-slug", "section"), ("div class='x'", "div")]
+    rows = [(n, f"http://v.example/{n}", make(n, *box)) for n, box in enumerate(boxes)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r["page_id"]: r["text"] for r in pages.extract(frame).collect()} == {n: f"Body {n} of some words\nMore {n}" for n in range(7)}
+    assert "node" not in pages.infer_wrappers(frame).first()["wrapper"]
+
+
 def test_pages_match_their_wrapper():
     forms = [pages.fold(x.split()) for x in ("<a # /a <a # /a <b # /b", "<c <a # /a <b # /b <b # /b", "<b # /b")]
     wrapper = forms[0]
