@@ -5,7 +5,7 @@ each byte before, turn it into binary decisions, about three a byte. Each of sev
 far) has a hashed table that predicts a decision from the counts of the training texts. A mixer
 adds the predictions' log odds with weights; the weight set is chosen by which long contexts were
 seen, and the weights are refined by the error after every ``STEP`` decisions, from a fixed start
-in every stretch of ``STRETCH`` decisions. Only what comes before a decision predicts it, so the
+at the begin of the text to its end. Only what comes before a decision predicts it, so the
 product of the decisions is a probability of the text.
 
 Counting covers every training text. Each task adds up its own tables and sends them in segments,
@@ -41,7 +41,6 @@ ORDERS = (3, 5)
 TABLE_BITS = (21, 22, 22)  # of each order, then of the word so far
 SEGMENT = 1 << 16
 STEP = 64
-STRETCH = 1 << 13
 LANES = 512
 RATE = 0.01
 FIRST = 0.3  # what both outcomes count before any is seen
@@ -270,12 +269,9 @@ def mix(found: Decisions, tables: list[np.ndarray]) -> np.ndarray:
     cells = [table.take(found.places(i, len(table))) for i, table in enumerate(tables)]
     gates = (cells[-2] != 0).view(np.int8) + 2 * (cells[-1] != 0).view(np.int8)
     signs = (2 * found.bits - 1).astype(np.int8)
-    # every text in stretches, the longest first, so that lanes of a group end together
-    pieces = -(-found.counts // STRETCH)
-    owner = np.repeat(np.arange(len(found.counts)), pieces)
-    part = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-    begin = (np.cumsum(found.counts) - found.counts)[owner] + part * STRETCH
-    length = np.minimum(found.counts[owner] - part * STRETCH, STRETCH)
+    # the longest text first, so that lanes of a group end together
+    length = found.counts
+    begin = np.cumsum(length) - length
     order = np.argsort(-length, kind="stable")
     result = np.zeros(len(found.counts))
     sets, column = len(START), np.arange(STEP)
@@ -289,7 +285,7 @@ def mix(found: Decisions, tables: list[np.ndarray]) -> np.ndarray:
             live = int(np.searchsorted(-ends, -t, side="left"))
             place = first[:live] + (t * STEP + column)
             over = None
-            if left[live - 1] < (t + 1) * STEP:  # decisions behind the end of a stretch count nothing
+            if left[live - 1] < (t + 1) * STEP:  # decisions behind the end of a text count nothing
                 over = t * STEP + column >= left[:live, None]
                 np.minimum(place, len(signs) - 1, out=place)
             own = gates.take(place) + base[:live]
@@ -309,7 +305,7 @@ def mix(found: Decisions, tables: list[np.ndarray]) -> np.ndarray:
             for x, w in zip(inputs, weights):
                 x *= push
                 w[: live * sets] += np.bincount(own, x.ravel(), live * sets).astype(np.float32)
-        result += np.bincount(owner[lanes], sums, len(result))
+        result[lanes] = sums
     return result
 
 

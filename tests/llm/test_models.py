@@ -86,6 +86,21 @@ def test_a_score_does_not_depend_on_its_neighbours(model):
     assert np.allclose(np.log(np.maximum(alone, 1e-300)), np.log(np.maximum(probability(model, texts), 1e-300)), rtol=1e-6)
 
 
+def test_weights_are_carried_over_a_whole_text(model):
+    text = " ".join(f"the word{i % 7} of a text" for i in range(700)).encode()
+    found = mixing.decisions(np.frombuffer(text, np.uint8), np.array([0, len(text)]), model.code, Powers())
+    inputs = np.array([t[found.places(i, len(t))] for i, t in enumerate(model.tables)], np.float64) / mixing.SCALE
+    gates, sign = (inputs[-2] != 0) + 2 * (inputs[-1] != 0), 2 * found.bits - 1
+    weights, total = mixing.START.astype(np.float64), 0.0
+    for at in range(0, len(sign), mixing.STEP):
+        x, gate, y = inputs[:, at : at + mixing.STEP], gates[at : at + mixing.STEP], sign[at : at + mixing.STEP]
+        miss = np.exp(-y * np.clip((x * weights[gate].T).sum(axis=0), -12, 12))
+        total -= np.log1p(miss).sum()
+        np.add.at(weights, gate, (x * (miss / (1 + miss) * y * mixing.RATE)).T)
+    assert len(sign) > 4 * (1 << 13)
+    assert math.isclose(mixing.mix(found, model.tables)[0], total, rel_tol=1e-4)
+
+
 def brute_nearest(rows, k):
     fine = [(i, np.array(v, np.float64)) for i, v in rows if i is not None and v and None not in v and np.isfinite(v).all() and np.any(v)]
     return {i: sorted(((-(v * w).sum(), j) for j, w in fine if j != i))[:k] for i, v in fine}
