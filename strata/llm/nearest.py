@@ -4,7 +4,8 @@ The tree is fitted on a bounded sample of the distinct vectors (``SAMPLE``); eve
 put into a leaf of it. A query walks the tree best bin first, with a priority queue of nodes by
 the inner product with their centres, and so ranks the leaves. How many leaves a query visits is
 calibrated: ``CALIBRATION`` sampled queries are answered by brute force over all vectors, and the
-visits are widened until the leaves visited hold ``TARGET`` of their true neighbours.
+visits are widened until the leaves visited hold ``TARGET`` of their true neighbours. A walk goes on
+beyond that until its leaves hold as many ids as an answer needs, or no leaf is left.
 
 Equal vectors are one candidate with its smallest ids, as many as an answer can hold, so copies
 neither crowd a leaf nor lose a tie. Vectors are compared in cells of at most about ``PART``: a query is
@@ -100,17 +101,18 @@ def place(tree: Tree, points: np.ndarray) -> np.ndarray:
     return found
 
 
-def best_bins(tree: Tree, query: np.ndarray, visits: int) -> list[int]:
-    """The leaves in the order in which a best-bin-first walk reaches them."""
+def best_bins(tree: Tree, query: np.ndarray, visits: int, sizes: np.ndarray | None = None, least: int = 0) -> list[int]:
+    """The leaves in the order in which a best-bin-first walk reaches them: ``visits``, and on until their ``sizes`` reach ``least``."""
     near = (tree.centres @ query).tolist()
-    queue, found = [(0.0, 0)], []
-    while queue and len(found) < visits:
+    queue, found, held = [(0.0, 0)], [], 0
+    while queue and (len(found) < visits or held < least):
         _, node = heapq.heappop(queue)
         if tree.children[node]:
             for child in tree.children[node]:
                 heapq.heappush(queue, (-near[child], child))
         else:
             found.append(int(tree.leaf[node]))
+            held += 0 if sizes is None else int(sizes[found[-1]])
     return found
 
 
@@ -204,7 +206,10 @@ def search(df: DataFrame, is_query: Column, k: int = 20, vec_id: str = "vec_id",
     visits = _calibrate(questions, indexed, tree, k, target)
     # one row per leaf, and the tree has no more of those than the sample has vectors
     counts = {r["leaf"]: r["n"] for r in indexed.groupBy("leaf").agg(F.count("*").alias("n")).collect()}
-    base, parts = deal_cells(counts, int(tree.leaf.max()) + 1)
+    total = int(tree.leaf.max()) + 1
+    base, parts = deal_cells(counts, total)
+    filled = np.array([counts.get(leaf, 0) for leaf in range(total)], np.int64)
+    enough = k + 1  # one may be the query's own
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def walk(batches):
@@ -212,7 +217,7 @@ def search(df: DataFrame, is_query: Column, k: int = 20, vec_id: str = "vec_id",
             for batch in (whole.slice(at, WALK) for at in range(0, whole.num_rows, WALK)):
                 row, cell, first, leaf = [], [], [], []
                 for i, vector in enumerate(_matrix(batch["vector"])):
-                    found = np.array(best_bins(shared.value, vector, visits), np.int64)
+                    found = np.array(best_bins(shared.value, vector, visits, filled, enough), np.int64)
                     mine = spans(base[found], parts[found])
                     order = np.argsort(mine, kind="stable")
                     leaf.append(np.repeat(found, parts[found])[order])

@@ -137,3 +137,11 @@ def test_nearest_of_odd_vectors(spark):
     assert nearest.search(table.limit(0), F.lit(True)).collect() == []
     few = nearest.search(table.where("vec_id IN (1, 2, 3)"), F.col("vec_id") == 2).collect()
     assert sorted(r["vec_id"] for r in few) == [1, 3]
+
+
+def test_every_query_has_its_full_answer(spark):
+    random = np.random.default_rng(3)
+    rows = [(i, random.normal(size=4).tolist()) for i in range(300)] + [(i, (20 + random.normal(size=4) / 9).tolist()) for i in range(300, 500)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = nearest.search(table, F.lit(True), target=0.01).groupBy("query_id").count().collect()
+    assert len(found) == 500 and {r["count"] for r in found} == {20}
