@@ -53,11 +53,14 @@ def chunk_starts(flat: np.ndarray, at: np.ndarray) -> np.ndarray:
     ends = np.flatnonzero(gear_hash(flat) >> np.uint16(16 - CUT_BITS) == 0) + 1
     ends = ends[ends < len(flat)]
     row = np.searchsorted(at, ends, side="right") - 1
-    # a border too near the one before it, or the beginning or end of its text, is none;
-    # the hash then covers bytes of this text only
+    # a border too near the beginning or end of its text is none: the hash of the others covers bytes
+    # of their own text only, so what stands before a text in its block decides nothing
+    inside = (ends - at[row] >= LEAST) & (at[row + 1] - ends >= LEAST)
+    ends, row = ends[inside], row[inside]
+    # nor is one too near the border before it in the same text
     apart = np.ones(len(ends), bool)
-    apart[1:] = np.diff(ends) >= LEAST
-    ends = ends[apart & (ends - at[row] >= LEAST) & (at[row + 1] - ends >= LEAST)]
+    apart[1:] = (np.diff(ends) >= LEAST) | (row[1:] != row[:-1])
+    ends = ends[apart]
     starts = np.sort(np.concatenate([at[:-1][np.diff(at) > 0], ends]))
     lengths = np.diff(np.append(starts, len(flat)))
     pieces = -(-lengths // MOST)
@@ -76,6 +79,16 @@ def row_digest(text: str) -> Column:
     return F.xxhash64(utf8(text))
 
 
+def _cut(flat: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first byte, length, digest) of every chunk of a block of texts."""
+    body = flat.tobytes()
+    starts = chunk_starts(flat, at)
+    ends = np.append(starts[1:], len(flat))
+    digest = xxhash.xxh3_64_intdigest
+    found = np.fromiter((digest(body[a:b], DIGEST_SEED) for a, b in zip(starts.tolist(), ends.tolist())), np.uint64, len(starts))
+    return starts, ends - starts, found.view(np.int64)
+
+
 def chunks(df: DataFrame, doc_id: str, text: str) -> DataFrame:
     """``doc_id``, ``row_digest``, ``start``, ``length`` and ``digest`` of every chunk."""
     source = df.select(F.col(doc_id).cast("long").alias("doc_id"), row_digest(text).alias("row_digest"), utf8(text).alias("__text"))
@@ -83,29 +96,42 @@ def chunks(df: DataFrame, doc_id: str, text: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "__text"):
             flat, at = flat_bytes(batch["__text"])
-            body = flat.tobytes()
-            starts = chunk_starts(flat, at)
-            ends = np.append(starts[1:], len(flat))
+            starts, lengths, digests = _cut(flat, at)
             row = np.searchsorted(at, starts, side="right") - 1
-            digest = xxhash.xxh3_64_intdigest
-            found = np.fromiter((digest(body[a:b], DIGEST_SEED) for a, b in zip(starts.tolist(), ends.tolist())), np.uint64, len(starts))
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"].take(pa.array(row)), batch["row_digest"].take(pa.array(row)),
-                 pa.array((starts - at[row]).astype(np.int32)), pa.array((ends - starts).astype(np.int32)),
-                 pa.array(found.view(np.int64))],
+                 pa.array((starts - at[row]).astype(np.int32)), pa.array(lengths.astype(np.int32)), pa.array(digests)],
                 ["doc_id", "row_digest", "start", "length", "digest"],
             )
 
     return source.mapInArrow(run, "doc_id long, row_digest long, start int, length int, digest long")
 
 
+def recurring_digests(df: DataFrame, text: str) -> DataFrame:
+    """``digest`` of every chunk that occurs more than once, repeated rows included."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "__text"):
+            digests, n = np.unique(_cut(*flat_bytes(batch["__text"]))[2], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(digests), pa.array(n.astype(np.int64))], ["digest", "n"])
+
+    counted = df.select(utf8(text).alias("__text")).mapInArrow(run, "digest long, n long")
+    return counted.groupBy("digest").agg(F.sum("n").alias("n")).where("n > 1").select("digest")
+
+
 def repeated_spans(df: DataFrame, doc_id: str = "doc_id", text: str = "text", min_run: int = MIN_RUN) -> DataFrame:
-    """``doc_id``, ``row_digest``, ``starts``, ``ends`` (bytes) and ``n_repeated`` chunks of rows with removals."""
-    every = materialize(chunks(df, doc_id, text), "chunks")
+    """``doc_id``, ``row_digest``, ``starts``, ``ends`` (bytes) and ``n_repeated`` chunks of rows with removals.
+
+    The texts are cut twice: first only to count digests, then to place the chunks that recur. So
+    no place of the many chunks that occur once is stored.
+    """
+    spark = df.sparkSession
+    recurring = materialize(recurring_digests(df, text), "recurring")
+    release(spark)  # a finished step's shuffle does not lie beside the next one's
+    every = materialize(chunks(df, doc_id, text).join(recurring, "digest"), "chunks")
+    release(spark)
     place = F.struct("doc_id", "row_digest", "start")
-    first = every.groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
-    first = materialize(first, "first")  # its shuffle is over before the next begins
-    release(df.sparkSession)
+    first = materialize(every.groupBy("digest").agg(F.min(place).alias("first")), "first")
     later = every.join(first, "digest").where(place != F.col("first"))
     # equal rows of one id have each chunk several times, at one and the same place
     rows = later.groupBy("doc_id", "row_digest").agg(F.sort_array(F.collect_set(F.struct("start", "length"))).alias("hits"))

@@ -77,6 +77,49 @@ def test_chunks_survive_insertions():
     assert len(cut[0] & cut[1]) > 0.9 * len(cut[0])
 
 
+def test_chunks_depend_on_their_text_alone():
+    """Each text is cut alone as it is behind any others, empty ones included."""
+    random = np.random.default_rng(7)
+    texts = [bytes(random.integers(97, 100, int(random.integers(0, 400)), dtype=np.uint8)) for _ in range(1500)]
+    at = np.cumsum([0, *map(len, texts)])
+    together = chunks.chunk_starts(np.frombuffer(b"".join(texts), np.uint8), at)
+    alone = [s + a for t, a in zip(texts, at) for s in chunks.chunk_starts(np.frombuffer(t, np.uint8), np.array([0, len(t)])).tolist()]
+    assert together.tolist() == alone
+
+
+def brute_spans(documents, min_run):
+    """What a dictionary of chunks removes, per (id, text): runs of chunks that have an earlier place."""
+    first, cut = {}, {}
+    for i, text in sorted(set(documents), key=lambda d: (d[0], d[1])):
+        flat = np.frombuffer(text, np.uint8)
+        edges = [*chunks.chunk_starts(flat, np.array([0, len(flat)])).tolist(), len(flat)]
+        cut[i, text] = list(zip(edges, edges[1:]))
+        for a, b in cut[i, text]:
+            first.setdefault(text[a:b], (i, text, a))
+    found = {}
+    for (i, text), pieces in cut.items():
+        runs = []
+        for a, b in pieces:
+            if first[text[a:b]] != (i, text, a):
+                if runs and runs[-1][1] == a:
+                    runs[-1][1] = b
+                else:
+                    runs.append([a, b])
+        found[i, text] = [(a, b) for a, b in runs if b - a >= min_run]
+    return found
+
+
+def test_chunk_removal_against_brute_force(spark):
+    """The same rows go whatever the partitions, and they are those a dictionary of chunks names."""
+    documents = spark.read.parquet(table_path(DOCS, "documents")).select("doc_id", "text")
+    want = brute_spans([(r["doc_id"], (r["text"] or "").encode()) for r in documents.collect()], chunks.MIN_RUN)
+    want = {i: spans for (i, _), spans in want.items()}
+    assert any(want.values())
+    for parts in (1, 7, 13):
+        found = chunks.deduplicate(documents.repartition(parts)).collect()
+        assert {r["doc_id"]: [(s["start"], s["end"]) for s in r["removed"]] for r in found} == want
+
+
 def test_chunk_removal(odd, odd_rows):
     found = chunks.deduplicate(odd).collect()
     assert len(found) == len(odd_rows)
