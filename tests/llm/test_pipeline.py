@@ -48,4 +48,4 @@ def test_odd_documents(spark, odd, none):
 
 def test_run_and_names(spark):
     assert pipeline.run(spark, DOCS).count() > 100
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
