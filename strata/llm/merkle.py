@@ -144,16 +144,17 @@ def climb(nodes: DataFrame, most: int) -> list[DataFrame]:
 
 
 def _completed(names: list[str]):
-    """For a block and the one row with its root's witness: the block's ``names`` and witnesses."""
+    """For a block and the one row with its root's witness and seal: the block's ``names``, witnesses and seal."""
 
     step = pa.struct([("place", pa.int32()), ("beside", pa.string())])
 
     def complete(block: pa.Table, above: pa.Table) -> pa.Table:
         block = block.sort_by("position")
-        rest = above["witness"][0].as_py()
+        rest, seal = above["witness"][0].as_py(), above["seal"][0].as_py()
         tree, _ = _grown(block["digest"].to_pylist(), block["n"][0].as_py())
         witnesses = [tree.witness(i) + rest for i in range(block.num_rows)]
-        return block.select(names).append_column("witness", pa.array(witnesses, pa.list_(step)))
+        found = block.select(names).append_column("witness", pa.array(witnesses, pa.list_(step)))
+        return found.append_column("seal", pa.array([seal] * block.num_rows, pa.string()))
 
     return complete
 
@@ -161,17 +162,18 @@ def _completed(names: list[str]):
 def descend(rounds: list[DataFrame], upper: DataFrame) -> DataFrame:
     """The columns of ``rounds[0]``, and each node's ``witness`` up to the root and on through ``upper``.
 
-    ``upper`` has ``gid``, ``position`` 0 and the ``witness`` of each group's root.
+    ``upper`` has ``gid``, ``position`` 0, and the ``witness`` and ``seal`` of each group's root; the seal
+    is handed on, since joining it to the witnesses would shuffle them.
     """
     for at in range(len(rounds) - 2, -1, -1):
         nodes = rounds[at]
         schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in nodes.schema)
         blocks = _in_blocks(nodes).groupBy("gid", "block")
-        above = upper.select("gid", F.col("position").alias("block"), "witness").groupBy("gid", "block")
-        found = blocks.cogroup(above).applyInArrow(_completed(nodes.columns), f"{schema}, witness {WITNESS}")
+        above = upper.select("gid", F.col("position").alias("block"), "witness", "seal").groupBy("gid", "block")
+        found = blocks.cogroup(above).applyInArrow(_completed(nodes.columns), f"{schema}, witness {WITNESS}, seal string")
         upper = materialize(found, "witnesses") if at else found
     if len(rounds) == 1:  # no group has a second node
-        upper = rounds[0].join(upper.select("gid", "witness"), "gid")
+        upper = rounds[0].join(upper.select("gid", "witness", "seal"), "gid")
     return upper
 
 
@@ -210,15 +212,13 @@ def build(leaves: DataFrame, group: str, order_by: Sequence[str]) -> DataFrame:
         F.lit(0).cast("long").alias("gid"), (F.col("gid") - 1).alias("position"), F.lit(shape["groups"]).cast("long").alias("n"), "digest")
     tops = climb(subroots, shape["groups"])
     nothing = F.array().cast(WITNESS).alias("witness")
-    seal = tops[-1].select("gid", "position", F.col("digest").alias("root"), nothing)
-    above = descend(tops, seal.drop("root")).select(
-        (F.col("position") + 1).alias("gid"), F.lit(0).cast("long").alias("position"), F.col("digest").alias("subroot"), "witness")
-    above = materialize(above, "subroots")
-
-    found = descend(rounds, above.drop("subroot"))
-    # one row a group beside one of the table; Spark decides from their sizes how to join
-    sealed = above.select("gid", "subroot").join(F.broadcast(seal.select("root")))
-    return found.join(sealed, "gid").select(*[F.col(p).alias(c) for c, p in plain.items()], "position", "subroot", "root", "witness")
+    roots = tops[-1].select("gid", "position", F.col("digest").alias("seal"), nothing)
+    above = descend(tops, roots).select(
+        (F.col("position") + 1).alias("gid"), F.lit(0).cast("long").alias("position"), F.col("digest").alias("seal"), "witness")
+    found = descend(rounds, materialize(above, "subroots"))
+    # the broadcast side is the one row of the table's root
+    sealed = found.withColumnRenamed("seal", "subroot").join(F.broadcast(roots.select(F.col("seal").alias("root"))))
+    return sealed.select(*[F.col(p).alias(c) for c, p in plain.items()], "position", "subroot", "root", "witness")
 
 
 def proof(witness: Column) -> Column:
