@@ -15,7 +15,7 @@ from strata.lake.footprint import footprint as layer_footprint
 from strata.operators.clean import drop_audit
 from strata.operators.reshape import append_batches
 from strata.plans import medallion
-from strata.sources import files, objects
+from strata.sources import files, foreign, objects
 from strata.workspace import materialize, scratch_path
 
 SOURCE = {"source_name": "orders", "source_url": "file", "api_version": "v1", "operator_id": "tester"}
@@ -96,6 +96,51 @@ SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS
 FALLBACK_READ = f"SELECT *, 'absent' AS \"primary\" FROM ({ORDERS_AS_TEXT}) UNION ALL SELECT *, 'hollow' FROM ({ORDERS_AS_TEXT})"
 
 
+def foreign_csv(spark, sf_dir):
+    """Orders in four folders of CSV: plain, in other column order, with an extra column and line breaks in
+    cells, and with records that have a cell too many; what was read and what was rejected."""
+    orders = _orders(spark, sf_dir)
+    text = F.col("o_orderpriority")
+    shares = [
+        orders,
+        orders.select(*reversed(orders.columns)),
+        orders.select("o_orderdate", F.lit("x,y").alias("extra"), F.concat(text, F.lit('"\n'), text, F.lit(',"')).alias("o_orderpriority"),
+                      "o_totalprice", "o_orderkey", "o_custkey"),
+    ]
+    paths = [scratch_path(spark, "foreign") for _ in range(4)]
+    for at, share in enumerate(shares):
+        share.where(F.col("o_orderkey") % 4 == at).write.options(**foreign.CSV).csv(paths[at])
+    # a writer that does not quote: plain lines, after a header in each part
+    line = F.concat_ws(",", *orders.columns, F.when(F.col("o_orderkey") % 8 == 3, F.lit("?")))
+    last = orders.where(F.col("o_orderkey") % 4 == 3).select(F.expr("o_orderkey div 4 % 4").alias("part"), F.lit(1).alias("place"), line.alias("value"))
+    headers = spark.range(4).select(F.col("id").alias("part"), F.lit(0).alias("place"), F.lit(",".join(orders.columns)).alias("value"))
+    last.unionByName(headers).repartition(4, "part").sortWithinPartitions("place").select("value").write.text(paths[3])
+    scan = foreign.scan_csv(spark, paths, ["o_orderkey", "o_totalprice", "o_orderpriority"], multiline=True)
+    return files.as_cells(scan.rows).unionByName(scan.rejected.drop("path"), allowMissingColumns=True)
+
+
+FOREIGN_CSV = """
+WITH cells AS (
+  SELECT *, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS price, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders)
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, price AS o_totalprice,
+  CASE WHEN o_orderkey % 4 = 2 THEN o_orderpriority || '"' || chr(10) || o_orderpriority || ',"' ELSE o_orderpriority END AS o_orderpriority,
+  NULL AS record, NULL AS reason
+FROM cells WHERE o_orderkey % 8 <> 3
+UNION ALL SELECT NULL, NULL, NULL, concat_ws(',', o_orderkey, o_custkey, price, day, o_orderpriority, '?'), 'cells'
+FROM cells WHERE o_orderkey % 8 = 3"""
+
+
+def object_sizes(spark, sf_dir):
+    """How many files order priorities make as lines of text, and how many bytes."""
+    path = scratch_path(spark, "lines")
+    table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("value")).repartition(3).write.text(path)
+    return objects.size(spark, path)
+
+
+OBJECT_SIZES = """
+SELECT CAST(3 AS BIGINT) AS files, CAST(sum(octet_length(encode(o_orderpriority)) + 1) AS BIGINT) AS bytes FROM orders"""
+
+
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
     "pages", "benchmark", "labels", "conversations",
@@ -357,6 +402,8 @@ QUERIES = {
     "parquet_roundtrip": (parquet_roundtrip, PARQUET_ROUNDTRIP),
     "format_counts": (format_counts, FORMAT_COUNTS),
     "fallback_read": (fallback_read, FALLBACK_READ),
+    "foreign_csv": (foreign_csv, FOREIGN_CSV),
+    "object_sizes": (object_sizes, OBJECT_SIZES),
     "file_inventory": (file_inventory, FILE_INVENTORY),
     "landed_text": (landed_text, LANDED_TEXT),
     "empty_load": (empty_load, EMPTY_LOAD),

@@ -47,10 +47,13 @@ class MissingPeriods(ValueError):
 
 def entity_batch(
     spark: SparkSession, responses: str, fallback: str | None = None, one_per_file: bool = True,
+    fallback_options: Mapping[str, bool] | None = None,
 ) -> DataFrame:
     """Entity rows of the landed graph results, stored.
 
-    With a ``fallback`` those of that CSV, where the results are absent, unreadable or without rows.
+    With a ``fallback`` those of that CSV, where the results are absent, unreadable or without rows. Its
+    columns are bound by header; ``fallback_options`` go to ``read_csv``: ``multiline`` for cells with line
+    breaks, ``escaped`` for files of ``write_csv``.
     """
     def primary() -> DataFrame | None:
         if fallback is not None and not exists(spark, responses):
@@ -61,7 +64,8 @@ def entity_batch(
     if fallback is None:
         return primary()
     found = first_usable(primary)
-    return found if found is not None else read_csv(spark, fallback, list(BINDING_COLUMNS.values()))
+    return found if found is not None else read_csv(
+        spark, fallback, list(BINDING_COLUMNS.values()), **(fallback_options or {}))
 
 
 def gdp_cells(spark: SparkSession, responses: str, one_per_file: bool = True) -> DataFrame:
@@ -81,7 +85,7 @@ def population_batch(spark: SparkSession, responses: str, one_per_file: bool = T
 
 def land(
     spark: SparkSession, raw: str, root: str, years: Sequence[int] = YEARS, fallback: str | None = None,
-    one_per_file: bool = True,
+    one_per_file: bool = True, fallback_options: Mapping[str, bool] | None = None,
 ) -> dict[str, LoadResult]:
     """Bring the responses below ``raw`` into Bronze, each dataset only if it changed.
 
@@ -94,7 +98,7 @@ def land(
     cells = materialize(gdp_cells(spark, f"{raw}/bps_pdrb", one_per_file), "cells")
     others = cells.filter(~F.col("turvar").isin(*CUBE_MEASURES)).count()
     batches = {
-        "wikidata_provinces": entity_batch(spark, f"{raw}/wikidata_provinces", fallback, one_per_file),
+        "wikidata_provinces": entity_batch(spark, f"{raw}/wikidata_provinces", fallback, one_per_file, fallback_options),
         "bps_pdrb": gdp_batch(cells),
         "bps_populasi": population_batch(spark, f"{raw}/bps_populasi", one_per_file),
     }
@@ -143,9 +147,10 @@ def read_gold(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 def run_flow(
     spark: SparkSession, raw: str, root: str, years: Sequence[int] = YEARS, fallback: str | None = None,
     one_per_file: bool = True, aliases: Mapping[str, list[str]] = NAME_ALIASES,
+    fallback_options: Mapping[str, bool] | None = None,
 ) -> dict[str, LoadResult]:
     """Landing, Silver and Gold, and then the removal of what the application stored on the way."""
-    results = land(spark, raw, root, years, fallback, one_per_file)
+    results = land(spark, raw, root, years, fallback, one_per_file, fallback_options)
     refresh_silver(spark, root)
     refresh_gold(spark, root, aliases)
     clear_scratch(spark)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import re
 from collections.abc import Callable, Sequence
 
 import pyarrow as pa
@@ -14,19 +15,11 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from strata.functions.text import SCAN_NULL_TOKENS, null_tokens
+from strata.sources.foreign import CSV, FAILURE, UnreadableSource, read_by_header
 from strata.sources.objects import exists
 
 log = logging.getLogger(__name__)
 
-# Quotes are doubled inside quoted cells, and blanks at the ends of a cell are data.
-_CSV = {
-    "header": True,
-    "escape": '"',
-    "ignoreLeadingWhiteSpace": False,
-    "ignoreTrailingWhiteSpace": False,
-}
-
-
 def literal_table(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType | str) -> DataFrame:
     """A small table given in the code. It is a local relation, so the optimizer knows its size."""
     schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
@@ -59,28 +52,29 @@ def text_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType()) for name in columns])
 
 
+def as_cells(rows: DataFrame, escaped: bool = False) -> DataFrame:
+    """Text columns with placeholder cells null and, if ``escaped``, what ``write_csv`` does to line breaks undone."""
+    cells = {c: null_tokens(F.col(f"`{c}`"), SCAN_NULL_TOKENS) for c in rows.columns}
+    return rows.select([(unescape_breaks(cell) if escaped else cell).alias(c) for c, cell in cells.items()])
+
+
 def read_csv(
-    spark: SparkSession, path: str, columns: Sequence[str] | None = None, multiline: bool = False,
-    escaped: bool = False,
+    spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] | None = None, multiline: bool = False,
+    escaped: bool = False, missing: str = "refuse", extra: str = "drop",
 ) -> DataFrame:
-    """CSV with a header, every cell a string, placeholder cells null.
+    """CSV bound by header, every cell a string, placeholder cells null.
 
     Types are set later by explicit casts, so the file is scanned once. ``escaped`` undoes what
-    ``write_csv`` does to line breaks. Foreign files with line breaks in cells need
-    ``multiline``, which makes each file one task; leave it off for large files.
+    ``write_csv`` does to line breaks. A record that cannot be read, or a cell with a line break
+    where ``multiline`` is off, makes the job fail; ``foreign.scan_csv`` gives such records instead.
     """
-    reader = spark.read.options(**_CSV, multiLine=multiline)
-    if columns is not None:
-        reader = reader.schema(text_schema(columns))
-    raw = reader.csv(path)
-    cells = {c: null_tokens(F.col(c), SCAN_NULL_TOKENS) for c in raw.columns}
-    return raw.select([(unescape_breaks(cell) if escaped else cell).alias(c) for c, cell in cells.items()])
+    return as_cells(read_by_header(spark, path, columns, multiline, missing, extra), escaped)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
     """Overwrite ``path`` with CSV files that carry a header; line breaks in text are escaped."""
     texts = {f.name: escape_breaks(F.col(f.name)) for f in df.schema if isinstance(f.dataType, T.StringType)}
-    df.withColumns(texts).write.mode("overwrite").options(**_CSV).csv(path)
+    df.withColumns(texts).write.mode("overwrite").options(**CSV).csv(path)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -93,26 +87,38 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
-def read_with_fallback(spark: SparkSession, primary: str, alternate: str, columns: Sequence[str]) -> DataFrame:
+def read_with_fallback(
+    spark: SparkSession, primary: str, alternate: str, columns: Sequence[str], multiline: bool = False, escaped: bool = False,
+) -> DataFrame:
     """Read ``primary``, or ``alternate`` where the primary is absent, unreadable or without rows.
 
-    The choice is made when the plan is built. Both must hold exactly ``columns``.
+    The choice is made when the plan is built. Both must hold exactly ``columns``, in any order. Failures
+    of other kinds, a lost cluster say, are no reason to take an old file for new and are raised.
     """
-    found = first_usable(lambda: read_csv(spark, primary) if exists(spark, primary) else None)
-    if found is None:
-        found = read_csv(spark, alternate)
-    if found.columns != list(columns):
-        raise ValueError(f"expected columns {list(columns)}, found {found.columns}")
-    return found
+    options = {"multiline": multiline, "escaped": escaped, "extra": "refuse"}
+    found = first_usable(lambda: read_csv(spark, primary, columns, **options) if exists(spark, primary) else None)
+    return found if found is not None else read_csv(spark, alternate, columns, **options)
+
+
+# Conditions by which Spark says that input is absent or is not what it should be.
+_UNREADABLE = re.compile(
+    rf"\[(PATH_NOT_FOUND|FAILED_READ_FILE|MALFORMED_|INVALID_JSON|UNABLE_TO_INFER_SCHEMA|CANNOT_READ_FILE|CANNOT_PARSE)|{FAILURE}")
+
+
+def unreadable(error: Exception) -> bool:
+    """Whether a failure lies in the input."""
+    return isinstance(error, UnreadableSource) or _UNREADABLE.search(str(error)) is not None
 
 
 def first_usable(read: Callable[[], DataFrame | None]) -> DataFrame | None:
-    """What ``read`` gives, or None where it gives nothing, fails in Spark or has no rows."""
+    """What ``read`` gives, or None where it gives nothing, its input is unreadable, or it has no rows."""
     try:
         found = read()
         if found is not None and not found.isEmpty():
             return found
-    except (PySparkException, Py4JJavaError) as error:
+    except (UnreadableSource, PySparkException, Py4JJavaError) as error:
+        if not unreadable(error):
+            raise
         log.warning("source left out: %s", str(error).splitlines()[0])
     return None
 
@@ -122,5 +128,5 @@ def count_in_place(spark: SparkSession, path: str, fmt: str) -> DataFrame:
     if fmt == "parquet":
         return spark.sql("SELECT count(*) AS records FROM parquet.`" + path + "`")
     if fmt == "csv":
-        return spark.read.options(**_CSV).csv(path).agg(F.count(F.lit(1)).alias("records"))
+        return spark.read.options(**CSV).csv(path).agg(F.count(F.lit(1)).alias("records"))
     raise ValueError(f"unknown format {fmt!r}")
