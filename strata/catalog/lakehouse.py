@@ -10,7 +10,7 @@ from datetime import datetime, timezone
 from pyspark.sql import functions as F
 
 from strata.catalog.star import ALIASES, STAR, entities, gdp, population, table
-from strata.lake import audit, digest, ingest, versions
+from strata.lake import audit, digest, groups, ingest, versions
 from strata.lake.footprint import footprint as layer_footprint
 from strata.operators.clean import drop_audit
 from strata.operators.reshape import append_batches
@@ -337,6 +337,99 @@ SELECT o_orderkey, o_custkey, CAST(o_totalprice AS DECIMAL(18,2)) AS o_totalpric
   o_orderpriority FROM orders WHERE o_orderdate >= '1999-01-01'"""
 
 
+CUSTOMER_GROUP = "o_custkey % 64"
+
+
+def _grouped(spark, sf_dir):
+    """Four versions of the orders by group of customers: all, one group with other prices, one group
+    left out, and the same again in another row order."""
+    path = scratch_path(spark, "grouped")
+    orders = _orders(spark, sf_dir)
+    by = groups.by_value(CUSTOMER_GROUP, F.expr(CUSTOMER_GROUP))
+    raised = F.when(F.expr(f"{CUSTOMER_GROUP} = 5"), (F.col("o_totalprice") + 1).cast("decimal(18,2)")).otherwise(F.col("o_totalprice"))
+    second = orders.withColumn("o_totalprice", raised)
+    third = second.where(f"{CUSTOMER_GROUP} <> 7")
+    for rows in (orders, second, third, third.repartition(7, "o_orderdate")):
+        versions.write_groups(rows, path, by)
+    return path
+
+
+def version_groups(spark, sf_dir):
+    """How many groups each version has, stored and replaced, from the log."""
+    return versions.history(spark, _grouped(spark, sf_dir)).select(
+        "version", F.size("groups").cast("bigint").alias("groups"), F.size("added_files").cast("bigint").alias("stored"),
+        F.size("removed_files").cast("bigint").alias("replaced"), "num_records")
+
+
+VERSION_GROUPS = f"""
+WITH g AS (SELECT {CUSTOMER_GROUP} AS g, count(*) AS n FROM orders GROUP BY 1),
+v(version) AS (VALUES (0), (1), (2), (3))
+SELECT CAST(version AS BIGINT) AS version, count(*) FILTER (version < 2 OR g <> 7) AS groups,
+  count(*) FILTER (version = 0 OR version = 1 AND g = 5) AS stored,
+  count(*) FILTER (version = 1 AND g = 5 OR version = 2 AND g = 7) AS replaced,
+  CAST(sum(n) FILTER (version < 2 OR g <> 7) AS BIGINT) AS num_records
+FROM g CROSS JOIN v GROUP BY version"""
+
+
+def as_of_groups(spark, sf_dir):
+    """The first and the last of the versions that share files, as they read afterwards."""
+    path = _grouped(spark, sf_dir)
+    return append_batches(*[versions.read_version(spark, path, v).withColumn("version", F.lit(v)) for v in (0, 3)])
+
+
+AS_OF_GROUPS = f"""
+SELECT o_orderkey, o_custkey, CAST(o_totalprice AS DECIMAL(18,2)) AS o_totalprice, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate,
+  o_orderpriority, 0 AS version FROM orders
+UNION ALL SELECT o_orderkey, o_custkey,
+  CAST(CASE WHEN {CUSTOMER_GROUP} = 5 THEN CAST(o_totalprice AS DECIMAL(18,2)) + 1 ELSE CAST(o_totalprice AS DECIMAL(18,2)) END AS DECIMAL(18,2)),
+  strftime(o_orderdate, '%Y-%m-%d'), o_orderpriority, 3 FROM orders WHERE {CUSTOMER_GROUP} <> 7"""
+
+
+def changed_groups(spark, sf_dir):
+    """Groups of the first and the last version side by side, by their digests in the log."""
+    return versions.group_changes(spark, _grouped(spark, sf_dir), 0, 3)
+
+
+CHANGED_GROUPS = f"""
+SELECT CAST({CUSTOMER_GROUP} AS VARCHAR) AS name, count(*) AS old_records, CASE WHEN {CUSTOMER_GROUP} <> 7 THEN count(*) END AS new_records,
+  CASE {CUSTOMER_GROUP} WHEN 5 THEN 'changed' WHEN 7 THEN 'removed' ELSE 'same' END AS change
+FROM orders GROUP BY {CUSTOMER_GROUP}"""
+
+
+def group_digests(spark, sf_dir):
+    """Count and summed row digests of every group of customers: the level of the digest below the table's."""
+    return groups.group_digests(_orders(spark, sf_dir), F.expr(CUSTOMER_GROUP).cast("string"))
+
+
+GROUP_DIGESTS = f"""
+WITH rows AS (
+  SELECT o_custkey, md5('{{"o_orderkey":' || o_orderkey || ',"o_custkey":' || o_custkey || ',"o_totalprice":' || CAST(o_totalprice AS DECIMAL(18,2))
+    || ',"o_orderdate":"' || strftime(o_orderdate, '%Y-%m-%d') || '","o_orderpriority":"' || o_orderpriority || '"}}') AS h FROM orders)
+SELECT CAST({CUSTOMER_GROUP} AS VARCHAR) AS name, count(*) AS records, CAST(sum(CAST('0x' || h[1:15] AS BIGINT)) AS VARCHAR) AS digest
+FROM rows GROUP BY {CUSTOMER_GROUP}"""
+
+
+def period_landing(spark, sf_dir):
+    """Orders landed by year, then one year again with other prices beside one unchanged: what each load brought."""
+    root = scratch_path(spark, "periods")
+    year = F.substring("o_orderdate", 1, 4)
+    orders = _orders(spark, sf_dir)
+    by = groups.by_value("year of o_orderdate", year)
+    ingest.ingest_changed_groups(orders, root, SOURCE, by, clock=_clock(1))
+    later = orders.where(year.isin("1995", "1996")).withColumn(
+        "o_totalprice", F.when(year == "1995", (F.col("o_totalprice") + 1).cast("decimal(18,2)")).otherwise(F.col("o_totalprice")))
+    ingest.ingest_changed_groups(later, root, SOURCE, by, clock=_clock(2))
+    return ingest.read_latest(spark, root).groupBy(year.alias("year"), "ingestion_timestamp").agg(
+        F.count("*").alias("records"), F.sum("o_totalprice").cast("decimal(28,2)").alias("total"))
+
+
+PERIOD_LANDING = """
+SELECT strftime(o_orderdate, '%Y') AS year,
+  CASE strftime(o_orderdate, '%Y') WHEN '1995' THEN '2024-01-01T02:00:00+00:00' ELSE '2024-01-01T01:00:00+00:00' END AS ingestion_timestamp,
+  count(*) AS records, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2)) + CASE strftime(o_orderdate, '%Y') WHEN '1995' THEN 1 ELSE 0 END) AS DECIMAL(28,2)) AS total
+FROM orders GROUP BY 1, 2"""
+
+
 def schema_changes(spark, sf_dir):
     """Columns of the first and the last version side by side."""
     return versions.schema_changes(spark, _versions(spark, sf_dir), 0, 2)
@@ -415,6 +508,11 @@ QUERIES = {
     "manifest_extra": (manifest_extra, MANIFEST_EXTRA),
     "version_history": (version_history, VERSION_HISTORY),
     "as_of_read": (as_of_read, AS_OF_READ),
+    "version_groups": (version_groups, VERSION_GROUPS),
+    "as_of_groups": (as_of_groups, AS_OF_GROUPS),
+    "changed_groups": (changed_groups, CHANGED_GROUPS),
+    "group_digests": (group_digests, GROUP_DIGESTS),
+    "period_landing": (period_landing, PERIOD_LANDING),
     "schema_changes": (schema_changes, SCHEMA_CHANGES),
     "footprint": (footprint, FOOTPRINT),
     "medallion_flow": (medallion_flow, MEDALLION_FLOW),

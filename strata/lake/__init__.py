@@ -3,18 +3,20 @@
 from strata.lake.audit import read_manifests, run_metadata, save_manifest, with_audit
 from strata.lake.digest import digest_aggregates, row_md5, schema_map, seal, table_digest
 from strata.lake.footprint import footprint
+from strata.lake.groups import Group, Grouping, by_hash, by_value, group_digests
 from strata.lake.ingest import (
-    EmptyBatch, LoadResult, batch_path, has_changed, ingest_if_changed, latest_batch, load_history,
-    read_latest, stored_digest,
+    EmptyBatch, LoadResult, batch_path, has_changed, ingest_changed_groups, ingest_if_changed, landed_groups, latest_batch,
+    load_history, read_latest, stored_digest,
 )
 from strata.lake.versions import (
-    Version, current_version, history, read_version, schema_changes, write_version,
+    Version, current_version, group_changes, history, read_version, schema_changes, write_groups, write_version,
 )
 
 __all__ = [
-    "EmptyBatch", "LoadResult", "Version", "batch_path", "current_version", "digest_aggregates",
-    "footprint", "has_changed", "history", "ingest_if_changed", "latest_batch", "load_history",
-    "read_latest", "read_manifests", "read_version", "row_md5", "run_metadata", "save_manifest",
-    "schema_changes", "schema_map", "seal", "stored_digest", "table_digest", "with_audit",
-    "write_version",
+    "EmptyBatch", "Group", "Grouping", "LoadResult", "Version", "batch_path", "by_hash", "by_value",
+    "current_version", "digest_aggregates", "footprint", "group_changes", "group_digests", "has_changed",
+    "history", "ingest_changed_groups", "ingest_if_changed", "landed_groups", "latest_batch",
+    "load_history", "read_latest", "read_manifests", "read_version", "row_md5", "run_metadata",
+    "save_manifest", "schema_changes", "schema_map", "seal", "stored_digest", "table_digest",
+    "with_audit", "write_groups", "write_version",
 ]

@@ -16,7 +16,7 @@ _HEX_DIGITS = 15
 # The 60 bits are summed in four pieces of 15 bits. A piece stays within a bigint for 2^48 rows, and
 # bigint sums are several times faster than a decimal sum of the whole.
 _PIECE_BITS = 15
-_PIECES = [f"piece_{i}" for i in range(4)]
+PIECES = [f"piece_{i}" for i in range(4)]
 
 
 def row_md5(df: DataFrame) -> Column:
@@ -30,7 +30,7 @@ def digest_aggregates(df: DataFrame) -> list[Column]:
     mask = F.lit((1 << _PIECE_BITS) - 1)
     return [F.count(F.lit(1)).alias("records")] + [
         F.coalesce(F.sum(F.shiftright(number, i * _PIECE_BITS).bitwiseAND(mask)), F.lit(0)).alias(piece)
-        for i, piece in enumerate(_PIECES)
+        for i, piece in enumerate(PIECES)
     ]
 
 
@@ -44,19 +44,23 @@ def schema_text(df: DataFrame) -> str:
     return ",".join(f"{name}:{kind}" for name, kind in df.dtypes)
 
 
+def whole_sum(*pieces: Column) -> Column:
+    """The sum of row digests from the sums of its pieces."""
+    return sum(
+        (piece.cast("decimal(38,0)") * F.lit(1 << i * _PIECE_BITS) for i, piece in enumerate(pieces)), start=F.lit(0),
+    ).cast("decimal(38,0)")
+
+
 def table_digest(df: DataFrame) -> DataFrame:
     """One row ``records, digest``."""
     sums = df.agg(*digest_aggregates(df))
-    whole = sum(
-        (F.col(piece).cast("decimal(38,0)") * F.lit(1 << i * _PIECE_BITS) for i, piece in enumerate(_PIECES)),
-        start=F.lit(0),
-    ).cast("decimal(38,0)")
+    whole = whole_sum(*[F.col(piece) for piece in PIECES])
     sealed = F.md5(F.concat_ws("|", F.lit(schema_text(df)), "records", whole.cast("string")))
     return sums.select("records", sealed.alias("digest"))
 
 
 def seal(df: DataFrame, metrics: dict) -> str:
     """The digest from observed aggregates; equals that of :func:`table_digest`."""
-    whole = sum(metrics[piece] << i * _PIECE_BITS for i, piece in enumerate(_PIECES))
+    whole = sum(metrics[piece] << i * _PIECE_BITS for i, piece in enumerate(PIECES))
     text = f"{schema_text(df)}|{metrics['records']}|{whole}"
     return hashlib.md5(text.encode("utf-8")).hexdigest()

@@ -5,6 +5,9 @@ A write puts its files into a folder of its own and then creates the log entry
 one is never read, nor is an entry that does not parse. Of two writers one gets the number and
 the other takes the next; neither can overwrite the other's files. Old versions stay readable, so no
 copy is made before a write. A commit over several tables names one version of each.
+
+``write_version`` stores the whole table. ``write_groups`` stores what changed since the version before,
+by groups of rows, and its entry names the folders of all groups, those of earlier versions included.
 """
 
 from __future__ import annotations
@@ -14,18 +17,19 @@ import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.periods import run_clock
 from strata.lake.digest import digest_aggregates, schema_map, seal, table_digest
+from strata.lake.groups import GROUPING_SCHEMA, Grouping, Stored, known_groups, read_groups, store_groups
 from strata.sources.objects import ObjectExists, every_object, exists, write_text
 
 # The fields of a log entry.
 LOG_SCHEMA = (
     "version bigint, timestamp string, operation string, operation_parameters map<string,string>, "
     "added_files array<string>, removed_files array<string>, num_records bigint, "
-    "schema map<string,string>, checksum string"
+    f"schema map<string,string>, checksum string, {GROUPING_SCHEMA}"
 )
 
 
@@ -89,6 +93,36 @@ def write_version(
     return Version(version, f"{table}/{folder}", records, checksum)
 
 
+def write_groups(
+    df: DataFrame, table: str, grouping: Grouping, operation: str = "WRITE", parameters: Mapping[str, str] | None = None,
+    absent: str = "drop",
+) -> tuple[Version, Stored]:
+    """Store ``df`` as the next version, writing only the groups that differ from the newest version's.
+
+    ``absent="keep"`` leaves groups without a row in ``df`` as they are, so ``df`` may hold some periods
+    only. A version of another grouping or schema shares nothing. Of two writers at once each commits its own
+    rows with the groups it found; with ``"keep"`` run one at a time.
+    """
+    spark = df.sparkSession
+    newest = _entry(spark, table, None)
+    folder = f"data/{uuid.uuid4().hex}"
+    stored = store_groups(df, table, folder, grouping, known_groups(newest, grouping, df), absent)
+    # a group stored anew takes the place of its folder before
+    gone = sorted(set(newest["added_files"] if newest else []) if newest and newest["groups"] is None else {g.path for g in stored.dropped})
+    version = _commit(spark, f"{table}/log", {
+        "timestamp": run_clock().isoformat(),
+        "operation": operation,
+        "operation_parameters": dict(parameters or {"mode": "Overwrite"}),
+        "added_files": [group.path for group in stored.written],
+        "removed_files": gone,
+        "num_records": stored.records,
+        "schema": schema_map(df),
+        "checksum": stored.checksum,
+        **stored.entry(),
+    })
+    return Version(version, f"{table}/{folder}", stored.records, stored.checksum), stored
+
+
 def _checked(df: DataFrame, metrics: dict, stored: DataFrame) -> tuple[int, str]:
     """Count and digest of a write, checked against the stored file footers.
 
@@ -109,17 +143,49 @@ def history(spark: SparkSession, table: str) -> DataFrame:
     return entries.filter(whole).orderBy("version")
 
 
+def _entry(spark: SparkSession, table: str, version: int | None) -> Row | None:
+    """The log entry of a version, by default the newest; None where there is none."""
+    if not exists(spark, f"{table}/log"):
+        return None
+    log = history(spark, table)
+    if version is not None:
+        log = log.filter(F.col("version") == version)
+    return log.orderBy(F.desc("version")).first()
+
+
 def read_version(spark: SparkSession, table: str, version: int | None = None) -> DataFrame:
     """The table as of ``version``, by default the newest."""
-    log = history(spark, table)
-    if version is None:
-        version = current_version(spark, table)
-    entry = log.filter(F.col("version") == version).first()
+    entry = _entry(spark, table, version)
     if entry is None:
-        raise LookupError(f"{table} has no version {version}")
+        raise LookupError(f"{table} has no version {version if version is not None else 'at all'}")
+    if entry["groups"] is not None:
+        return read_groups(spark, table, entry)
     return spark.read.parquet(*[f"{table}/{folder}" for folder in entry["added_files"]])
 
 
+def group_changes(spark: SparkSession, table: str, old: int, new: int) -> DataFrame:
+    """Groups of two versions side by side, from the log alone: ``name, old_records, new_records, change``.
+
+    ``change`` is added, removed, changed or same; versions of other groupings or schemas share no group.
+    """
+    log = history(spark, table)
+
+    def groups(version: int, prefix: str) -> DataFrame:
+        rows = log.filter(F.col("version") == version).select("grouping", "group_schema", F.explode("groups").alias("g"))
+        return rows.select(
+            F.struct("grouping", "group_schema", "g.name").alias("key"),
+            F.col("g.records").alias(f"{prefix}_records"), F.col("g.digest").alias(f"{prefix}_digest"))
+
+    before, after = groups(old, "old"), groups(new, "new").withColumnRenamed("key", "new_key")
+    both = before.join(after, F.col("key").eqNullSafe(F.col("new_key")), "full")
+    same = (F.col("old_digest") == F.col("new_digest")) & (F.col("old_records") == F.col("new_records"))
+    change = (
+        F.when(F.col("key").isNull(), "added").when(F.col("new_key").isNull(), "removed").when(same, "same").otherwise("changed")
+    )
+    name = F.when(F.col("key").isNotNull(), F.col("key.name")).otherwise(F.col("new_key.name"))
+    return both.select(name.alias("name"), "old_records", "new_records", change.alias("change")).orderBy("name")
+
+
 def _commits(spark: SparkSession, root: str) -> DataFrame:
     reader = spark.read.schema("version bigint, tables map<string,bigint>").option("mode", "DROPMALFORMED")
     return reader.json(f"{root}/commits").filter(F.col("version").isNotNull() & F.col("tables").isNotNull())

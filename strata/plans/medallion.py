@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.lake.ingest import LoadResult, ingest_if_changed, read_latest
+from strata.lake.groups import by_value
+from strata.lake.ingest import LoadResult, ingest_changed_groups, ingest_if_changed, landed_groups, read_latest
 from strata.lake.versions import commit_tables, read_tables, read_version, write_version
 from strata.operators.joins import NAME_ALIASES
 from strata.operators.reshape import pivot_mean
@@ -83,9 +85,26 @@ def population_batch(spark: SparkSession, responses: str, one_per_file: bool = T
     return flatten_table_service(read_responses(spark, responses, TABLE_SERVICE_SCHEMA, one_per_file))
 
 
+def land_periods(
+    rows: DataFrame, root: str, source: Mapping[str, str], expected: Sequence[int], period: str = "tahun",
+    clock: datetime | None = None, extra: Mapping[str, object] | None = None,
+) -> LoadResult:
+    """Land a statistic by period: each period that differs replaces its own partition and no other.
+
+    ``rows`` may hold some periods only. Periods of ``expected`` that are neither in it nor landed before
+    are refused.
+    """
+    spark = rows.sparkSession
+    landed = {group.name for group in landed_groups(spark, root)}
+    missing = [r[0] for r in missing_periods(rows, period, list(expected)).collect() if str(r[0]) not in landed]
+    if missing:
+        raise MissingPeriods(f"{root} lacks {sorted(missing)}")
+    return ingest_changed_groups(rows, root, source, by_value(period), on_empty="skip", clock=clock, extra=extra)
+
+
 def land(
     spark: SparkSession, raw: str, root: str, years: Sequence[int] = YEARS, fallback: str | None = None,
-    one_per_file: bool = True, fallback_options: Mapping[str, bool] | None = None,
+    one_per_file: bool = True, fallback_options: Mapping[str, bool] | None = None, by_period: bool = False,
 ) -> dict[str, LoadResult]:
     """Bring the responses below ``raw`` into Bronze, each dataset only if it changed.
 
@@ -94,6 +113,9 @@ def land(
     error, an empty statistic is skipped, and a statistic that lacks one of ``years`` is refused.
     So is any dataset with a response that cannot be read, but for entities with a ``fallback``;
     ``rejected_responses`` shows it. The manifest of the GDP counts the cells of other measures.
+
+    With ``by_period`` a statistic's years are landed each on its own: ``raw`` may then hold the responses of
+    some years only, which replace those years and leave the others' files as they are.
     """
     cells = materialize(gdp_cells(spark, f"{raw}/bps_pdrb", one_per_file), "cells")
     others = cells.filter(~F.col("turvar").isin(*CUBE_MEASURES)).count()
@@ -107,6 +129,10 @@ def land(
     for name, batch in batches.items():
         rows = materialize(batch, name)  # parsed once, read to compare and to write
         statistic = "tahun" in rows.columns
+        if statistic and by_period:
+            results[name] = land_periods(
+                rows, f"{root}/{BRONZE[name]}", {**SOURCES[name], "operator_id": OPERATOR}, years, extra=extras.get(name))
+            continue
         if statistic and not rows.isEmpty():
             missing = [r[0] for r in missing_periods(rows, "tahun", list(years)).collect()]
             if missing:
