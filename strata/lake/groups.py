@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from strata.lake.digest import PIECES, digest_aggregates, schema_text, whole_sum
+from strata.sources.literals import literal_table
 
 MAX_GROUPS = 10_000
 
@@ -174,4 +175,4 @@ def read_groups(spark: SparkSession, table: str, entry: Mapping) -> DataFrame:
     paths = [f"{table}/{group.path}" for group in groups_of(entry)]
     if paths:
         return spark.read.parquet(*paths)
-    return spark.createDataFrame([], StructType.fromJson(json.loads(entry["group_columns"])))
+    return literal_table(spark, [], StructType.fromJson(json.loads(entry["group_columns"])))

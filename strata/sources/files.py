@@ -6,27 +6,23 @@ import logging
 import re
 from collections.abc import Callable, Sequence
 
-import pyarrow as pa
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_type
 
 from strata.functions.text import SCAN_NULL_TOKENS, null_tokens
 from strata.sources.foreign import CSV, FAILURE, UnreadableSource, read_by_header
+from strata.sources.literals import literal_table
 from strata.sources.objects import exists
 
-log = logging.getLogger(__name__)
-
-def literal_table(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType | str) -> DataFrame:
-    """A small table given in the code. It is a local relation, so the optimizer knows its size."""
-    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    columns = zip(*rows) if rows else [()] * len(schema)
-    arrays = [pa.array(list(c), to_arrow_type(f.dataType)) for c, f in zip(columns, schema)]
-    return spark.createDataFrame(pa.table(arrays, names=schema.names), schema)
+__all__ = [
+    "as_cells", "count_in_place", "escape_breaks", "first_usable", "literal_table", "read_csv", "read_parquet", "read_with_fallback",
+    "text_schema", "unescape_breaks", "unreadable", "write_csv", "write_parquet",
+]
 
+log = logging.getLogger(__name__)
 
 # How line breaks are kept in files whose lines are split between tasks. A backslash is escaped
 # too, and no escape begins within another, so each is undone by a plain replacement.

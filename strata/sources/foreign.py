@@ -26,6 +26,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from strata.sources.literals import literal_table
 
 # Quotes are doubled inside quoted cells, and blanks at the ends of a cell are data.
 CSV = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
@@ -177,7 +180,7 @@ def _parts(
 
 
 def _no_rows(spark: SparkSession, columns: Sequence[str]) -> DataFrame:
-    return spark.createDataFrame([], ", ".join(f"`{name}` string" for name in columns))
+    return literal_table(spark, [], T.StructType([T.StructField(name, T.StringType()) for name in columns]))
 
 
 def _text() -> Column:
@@ -197,7 +200,7 @@ def scan_csv(
     columns, parts, unpaired = _parts(spark, path, columns, multiline, missing, extra)
     rows = [part.cells.where(_text().isNull()).select(*part.asked) for part in parts]
     rejected = [part.cells.where(_text().isNotNull()).select("path", F.col(_BAD).alias("record"), F.lit(CELLS).alias("reason")) for part in parts]
-    whole_files = spark.createDataFrame([(file, None, QUOTES) for file in unpaired], REJECTED)
+    whole_files = literal_table(spark, [(file, None, QUOTES) for file in unpaired], REJECTED)
     return CsvScan(
         reduce(DataFrame.unionByName, rows) if rows else _no_rows(spark, columns),
         reduce(DataFrame.unionByName, rejected, whole_files),

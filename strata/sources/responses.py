@@ -1,8 +1,7 @@
 """Nested JSON responses to flat rows.
 
-Each response is one row with nested columns. Dictionaries that come with a response are
-looked up inside that row, before the cells are exploded: no join, no shuffle, one scan,
-and the dictionary is not copied onto every cell.
+Each response is one row with nested columns. The dictionary of a cube is a relation of its own, joined
+with the cells; the few columns of a table-service payload are looked up inside its row.
 """
 
 from __future__ import annotations
@@ -127,10 +126,21 @@ def flatten_bindings(responses: DataFrame, keep: tuple[str, ...] = ()) -> DataFr
     )
 
 
-def _label_of(codes: Column, code: Column) -> Column:
-    """Label of ``code`` in an array of (val, label); the last entry wins, a miss is null."""
-    hits = F.filter(codes, lambda entry: entry["val"] == code)
-    return F.try_element_at(hits, F.lit(-1))["label"]
+def _dictionary() -> Column:
+    """What tells dictionaries of regions apart; responses with the same one share its labels."""
+    return F.md5(F.to_json("vervar"))
+
+
+def cube_labels(responses: DataFrame) -> DataFrame:
+    """``dictionary, region, label`` of the regions that the responses' dictionaries name.
+
+    The last entry for a code wins. Equal dictionaries, as those of one service mostly are, count once, and
+    mostly before the shuffle. Regions without a label and the national total are left out.
+    """
+    entries = responses.select(_dictionary().alias("dictionary"), F.posexplode("vervar").alias("place", "entry"))
+    last = entries.groupBy("dictionary", F.col("entry.val").alias("region")).agg(
+        F.max_by(F.struct("entry.label"), "place")["label"].alias("label"))
+    return last.filter((F.col("label") != "") & (F.upper("label") != NATIONAL_LABEL))
 
 
 def flatten_cube(
@@ -142,35 +152,23 @@ def flatten_cube(
 
     The composite key is region(4) variable(3) measure(3) period(3) sub-period(1). Short keys,
     measures and regions outside the response's own dictionaries, and the national total
-    are left out.
+    are left out. Cells are spread first and then joined with the labels, so the work grows with cells and
+    regions and not with their product. The responses are read twice.
     """
-    entries = F.map_entries("datacontent")
-    cells = F.transform(entries, lambda e: F.struct(
-        F.substring(e["key"], 1, 4).alias("region"),
-        F.substring(e["key"], 8, 3).alias("measure"),
-        F.length(e["key"]).alias("size"),
-        e["value"].alias("value"),
-    ))
-    known = F.filter(cells, lambda c: (c["size"] >= CUBE_KEY_LENGTH) & F.exists(
-        F.col("turvar"), lambda t: t["val"] == c["measure"]
-    ))
-    named = F.transform(known, lambda c: F.struct(
-        c["region"].alias("region"),
-        _label_of(F.col("vervar"), c["region"]).alias("label"),
-        c["measure"].alias("measure"),
-        nan_to_null(c["value"]).alias("value"),
-    ))
-    rows = responses.select(
-        *keep, year_of_code(F.col(period_code)).alias("tahun"), F.explode(named).alias("c")
+    cells = responses.select(
+        *keep, year_of_code(F.col(period_code)).alias("tahun"), _dictionary().alias("dictionary"),
+        F.transform("turvar", lambda t: t["val"]).alias("measures"), F.explode("datacontent").alias("key", "value"),
     )
-    regional = (F.col("c.label") != "") & (F.upper("c.label") != NATIONAL_LABEL)
-    return rows.filter(regional).select(
+    known = cells.select(
+        *keep, "tahun", "dictionary", F.substring("key", 1, 4).alias("region"), F.substring("key", 8, 3).alias("measure"), "value",
+    ).filter((F.length("key") >= CUBE_KEY_LENGTH) & F.array_contains("measures", F.substring("key", 8, 3)))
+    return known.join(cube_labels(responses), ["dictionary", "region"]).select(
         *keep,
-        F.col("c.region").alias("kode_provinsi"),
-        conform_title(F.col("c.label")).alias("nama_provinsi"),
+        F.col("region").alias("kode_provinsi"),
+        conform_title(F.col("label")).alias("nama_provinsi"),
         "tahun",
-        F.col("c.measure").alias("turvar"),
-        F.col("c.value").alias("nilai"),
+        F.col("measure").alias("turvar"),
+        nan_to_null(F.col("value")).alias("nilai"),
     )
 
 

@@ -56,6 +56,27 @@ def test_cube(spark, tmp_path):
     assert [r[0] for r in R.missing_periods(df, "tahun", [2019, 2020]).collect()] == [2020]
 
 
+def test_cubes_of_many_regions(spark):
+    """Responses with dictionaries of their own, one of them large: labels are those of the cell's response."""
+    n = 9000
+    large = {
+        "vervar": [{"val": 1000 + i, "label": f"R{i}"} for i in range(n)], "turvar": [{"val": 530}],
+        "datacontent": {f"{1000 + i}2865301190": float(i) for i in range(n)},
+    }
+    other = {**CUBE, "vervar": [{"val": 1100, "label": "other"}, {"val": 1200, "label": None}]}
+    texts = spark.createDataFrame([(1, 119, json.dumps(large)), (2, 120, json.dumps(CUBE)), (3, 120, json.dumps(other)), (4, 121, json.dumps(CUBE))],
+                                  "id int, th int, text string").withColumn("r", F.from_json("text", R.CUBE_SCHEMA))
+    df = R.flatten_cube(texts.select("id", "th", "r.*"), keep=("id",))
+    found = {}
+    for r in df.collect():
+        found.setdefault(r["id"], []).append((r["kode_provinsi"], r["nama_provinsi"], r["tahun"], r["nilai"]))
+    assert sorted(found[1]) == sorted((str(1000 + i), f"R{i}", 2019, float(i)) for i in range(n))
+    assert len(found[2]) == len(found[4]) == 5
+    assert sorted(found[3]) == [("1100", "Other", 2020, 1.5), ("1100", "Other", 2020, 2.5)]
+    # equal dictionaries are one
+    assert R.cube_labels(texts.select("r.*")).select("dictionary").distinct().count() == 3
+
+
 def service(rows, name="Jumlah Penduduk (Ribu)"):
     return {"data": [{"page": 1}, {"kolom": {"a": {"nama_variabel": "Luas"}, "b": {"nama_variabel": name}}, "data": rows}]}
 
