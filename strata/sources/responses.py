@@ -13,7 +13,8 @@ from pyspark.sql import types as T
 from strata.functions.numbers import grouped_to_double, nan_to_null, scale_to_long
 from strata.functions.periods import year_of_code
 from strata.functions.text import conform_title
-from strata.sources.files import literal_table
+from strata.sources.literals import literal_table
+from strata.workspace import materialize
 
 _VALUE = T.StructType([T.StructField("value", T.StringType())])
 
@@ -127,8 +128,8 @@ def flatten_bindings(responses: DataFrame, keep: tuple[str, ...] = ()) -> DataFr
 
 
 def _dictionary() -> Column:
-    """What tells dictionaries of regions apart; responses with the same one share its labels."""
-    return F.md5(F.to_json("vervar"))
+    """What tells dictionaries of regions apart, 128 bits; responses with the same one share its labels."""
+    return F.struct(F.xxhash64("vervar").alias("a"), F.xxhash64(F.lit(1), F.col("vervar")).alias("b"))
 
 
 def cube_labels(responses: DataFrame) -> DataFrame:
@@ -137,9 +138,12 @@ def cube_labels(responses: DataFrame) -> DataFrame:
     The last entry for a code wins. Equal dictionaries, as those of one service mostly are, count once, and
     mostly before the shuffle. Regions without a label and the national total are left out.
     """
-    entries = responses.select(_dictionary().alias("dictionary"), F.posexplode("vervar").alias("place", "entry"))
-    last = entries.groupBy("dictionary", F.col("entry.val").alias("region")).agg(
-        F.max_by(F.struct("entry.label"), "place")["label"].alias("label"))
+    # the outer form, whose nulls go with the filter: for the inner one Spark adds a test of the array's
+    # size below the parsing, which then happens twice
+    entries = responses.select(_dictionary().alias("dictionary"), F.posexplode_outer("vervar").alias("place", "entry"))
+    # without an aggregate the distinct rows are found by hashing, in each task first
+    once = entries.select("dictionary", "place", F.col("entry.val").alias("region"), F.col("entry.label").alias("label")).distinct()
+    last = once.groupBy("dictionary", "region").agg(F.max_by(F.struct("label"), "place")["label"].alias("label"))
     return last.filter((F.col("label") != "") & (F.upper("label") != NATIONAL_LABEL))
 
 
@@ -153,16 +157,18 @@ def flatten_cube(
     The composite key is region(4) variable(3) measure(3) period(3) sub-period(1). Short keys,
     measures and regions outside the response's own dictionaries, and the national total
     are left out. Cells are spread first and then joined with the labels, so the work grows with cells and
-    regions and not with their product. The responses are read twice.
+    regions and not with their product. The responses are read twice. The labels are stored first: Spark
+    then knows their size, and cells are not shuffled to labels that are few.
     """
     cells = responses.select(
         *keep, year_of_code(F.col(period_code)).alias("tahun"), _dictionary().alias("dictionary"),
-        F.transform("turvar", lambda t: t["val"]).alias("measures"), F.explode("datacontent").alias("key", "value"),
+        F.transform("turvar", lambda t: t["val"]).alias("measures"), F.explode_outer("datacontent").alias("key", "value"),
     )
     known = cells.select(
         *keep, "tahun", "dictionary", F.substring("key", 1, 4).alias("region"), F.substring("key", 8, 3).alias("measure"), "value",
     ).filter((F.length("key") >= CUBE_KEY_LENGTH) & F.array_contains("measures", F.substring("key", 8, 3)))
-    return known.join(cube_labels(responses), ["dictionary", "region"]).select(
+    labels = materialize(cube_labels(responses), "labels")
+    return known.join(labels, ["dictionary", "region"]).select(
         *keep,
         F.col("region").alias("kode_provinsi"),
         conform_title(F.col("label")).alias("nama_provinsi"),
