@@ -8,22 +8,29 @@ copy is made before a write. A commit over several tables names one version of e
 
 ``write_version`` stores the whole table. ``write_groups`` stores what changed since the version before,
 by groups of rows, and its entry names the folders of all groups, those of earlier versions included.
+Every ten versions the log is summarized in one Parquet file; readers take it and the entries behind it.
 """
 
 from __future__ import annotations
 
 import json
+import logging
 import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.periods import run_clock
 from strata.lake.digest import digest_aggregates, schema_map, seal, table_digest
 from strata.lake.groups import GROUPING_SCHEMA, Grouping, Stored, known_groups, read_groups, store_groups
-from strata.sources.objects import ObjectExists, every_object, exists, write_text
+from strata.sources.objects import ObjectExists, every_object, exists, read_text, write_text
+
+log = logging.getLogger(__name__)
+SUMMARY_EVERY = 10
 
 # The fields of a log entry.
 LOG_SCHEMA = (
@@ -50,12 +57,18 @@ def current_version(spark: SparkSession, table: str) -> int:
     return history(spark, table).agg(F.coalesce(F.max("version"), F.lit(-1))).first()[0]
 
 
-def next_version(spark: SparkSession, log: str) -> int:
-    """The number after the highest that any file of a log folder has, whole or not."""
-    if not exists(spark, log):
+def next_version(spark: SparkSession, folder: str) -> int:
+    """The number after the highest that any file of a log folder has, whole or not.
+
+    Numbers have no gaps, so those behind the log's summary are tried one after the other.
+    """
+    if not exists(spark, folder):
         return 0
+    summary = _summary(spark, folder.removesuffix("/log")) if folder.endswith("/log") else None
+    if summary is not None:
+        return summary[0] + 1 + len(_behind(spark, folder, summary[0]))
     number = F.regexp_extract("path", r"/([0-9]+)\.json$", 1).try_cast("bigint")
-    return every_object(spark, log).agg(F.coalesce(F.max(number), F.lit(-1))).first()[0] + 1
+    return every_object(spark, folder).agg(F.coalesce(F.max(number), F.lit(-1))).first()[0] + 1
 
 
 def _commit(spark: SparkSession, folder: str, entry: Mapping[str, object]) -> int:
@@ -70,6 +83,54 @@ def _commit(spark: SparkSession, folder: str, entry: Mapping[str, object]) -> in
             version += 1
 
 
+def _behind(spark: SparkSession, folder: str, version: int) -> list[str]:
+    """The log's files after ``version``."""
+    found = []
+    while exists(spark, path := f"{folder}/{version + 1 + len(found):08d}.json"):
+        found.append(path)
+    return found
+
+
+def _summary(spark: SparkSession, table: str) -> tuple[int, DataFrame] | None:
+    """The last version that the log's summary has, and its entries; None without a whole one."""
+    named = read_text(spark, f"{table}/log_summary/latest.txt")
+    if named is None:
+        return None
+    try:
+        version, entries, folder = named.split()
+        found = spark.read.schema(LOG_SCHEMA).parquet(f"{table}/log_summary/{folder}")
+        return (int(version), found) if found.count() == int(entries) else None
+    except (ValueError, PySparkException, Py4JJavaError) as error:
+        log.warning("summary of %s left out: %s", table, str(error).splitlines()[0])
+        return None
+
+
+def summarize(spark: SparkSession, table: str) -> None:
+    """Store the whole log as one Parquet file, which readers take instead of its entries.
+
+    Writers do so after every ``SUMMARY_EVERY`` versions. The summary is no part of a commit: one that is
+    missing, old or damaged costs time only.
+    """
+    entries = history(spark, table)
+    version = entries.agg(F.max("version")).first()[0]
+    if version is None:
+        return
+    folder = f"{version:08d}-{uuid.uuid4().hex}"
+    entries.coalesce(1).write.parquet(f"{table}/log_summary/{folder}")
+    stored = spark.read.schema(LOG_SCHEMA).parquet(f"{table}/log_summary/{folder}")
+    write_text(spark, f"{table}/log_summary/latest.txt", f"{version} {stored.count()} {folder}")
+
+
+def _commit_version(spark: SparkSession, table: str, entry: Mapping[str, object]) -> int:
+    version = _commit(spark, f"{table}/log", entry)
+    if (version + 1) % SUMMARY_EVERY == 0:
+        try:
+            summarize(spark, table)
+        except (PySparkException, Py4JJavaError) as error:
+            log.warning("no summary of %s: %s", table, str(error).splitlines()[0])
+    return version
+
+
 def write_version(
     df: DataFrame, table: str, operation: str = "WRITE", parameters: Mapping[str, str] | None = None
 ) -> Version:
@@ -89,7 +150,7 @@ def write_version(
         "schema": schema_map(df),
         "checksum": checksum,
     }
-    version = _commit(spark, f"{table}/log", entry)
+    version = _commit_version(spark, table, entry)
     return Version(version, f"{table}/{folder}", records, checksum)
 
 
@@ -109,7 +170,7 @@ def write_groups(
     stored = store_groups(df, table, folder, grouping, known_groups(newest, grouping, df), absent)
     # a group stored anew takes the place of its folder before
     gone = sorted(set(newest["added_files"] if newest else []) if newest and newest["groups"] is None else {g.path for g in stored.dropped})
-    version = _commit(spark, f"{table}/log", {
+    version = _commit_version(spark, table, {
         "timestamp": run_clock().isoformat(),
         "operation": operation,
         "operation_parameters": dict(parameters or {"mode": "Overwrite"}),
@@ -137,8 +198,19 @@ def _checked(df: DataFrame, metrics: dict, stored: DataFrame) -> tuple[int, str]
 
 
 def history(spark: SparkSession, table: str) -> DataFrame:
-    """The log as a table in version order; entries that do not parse are skipped."""
-    entries = spark.read.schema(LOG_SCHEMA).option("mode", "DROPMALFORMED").json(f"{table}/log")
+    """The log as a table in version order; entries that do not parse are skipped.
+
+    Read are the newest summary and the entries behind it, or all entries where there is no summary.
+    """
+    reader = spark.read.schema(LOG_SCHEMA).option("mode", "DROPMALFORMED")
+    summary = _summary(spark, table)
+    if summary is None:
+        entries = reader.json(f"{table}/log")
+    else:
+        version, entries = summary
+        behind = _behind(spark, f"{table}/log", version)
+        if behind:
+            entries = entries.unionByName(reader.json(behind))
     whole = F.col("version").isNotNull() & F.col("added_files").isNotNull()
     return entries.filter(whole).orderBy("version")
 

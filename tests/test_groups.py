@@ -164,3 +164,32 @@ def test_landing_a_statistic_by_period(spark, tmp_path):
     assert deliver([2020], 11, 3).groups == ("2020",)
     found = {(r["tahun"], r["jumlah_penduduk"]) for r in ingest.read_latest(spark, root).where("kode_provinsi = '100'").collect()}
     assert found == {(2019, 10), (2020, 11), (2021, 10)}
+
+
+def test_a_long_log_is_read_from_its_summary(spark, tmp_path):
+    table = tmp_path / "t"
+    versions.write_version(frame(spark, FIRST[:3]), str(table))
+    entry = (table / "log" / "00000000.json").read_text()
+    for at in range(1, 1008):
+        (table / "log" / f"{at:08d}.json").write_text(entry.replace('"version": 0', f'"version": {at}') if at != 500 else "{half")
+    versions.write_version(frame(spark, FIRST[:2]), str(table))
+    assert versions.current_version(spark, str(table)) == 1008
+    versions.write_version(frame(spark, FIRST[:1]), str(table))  # the thousand and tenth: the log is summarized
+    log = versions.history(spark, str(table))
+    assert len(log.inputFiles()) == 1 and log.count() == 1009
+    for rows_left in (4, 5):
+        versions.write_groups(frame(spark, FIRST[:rows_left]), str(table), groups.by_value("year"))
+    log = versions.history(spark, str(table))
+    assert len(log.inputFiles()) <= 10 and [r["version"] for r in log.tail(3)] == [1009, 1010, 1011]
+    assert versions.read_version(spark, str(table)).count() == 5
+    assert versions.read_version(spark, str(table), 1008).count() == 2 and versions.read_version(spark, str(table), 7).count() == 3
+    # a damaged summary is ignored, by readers and by the next writer
+    for part in (table / "log_summary").rglob("*.parquet"):
+        part.write_bytes(part.read_bytes()[:100])
+    for crc in (table / "log_summary").rglob("*.crc"):
+        crc.unlink()
+    log = versions.history(spark, str(table))
+    assert log.count() == 1011 and len(log.inputFiles()) > 1000
+    assert versions.write_version(frame(spark, FIRST[:6]), str(table)).version == 1012
+    (table / "log_summary" / "latest.txt").write_text("what is this")
+    assert versions.read_version(spark, str(table)).count() == 6
