@@ -6,8 +6,8 @@ language with the smallest total wins. ``rejected`` marks texts without letters
 the second best language comes too close.
 
 Learning takes a bounded sample: of each language the text with the smallest hash in each of
-``PIECES`` hash classes of ids, ``PIECE_BYTES`` characters of it. Every labelled row is looked at,
-and the dictionaries stay ``PIECES * PIECE_BYTES`` characters a language at any input size.
+``PIECES`` hash classes of ids, ``PIECE_BYTES`` characters of it from a place that the hash chooses. Every
+labelled row is looked at, and the dictionaries stay ``PIECES * PIECE_BYTES`` characters a language at any input size.
 
 Defined results: null text, empty text and text without a letter are ``und`` with score 0 and are
 rejected; with no learned language every text is; a null id counts as the empty string in hashes;
@@ -56,11 +56,14 @@ def learn_dictionaries(
     than the sample is shuffled or reaches the driver.
     """
     chance = F.xxhash64(F.col(doc_id).cast("string"), F.lit(10))
+    # the hash's upper bits, which its class does not depend on, choose where the piece begins
+    places = F.greatest(F.length(text) - piece_bytes + 1, F.lit(1))
+    begin = (F.pmod(F.shiftright(chance, 16), places) + 1).cast("int")
     sample = (
         df.where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
         .select(
             F.col(lang).alias("lang"), F.pmod(chance, F.lit(pieces)).alias("class"),
-            F.struct(chance.alias("chance"), F.substring(text, 1, piece_bytes).alias("piece")).alias("row"),
+            F.struct(chance.alias("chance"), F.substring(F.col(text), begin, F.lit(piece_bytes)).alias("piece")).alias("row"),
         )
         .groupBy("lang", "class").agg(F.min("row").alias("row"), F.count("*").alias("n"))
         .select("lang", "class", "row.piece", "n")
