@@ -17,7 +17,8 @@ The article is the rest of what lies below an article or main element, or else,
 the page, below elements whose class, id or role names one, or else below the element with most text of the host
 that holds a good part of the page, or else below the page's own largest. Every page is decided on its own. Slots below
 navigation, headers, footers, asides, forms and the like, by element or by class, id or role,
-are left out. Comments and related texts that are neither links nor named in one of these ways stay.
+are left out; such words on ``html`` and ``body`` say nothing, and forms and words of layout nothing on an
+element that holds the page (``below_boilerplate``). Comments and related texts that are neither links nor named in one of these ways stay.
 
 Each page is parsed once. A wrapper is aligned from the distinct forms of a host, dealt by their hash, so
 that a hot host has many groups and the result does not depend on the partitioning.
@@ -54,14 +55,22 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 INLINE = set("a abbr b bdi bdo cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img".split())
 SECTIONS = set("p li dt dd tr td th option h1 h2 h3 h4 h5 h6".split())  # closed by the next of their kind
 CONTAINERS = set("article main section div body table ul ol dl nav aside header footer form blockquote".split())
-BOILERPLATE = set("nav aside footer form head title button select dialog menu label option fieldset legend object figcaption".split())
+BOILERPLATE = set("nav aside footer form head title button select dialog menu label option fieldset legend object".split())
+# what the words of a class, id or role say: the first are of whole elements that are no article, the
+# second are also given to layout that holds the article
+FIXED_HINTS = re.compile(
+    r"(?:^|[^a-z])(?:ad|ads|adv|advert\w*|banner\w*|breadcrumb\w*|cookie\w*|comment\w*|consent\w*|disqus|footer\w*|gdpr|"
+    r"newsletter\w*|pager|pagination|popup\w*|promo\w*|recommend\w*|related\w*|repl(?:y|ies)|respond|responses?|sponsor\w*|contentinfo)(?:$|[^a-z])")
 HINTS = re.compile(
     r"(?:^|[^a-z])(?:ad|ads|adv|advert\w*|banner\w*|breadcrumb\w*|bottom\w*|cookie\w*|comment\w*|consent\w*|disqus|footer\w*|form|gdpr|"
     r"header\w*|login|masthead|menu\w*|modal|nav\w*|newsletter\w*|notice\w*|pager|pagination|popup\w*|promo\w*|recommend\w*|related\w*|"
-    r"repl(?:y|ies)|respon[ds]\w*|search\w*|share\w*|sharing|sidebar\w*|side|signup|skip|social\w*|sponsor\w*|subscribe\w*|"
+    r"repl(?:y|ies)|respond|responses?|search\w*|share\w*|sharing|sidebar\w*|side|signup|skip|social\w*|sponsor\w*|subscribe\w*|"
     r"teaser\w*|toolbar|topbar|widget\w*|alert\w*|complementary|contentinfo|navigation)(?:$|[^a-z])")
 ARTICLE_HINTS = re.compile(r"(?:^|[^a-z])(?:article|articlebody|main|content|entry|post|story|maincontent)(?:$|[^a-z])")
+# headings of an article, whatever else "header" may name
+HEADING_HINTS = re.compile(r"(?:^|[^a-z])(?:article|entry|post|story|content)-+(?:header\w*|heading|title)(?=$|[^a-z])")
 LONGEST_REPEAT = 24
+LEAST_LEFT = 4  # boilerplate may not leave less than one part in so many of a page
 VARIETY = 3  # pages that a text must be on, with at least twice as many texts in all as a page has, to be part of the template
 LONGEST_TEXTS = 8  # of a page, that its content is known by
 SALTS = 64  # groups in which the forms of a host are aligned first
@@ -377,8 +386,9 @@ def _count_slots(matched: DataFrame) -> DataFrame:
         for batch in batches:
             for name, wrapper, form, places, texts, links in zip(*(batch[c].to_pylist() for c in ("__own", "wrapper", "__form", "__slots", "__texts", "__links"))):
                 main = {_digest(t) for t in sorted(texts, key=len, reverse=True)[:LONGEST_TEXTS]}
-                for slot, text, linked in zip(matcher.slots(name, wrapper, form, places), texts, links):
-                    if _below_boilerplate(slot):
+                marked = matcher.slots(name, wrapper, form, places)
+                for slot, text, linked, out in zip(marked, texts, links, below_boilerplate(marked, texts, links)):
+                    if out:
                         continue
                     digest = _digest(text)
                     seen = slots.setdefault((name, slot), [0, 0, 0, digest, digest, 0, set()])
@@ -421,13 +431,41 @@ def _labels(slot: str) -> list[tuple[str, str]]:
 
 
 @functools.lru_cache(100_000)
-def _below_boilerplate(slot: str) -> bool:
-    inside = False
-    for name, hint in _labels(slot):
-        if name in BOILERPLATE or HINTS.search(hint) or (name == "header" and not inside):
-            return True
+def _marks(slot: str) -> tuple[bool, tuple[str, ...]]:
+    """(whether the slot is below boilerplate in any case, elements around it that are boilerplate unless they hold the page)."""
+    inside, doubtful = False, []
+    parts = slot.split("/")
+    for i, (name, hint) in enumerate(_labels(slot)):
+        if name in ("html", "body"):
+            continue
+        hint = HEADING_HINTS.sub(" ", hint)
+        if (name in BOILERPLATE and name != "form") or (name == "header" and not inside) or FIXED_HINTS.search(hint):
+            return True, ()
+        if name == "form" or HINTS.search(hint):
+            doubtful.append("/".join(parts[: i + 1]))
         inside = inside or name in ("article", "main")
-    return False
+    return False, tuple(doubtful)
+
+
+def below_boilerplate(slots: list[str], texts: list[str], links: list[int]) -> list[bool]:
+    """Whether each text of a page is below boilerplate.
+
+    Where the words of layout would leave less than ``1 / LEAST_LEFT`` of a page's text outside links, they
+    don't count for an element that holds at least half of it: a form around the page, a column named for
+    the sidebar beside it.
+    """
+    marks = [_marks(slot) for slot in slots]
+    sizes = [len(text) - linked for text, linked in zip(texts, links)]
+    left = sum(size for size, (fixed, doubtful) in zip(sizes, marks) if not fixed and not doubtful)
+    total = sum(size for size, (fixed, _) in zip(sizes, marks) if not fixed)
+    lifted: set[str] = set()
+    if LEAST_LEFT * left < total:
+        held: dict[str, int] = {}
+        for size, (fixed, doubtful) in zip(sizes, marks):
+            for element in () if fixed else doubtful:
+                held[element] = held.get(element, 0) + size
+        lifted = {element for element, size in held.items() if 2 * size >= total}
+    return [fixed or any(element not in lifted for element in doubtful) for fixed, doubtful in marks]
 
 
 class Evidence(NamedTuple):
@@ -445,7 +483,8 @@ def read_evidence(dropped: list[str] | None, containers: list[str] | None) -> Ev
 
 def article(blocks: list[tuple[str, str, int]], evidence: Evidence) -> list[str]:
     """The texts of a page's article; a block is (slot, text, characters of it in links)."""
-    clean = [b for b in blocks if not _below_boilerplate(b[0])]
+    out = below_boilerplate([b[0] for b in blocks], [b[1] for b in blocks], [b[2] for b in blocks])
+    clean = [b for b, below in zip(blocks, out) if not below]
     free = [
         b for b in clean
         if b[0] not in evidence.links and sum(name == "article" for name, _ in _labels(b[0])) < 2

@@ -259,3 +259,40 @@ def test_odd_pages(spark):
     assert texts[4] == "open text\nnext &am" and texts[2] == "text" and texts[None] == "plain"
     assert texts[7].count("long") == 20000
     assert pages.extract(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
+LAYOUTS = {
+    "body": ("<body class='right-sidebar has-menu'>", "", "", "</body>"),
+    "html": ("<html class='no-search widget'><body>", "", "", "</body></html>"),
+    "form": ("<body><form id='aspnetForm'>", "", "", "</form></body>"),
+    "widget": ("<body>", "<div class='elementor-widget elementor-widget-text'>", "</div>", "</body>"),
+    "column": ("<body>", "<div class='column with-side'>", "</div>", "</body>"),
+    "table": ("<body>", "<article><div class='table-responsive'>", "</div></article>", "</body>"),
+    "figure": ("<body>", "<article><figure><img src=x><figcaption>A view</figcaption></figure>", "</article>", "</body>"),
+    "headed": ("<body>", "<article><div class='post-header'><h1>Its title</h1></div>", "</article>", "</body>"),
+}
+
+
+@pytest.mark.parametrize("n_pages", [1, 5])
+def test_layout_named_like_boilerplate_holds_the_article(spark, n_pages):
+    rows, expected = [], {}
+    for at, (kind, (opened, inner, closed, end)) in enumerate(LAYOUTS.items()):
+        for n in range(n_pages):
+            own = "\n".join(f"Paragraph {i} of page {n} has words of its own, number {n * 31 + i}." for i in range(4))
+            body = "".join(f"<p>{line}</p>" for line in own.split("\n"))
+            html = (f"{opened}<nav><a href=1>Home</a></nav>{inner}{body}{closed}<div class='sidebar'><p>Beside {n}</p></div>"
+                    f"<div class='comments'><p>Said {n}</p></div><form><p>Your name {n}</p></form><footer>Foot</footer>{end}")
+            lead = {"figure": "A view\n", "headed": "Its title\n"}.get(kind, "")
+            rows.append((100 * at + n, f"http://{kind}.example/{n}", html, "x", 1, "h"))
+            expected[100 * at + n] = lead + own
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string, text string, __slots long, host string")
+    found = {r["page_id"]: r["text"] for r in pages.extract(frame).collect()}
+    if n_pages > 1:  # the same on each page of a host
+        expected = {i: t.replace("A view\n", "").replace("Its title\n", "") for i, t in expected.items()}
+    assert found == expected
+
+
+def test_words_of_layout_do_not_hide_short_articles():
+    shown = ["body@0/div.sidebar@1/#@2", "body@0/article@3/p@4/#@5", "body@0/div.comments@6/p@7/#@8"]
+    assert pages.below_boilerplate(shown, ["s" * 60, "a" * 40, "c" * 900], [0, 0, 0]) == [True, False, True]
+    assert pages.below_boilerplate(shown, ["s" * 960, "a" * 40, "c" * 900], [0, 0, 0]) == [False, False, True]
