@@ -49,7 +49,7 @@ def test_language_of_odd_rows(odd, odd_rows, none):
 def edits_of(word):
     letters = "abcdefghijklmnopqrstuvwxyz"
     out = {word}
-    for i in range(1, len(word) + 1):
+    for i in range(len(word) + 1):
         out |= {word[:i] + c + word[i:] for c in letters}
         if i < len(word):
             out |= {word[:i] + word[i + 1 :]} | {word[:i] + c + word[i + 1 :] for c in letters}
@@ -59,16 +59,16 @@ def edits_of(word):
 
 
 def run(automaton, word):
-    letters, table, kind = automaton
-    state, place = 1, {chr(c): i for i, c in enumerate(letters)}
+    place = {c: i for i, c in enumerate(automaton.letters)}
+    state = np.ones(1, np.int64)
     for c in word:
-        state = table[state, place.get(c, len(letters))]
-    return int(kind[state])
+        state = automaton.next(state, np.array([place.get(c, len(place))])).astype(np.int64)
+    return int(automaton.kind[state[0]])
 
 
 def test_automaton_knows_all_single_edits():
     words = ["stupid", "idiot", "scum", "loser", "losers"]
-    automaton = toxicity.build_automaton(words)
+    automaton = toxicity.Automaton(words)
     near = set().union(*(edits_of(w) for w in words if len(w) >= toxicity.FUZZY_LENGTH))
     for word in near | set(words):
         assert run(automaton, word) == (1 if word in words else 2), word
@@ -110,6 +110,37 @@ def test_toxicity(spark, abuse, odd, odd_rows, none):
     assert toxicity.score(none, model).collect() == []
 
 
+def test_words_of_any_spelling_and_length():
+    matcher = toxicity.Matcher(toxicity.Lexicon(["idiot", "e-idiot", "xy" * 30], frozenset({"idiom"})))
+    kinds = lambda text: sorted(matcher.matches([text])[1].tolist())
+    for text in ("idiot...and", "idiot/moron", "an idiot's", "IDIOOOT", "idiooottt", "(idiot)", "a" * 60 + ".idiot", "e-idiot", "xy" * 30):
+        assert kinds(text) == [1], text
+    for text in ("jdiot", "xidiot", "diot", "id-iot", "idioot", "diiot/x"):
+        assert kinds(text) == [2], text
+    for text in ("idiom", "idioms", "an id iot", "", "...", "xy" * 500):
+        assert kinds(text) == [], text
+    row, kind, quoted, counts = matcher.matches(["", 'so "idiot" he', "aaa idiot bbb", "\n"])
+    assert (row.tolist(), kind.tolist(), quoted.tolist(), counts.tolist()) == ([1, 2], [1, 1], [1, 0], [0, 3, 3, 0])
+
+
+def test_table_begins_anew(monkeypatch):
+    matcher = toxicity.Matcher(toxicity.Lexicon(["idiot", "loser"], frozenset()))
+    monkeypatch.setattr(toxicity, "MOST_STATES", 4)
+    for _ in range(3):
+        assert matcher.matches(["idiot looser jdiot fine"])[1].tolist() == [1, 2, 2]
+
+
+def test_many_terms_are_all_learned(spark):
+    terms = [f"{a}{b}{c}zqv" for a in "bcdfghjklm" for b in "aeiou" for c in "bcdfghjklmnp"]
+    rows = [(i, f"some words {i % 7} and {terms[i % 600]} too" if i < 12000 else f"some words {i % 7} and more too") for i in range(36000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = frame.selectExpr("doc_id", "CAST(doc_id < 12000 AS int) AS toxic")
+    lexicon, weights, _ = toxicity.learn(toxicity._labelled(frame, labels, "doc_id", "text", "toxic"))
+    assert len(terms) == 600 and set(terms) <= set(lexicon.words)
+    found = toxicity.Matcher(lexicon).matches([" ".join(terms)])
+    assert found[1].tolist() == [1] * 600
+
+
 def test_toxicity_without_labels(none, odd, abuse):
     model = toxicity.learn(toxicity._labelled(none, abuse[1], "doc_id", "text", "toxic"))
     assert {r["score"] for r in toxicity.score(odd, model).collect()} == {0.1}
