@@ -11,9 +11,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.lake.versions import read_version, write_version
 from strata.plans import analytics as A
 from strata.plans.gold import build_gold, gold_summary
-from strata.workspace import materialize
+from strata.plans.medallion import PARTITIONS
+from strata.workspace import materialize, scratch_path
 
 NO_ISO = "NATION_12"
 GAP_YEAR = 2001
@@ -134,6 +136,19 @@ def gold_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return _GOLD[key]
 
 
+def stored_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The Gold tables as stored versions, the facts by year."""
+    root, gold = scratch_path(spark, "star"), gold_star(spark, sf_dir)
+    for name in ("dim_province", "dim_year", "fact_economics"):
+        write_version(gold[name], f"{root}/{name}", partition_by=PARTITIONS.get(name, ()))
+    return {name: read_version(spark, f"{root}/{name}") for name in ("dim_province", "dim_year", "fact_economics")}
+
+
+def pruned_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Density ranking of the latest year on stored tables; of the facts that year's folder is read only."""
+    return A.density_ranking(stored_star(spark, sf_dir))
+
+
 def _on_gold(build):
     return lambda spark, sf_dir: build(gold_star(spark, sf_dir))
 
@@ -239,6 +254,11 @@ count(DISTINCT province_id) AS province_count, {_round('avg(gdp_per_capita)')} A
 {_round('CAST(sum(CAST(gdp_current_price AS DECIMAL(28,6))) AS DOUBLE)')} AS total_national_gdp
 FROM fact_economics f JOIN dim_year dy ON f.year_id = dy.year_id WHERE population > 0 GROUP BY year"""
 
+_DENSITY = f"""SELECT province_name, population, area_km2,
+{_round('CAST(population AS DOUBLE) / NULLIF(area_km2, 0)')} AS population_density,
+{_round('gdp_per_capita')} AS gdp_per_capita_juta, gdp_current_price AS total_gdp_miliar {_JOINED}
+WHERE {_LATEST} AND area_km2 > 0 AND population > 0 ORDER BY population_density DESC, province_name LIMIT 10"""
+
 QUERIES = {
     "dim_entity": (_on_gold(lambda g: g["dim_province"]), STAR + "SELECT * FROM dim_province"),
     "dim_year": (_on_gold(lambda g: g["dim_year"]), STAR + "SELECT * FROM dim_year"),
@@ -291,13 +311,8 @@ SELECT CASE WHEN gdp_per_capita >= (SELECT avg(gdp_per_capita) FROM latest) THEN
 {_round('max(gdp_per_capita)')} AS max_gdp_per_capita, CAST(sum(population) AS BIGINT) AS total_populasi
 FROM latest GROUP BY 1""",
     ),
-    "density_topk": (
-        _on_gold(A.density_ranking),
-        STAR + f"""SELECT province_name, population, area_km2,
-{_round('CAST(population AS DOUBLE) / NULLIF(area_km2, 0)')} AS population_density,
-{_round('gdp_per_capita')} AS gdp_per_capita_juta, gdp_current_price AS total_gdp_miliar {_JOINED}
-WHERE {_LATEST} AND area_km2 > 0 AND population > 0 ORDER BY population_density DESC, province_name LIMIT 10""",
-    ),
+    "density_topk": (_on_gold(A.density_ranking), STAR + _DENSITY),
+    "pruned_latest": (pruned_latest, STAR + _DENSITY),
     "selective_star": (
         _on_gold(_selective),
         STAR + f"SELECT province_name, year, gdp_current_price {_JOINED} "

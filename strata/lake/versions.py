@@ -16,13 +16,14 @@ from __future__ import annotations
 import json
 import logging
 import uuid
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from strata.functions.periods import run_clock
 from strata.lake.digest import digest_aggregates, schema_map, seal, table_digest
@@ -132,13 +133,22 @@ def _commit_version(spark: SparkSession, table: str, entry: Mapping[str, object]
 
 
 def write_version(
-    df: DataFrame, table: str, operation: str = "WRITE", parameters: Mapping[str, str] | None = None
+    df: DataFrame, table: str, operation: str = "WRITE", parameters: Mapping[str, str] | None = None,
+    partition_by: Sequence[str] = (),
 ) -> Version:
-    """Store ``df`` as the next version. Row count and digest come out of the same pass."""
+    """Store ``df`` as the next version. Row count and digest come out of the same pass.
+
+    With ``partition_by`` there is a folder for each value of these columns, of few files: rows are dealt
+    by the columns, where Spark cuts large values and joins small ones. Filters and joins on them then
+    read the folders they need only.
+    """
     spark = df.sparkSession
     folder = f"data/{uuid.uuid4().hex}"
     seen = Observation(f"version-{folder}")
-    df.observe(seen, *digest_aggregates(df)).write.parquet(f"{table}/{folder}")
+    rows = df.observe(seen, *digest_aggregates(df))
+    if partition_by:
+        rows = rows.hint("rebalance", *partition_by)
+    rows.write.partitionBy(*partition_by).parquet(f"{table}/{folder}")
     records, checksum = _checked(df, seen.get, spark.read.schema(df.schema).parquet(f"{table}/{folder}"))
     entry = {
         "timestamp": run_clock().isoformat(),
@@ -150,6 +160,8 @@ def write_version(
         "schema": schema_map(df),
         "checksum": checksum,
     }
+    if partition_by:
+        entry["group_columns"] = df.schema.json()
     version = _commit_version(spark, table, entry)
     return Version(version, f"{table}/{folder}", records, checksum)
 
@@ -232,7 +244,12 @@ def read_version(spark: SparkSession, table: str, version: int | None = None) ->
         raise LookupError(f"{table} has no version {version if version is not None else 'at all'}")
     if entry["groups"] is not None:
         return read_groups(spark, table, entry)
-    return spark.read.parquet(*[f"{table}/{folder}" for folder in entry["added_files"]])
+    folders = [f"{table}/{folder}" for folder in entry["added_files"]]
+    if entry["group_columns"] is None:
+        return spark.read.parquet(*folders)
+    # folder names carry no types and come last, and a table without rows has no files
+    schema = StructType.fromJson(json.loads(entry["group_columns"]))
+    return spark.read.schema(schema).parquet(*folders).select(*[F.col("`" + c.replace("`", "``") + "`") for c in schema.names])
 
 
 def group_changes(spark: SparkSession, table: str, old: int, new: int) -> DataFrame:

@@ -2,7 +2,8 @@
 
 All dimension joins are plain equi-joins: Spark broadcasts a dimension whose measured size is
 below its threshold. The latest period comes from the year dimension as a scalar subquery,
-so a last year without facts gives an empty result.
+so a last year without facts gives an empty result. The filter is on the year dimension before it meets
+the facts: where these are stored by ``year_id``, Spark reads the folders of the years that are left only.
 """
 
 from __future__ import annotations
@@ -77,10 +78,11 @@ def _with_province(df: DataFrame, gold: Gold) -> DataFrame:
     return df.join(gold["dim_province"], "province_id")
 
 
-def _latest(df: DataFrame, gold: Gold) -> DataFrame:
-    """Rows of the last year of the year dimension."""
-    last = gold["dim_year"].agg(F.max("year").alias("last_year"))
-    return df.join(F.broadcast(last), F.col("year") == F.col("last_year"))  # one row
+def _latest_facts(gold: Gold) -> DataFrame:
+    """Facts of the last year of the year dimension."""
+    years = gold["dim_year"]
+    last = years.filter(F.col("year") == years.select(F.max("year")).scalar())
+    return gold["fact_economics"].join(last, "year_id")
 
 
 def register_gold(gold: Gold) -> None:
@@ -90,7 +92,7 @@ def register_gold(gold: Gold) -> None:
 
 def top_per_capita(gold: Gold, k: int = 5) -> DataFrame:
     """The ``k`` provinces with the highest GDP per head in the latest year."""
-    rows = _with_province(_latest(_facts(gold), gold).filter(F.col("gdp_per_capita").isNotNull()), gold)
+    rows = _with_province(_latest_facts(gold).filter(F.col("gdp_per_capita").isNotNull()), gold)
     ranked = rows.orderBy(F.desc_nulls_last("gdp_per_capita"), F.asc_nulls_last("province_name")).limit(k)
     return ranked.select(
         "province_name", "province_name_en", "gdp_current_price", "population",
@@ -100,7 +102,7 @@ def top_per_capita(gold: Gold, k: int = 5) -> DataFrame:
 
 def band_averages(gold: Gold, bands: Sequence[Band] = ISLAND_BANDS, other: str = OTHER_BAND) -> DataFrame:
     """Averages of the latest year per band of provinces, richest band first."""
-    rows = _with_province(_latest(_facts(gold), gold), gold)
+    rows = _with_province(_latest_facts(gold), gold)
     label = F.lit(other)
     for band in reversed(bands):
         label = F.when(band.matches(F.col("province_name")), F.lit(band.label)).otherwise(label)
@@ -140,7 +142,7 @@ def national_trend(gold: Gold) -> DataFrame:
 
 def above_below_average(gold: Gold) -> DataFrame:
     """Provinces of the latest year split at the mean GDP per head."""
-    rows = _latest(_facts(gold), gold).filter(F.col("gdp_per_capita").isNotNull())
+    rows = _latest_facts(gold).filter(F.col("gdp_per_capita").isNotNull())
     mean = rows.agg(F.avg("gdp_per_capita").alias("mean"))
     split = rows.crossJoin(F.broadcast(mean))  # one row
     kind = F.when(F.col("gdp_per_capita") >= F.col("mean"), F.lit(ABOVE)).otherwise(F.lit(BELOW))
@@ -155,7 +157,7 @@ def above_below_average(gold: Gold) -> DataFrame:
 
 def density_ranking(gold: Gold, k: int = 10) -> DataFrame:
     """The ``k`` most densely peopled provinces of the latest year; names break ties."""
-    rows = _with_province(_latest(_facts(gold), gold), gold).filter(
+    rows = _with_province(_latest_facts(gold), gold).filter(
         (F.col("area_km2") > 0) & (F.col("population") > 0)
     )
     return rows.select(

@@ -41,6 +41,7 @@ OPERATOR = "pipeline_auto"
 YEARS = (2019, 2020, 2021, 2022, 2023)
 GOLD_TABLES = ("dim_province", "dim_year", "dim_indicator", "fact_economics")
 UNMATCHED = "unmatched"
+PARTITIONS = {"fact_economics": ("year_id",)}  # columns whose values have a folder each
 
 
 class MissingPeriods(ValueError):
@@ -153,12 +154,14 @@ def refresh_silver(spark: SparkSession, root: str) -> None:
 def refresh_gold(spark: SparkSession, root: str, aliases: Mapping[str, list[str]] = NAME_ALIASES) -> DataFrame:
     """Rebuild Gold from the newest Silver versions; returns the names that did not resolve.
 
-    Each table gets a new version; one commit then makes them the state that readers see.
+    Each table gets a new version, the facts with a folder a year; one commit then makes them the state that
+    readers see.
     """
     silver = [read_version(spark, f"{root}/silver/{name}") for name in CLEANERS]
     gold = build_gold(*silver, dict(aliases))
     written = {
-        name: write_version(gold[name], f"{root}/gold/{name}").version for name in (*GOLD_TABLES, UNMATCHED)
+        name: write_version(gold[name], f"{root}/gold/{name}", partition_by=PARTITIONS.get(name, ())).version
+        for name in (*GOLD_TABLES, UNMATCHED)
     }
     commit_tables(spark, f"{root}/gold", written)
     return read_tables(spark, f"{root}/gold")[UNMATCHED]

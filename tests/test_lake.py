@@ -229,3 +229,17 @@ def test_log_entry_text_is_one_json_object(spark, tmp_path):
     versions.write_version(frame(spark, [(1, "a")]), str(table))
     entry = json.loads((table / "log" / "00000000.json").read_text())
     assert entry["num_records"] == 1 and entry["schema"] == {"k": "int", "name": "string"}
+
+
+def test_versions_with_a_folder_for_each_value(spark, tmp_path):
+    table = str(tmp_path / "parted")
+    rows = [(i, f"n{i % 3}", i % 4 or None) for i in range(40)]
+    df = spark.createDataFrame(rows, "`odd name` long, kind string, year long")
+    first = versions.write_version(df, table, partition_by=["year"])
+    assert (first.num_records, first.checksum) == sealed(df)
+    back = versions.read_version(spark, table)
+    assert back.dtypes == df.dtypes and sorted(map(tuple, back.collect()), key=repr) == sorted(rows, key=repr)
+    versions.write_version(df.limit(0), table, partition_by=["year"])
+    assert versions.read_version(spark, table).dtypes == df.dtypes and versions.read_version(spark, table).count() == 0
+    versions.write_version(df.limit(1), table)
+    assert versions.read_version(spark, table).count() == 1 and versions.read_version(spark, table, 0).count() == 40

@@ -1,5 +1,6 @@
 """What the optimizer makes of the operators: pushed filters, pruned columns, no Python, no products."""
 
+import pathlib
 import re
 
 import pytest
@@ -41,6 +42,24 @@ def test_lists_are_pushed_into_the_dimension_scan(spark):
     assert "BroadcastHashJoin" in text
 
 
+def test_the_latest_year_prunes_the_folders_of_the_facts(spark):
+    gold = star.stored_star(spark, SF)
+    for query in (A.top_per_capita, A.density_ranking, lambda g: A.selective_star(g, ["NATION_0", "NATION_5"], 2000)):
+        text = plan(query(gold))
+        assert re.search(r"PartitionFilters: \[.*dynamicpruning", text)
+    expected = {tuple(r) for r in A.band_averages(star.gold_star(spark, SF)).collect()}
+    last = gold["dim_year"].orderBy(F.desc("year")).first()["year_id"]
+    folders = {path.rsplit("/", 2)[0] for path in gold["fact_economics"].inputFiles()}
+    assert len(folders) == 1
+    years = sorted(pathlib.Path(folders.pop().removeprefix("file:").replace("///", "/")).glob("year_id=*"))
+    assert len(years) == 7
+    for year in years:  # no other year's files are opened
+        if year.name != f"year_id={last}":
+            for file in year.glob("*.parquet"):
+                file.write_bytes(b"no table")
+    assert {tuple(r) for r in A.band_averages(gold).collect()} == expected
+
+
 def test_top_k_keeps_k_rows_per_task(spark):
     assert "TakeOrderedAndProject" in plan(A.top_per_capita(star.gold_star(spark, SF)))
     assert "TakeOrderedAndProject" in plan(A.density_ranking(star.gold_star(spark, SF)))
