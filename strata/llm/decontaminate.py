@@ -7,7 +7,8 @@ bands that reach the bound are kept, and an alignment of the item within the ban
 A to Z and the kind and amount of white space don't count. k is ``EDITS`` of the item's length.
 
 The index of the items is broadcast. Its size is checked: items beyond ``INDEX_BYTES`` of text are
-dealt into several indexes by hash, and the documents go through one after the other.
+dealt into several indexes by hash, and the documents go through one after the other; what a pass found is
+stored with the documents before the next index is built, so driver and workers hold one index at a time.
 
 Defined results: null and empty texts are clean; items that are null or shorter than q after
 white space is joined match nothing; a null item id is left out; equal items are all reported; each
@@ -25,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from strata.llm.blocks import LOWER, WHITE, flat_bytes, slices, spans, table_path, utf8
+from strata.workspace import materialize
 
 Q = 8
 EDITS = 0.1
@@ -175,14 +177,14 @@ class Searcher:
 ITEMS_PER_INDEX = 1 << 16
 
 
-def _indexes(benchmark: DataFrame, item_id: str, text: str, edits: float, index_bytes: int) -> list[Index]:
-    """The items as one or more indexes, each within the size bound."""
+def _parts(benchmark: DataFrame, item_id: str, text: str, index_bytes: int) -> list[DataFrame]:
+    """The items as one or more parts, each within the size bound."""
     items = benchmark.where(F.col(item_id).isNotNull() & F.col(text).isNotNull())
     size, rows = items.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0)), F.count("*")).first()
     parts = max(1, -(-2 * size // index_bytes) if size > index_bytes else 1, -(-2 * rows // ITEMS_PER_INDEX) if rows > ITEMS_PER_INDEX else 1)
     part = F.pmod(F.xxhash64(item_id, text), F.lit(parts))
     wanted = items.select(F.col(item_id).cast("long"), utf8(text))
-    return [build_index([tuple(r) for r in wanted.where(part == i).distinct().collect()], edits) for i in range(parts)]
+    return [wanted.where(part == i).distinct() for i in range(parts)]
 
 
 def find_leaks(
@@ -207,9 +209,13 @@ def find_leaks(
                 yield pa.RecordBatch.from_arrays([*(batch[n] for n in names), pa.array(leaks, kind)], [*names, "leaks"])
         return run
 
-    for index in _indexes(benchmark, item_id, item_text, edits, index_bytes):
-        shared = df.sparkSession.sparkContext.broadcast(index)
+    parts = _parts(benchmark, item_id, item_text, index_bytes)
+    for at, part in enumerate(parts):
+        shared = df.sparkSession.sparkContext.broadcast(build_index([tuple(r) for r in part.collect()], edits))
         result = result.withColumn("__text", utf8(text)).mapInArrow(search(shared), schema)
+        if at + 1 < len(parts):  # so that driver and workers hold one index at a time
+            result = materialize(result, "leaks")
+            shared.destroy()
     return result
 
 

@@ -4,6 +4,8 @@ import random
 
 import numpy as np
 import pytest
+import regex
+import zstandard
 
 from brute import DOCS
 from strata.llm import decontaminate, language, pages, toxicity
@@ -29,6 +31,24 @@ def test_language_of_held_out_documents(spark):
     assert all(0 <= r["score"] <= 1 for r in rows)
 
 
+def test_language_by_direct_compression(spark):
+    documents = spark.read.parquet(table_path(DOCS, "documents"))
+    learned = language.learn_dictionaries(documents.where(language.crc_class("doc_id", 5) != 0))
+    found = {r["doc_id"]: r["lang_pred"] for r in language.identify(documents, learned).collect()}
+    for row in documents.select("doc_id", "text").collect():
+        body = language.plain(row["text"] or "")
+        if not regex.search(r"\p{L}", row["text"] or ""):
+            assert found[row["doc_id"]] == "und"
+            continue
+        sizes = {}
+        for name, content in learned.items():
+            dictionary = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            sizes[name] = sum(
+                len(zstandard.ZstdCompressor(level=language.LEVEL, dict_data=dictionary, write_content_size=False, write_checksum=False, write_dict_id=False)
+                    .compress(body[i : i + language.BLOCK])) for i in range(0, len(body), language.BLOCK))
+        assert sizes[found[row["doc_id"]]] == min(sizes.values())
+
+
 def test_language_of_odd_rows(odd, odd_rows, none):
     learned = language.learn_dictionaries(odd.where("lang IS NOT NULL"))
     found = language.identify(odd, learned).collect()
