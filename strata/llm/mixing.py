@@ -10,8 +10,8 @@ product of the decisions is a probability of the text.
 
 Counting covers every training text. Each task adds up its own tables and sends them in segments,
 summed in two rounds; the result has ``2 ** bits`` cells a context at any input size, which is
-what is broadcast (``TABLE_BITS``: 11 MB). For the base score tokens are counted in hash
-buckets, one entry per token and slice of rows, so a frequent token is no hot key.
+what is broadcast (``TABLE_BITS``: 11 MB). For the base score a token is one row for each slice of
+texts, so a frequent one has no more rows than there are slices, and its join can be split.
 
 Defined results: null text counts as empty and has one token, the end; a null id counts as the
 empty string in hashes; each input row gives one output row, repeated rows equal ones; without
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from strata.llm.blocks import LOWER, WHITE, Powers, flat_bytes, slices, spans, table_path, utf8, words
+from strata.llm.blocks import LOWER, WHITE, Powers, flat_bytes, slices, table_path, utf8, words
 from strata.workspace import materialize
 
 END = 256
@@ -47,7 +47,7 @@ FIRST = 0.3  # what both outcomes count before any is seen
 SCALE = 16.0  # table cells are log odds times this, in one byte
 # start weights by (word so far seen, longest order seen), for the orders and the word
 START = np.array([[1.0, 0.0, 0.0], [0.4, 0.6, 0.0], [0.4, 0.0, 0.6], [0.2, 0.3, 0.6]], np.float32)
-TOKEN_SLICE = 8 << 20
+TOKEN_SLICE = 4 << 20
 # texts counted and scored at a time: what they need should stay in a cache
 COUNT_BYTES = 1 << 17
 SCORE_BYTES = 1 << 18
@@ -326,96 +326,79 @@ def score_texts(df: DataFrame, model: Model, keep: tuple[str, ...]) -> DataFrame
     return df.mapInArrow(run, schema)
 
 
+PACKED = "slice long, ids binary, digests binary, nulls binary, sizes binary, tokens binary, trained binary, holding binary, holder binary, times binary"
+
+
+def _deal_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each slice of texts: its rows, its distinct tokens by hash, and which row holds which how often."""
+    powers, part = Powers(), TaskContext.get().partitionId()
+    for number, batch in enumerate(slices(batches, "body", TOKEN_SLICE)):
+        flat, at = flat_bytes(batch["body"])
+        flat = LOWER[flat]
+        starts, lengths, row = words(flat, at)
+        rows = batch.num_rows
+        found = np.concatenate([powers.hashes(flat, starts, lengths), np.zeros(rows, np.uint64)])  # 0: the end
+        row = np.concatenate([row, np.arange(rows)])
+        token, inverse = np.unique(found, return_inverse=True)
+        pair, times = np.unique(inverse * np.int64(rows) + row, return_counts=True)
+        holder, index = pair % rows, pair // rows
+        train = batch["training"].to_numpy(zero_copy_only=False)
+        trained = np.bincount(index, times * train[holder], len(token)).astype(np.int64)
+        ids, digests = (np.asarray(batch[c].cast(pa.int64()).fill_null(0)).astype(np.int64) for c in ("doc_id", "row_digest"))
+        nulls = np.asarray(batch["doc_id"].is_null()).astype(np.uint8)
+        packed = (ids, digests, nulls, np.bincount(row, minlength=rows).astype(np.int64), token, trained,
+                  np.bincount(index, minlength=len(token)).astype(np.uint32), holder.astype(np.uint32), times.astype(np.uint32))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([(part << 32) + number]), *(pa.array([p.tobytes()], pa.binary()) for p in packed)],
+            [field.split()[0] for field in PACKED.split(", ")])
+
+
+def _spread_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each slice and distinct token of it."""
+    for batch in batches:
+        for name, tokens, trained in zip(*(batch[c].to_pylist() for c in ("slice", "tokens", "trained"))):
+            tokens = np.frombuffer(tokens, np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(tokens), name)), pa.array(tokens), pa.array(np.frombuffer(trained, np.int64))],
+                ["slice", "token", "n"])
+
+
 def base_scores(df: DataFrame) -> DataFrame:
     """``n_tokens``, ``n_known``, ``train_tokens`` and ``base_score`` of each (doc_id, row_digest).
 
-    ``df`` has these two, ``training`` (boolean) and ``body``. Rows go in slices; a slice sends each
-    hash bucket its distinct tokens there with the rows that hold them, and gets sums by row back.
+    ``df`` has these two, ``training`` (boolean) and ``body``. Rows go in slices of bounded size, which
+    are stored. A token is one row a slice, however many of its texts hold it; Spark sums those rows
+    and joins the counts back to the slices, and a slice adds up what its own tokens count.
     """
-    buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers, part = Powers(), TaskContext.get().partitionId()
-        for number, batch in enumerate(slices(batches, "body", TOKEN_SLICE)):
-            flat, at = flat_bytes(batch["body"])
-            flat = LOWER[flat]
-            starts, lengths, row = words(flat, at)
-            rows = batch.num_rows
-            found = np.concatenate([powers.hashes(flat, starts, lengths), np.zeros(rows, np.uint64)])  # 0: the end
-            row = np.concatenate([row, np.arange(rows)])
-            token, inverse = np.unique(found, return_inverse=True)
-            pair, times = np.unique(inverse * np.int64(rows) + row, return_counts=True)
-            holder, holding = pair % rows, np.bincount(pair // rows, minlength=len(token))
-            place = np.concatenate([[0], np.cumsum(holding)])
-            bucket = (token >> np.uint64(32)).astype(np.int64) % buckets
-            order = np.argsort(bucket, kind="stable")
-            edge = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            train = batch["training"].to_numpy(zero_copy_only=False).astype(np.uint8)
-            name = (part << 32) + number
-            meta = [np.asarray(batch[c].cast(pa.int64()).fill_null(0)).astype(np.int64) for c in ("doc_id", "row_digest")]
-            null = np.asarray(batch["doc_id"].is_null()).astype(np.uint8)
-            size = np.bincount(row, minlength=rows).astype(np.int64)
-            out = [(-1, name, b"", null.tobytes(), meta[0].tobytes(), meta[1].tobytes(), size.tobytes())]
-            for b in range(buckets):
-                mine = order[edge[b] : edge[b + 1]]
-                if len(mine):
-                    which = spans(place[mine], holding[mine])
-                    out.append((b, name, token[mine].tobytes(), train.tobytes(), holding[mine].astype(np.uint32).tobytes(),
-                                holder[which].astype(np.uint32).tobytes(), times[which].astype(np.uint32).tobytes()))
-            kinds = (pa.int32(), pa.int64(), *[pa.binary()] * 5)
-            yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate(kinds)], PACKED)
-
-    def combine(group: pd.DataFrame) -> pd.DataFrame:
-        if group["bucket"].iloc[0] < 0:  # what the slices know of their rows
-            return pd.DataFrame({"slice": group["slice"], "v": 0, "n": 0, "kind": 0, "a": group["b"], "b": group["c"], "c": group["d"], "d": group["e"]})
-        parts = []
-        for token, train, holding, holder, times in zip(*(group[c] for c in "abcde")):
-            token, train, holding = np.frombuffer(token, np.uint64), np.frombuffer(train, np.uint8), np.frombuffer(holding, np.uint32)
-            holder, times = np.frombuffer(holder, np.uint32).astype(np.int64), np.frombuffer(times, np.uint32).astype(np.int64)
-            index = np.repeat(np.arange(len(token)), holding)
-            parts.append((token, index, holder, times, np.bincount(index, times * train[holder], len(token)), len(train)))
-        token, inverse = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-        count = np.bincount(inverse, np.concatenate([p[4] for p in parts]), len(token))
-        logs, known, at, out = np.log10(count + 0.5), count > 0, 0, []
-        for name, (own, index, holder, times, _, rows) in zip(group["slice"], parts):
-            mine = inverse[at : at + len(own)]
-            at += len(own)
-            sums = np.bincount(holder, times * logs[mine][index], rows)
-            seen = np.bincount(holder, times * known[mine][index], rows).astype(np.int64)
-            out.append((name, 0, 0, 1, sums.tobytes(), seen.tobytes(), b"", b""))
-        out[0] = (out[0][0], int(known.sum()), int(count.sum()), *out[0][3:])
-        return pd.DataFrame(out, columns=["slice", "v", "n", "kind", "a", "b", "c", "d"])
-
-    packed = df.select("doc_id", "row_digest", "training", "body").mapInArrow(
-        deal, "bucket int, slice long, a binary, b binary, c binary, d binary, e binary")
-    # the slices' own rows are in a group for each slice, the tokens in one for each bucket
-    packed = packed.withColumn("at", F.when(F.col("bucket") < 0, F.col("slice")).otherwise(F.lit(-1).cast("long")))
-    partial = materialize(
-        packed.groupBy("bucket", "at").applyInPandas(combine, "slice long, v long, n long, kind int, a binary, b binary, c binary, d binary"),
-        "token-sums")
-    size, tokens = partial.agg(F.coalesce(F.sum("v"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    packed = materialize(df.select("doc_id", "row_digest", "training", "body").mapInArrow(_deal_tokens, PACKED), "token-slices")
+    spread = packed.select("slice", "tokens", "trained").mapInArrow(_spread_tokens, "slice long, token long, n long")
+    counts = materialize(spread.where("n > 0").groupBy("token").agg(F.sum("n").alias("count")), "token-counts")
+    size, tokens = counts.agg(F.count("*"), F.coalesce(F.sum("count"), F.lit(0))).first()
     scale = float(np.log10(tokens + 0.5 * (size + 1)))
-
-    def finish(group: pd.DataFrame) -> pd.DataFrame:
-        meta = group[group["kind"] == 0].iloc[0]
-        null, ids, digests, n = (np.frombuffer(meta[c], t) for c, t in zip("abcd", (np.uint8, np.int64, np.int64, np.int64)))
-        sums, seen = np.zeros(len(ids)), np.zeros(len(ids), np.int64)
-        for _, part in group[group["kind"] == 1].sort_values("order").iterrows():
-            sums += np.frombuffer(part["a"], np.float64)
-            seen += np.frombuffer(part["b"], np.int64)
+    known = spread.select("slice", "token").join(counts, "token")
+
+    def finish(own: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        own = own.iloc[0]
+        kinds = (np.int64, np.int64, np.uint8, np.int64, np.int64, np.uint32, np.uint32, np.uint32)
+        ids, digests, nulls, sizes, token, holding, holder, times = (
+            np.frombuffer(own[c], t) for c, t in
+            zip(("ids", "digests", "nulls", "sizes", "tokens", "holding", "holder", "times"), kinds))
+        order = np.argsort(token)
+        count = np.zeros(len(token), np.int64)
+        count[order[np.searchsorted(token, known["token"].to_numpy(), sorter=order)]] = known["count"].to_numpy()
+        index = np.repeat(np.arange(len(token)), holding)
+        # tokens in the order of their hashes, so a text's sum does not depend on its slice
+        sums = np.bincount(holder, times * np.log10(count + 0.5)[index], len(ids))
+        seen = np.bincount(holder, times * (count > 0)[index], len(ids)).astype(np.int64)
         return pd.DataFrame({
-            "doc_id": pd.array(ids, "Int64").copy() if not null.any() else pd.array(np.where(null, None, ids), "Int64"),
-            "row_digest": digests, "n_tokens": n, "n_known": seen, "train_tokens": tokens, "base_score": sums - n * scale})
+            "doc_id": pd.array(np.where(nulls == 1, None, ids) if nulls.any() else ids, "Int64"),
+            "row_digest": digests, "n_tokens": sizes, "n_known": seen, "train_tokens": tokens, "base_score": sums - sizes * scale})
 
-    ordered = partial.withColumn("order", F.xxhash64("a"))  # one order of adding at any partitioning
-    rows = ordered.groupBy("slice").applyInPandas(
+    rows = packed.drop("trained").groupBy("slice").cogroup(known.groupBy("slice")).applyInPandas(
         finish, "doc_id long, row_digest long, n_tokens long, n_known long, train_tokens long, base_score double")
     return rows.dropDuplicates(["doc_id", "row_digest"])
 
 
-PACKED = ["bucket", "slice", "a", "b", "c", "d", "e"]
-
-
 def score_documents(df: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Model and base score of every whole text, learned from the rows that are not held out."""
     rows = df.select(
