@@ -31,6 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from strata.llm.blocks import LOWER, WHITE, Powers, flat_bytes, slices, table_path, utf8, words
+from strata.llm.shipping import release
 from strata.workspace import materialize
 
 END = 256
@@ -329,6 +330,16 @@ def score_texts(df: DataFrame, model: Model, keep: tuple[str, ...]) -> DataFrame
 PACKED = "slice long, ids binary, digests binary, nulls binary, sizes binary, tokens binary, trained binary, holding binary, holder binary, times binary"
 
 
+def _narrow(values: np.ndarray) -> bytes:
+    """Unsigned numbers in the narrowest width that holds them all."""
+    return values.astype(np.min_scalar_type(int(values.max(initial=0)))).tobytes()
+
+
+def _widen(packed: bytes, size: int) -> np.ndarray:
+    """The ``size`` numbers that ``_narrow`` packed."""
+    return np.frombuffer(packed, f"u{len(packed) // size}") if size else np.zeros(0, np.uint8)
+
+
 def _deal_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each slice of texts: its rows, its distinct tokens by hash, and which row holds which how often."""
     powers, part = Powers(), TaskContext.get().partitionId()
@@ -343,13 +354,14 @@ def _deal_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair, times = np.unique(inverse * np.int64(rows) + row, return_counts=True)
         holder, index = pair % rows, pair // rows
         train = batch["training"].to_numpy(zero_copy_only=False)
-        trained = np.bincount(index, times * train[holder], len(token)).astype(np.int64)
+        trained = np.bincount(index, times * train[holder], len(token))
         ids, digests = (np.asarray(batch[c].cast(pa.int64()).fill_null(0)).astype(np.int64) for c in ("doc_id", "row_digest"))
         nulls = np.asarray(batch["doc_id"].is_null()).astype(np.uint8)
-        packed = (ids, digests, nulls, np.bincount(row, minlength=rows).astype(np.int64), token, trained,
-                  np.bincount(index, minlength=len(token)).astype(np.uint32), holder.astype(np.uint32), times.astype(np.uint32))
+        held = (np.bincount(row, minlength=rows), trained, np.bincount(index, minlength=len(token)), holder, times)
+        size, trained, *held = map(_narrow, held)
+        packed = (ids.tobytes(), digests.tobytes(), nulls.tobytes(), size, token.tobytes(), trained, *held)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([(part << 32) + number]), *(pa.array([p.tobytes()], pa.binary()) for p in packed)],
+            [pa.array([(part << 32) + number]), *(pa.array([p], pa.binary()) for p in packed)],
             [field.split()[0] for field in PACKED.split(", ")])
 
 
@@ -358,9 +370,8 @@ def _spread_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     for batch in batches:
         for name, tokens, trained in zip(*(batch[c].to_pylist() for c in ("slice", "tokens", "trained"))):
             tokens = np.frombuffer(tokens, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(tokens), name)), pa.array(tokens), pa.array(np.frombuffer(trained, np.int64))],
-                ["slice", "token", "n"])
+            columns = (np.full(len(tokens), name), np.arange(len(tokens), dtype=np.int32), tokens, _widen(trained, len(tokens)).astype(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["slice", "place", "token", "n"])
 
 
 def base_scores(df: DataFrame) -> DataFrame:
@@ -371,22 +382,20 @@ def base_scores(df: DataFrame) -> DataFrame:
     and joins the counts back to the slices, and a slice adds up what its own tokens count.
     """
     packed = materialize(df.select("doc_id", "row_digest", "training", "body").mapInArrow(_deal_tokens, PACKED), "token-slices")
-    spread = packed.select("slice", "tokens", "trained").mapInArrow(_spread_tokens, "slice long, token long, n long")
+    spread = packed.select("slice", "tokens", "trained").mapInArrow(_spread_tokens, "slice long, place int, token long, n long")
     counts = materialize(spread.where("n > 0").groupBy("token").agg(F.sum("n").alias("count")), "token-counts")
     size, tokens = counts.agg(F.count("*"), F.coalesce(F.sum("count"), F.lit(0))).first()
     scale = float(np.log10(tokens + 0.5 * (size + 1)))
-    known = spread.select("slice", "token").join(counts, "token")
+    known = spread.select("slice", "place", "token").join(counts, "token").drop("token")
 
     def finish(own: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         own = own.iloc[0]
-        kinds = (np.int64, np.int64, np.uint8, np.int64, np.int64, np.uint32, np.uint32, np.uint32)
-        ids, digests, nulls, sizes, token, holding, holder, times = (
-            np.frombuffer(own[c], t) for c, t in
-            zip(("ids", "digests", "nulls", "sizes", "tokens", "holding", "holder", "times"), kinds))
-        order = np.argsort(token)
-        count = np.zeros(len(token), np.int64)
-        count[order[np.searchsorted(token, known["token"].to_numpy(), sorter=order)]] = known["count"].to_numpy()
-        index = np.repeat(np.arange(len(token)), holding)
+        ids, digests, nulls = (np.frombuffer(own[c], kind) for c, kind in (("ids", np.int64), ("digests", np.int64), ("nulls", np.uint8)))
+        count = np.zeros(len(own["tokens"]) // 8, np.int64)
+        count[known["place"].to_numpy()] = known["count"].to_numpy()
+        sizes, holding = _widen(own["sizes"], len(ids)).astype(np.int64), _widen(own["holding"], len(count))
+        index = np.repeat(np.arange(len(count)), holding)
+        holder, times = (_widen(own[c], len(index)) for c in ("holder", "times"))
         # tokens in the order of their hashes, so a text's sum does not depend on its slice
         sums = np.bincount(holder, times * np.log10(count + 0.5)[index], len(ids))
         seen = np.bincount(holder, times * (count > 0)[index], len(ids)).astype(np.int64)
@@ -396,7 +405,9 @@ def base_scores(df: DataFrame) -> DataFrame:
 
     rows = packed.drop("trained").groupBy("slice").cogroup(known.groupBy("slice")).applyInPandas(
         finish, "doc_id long, row_digest long, n_tokens long, n_known long, train_tokens long, base_score double")
-    return rows.dropDuplicates(["doc_id", "row_digest"])
+    found = materialize(rows.dropDuplicates(["doc_id", "row_digest"]), "base-scores")
+    release(df.sparkSession)
+    return found
 
 
 def score_documents(df: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -404,9 +415,10 @@ def score_documents(df: DataFrame, held_out: Column, doc_id: str = "doc_id", tex
     rows = df.select(
         F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(utf8(text)).alias("row_digest"),
         held_out.alias("held_out"), utf8(text).alias("body"))
+    base = base_scores(rows.withColumn("training", ~F.col("held_out")))
     model = fit(rows.where(~F.col("held_out")).select("body"))
+    release(df.sparkSession)
     scored = score_texts(rows, model, ("doc_id", "row_digest", "held_out"))
-    base = base_scores(rows.withColumn("training", ~F.col("held_out")))
     base = base.withColumnsRenamed({"doc_id": "id", "row_digest": "digest"})
     joined = scored.join(base, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("row_digest") == F.col("digest")))
     return joined.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
