@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strata.catalog.star import table
-from strata.operators.graph import latest_statement
+from strata.lake.triples import stored_optionals, write_triples
+from strata.operators.graph import latest_statement, members
 from strata.operators.reshape import append_batches, pivot_mean
 from strata.plans.entities import entity_rows
 from strata.sources.files import read_parquet, write_parquet
@@ -264,6 +265,30 @@ SELECT '{PREFIX}C' || o_custkey AS entity, CAST(o_totalprice AS VARCHAR) AS popu
 FROM dated a WHERE NOT EXISTS (SELECT 1 FROM dated b WHERE b.o_custkey = a.o_custkey AND b.day > a.day)"""
 
 
+STORED_BUCKETS = 16
+STORED_HOT_ROWS = 100  # the root and customers with that many statements are stored apart
+
+
+def stored_patterns(spark, sf_dir):
+    """Optional patterns of all members over triples stored by predicate and subject, hot subjects apart."""
+    store = write_triples(triples(spark, sf_dir), scratch_path(spark, "triple-store"), STORED_BUCKETS, STORED_HOT_ROWS)
+    subjects = members(store.triples(), ROOT, "wdt:P150").distinct()
+    return stored_optionals(subjects, store, {
+        "name_en": ("rdfs:label", "en"), "iso_code": ("wdt:P300", None), "capital": ("wdt:P36", None),
+        "coords": ("wdt:P625", None), "inception": ("wdt:P571", None), "statement": ("p:P1082", None),
+    })
+
+
+STORED_PATTERNS = f"""
+WITH founded(day, segment) AS (VALUES ('1950-01-01', NULL), ('1960-01-01', 'AUTOMOBILE'))
+SELECT '{PREFIX}C' || c_custkey AS s, CASE WHEN c_mktsegment <> 'MACHINERY' THEN upper(c_name) END AS name_en,
+  CASE WHEN c_mktsegment <> 'HOUSEHOLD' THEN lpad(CAST(c_custkey AS VARCHAR), 12, '0') END AS iso_code,
+  CASE WHEN c_mktsegment <> 'FURNITURE' THEN '{PREFIX}N' || c_nationkey END AS capital,
+  CASE WHEN c_mktsegment <> 'BUILDING' THEN 'Point(' || c_nationkey || '.5 -' || c_nationkey || '.25)' ELSE 'nowhere' END AS coords,
+  founded.day AS inception, 'statement/' || o_orderkey AS statement
+FROM customer JOIN founded ON segment IS NULL OR segment = c_mktsegment LEFT JOIN orders ON o_custkey = c_custkey"""
+
+
 QUERIES = {
     "flatten_bindings": (bindings, BINDINGS),
     "explode_cube": (explode_cube, EXPLODE_CUBE),
@@ -273,4 +298,5 @@ QUERIES = {
     "quarantine": (quarantine, QUARANTINE),
     "graph_wide_row": (graph_wide_row, GRAPH_WIDE_ROW),
     "graph_latest_statement": (graph_latest_statement, GRAPH_LATEST),
+    "stored_patterns": (stored_patterns, STORED_PATTERNS),
 }

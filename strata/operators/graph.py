@@ -1,7 +1,8 @@
 """Graph patterns over a triples table ``s, p, o, lang``.
 
 Each pattern filters the predicate first. Store a large triples table partitioned by ``p``: the
-filter then prunes folders and every pattern reads only its own predicate.
+filter then prunes folders and every pattern reads only its own predicate. ``strata.lake.triples``
+stores it by subject as well, for joins without a shuffle.
 """
 
 from __future__ import annotations
