@@ -12,12 +12,14 @@ from strata.functions import numbers as N
 from strata.functions import periods as P
 from strata.functions import text as X
 from strata.lake.audit import run_metadata, with_audit
+from strata.lake.profiles import read_numbers, write_profiled
 from strata.operators import clean as C
 from strata.operators import joins as J
 from strata.operators.keys import dense_key
 from strata.operators.reshape import append_batches, distinct_values, pivot_mean
 from strata.plans.silver import clean_entities, clean_gdp, clean_population, rejected_population
 from strata.sources.files import literal_table
+from strata.workspace import scratch_path
 
 
 # ---- text -----------------------------------------------------------------------------------
@@ -139,6 +141,24 @@ SELECT o_orderkey, o_totalprice AS plain,
   CASE WHEN o_orderstatus = 'O' THEN 125.0 ELSE o_totalprice END AS mixed FROM orders"""
 
 
+def profiled_numbers(spark, sf_dir):
+    """The column rule over three batches whose profiles were stored when they were written."""
+    grouped = _grouped_text(F.col("o_totalprice"))
+    paths = []
+    for status in ("F", "O", "P"):
+        batch = table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == status).select(
+            "o_orderkey", F.col("o_totalprice").cast("string").alias("plain"),
+            (F.lit("12.5") if status == "O" else grouped).alias("mixed"),
+        )
+        paths.append(scratch_path(spark, f"profiled-{status}"))
+        write_profiled(batch, paths[-1], ["plain", "mixed"])
+    return read_numbers(spark, paths)
+
+
+PROFILED_NUMBERS = """
+SELECT o_orderkey, o_totalprice AS plain, CASE WHEN o_orderstatus = 'O' THEN 125.0 ELSE o_totalprice END AS mixed FROM orders"""
+
+
 def locale_numbers_lenient(spark, sf_dir):
     """Published figures with dashes and words for "no figure"."""
     status, priority = F.col("o_orderstatus"), F.substring("o_orderpriority", 1, 1)
@@ -513,6 +533,7 @@ QUERIES = {
     "conform_names": (conform_names, CONFORM_NAMES),
     "text_pieces": (text_pieces, TEXT_PIECES),
     "locale_numbers": (locale_numbers, LOCALE_NUMBERS),
+    "profiled_numbers": (profiled_numbers, PROFILED_NUMBERS),
     "locale_numbers_lenient": (locale_numbers_lenient, LOCALE_LENIENT),
     "coerce_cast": (coerce_cast, COERCE_CAST),
     "scale_round_even": (scale_round_even, SCALE_ROUND_EVEN),
