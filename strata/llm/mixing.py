@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from strata.llm.blocks import LOWER, WHITE, Powers, flat_bytes, slices, table_path, utf8, words
 from strata.llm.shipping import release
-from strata.workspace import materialize
+from strata.workspace import discard, materialize
 
 END = 256
 PAD = 257  # before the first byte
@@ -340,15 +340,26 @@ def _widen(packed: bytes, size: int) -> np.ndarray:
     return np.frombuffer(packed, f"u{len(packed) // size}") if size else np.zeros(0, np.uint8)
 
 
+def _hashed_words(batch: pa.RecordBatch, powers: Powers) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, row) of each word of ``body`` in lower case. Bytes are widened for a block of rows at a time."""
+    hashes, holders, before = [], [], 0
+    for part in slices(iter([batch]), "body"):
+        flat, at = flat_bytes(part["body"])
+        flat = LOWER[flat]
+        starts, lengths, row = words(flat, at)
+        hashes.append(powers.hashes(flat, starts, lengths))
+        holders.append(row + before)
+        before += part.num_rows
+    return np.concatenate(hashes), np.concatenate(holders)
+
+
 def _deal_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each slice of texts: its rows, its distinct tokens by hash, and which row holds which how often."""
     powers, part = Powers(), TaskContext.get().partitionId()
     for number, batch in enumerate(slices(batches, "body", TOKEN_SLICE)):
-        flat, at = flat_bytes(batch["body"])
-        flat = LOWER[flat]
-        starts, lengths, row = words(flat, at)
+        found, row = _hashed_words(batch, powers)
         rows = batch.num_rows
-        found = np.concatenate([powers.hashes(flat, starts, lengths), np.zeros(rows, np.uint64)])  # 0: the end
+        found = np.concatenate([found, np.zeros(rows, np.uint64)])  # 0: the end
         row = np.concatenate([row, np.arange(rows)])
         token, inverse = np.unique(found, return_inverse=True)
         pair, times = np.unique(inverse * np.int64(rows) + row, return_counts=True)
@@ -406,6 +417,7 @@ def base_scores(df: DataFrame) -> DataFrame:
     rows = packed.drop("trained").groupBy("slice").cogroup(known.groupBy("slice")).applyInPandas(
         finish, "doc_id long, row_digest long, n_tokens long, n_known long, train_tokens long, base_score double")
     found = materialize(rows.dropDuplicates(["doc_id", "row_digest"]), "base-scores")
+    discard(packed, counts)
     release(df.sparkSession)
     return found
 

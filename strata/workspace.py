@@ -47,6 +47,18 @@ def clear_scratch(spark: SparkSession) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def discard(*frames: DataFrame) -> None:
+    """Delete the stored steps that the frames read, once all that is made of them is stored itself."""
+    for df in frames:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path
+        for folder in {file.rpartition("/")[0] for file in df.inputFiles()}:
+            folder = path(folder)
+            if folder.getParent().getName() != spark.sparkContext.applicationId:
+                raise ValueError(f"not a stored step: {folder}")
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the scratch folder and return the stored table."""
     spark = df.sparkSession

@@ -1,10 +1,12 @@
 """Language-model scores and nearest neighbours."""
 
 import math
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -145,3 +147,25 @@ def test_every_query_has_its_full_answer(spark):
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     found = nearest.search(table, F.lit(True), target=0.01).groupBy("query_id").count().collect()
     assert len(found) == 500 and {r["count"] for r in found} == {20}
+
+
+def test_tokens_are_dealt_in_little_memory(monkeypatch):
+    class Task:
+        partitionId = staticmethod(lambda: 0)
+
+    monkeypatch.setattr(mixing, "TaskContext", type("Context", (), {"get": staticmethod(Task)}))
+    body = [(f"Word{i % 97} other{i} words " * 150).encode() for i in range(1200)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(1200)), pa.array(range(1200)), pa.array([i % 5 != 1 for i in range(1200)]), pa.array(body, pa.binary())],
+        ["doc_id", "row_digest", "training", "body"])
+    tracemalloc.start()
+    try:
+        dealt = list(mixing._deal_tokens(iter([batch])))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert batch.nbytes > 3e6 and len(dealt) == 1
+    assert most < 100e6  # every byte of a slice was widened at once
+    tokens = np.frombuffer(dealt[0]["tokens"][0].as_py(), np.uint64)
+    times = np.frombuffer(dealt[0]["times"][0].as_py(), np.uint8)
+    assert len(tokens) == 97 + 1200 + 1 + 1 and times.sum() == 1200 * (3 * 150 + 1)
