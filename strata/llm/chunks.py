@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from strata.llm.blocks import flat_bytes, lists, slices, table_path, utf8
 from strata.llm.shipping import release
-from strata.workspace import materialize
+from strata.workspace import discard, materialize
 
 CUT_BITS = 5  # a border every 32 bytes on average, besides the least length
 LEAST = 16
@@ -157,7 +157,8 @@ def repeated_spans(df: DataFrame, doc_id: str = "doc_id", text: str = "text", mi
             yield found.filter(pa.array(sizes > 0))
 
     found = materialize(flat.mapInArrow(run, "doc_id long, row_digest long, starts array<int>, ends array<int>, n_repeated int"), "spans")
-    release(df.sparkSession)
+    discard(recurring, every, first)
+    release(spark)
     return found
 
 
@@ -169,9 +170,10 @@ def deduplicate(df: DataFrame, doc_id: str = "doc_id", text: str = "text", min_r
         F.col("doc_id").alias("__id"), F.col("row_digest").alias("__digest"),
         F.col("starts").alias("__starts"), F.col("ends").alias("__ends"))
     kept = [c for c in df.columns if c not in (text, "n_bytes", "n_removed", "removed")]
-    source = df.select(*kept, text, utf8(text).alias("__text"), row_digest(text).alias("__row"))
+    # the text once: whether it was null goes with its bytes
+    source = df.select(*kept, F.isnull(text).alias("__null"), utf8(text).alias("__text"), row_digest(text).alias("__row"))
     given = source.join(found, F.col(doc_id).cast("long").eqNullSafe(F.col("__id")) & (F.col("__row") == F.col("__digest")), "left")
-    given = given.select(*kept, F.isnull(text).alias("__null"), "__text", "__starts", "__ends")
+    given = given.select(*kept, "__null", "__text", "__starts", "__ends")
     out = T.StructType([
         *df.select(*kept, F.col(text).cast("string").alias(text)).schema.fields,
         T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("removed", T.ArrayType(SPAN)),

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from strata.workspace import materialize
+from strata.workspace import discard, materialize
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -62,6 +62,7 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         following = materialize(_small_star(_large_star(current)), "stars")
         seen = following.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        discard(current)
         current = following
         if mark == tuple(seen) or not seen[0]:
             break

@@ -21,6 +21,10 @@ nothing and stays; with fewer than five words all words are one shingle; rows wi
 no component, count as kept and link with nothing; repeated rows of an id are one document with
 equal results, or, where their texts differ, are all linked under that id; an empty table gives an
 empty table. Other columns of the input are neither needed nor returned.
+
+The result is stored. Each step's shuffle files are released before the next one writes its own, and
+stored steps are deleted once all that reads them is stored, so a caller's own shuffles find no
+signatures and sets beside them.
 """
 
 from __future__ import annotations
@@ -35,7 +39,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from strata.llm.blocks import LOWER, Powers, flat_bytes, slices, table_path, utf8, words
 from strata.llm.components import components
-from strata.workspace import materialize
+from strata.llm.shipping import release
+from strata.workspace import discard, materialize
 
 SHINGLE = 5
 PERCENT = 75
@@ -226,38 +231,55 @@ def _link_rest(posted: DataFrame, sets: DataFrame, stars: DataFrame, percent: in
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
         .select("head", F.least("chunk", "other").alias("x"), F.greatest("chunk", "other").alias("y"), "rep", "component", "shingles")
     )
-    return dealt.groupBy("head", "x", "y").applyInPandas(lambda g: link_members(g, percent), "a long, b long")
+    release(posted.sparkSession)
+    found = materialize(dealt.groupBy("head", "x", "y").applyInPandas(lambda g: link_members(g, percent), "a long, b long"), "rest")
+    discard(names, rest, members)
+    return found
 
 
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` of every row."""
-    sketches = materialize(sketch(df, doc_id, text), "sketches")
-    named = sketches.where("doc_id IS NOT NULL AND digest IS NOT NULL")
+    spark = df.sparkSession
+    signed = materialize(sketch(df, doc_id, text), "signed")
     classes = materialize(
-        named.groupBy("digest").agg(F.min(F.struct("doc_id", "signature")).alias("r"))
+        signed.where("doc_id IS NOT NULL AND digest IS NOT NULL").groupBy("digest").agg(F.min(F.struct("doc_id", "signature")).alias("r"))
         .select("digest", F.col("r.doc_id").alias("rep"), "r.signature"), "classes")
+    sketches = materialize(signed.drop("signature"), "sketches")
+    discard(signed)
+    named = sketches.where("doc_id IS NOT NULL AND digest IS NOT NULL")
+    release(spark)
     posted = materialize(postings(classes), "postings")
+    release(spark)
     wanted = posted.select("rep").distinct().join(classes, "rep")
-    sets = materialize(_sets(df, doc_id, text, wanted), "sets")
+    sets = _sets(df, doc_id, text, wanted)
     centre = posted.groupBy("key").agg(F.min_by("rep", F.xxhash64("rep")).alias("centre"), F.count("*").alias("n")).where("n > 1")
     pairs = posted.join(centre, "key").where("rep <> centre").select("centre", "rep").distinct()
     stars = materialize(_verify_stars(pairs, sets, percent), "links")
+    release(spark)
     rest = _link_rest(posted, sets, stars, percent)
+    discard(posted, sets)
+    release(spark)
     # an id with several texts links its classes
     several = named.groupBy("doc_id").agg(F.min("digest").alias("x"), F.max("digest").alias("y")).where("x <> y").select("doc_id")
     several = named.join(several, "doc_id").join(classes.select("digest", "rep"), "digest").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     found = components(stars.unionByName(rest).unionByName(several)).withColumnRenamed("node", "rep")
     # an id that is in several classes is a node itself; any other document has its class's component
     own = classes.select("digest", "rep").join(found, "rep", "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
-    return (
+    result = materialize(
         sketches.join(own, "digest", "left")
         .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
-        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
-    )
+        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))), "near-duplicates")
+    discard(sketches, classes, stars, rest, found)
+    release(spark)
+    return result
 
 
 def _sets(df: DataFrame, doc_id: str, text: str, wanted: DataFrame) -> DataFrame:
-    """``rep``, ``signature`` and ``shingles`` (sorted hashes) of the wanted classes."""
+    """``rep``, ``signature`` and ``shingles`` (sorted hashes) of the wanted classes, stored.
+
+    The sets are stored before repeated rows are dropped, so the shuffled texts and the shuffled sets
+    do not lie on disk together.
+    """
     source = df.select(F.col(doc_id).cast("long").alias("rep"), utf8(text).alias("__text")).join(wanted, "rep")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,8 +293,12 @@ def _sets(df: DataFrame, doc_id: str, text: str, wanted: DataFrame) -> DataFrame
                  _binary([sets[i].tobytes() for i in keep])], ["rep", "signature", "shingles"],
             )
 
-    found = source.mapInArrow(run, "rep long, signature binary, shingles binary")
-    return found.groupBy("rep", "signature").agg(F.min("shingles").alias("shingles"))
+    every = materialize(source.mapInArrow(run, "rep long, signature binary, shingles binary"), "every-set")
+    release(df.sparkSession)
+    found = materialize(every.groupBy("rep", "signature").agg(F.min("shingles").alias("shingles")), "sets")
+    discard(every)
+    release(df.sparkSession)
+    return found
 
 
 def op6_minhash(spark, sf_dir: str) -> DataFrame:
