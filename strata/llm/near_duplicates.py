@@ -8,8 +8,9 @@
    ``COORDINATES - AGREE + 1`` pairs that come first in order of rarity: only this prefix is posted.
    Pairs that nobody else has come first of all, so a text with enough of them is skipped.
 3. In each posting list one member is the centre, and all are compared with it: collisions of the
-   signatures first, the full sets for those that pass. A large group of copies thus needs
-   comparisons in proportion to its members, most of which have one name afterwards, the centre's.
+   signatures first, which are narrow; the full sets are sent only for those that pass. A large group
+   of copies thus needs comparisons in proportion to its members, most of which have one name
+   afterwards, the centre's.
 4. Lists that still hold several names are joined exactly: lists with the same smallest member are
    one group, cut into chunks of bounded size; each pair of chunks finds, by an inverted index over
    shingles, links between members of different names. Only a forest of the links leaves a group.
@@ -22,6 +23,9 @@ no component, count as kept and link with nothing; repeated rows of an id are on
 equal results, or, where their texts differ, are all linked under that id; an empty table gives an
 empty table. Other columns of the input are neither needed nor returned.
 
+A text is sent to where its set is wanted only if a Bloom filter of the wanted ids holds its id; the
+filter has ``BLOOM_BITS`` at any input size and lets more through as it fills, and the join decides.
+
 The result is stored. Each step's shuffle files are released before the next one writes its own, and
 stored steps are deleted once all that reads them is stored, so a caller's own shuffles find no
 signatures and sets beside them.
@@ -29,13 +33,13 @@ signatures and sets beside them.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from strata.llm.blocks import LOWER, Powers, flat_bytes, slices, table_path, utf8, words
 from strata.llm.components import components
@@ -48,6 +52,9 @@ COORDINATES = 64
 AGREE = 31
 PREFIX = COORDINATES - AGREE + 1
 CHUNK_SHINGLES = 1 << 20
+STAR_MEMBERS = 64  # members of a posting list that are compared with its centre in one place
+BLOOM_BITS = 1 << 24  # 2 MB
+BLOOM_HASHES = 2
 
 _RANDOM = np.random.default_rng(6)
 WORD_FACTORS = _RANDOM.integers(1, 1 << 62, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -146,26 +153,34 @@ def _jaccard(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def _verify_stars(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The (centre, rep) pairs that are similar. Each centre's set is sent once per salt, before its members."""
-    salted = pairs.withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(64)))
-    members = salted.join(sets, "rep").select("centre", "salt", "rep", "signature", "shingles")
-    centres = salted.select("centre", "salt").distinct().join(sets.withColumnRenamed("rep", "centre"), "centre")
-    centres = centres.select("centre", "salt", F.lit(None).cast("long").alias("rep"), "signature", "shingles")
-    rows = members.unionByName(centres)
+def _agree(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two signatures collide often enough."""
+    return (a.view(np.uint32) == b.view(np.uint32)).sum() >= AGREE
+
+
+def _verify_stars(pairs: DataFrame, contents: DataFrame, alike: Callable[[np.ndarray, np.ndarray], bool]) -> DataFrame:
+    """The (centre, rep) pairs whose contents are ``alike``, as ``a`` and ``b``; ``contents`` has ``rep`` and ``content``.
+
+    A centre's content is sent once for about ``STAR_MEMBERS`` of its members, before theirs.
+    """
+    many = pairs.groupBy("centre").agg(F.ceil(F.count("*") / STAR_MEMBERS).alias("salts"))
+    salted = pairs.join(many, "centre").select("centre", F.pmod(F.xxhash64("rep"), F.col("salts")).alias("salt"), "rep")
+    members = salted.select("centre", "salt", "rep", F.col("rep").alias("of"))
+    centres = salted.select("centre", "salt").distinct().select(
+        "centre", "salt", F.lit(None).cast("long").alias("rep"), F.col("centre").alias("of"))
+    # one join for both, so that contents are sent to it once
+    rows = members.unionByName(centres).join(contents.withColumnRenamed("rep", "of"), "of").select("centre", "salt", "rep", "content")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, sets = None, []  # an id with several texts has several sets
+        held, own = None, []  # an id with several texts has several contents
         for batch in batches:
             out = []
-            for centre, rep, own, content in zip(
-                batch["centre"].to_pylist(), batch["rep"].to_pylist(), batch["signature"].to_pylist(), batch["shingles"],
-            ):
-                own, content = np.frombuffer(own, np.uint32), np.frombuffer(content.as_buffer(), np.uint64)
+            for centre, rep, content in zip(batch["centre"].to_pylist(), batch["rep"].to_pylist(), batch["content"]):
+                content = np.frombuffer(content.as_buffer(), np.uint8)
                 if rep is None:
-                    sets = [*(sets if held == centre else []), (own, content.copy())]
+                    own = [*(own if held == centre else []), content.copy()]
                     held = centre
-                elif any((own == s).sum() >= AGREE and _jaccard(t, content, percent) for s, t in sets):
+                elif any(alike(c, content) for c in own):
                     out.append((centre, rep))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], ["a", "b"])
@@ -214,7 +229,8 @@ def _link_rest(posted: DataFrame, sets: DataFrame, stars: DataFrame, percent: in
 
     ``stars`` give each member the smallest centre it is linked with, and that centre its own: those
     with the same name are linked. Lists with one name are done. The others go by their smallest
-    member, so lists of the same group of copies are one group of work.
+    member, so lists of the same group of copies are one group of work. ``posted`` and ``sets`` are
+    deleted once the members are stored with their sets.
     """
     near = stars.groupBy(F.col("b").alias("rep")).agg(F.min("a").alias("centre"))
     near = near.withColumn("centre", F.least("centre", "rep"))
@@ -223,7 +239,7 @@ def _link_rest(posted: DataFrame, sets: DataFrame, stars: DataFrame, percent: in
     named = posted.join(names, "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("component"))
     mixed = named.groupBy("key").agg(F.min("rep").alias("head"), F.min("component").alias("x"), F.max("component").alias("y"))
     rest = materialize(named.join(mixed.where("x <> y").select("key", "head"), "key").select("head", "rep", "component").distinct(), "mixed")
-    members = materialize(rest.join(sets.select("rep", "shingles"), "rep"), "members")
+    members = materialize(rest.join(sets, "rep"), "members")
     chunks = members.groupBy("head").agg(F.ceil(F.sum(F.length("shingles") / 8) / CHUNK_SHINGLES).cast("int").alias("chunks"))
     dealt = (
         members.join(chunks, "head")
@@ -231,6 +247,7 @@ def _link_rest(posted: DataFrame, sets: DataFrame, stars: DataFrame, percent: in
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
         .select("head", F.least("chunk", "other").alias("x"), F.greatest("chunk", "other").alias("y"), "rep", "component", "shingles")
     )
+    discard(posted, sets)
     release(posted.sparkSession)
     found = materialize(dealt.groupBy("head", "x", "y").applyInPandas(lambda g: link_members(g, percent), "a long, b long"), "rest")
     discard(names, rest, members)
@@ -250,14 +267,19 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", p
     release(spark)
     posted = materialize(postings(classes), "postings")
     release(spark)
-    wanted = posted.select("rep").distinct().join(classes, "rep")
-    sets = _sets(df, doc_id, text, wanted)
+    wanted = materialize(posted.select("rep").distinct().join(classes, "rep"), "wanted")
+    release(spark)
     centre = posted.groupBy("key").agg(F.min_by("rep", F.xxhash64("rep")).alias("centre"), F.count("*").alias("n")).where("n > 1")
     pairs = posted.join(centre, "key").where("rep <> centre").select("centre", "rep").distinct()
-    stars = materialize(_verify_stars(pairs, sets, percent), "links")
+    alike = materialize(_verify_stars(pairs, wanted.select("rep", F.col("signature").alias("content")), _agree), "alike")
+    release(spark)
+    sets = _sets(df, doc_id, text, wanted.select("rep", "digest"))
+    stars = materialize(_verify_stars(
+        alike.toDF("centre", "rep").distinct(), sets.withColumnRenamed("shingles", "content"),
+        lambda a, b: _jaccard(a.view(np.uint64), b.view(np.uint64), percent)), "links")
+    discard(wanted, alike)
     release(spark)
     rest = _link_rest(posted, sets, stars, percent)
-    discard(posted, sets)
     release(spark)
     # an id with several texts links its classes
     several = named.groupBy("doc_id").agg(F.min("digest").alias("x"), F.max("digest").alias("y")).where("x <> y").select("doc_id")
@@ -274,13 +296,45 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", p
     return result
 
 
+def _bits(hashed: str) -> list[Column]:
+    """The places of an id in the Bloom filter."""
+    return [F.pmod(F.xxhash64(hashed, F.lit(i)), F.lit(BLOOM_BITS)).cast("int") for i in range(BLOOM_HASHES)]
+
+
+def _bloom(ids: DataFrame) -> np.ndarray:
+    """The filter's bytes: at most one row for each 64 of its bits reaches the driver."""
+    places = ids.select(F.explode(F.array(*_bits(ids.columns[0]))).alias("p"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("p").bitwiseAND(63))
+    found = places.groupBy(F.shiftright("p", 6).alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    words = np.zeros(BLOOM_BITS // 64, np.int64)
+    words[found["word"].to_numpy()] = found["bits"].to_numpy()
+    return words.view(np.uint8)
+
+
+def _perhaps_wanted(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``rep`` and ``__text`` of the rows whose id is wanted, and of few others."""
+    shared = texts.sparkSession.sparkContext.broadcast(_bloom(wanted.select("rep")))
+    names = [f"__p{i}" for i in range(BLOOM_HASHES)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = shared.value
+        for batch in batches:
+            places = [batch[n].to_numpy() for n in names]
+            hit = np.logical_and.reduce([held[p >> 3] >> (p & 7) & 1 for p in places])
+            yield batch.select(["rep", "__text"]).filter(pa.array(hit))
+
+    placed = texts.where("rep IS NOT NULL").select("rep", "__text", *(p.alias(n) for n, p in zip(names, _bits("rep"))))
+    return placed.mapInArrow(run, "rep long, __text binary")
+
+
 def _sets(df: DataFrame, doc_id: str, text: str, wanted: DataFrame) -> DataFrame:
-    """``rep``, ``signature`` and ``shingles`` (sorted hashes) of the wanted classes, stored.
+    """``rep`` and ``shingles`` (sorted hashes) of the wanted classes, stored.
 
     The sets are stored before repeated rows are dropped, so the shuffled texts and the shuffled sets
     do not lie on disk together.
     """
-    source = df.select(F.col(doc_id).cast("long").alias("rep"), utf8(text).alias("__text")).join(wanted, "rep")
+    texts = df.select(F.col(doc_id).cast("long").alias("rep"), utf8(text).alias("__text"))
+    source = _perhaps_wanted(texts, wanted).join(wanted, "rep")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
@@ -289,13 +343,13 @@ def _sets(df: DataFrame, doc_id: str, text: str, wanted: DataFrame) -> DataFrame
             wanted = batch["digest"].to_pylist()
             keep = [i for i, s in enumerate(sets) if xxhash.xxh3_128_digest(s.tobytes()) == wanted[i]]
             yield pa.RecordBatch.from_arrays(
-                [batch["rep"].take(pa.array(keep, pa.int64())), batch["signature"].take(pa.array(keep, pa.int64())),
-                 _binary([sets[i].tobytes() for i in keep])], ["rep", "signature", "shingles"],
+                [batch["rep"].take(pa.array(keep, pa.int64())), batch["digest"].take(pa.array(keep, pa.int64())),
+                 _binary([sets[i].tobytes() for i in keep])], ["rep", "digest", "shingles"],
             )
 
-    every = materialize(source.mapInArrow(run, "rep long, signature binary, shingles binary"), "every-set")
+    every = materialize(source.mapInArrow(run, "rep long, digest binary, shingles binary"), "every-set")
     release(df.sparkSession)
-    found = materialize(every.groupBy("rep", "signature").agg(F.min("shingles").alias("shingles")), "sets")
+    found = materialize(every.groupBy("rep", "digest").agg(F.min("shingles").alias("shingles")).drop("digest"), "sets")
     discard(every)
     release(df.sparkSession)
     return found
